@@ -137,7 +137,7 @@ def test_mixing_targets_and_quotas(spark, docs, texts):
 
 
 def test_mixing_draws_are_disjoint_and_split_exactly(docs):
-    rows = mixing.mix_plan(docs, shards=8).select("source", F.explode("draws").alias("d"), "d.*").distinct().collect()
+    rows = mixing.mix_plan(docs, shards=8).select("source", F.explode("draws").alias("d")).select("source", "d.slot", "d.shard").distinct().collect()
     by_slot = defaultdict(set)
     for r in rows:
         by_slot[(r.source, r.slot)].add(r.shard)

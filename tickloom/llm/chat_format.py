@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 ESCAPE = "\\"
+BROKEN = "\0broken"  # the automaton's dead state
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ def unescaped(text: Column) -> Column:
 
 
 def _next_state(state: Column, role: Column, template: ChatTemplate) -> Column:
-    step = F.lit(None).cast("string")
+    step = F.lit(BROKEN)
     for at, roles in template.moves.items():
         step = F.when((state == at) & role.isin(*roles), role).otherwise(step)
     return step
@@ -78,11 +79,11 @@ def format_conversations(conversations: DataFrame, template: ChatTemplate | None
         F.struct(F.lit(t.start).alias("state"), F.lit(0).alias("good")),
         lambda acc, x: F.struct(
             _next_state(acc["state"], x["role"], t).alias("state"),
-            (acc["good"] + F.when(_next_state(acc["state"], x["role"], t).isNotNull(), 1).otherwise(0)).alias("good"),
+            (acc["good"] + F.when(_next_state(acc["state"], x["role"], t) != BROKEN, 1).otherwise(0)).alias("good"),
         ),
     )
     out = talks.select("conv_id", F.size("turns").alias("n"), F.flatten(F.transform("turns", segments)).alias("segments"), walked.alias("walk"))
-    valid = F.coalesce(F.col("walk.state").isin(*t.final), F.lit(False))
+    valid = F.col("walk.state").isin(*t.final)
     return out.select(
         "conv_id", "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
         valid.alias("valid"), F.when(~valid, F.col("walk.good")).alias("bad_turn"),
@@ -95,7 +96,7 @@ def read_back(formatted: DataFrame, template: ChatTemplate | None = None) -> Dat
     pieces = F.expr(f"filter(split(formatted, '\\\\Q{t.opening}\\\\E', -1), (p, i) -> i > 0)")
 
     def turn(p: Column) -> Column:
-        at = F.instr(p, F.lit("\n")) if False else F.locate("\n", p)
+        at = F.locate("\n", p)
         text = F.substr(p, at + 1, F.length(p) - at - len(t.closing) - 1)
         return F.struct(unescaped(F.substr(p, F.lit(1), at - 1)).alias("role"), unescaped(text).alias("text"))
 
