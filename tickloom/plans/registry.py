@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tickloom.plans import market
+
 
 def queries() -> dict:
-    return {}
+    return dict(market.FUNCTIONS)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(market.SQL)
