@@ -24,7 +24,8 @@ def asof_dim_join(daily: DataFrame, dim: DataFrame, day: str = "trading_day") ->
 
 def latest_dim_join(df: DataFrame, dim: DataFrame) -> DataFrame:
     """The ticker's last known cap."""
-    last = dim.groupBy("ticker").agg(F.max_by("market_cap", "effective_from").alias("market_cap"))
+    known = F.when(F.col("market_cap").isNotNull(), F.col("effective_from"))
+    last = dim.groupBy("ticker").agg(F.max_by("market_cap", known).alias("market_cap"))
     return df.join(last, "ticker", "left")
 
 

@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.operators import bars as B, daily as D, detectors as E, fusion as V, information as I, joins as J, labels as L, quality as Q, reports as R, scd as S, universe as U, windows as W
+from tickloom.operators import bars as B, daily as D, detectors as E, fusion as V, labels as L, reports as R, universe as U, windows as W
 from tickloom.plans import adapters as A
-from tickloom.sources import io, normalize as N
 
 FUNCTIONS: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +27,11 @@ def r(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 
 
+def r9(*columns: str) -> str:
+    """For values with few binary places, which six decimals would cut at a half."""
+    return ", ".join(f"round({c}, 9) AS {c}" for c in columns)
+
+
 # ---- flagship -------------------------------------------------------------------------------------
 def gap_watchlist(spark, d):
     return V.fuse_watchlist(E.detect_all(A.daily(spark, d), ("E2", "E8"))).select("ticker", "date", F.array_join("events", "+").alias("events"), F.col("event_count").cast("long").alias("event_count"))
@@ -42,8 +46,8 @@ SELECT ticker, date, string_agg(e, '+' ORDER BY e) AS events, count(*) AS event_
 OHLCV = f"ticker, date, {r('o', 'h', 'l', 'c')}, v, n, {r('dollar')}"
 query("ag1_minute_to_daily", lambda s, d: rounded(D.minute_to_daily_ohlcv(A.minutes(s, d))), f"""
 SELECT {OHLCV} FROM (SELECT ticker, date, arg_min(o, t) AS o, max(h) AS h, min(l) AS l, arg_max(c, t) AS c, sum(v)::BIGINT AS v, sum(n)::BIGINT AS n, sum(v * c) AS dollar FROM minutes GROUP BY 1, 2)""")
-query("ag2_daily_cache", lambda s, d: rounded(D.daily_cache_agg(A.minutes(s, d))), f"""
-SELECT ticker, date AS trading_day, round(arg_max(c, t), 6) AS close_d, sum(v)::BIGINT AS vol_d, round(sum(v * vw), 6) AS dollar_vol_d, count(n) AS session_rows, round(sum(v * vw) / nullif(sum(v), 0), 6) AS vwap_d, count(n) < 390 AS has_gaps FROM minutes GROUP BY 1, 2""")
+query("ag2_daily_cache", lambda s, d: rounded(D.daily_cache_agg(A.minutes(s, d)), 9), f"""
+SELECT ticker, date AS trading_day, round(arg_max(c, t), 9) AS close_d, sum(v)::BIGINT AS vol_d, round(sum(v * vw), 9) AS dollar_vol_d, count(n) AS session_rows, round(sum(v * vw) / nullif(sum(v), 0), 9) AS vwap_d, count(n) < 390 AS has_gaps FROM minutes GROUP BY 1, 2""")
 query("ag3_ticks_to_minute", lambda s, d: rounded(D.ticks_to_minute(A.ticks(s, d)).drop("minute")), f"""
 SELECT ticker, date, epoch_us(date_trunc('minute', ts)) AS t, arg_min(p, seq) AS o, max(p) AS h, min(p) AS l, arg_max(p, seq) AS c, sum(s)::BIGINT AS v, count(*) AS n, round(sum(p * s), 6) AS dollar, round(sum(p * s) / sum(s), 6) AS vw FROM ticks GROUP BY 1, 2, 3""")
 bars_of = lambda s, d: B.dollar_bars(A.ticks(s, d), A.TARGET)
@@ -56,8 +60,8 @@ SELECT ticker, count(*) AS days, sum(m)::BIGINT AS minutes, min(m) AS min_per_da
 FROM (SELECT *, date - lag(date) OVER (PARTITION BY ticker ORDER BY date) > 7 AS gap FROM (SELECT ticker, date, count(*) AS k, count(DISTINCT minute) AS m, min(l) AS l, max(h) AS h, sum(v) AS v FROM minutes GROUP BY 1, 2)) GROUP BY 1""")
 
 # ---- windows (WN1-WN15) ---------------------------------------------------------------------------
-query("wn1_prev_close", lambda s, d: W.prev_close(A.daily_li(s, d)).select("ticker", "date", F.round("prev_c", 6).alias("prev_c")), "SELECT ticker, date, round(lag(c) OVER (PARTITION BY ticker ORDER BY date), 6) AS prev_c FROM daily_li")
-query("wn2_cache_features", lambda s, d: rounded(A.cache_li(s, d)), f"SELECT ticker, trading_day, {r('close_d', 'vol_d', 'dollar_vol_d')}, session_rows, {r('pctchg_d', 'return_d', 'rvol30')} FROM cache")
+query("wn1_prev_close", lambda s, d: W.prev_close(A.daily_li(s, d)).select("ticker", "date", F.round("prev_c", 9).alias("prev_c")), "SELECT ticker, date, round(lag(c) OVER (PARTITION BY ticker ORDER BY date), 9) AS prev_c FROM daily_li")
+query("wn2_cache_features", lambda s, d: rounded(A.cache_li(s, d), 9), f"SELECT ticker, trading_day, {r9('close_d', 'vol_d', 'dollar_vol_d')}, session_rows, {r9('pctchg_d', 'return_d', 'rvol30')} FROM cache")
 query("wn3_rvol_strict", lambda s, d: W.rvol_strict(A.daily_li(s, d)).select("ticker", "date", F.round("rvol", 6).alias("rvol")), "SELECT ticker, date, round(rvol, 6) AS rvol FROM stops", "daily_li")
 query("wn3_rvol_previous_days", lambda s, d: W.rvol_strict(A.daily_li(s, d), 20, False).select("ticker", "date", F.round("rvol", 6).alias("rvol")), """
 SELECT ticker, date, round(v / CASE WHEN count(*) OVER f = 20 THEN avg(v) OVER f END, 6) AS rvol FROM daily_li WINDOW f AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""")
@@ -80,7 +84,7 @@ p AS (SELECT a.ticker, (SELECT count(*) FROM t) AS k, (SELECT count(*) FROM t b
 q AS (SELECT ticker, ((x - 1) * 0.5 + (y - 1) * 0.3 + (z - 1) * 0.2) * 100.0 / (k - 1) AS score FROM p)
 SELECT ticker, round(score, 6) AS score, CASE WHEN round(score, 6) >= 80 THEN 'heavy' WHEN round(score, 6) >= 50 THEN 'medium' ELSE 'light' END AS class FROM q""")
 query("wn14_gap_days", lambda s, d: W.gap_days(A.daily_li(s, d).filter(F.dayofmonth("date") < 20)).select("ticker", "date", F.col("gap").cast("long").alias("gap")), "SELECT ticker, date, gap FROM (SELECT ticker, date, date - lag(date) OVER (PARTITION BY ticker ORDER BY date) AS gap FROM daily_li WHERE day(date) < 20) WHERE gap > 7")
-query("wn15_range_spike", lambda s, d: rounded(W.rolling_range_spike(A.minutes(s, d)).select("ticker", "date", "t", "spike_up", "spike_down")), "SELECT ticker, date, t, round(max(h) OVER w / nullif(first(o) OVER w, 0) - 1, 6) AS spike_up, round(min(l) OVER w / nullif(first(o) OVER w, 0) - 1, 6) AS spike_down FROM minutes WINDOW w AS (PARTITION BY ticker, date ORDER BY t RANGE BETWEEN 7200000000 PRECEDING AND CURRENT ROW)")
+query("wn15_range_spike", lambda s, d: rounded(W.rolling_range_spike(A.minutes(s, d)).select("ticker", "date", "t", "spike_up", "spike_down"), 9), "SELECT ticker, date, t, round(max(h) OVER w / nullif(first(o) OVER w, 0) - 1, 9) AS spike_up, round(min(l) OVER w / nullif(first(o) OVER w, 0) - 1, 9) AS spike_down FROM minutes WINDOW w AS (PARTITION BY ticker, date ORDER BY t RANGE BETWEEN 7200000000 PRECEDING AND CURRENT ROW)")
 
 # ---- detectors (E0-E11, E13, EV*) -----------------------------------------------------------------
 days_at = lambda df: df.withColumn("date", F.unix_micros(F.col("date").cast("timestamp")) if dict(df.dtypes)["date"].startswith("timestamp") else F.col("date"))
@@ -169,8 +173,8 @@ query("br7_imbalance_reset", lambda s, d: rounded(B.imbalance_bars_reset(A.ticks
 im AS (SELECT ticker, date, r, sign * cents * s AS g, 0::BIGINT AS bar_no FROM signed WHERE r = 1 UNION ALL
  SELECT k.ticker, k.date, k.r, CASE WHEN abs(f.g) >= 400000 THEN 0 ELSE f.g END + k.sign * k.cents * k.s, f.bar_no + (abs(f.g) >= 400000)::INT FROM im f JOIN signed k ON k.ticker = f.ticker AND k.date = f.date AND k.r = f.r + 1)
 SELECT ticker, date, bar_no, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100 / sum(s), 6) AS vwap FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
-query("br8_imbalance_running", lambda s, d: rounded(B.imbalance_bars_running(A.ticks(s, d), 4000)), """
-SELECT ticker, date, bar_no, arg_min(p, r) AS o, max(p) AS h, min(p) AS l, arg_max(p, r) AS c, sum(s)::BIGINT AS v, count(*) AS n, round(sum(cents * s) / 100 / sum(s), 6) AS vwap, round((max(t_raw) - min(t_raw)) / 1e6, 6) AS duration_sec
+query("br8_imbalance_running", lambda s, d: rounded(B.imbalance_bars_running(A.ticks(s, d), 4000), 9), """
+SELECT ticker, date, bar_no, arg_min(p, r) AS o, max(p) AS h, min(p) AS l, arg_max(p, r) AS c, sum(s)::BIGINT AS v, count(*) AS n, round(sum(cents * s) / 100 / sum(s), 9) AS vwap, round((max(t_raw) - min(t_raw)) / 1e6, 9) AS duration_sec
 FROM (SELECT *, coalesce(sum((abs(run) >= 4000)::INT) OVER (PARTITION BY ticker, date ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bar_no FROM (SELECT *, sum(sign * cents * s / 100) OVER (PARTITION BY ticker, date ORDER BY r) AS run FROM signed)) GROUP BY 1, 2, 3""")
 query("br9_minute_as_ticks", lambda s, d: B.minute_as_ticks(A.minutes(s, d)), "SELECT ticker, date, t AS t_raw, 'us' AS t_unit, t AS seq, c AS p, v AS s FROM minutes")
 query("br10_bar_anomalies", lambda s, d: rounded(B.bar_anomalies(bars_of(s, d)).select("ticker", "date", "bar_no", "range_pct")), "SELECT ticker, date, bar_no, round((h - l) / nullif(o, 0), 6) AS range_pct FROM bars WHERE (h - l) / nullif(o, 0) > 0.05")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.plans import market
+from tickloom.plans import market, research  # noqa: F401  importing a module registers its queries
 
 
 def queries() -> dict:
