@@ -9,7 +9,7 @@ from tickloom.functions.expressions import by
 
 def read_parquet_tree(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """All files under root; keys in directory names become columns."""
-    reader = spark.read.option("basePath", root)
+    reader = spark.read
     return (reader.schema(schema) if schema else reader).parquet(root)
 
 
