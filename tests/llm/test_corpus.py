@@ -393,3 +393,11 @@ def test_html_words_against_brute_force(spark):
         want = "".join(re.sub(r"(?m)^ *(- |\d+\. )", "", brute_visible(pages[r.page_id])).split())
         same += Counter(re.sub(r"[-\d.]", "", mine)) == Counter(re.sub(r"[-\d.]", "", want))
     assert same == len(pages)
+
+
+def test_merged_components_equal_components_of_all_links(spark):
+    old, new = [(1, 2), (2, 3), (10, 11), (20, 21)], [(3, 11), (30, 31), (11, 30), (40, 41)]
+    frame = lambda rows: spark.createDataFrame(rows, "x long, y long")
+    at_once = near_dedup.components(frame(old + new)).collect()
+    in_turn = near_dedup.merged_components(near_dedup.components(frame(old)), frame(new)).collect()
+    assert sorted(in_turn) == sorted(at_once) and {(r.node, r.component) for r in in_turn} >= {(31, 1), (21, 20), (41, 40)}
