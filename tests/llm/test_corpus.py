@@ -401,3 +401,13 @@ def test_merged_components_equal_components_of_all_links(spark):
     at_once = near_dedup.components(frame(old + new)).collect()
     in_turn = near_dedup.merged_components(near_dedup.components(frame(old)), frame(new)).collect()
     assert sorted(in_turn) == sorted(at_once) and {(r.node, r.component) for r in in_turn} >= {(31, 1), (21, 20), (41, 40)}
+
+
+def test_small_buckets_are_paired_alike_at_every_corpus_size(spark):
+    rows = [(k, 8 * k + i, 50, 100 * k + i, 8 * k + i) for k in range(20) for i in range(8)]
+    frame = spark.createDataFrame(rows + [(99, 1000 + i, 50, i, 1000 + i) for i in range(40)], "key long, node long, n long, near long, component long")
+    small = F.col("x") < 1000
+    for turn in (0, 1):
+        salted, whole = (near_dedup.bucket_pairs(frame, turn, 80, most, 200) for most in (10, 1000))
+        assert sorted(salted.filter(small).collect()) == sorted(whole.filter(small).collect())
+        assert salted.filter(~small).count() >= 39  # the large bucket stays joined through its salts' leaders

@@ -122,13 +122,18 @@ def bucket_pairs(rows: DataFrame, turn: int, percent: int, bucket_rows: int, tot
 
     Nodes are paired with the bucket's leader and with their neighbour, if their sizes allow the
     similarity. Neighbours agree in another table's key too where any do. In turn 0 the least node
-    leads, so that links form stars; later turns draw the order and so the leader anew. Were a bucket
-    to hold more than bucket_rows nodes, it would be dealt in salts first, and the salts' leaders are
-    paired in the same way; so no task sorts more than that for one bucket.
+    leads, so that links form stars; later turns draw the order and so the leader anew. A bucket of
+    more than bucket_rows nodes is dealt in salts first, by node, key and turn, and the salts' leaders
+    are paired in the same way; so no task sorts more than about that for one bucket, and smaller
+    buckets are paired alike however many nodes there are in total.
     """
-    salts, me = -(-total // bucket_rows), F.struct("node", "n", F.col("component").alias("c"))
+    me, salt = F.struct("node", "n", F.col("component").alias("c")), F.lit(0)
     order = [F.xxhash64("near", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.col("node")]
-    rows = rows.select("key", "near", "node", me.alias("me"), (F.pmod(F.xxhash64("node"), F.lit(salts)) if salts > 1 else F.lit(0)).alias("salt"))
+    if total > bucket_rows:  # else no bucket can be larger; at most (rows / bucket_rows) keys are
+        large = rows.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > bucket_rows)
+        rows = rows.join(F.broadcast(large.select("key", F.ceil(F.col("held") / bucket_rows).alias("salts"))), "key", "left")
+        salt = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.coalesce("salts", F.lit(1)))
+    rows = rows.select("key", "near", "node", me.alias("me"), salt.alias("salt"))
 
     def near(rows: DataFrame) -> DataFrame:
         bucket = Window.partitionBy("key", "salt")
@@ -138,8 +143,8 @@ def bucket_pairs(rows: DataFrame, turn: int, percent: int, bucket_rows: int, tot
         return seen.filter(100 * F.least("me.n", "other.n") >= percent * F.greatest("me.n", "other.n")).select(F.least("me", "other").alias("l"), F.greatest("me", "other").alias("r"))
 
     pairs = near(rows)
-    if salts > 1:
-        led = rows.groupBy("key", "salt").agg(F.min(F.struct(*order[:2], "me", "near") if turn else F.struct("me", "near")).alias("l"))
+    if total > bucket_rows:
+        led = rows.join(F.broadcast(large.select("key")), "key", "left_semi").groupBy("key", "salt").agg(F.min(F.struct(*order[:2], "me", "near") if turn else F.struct("me", "near")).alias("l"))
         pairs = pairs.union(near(led.select("key", "l.near", "l.me.node", "l.me", F.lit(-1).alias("salt"))))
     return pairs.groupBy(F.col("l.node").alias("x"), F.col("r.node").alias("y"), F.col("l.c").alias("c_x"), F.col("r.c").alias("c_y")).agg(F.count("*").alias("met"))
 
