@@ -411,3 +411,19 @@ def test_small_buckets_are_paired_alike_at_every_corpus_size(spark):
         salted, whole = (near_dedup.bucket_pairs(frame, turn, 80, most, 200) for most in (10, 1000))
         assert sorted(salted.filter(small).collect()) == sorted(whole.filter(small).collect())
         assert salted.filter(~small).count() >= 39  # the large bucket stays joined through its salts' leaders
+
+
+def test_near_duplicates_among_many_texts_just_below_the_threshold(spark):
+    base = [f"w{i}" for i in range(100)]
+    texts = {}
+    for i in range(400):  # any two at 0.75, page i + 400 at 0.9 to page i
+        texts[i] = base + [f"v{i}_{k}" for k in range(16)]
+        if i % 80 == 0:
+            texts[i + 400] = base + [f"v{i}_{k}" for k in range(9)] + [f"u{i}_{k}" for k in range(5)]
+    sets = {i: shingles(" ".join(t), 2) for i, t in texts.items()}
+    assert 0.7 <= len(sets[1] & sets[2]) / len(sets[1] | sets[2]) < 0.8
+    want = brute_components(sets)
+    assert sum(want[i] != i for i in want) == 5
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = near_dedup.near_duplicates(frame, shingle=2, tables=1, width=1, seed=3).collect()  # one bucket holds 333 of them, and every pair
+    assert {r.doc_id: r.component_id for r in got} == want

@@ -10,8 +10,9 @@ Texts with equal shingle sets are one node. In a table's bucket every node is pa
 bucket's leader and with its neighbour in the order of another table's key, never with all others,
 so that a bucket of n makes below 2 n pairs. Pairs are confirmed on full sets, first each node's most frequent partner, then the pairs
 that still join different components; buckets that still hold several components are dealt anew
-under another order until a round finds no new link. Components are found by large-star and
-small-star steps on DataFrames.
+under another order until a round finds no new link. What they hold then goes through an exact join
+by prefixes of the full sets, so that no linked pair that shares a bucket is left in two components.
+Components are found by large-star and small-star steps on DataFrames.
 
 Defined cases: null and blank texts have no shingles, no links and their own id as component; a text
 of one word has that word as its one shingle; repeated rows fall in one node; a null doc_id takes the
@@ -172,6 +173,50 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return chosen.mapInArrow(run, schema).dropDuplicates(["node"])
 
 
+def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, slots: int = 1 << 20, chunk: int = 1000) -> DataFrame:
+    """members (node, component) with sets -> x, y, c_x, c_y: of different components, all pairs that can reach percent among them.
+
+    Shingles are ordered by how often they occur, counted in a fixed number of slots. Sets of a and b
+    shingles, a <= b, that reach the similarity have o = ceil(percent (a + b) / (100 + percent)) in
+    common, so their first a - o + 1 and b - o + 1 share one. Members of a shingle and component are
+    dealt in chunks; only chunks of different components are joined.
+    """
+    named = sets.join(members, "node")
+    slot = F.pmod(F.col("s"), F.lit(slots)).cast("int")
+    often = np.zeros(slots, np.int64)
+    counts = named.select(F.explode("shingles").alias("s")).groupBy(slot.alias("slot")).count().toArrow()
+    often[counts["slot"].to_numpy()] = counts["count"].to_numpy()
+    shared = members.sparkSession.sparkContext.broadcast(often)
+    sized = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("parts"))
+    schema = "node long, n long, component long, s long, at long, short boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [[] for _ in range(6)]
+            for node, component, shingles in zip(batch["node"].to_pylist(), batch["component"].to_pylist(), batch["shingles"]):
+                s = shingles.values.to_numpy()
+                n = len(s)
+                long, short = n + 1 + -percent * n // 100, n + 1 + -2 * percent * n // (100 + percent)
+                first = s[np.lexsort((s, shared.value[s % slots]))[:long]]
+                for col, values in zip(cols, (np.full(long, node), np.full(long, n), np.full(long, component), first, np.arange(long), np.arange(long) < short)):
+                    col.append(values)
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["node", "n", "component", "s", "at", "short"])
+
+    rows = materialise(named.select("node", "component", "shingles").mapInArrow(run, schema), "prefixes")
+    mixed = rows.groupBy("s").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("s")
+    rows = rows.join(mixed, "s", "left_semi").join(sized, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    held = [rows.filter("short") if short else rows for short in (True, False)]
+    a, b = (h.groupBy("s", F.col("component").alias(f"c_{e}"), "part").agg(F.collect_list(F.struct("n", "node", "at")).alias(e)).drop("part") for h, e in zip(held, "ab"))
+    need = f"({percent} * (p.n + q.n) + {99 + percent}) div {100 + percent}"
+    fits = f"struct(p.n, p.node) < struct(q.n, q.node) and 100 * p.n >= {percent} * q.n and p.at <= p.n - {need} and q.at <= q.n - {need}"
+    found = F.expr(f"flatten(transform(a, p -> transform(filter(b, q -> {fits}), q -> struct(p.node as p, q.node as q))))")
+    pairs = a.join(b, "s").filter("c_a <> c_b").select("c_a", "c_b", F.explode(found).alias("f"))
+    turned = F.col("f.p") > F.col("f.q")
+    x, y, c_x, c_y = F.least("f.p", "f.q"), F.greatest("f.p", "f.q"), F.when(turned, F.col("c_b")).otherwise(F.col("c_a")), F.when(turned, F.col("c_a")).otherwise(F.col("c_b"))
+    return pairs.select(x.alias("x"), y.alias("y"), c_x.alias("c_x"), c_y.alias("c_y")).distinct()
+
+
 def _unsettled(edges: DataFrame) -> bool:
     """True unless every left end has one edge and is no edge's right end, so that edges are stars."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("met"))
@@ -249,6 +294,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables
         crowded = materialise(named.join(mixed, "key", "left_semi").select("key", "node", "n", "near", "component"), "crowded")
         rows, again = crowded.drop("component"), bucket_pairs(crowded, turn, percent, bucket_rows, total).drop("met")
         again = materialise(again.join(tried, ["x", "y"], "left_anti"), "tried")
+    # what the deals have left: the crowded buckets' nodes by an exact join
+    rest = materialise(remaining_pairs(crowded.select("node", "component").distinct(), sets, percent), "rest")
+    comps = merged_components(comps, materialise(confirmed(rest, sets, percent), "links"))
     named = nodes.select("node", "rep").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     ids = named.join(least, "component").select("node", "component_id")
