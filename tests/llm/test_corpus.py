@@ -427,3 +427,17 @@ def test_near_duplicates_among_many_texts_just_below_the_threshold(spark):
     frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
     got = near_dedup.near_duplicates(frame, shingle=2, tables=1, width=1, seed=3).collect()  # one bucket holds 333 of them, and every pair
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_near_duplicates_beside_texts_of_other_lengths(spark):
+    base = [f"w{i}" for i in range(200)]
+    texts = {i: base[:100] + [f"v{i}_{k}" for k in range(3)] for i in range(60)}
+    for k in range(2):  # two long texts in a bucket of shorter variants
+        texts[100 + k] = base[: 150 + 10 * k] + [f"x{k}"] + base[151 + 10 * k :]
+    texts = {i: " ".join(t) for i, t in texts.items()}
+    want = brute_components({i: shingles(t, 2) for i, t in texts.items()})
+    assert want[101] == 100
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for seed in (9, 19, 43):  # all of them are in one bucket
+        got = near_dedup.near_duplicates(frame, shingle=2, tables=1, width=1, seed=seed).collect()
+        assert {r.doc_id: r.component_id for r in got} == want

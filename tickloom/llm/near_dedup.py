@@ -119,10 +119,10 @@ def table_rows(nodes: DataFrame) -> DataFrame:
 
 
 def bucket_pairs(rows: DataFrame, turn: int, percent: int, bucket_rows: int, total: int) -> DataFrame:
-    """rows (key, node, n, near, component) -> x, y, c_x, c_y, met: pairs of different components with the number of tables that pair them.
+    """rows (key, node, n, near, component) -> x, y, c_x, c_y, met, fits: pairs of different components with the number of tables that pair them.
 
-    Nodes are paired with the bucket's leader and with their neighbour, if their sizes allow the
-    similarity. Neighbours agree in another table's key too where any do. In turn 0 the least node
+    Nodes are paired with the bucket's leader and with their neighbour; fits says whether their sizes
+    allow the similarity. Neighbours agree in another table's key too where any do. In turn 0 the least node
     leads, so that links form stars; later turns draw the order and so the leader anew. A bucket of
     more than bucket_rows nodes is dealt in salts first, by node, key and turn, and the salts' leaders
     are paired in the same way; so no task sorts more than about that for one bucket, and smaller
@@ -141,13 +141,14 @@ def bucket_pairs(rows: DataFrame, turn: int, percent: int, bucket_rows: int, tot
         leader = F.first("me").over(bucket.orderBy(*order)) if turn else F.min("me").over(bucket)
         seen = rows.select("me", leader.alias("leader"), F.lag("me").over(bucket.orderBy(*order)).alias("before"))
         seen = seen.select("me", F.explode(F.array("leader", "before")).alias("other")).filter("me.c <> other.c")
-        return seen.filter(100 * F.least("me.n", "other.n") >= percent * F.greatest("me.n", "other.n")).select(F.least("me", "other").alias("l"), F.greatest("me", "other").alias("r"))
+        return seen.select(F.least("me", "other").alias("l"), F.greatest("me", "other").alias("r"))
 
     pairs = near(rows)
     if total > bucket_rows:
         led = rows.join(F.broadcast(large.select("key")), "key", "left_semi").groupBy("key", "salt").agg(F.min(F.struct(*order[:2], "me", "near") if turn else F.struct("me", "near")).alias("l"))
         pairs = pairs.union(near(led.select("key", "l.near", "l.me.node", "l.me", F.lit(-1).alias("salt"))))
-    return pairs.groupBy(F.col("l.node").alias("x"), F.col("r.node").alias("y"), F.col("l.c").alias("c_x"), F.col("r.c").alias("c_y")).agg(F.count("*").alias("met"))
+    fits = 100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n")
+    return pairs.groupBy(F.col("l.node").alias("x"), F.col("r.node").alias("y"), F.col("l.c").alias("c_x"), F.col("r.c").alias("c_y"), fits.alias("fits")).agg(F.count("*").alias("met"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -270,8 +271,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables
     nodes = materialise(nodes, "nodes")
     total = nodes.count()
     pairs = bucket_pairs(table_rows(nodes).withColumn("component", F.col("node")), 0, percent, bucket_rows, total)
-    candidates = materialise(pairs.select("x", "y", "met"), "candidates")
+    candidates = materialise(pairs.select("x", "y", "met", "fits"), "candidates")
+    # every node that shares a bucket, also where leader and neighbour are too long or too short for it
     met = candidates.select(F.col("x").alias("node")).union(candidates.select("y")).distinct()
+    candidates = candidates.filter("fits").drop("fits")
     chosen = materialise(nodes.join(met, "node", "left_semi"), "chosen")
     sets = materialise(shingle_sets(docs, chosen, shingle), "sets")
     # each node's most frequent partner first: that joins most of what belongs together
@@ -292,7 +295,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables
         named = rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
         crowded = materialise(named.join(mixed, "key", "left_semi").select("key", "node", "n", "near", "component"), "crowded")
-        rows, again = crowded.drop("component"), bucket_pairs(crowded, turn, percent, bucket_rows, total).drop("met")
+        rows, again = crowded.drop("component"), bucket_pairs(crowded, turn, percent, bucket_rows, total).filter("fits").drop("met", "fits")
         again = materialise(again.join(tried, ["x", "y"], "left_anti"), "tried")
     # what the deals have left: the crowded buckets' nodes by an exact join
     rest = materialise(remaining_pairs(crowded.select("node", "component").distinct(), sets, percent), "rest")
