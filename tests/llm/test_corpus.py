@@ -441,3 +441,12 @@ def test_near_duplicates_beside_texts_of_other_lengths(spark):
     for seed in (9, 19, 43):  # all of them are in one bucket
         got = near_dedup.near_duplicates(frame, shingle=2, tables=1, width=1, seed=seed).collect()
         assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_html_without_optional_tags_and_deeply_nested():
+    assert html_text.page_text("<html><head><title>t</title><p>text") == "text"
+    assert html_text.page_text("<head><meta charset=a> <style>b</style> text<title>t</title> more") == "text more"
+    assert html_text.page_text("<p aria-hidden=true>seen</p><p hidden>not") == "seen"
+    deep = html_text.page_text("<ul><li>a<br>b" * 600)
+    assert deep.split() == ["-", "a", "b"] * 600 and len(deep.splitlines()) > 1200
+    assert html_text.page_text("<table><tr><td>" * 600 + "<div>a</div>b<tr><td>x<td>y").split("\n") == ["a", "b", "x  y"]

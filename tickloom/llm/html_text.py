@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -33,6 +33,7 @@ UNSEEN = frozenset("script style head title noscript template iframe noembed nof
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
 ENDS_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption legend".split())
 #: New element -> open elements that it ends, unless one of the fences stands between.
@@ -58,10 +59,10 @@ def parse(page: str) -> Element:
     while at < len(page):
         m = TOKEN.search(page, at)
         if m is None:
-            stack[-1].children.append(html.unescape(page[at:]))
+            _text(stack, page[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(html.unescape(page[at : m.start()]))
+            _text(stack, page[at : m.start()])
         at = m.end()
         tag = m[2].lower() if m[2] else ""
         if not tag:
@@ -85,7 +86,15 @@ def parse(page: str) -> Element:
     return root
 
 
+def _text(stack: list[Element], raw: str) -> None:
+    if stack[-1].tag == "head" and SPACE.sub("", raw):
+        stack.pop()
+    stack[-1].children.append(html.unescape(raw))
+
+
 def _imply(stack: list[Element], tag: str) -> None:
+    if stack[-1].tag == "head" and tag not in HEAD:
+        stack.pop()
     if tag in ENDS_P:
         _close(stack, {"p"}, ("table", "td", "th", "button", "caption"))
     if tag in IMPLIED:
@@ -118,7 +127,7 @@ def _end(stack: list[Element], tag: str) -> None:
 
 def visible(element: Element) -> bool:
     a = element.attributes
-    if element.tag in UNSEEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
+    if element.tag in UNSEEN or "hidden" in a:
         return False
     if element.tag == "input" or element.tag == "dialog" and "open" not in a:
         return False
@@ -170,7 +179,20 @@ class Writer:
         return self.lines
 
 
-def render(element: Element, out: Writer, pre: bool = False) -> None:
+def run(step: Generator):
+    """The result of a step; a step yields the steps that it waits for, so that no nesting is too deep."""
+    steps, value = [step], None
+    while steps:
+        try:
+            steps.append(steps[-1].send(value))
+            value = None
+        except StopIteration as end:
+            steps.pop()
+            value = end.value
+    return value
+
+
+def render(element: Element, out: Writer, pre: bool = False) -> Generator:
     """Write the visible text of the element's children; deep trees are walked with an own stack."""
     work: list = [(c, pre) for c in reversed(element.children)]
     while work:
@@ -191,11 +213,11 @@ def render(element: Element, out: Writer, pre: bool = False) -> None:
             continue
         elif item.tag in ("ul", "ol", "menu", "dir"):
             out.gap()
-            out.put(list_lines(item))
+            out.put((yield list_lines(item)))
             out.gap()
         elif item.tag == "table":
             out.gap()
-            out.put(table_lines(item))
+            out.put((yield table_lines(item)))
             out.gap()
         elif item.tag in BLOCK:
             edge = out.gap if item.tag in SPACED else out.line_end
@@ -209,13 +231,13 @@ def render(element: Element, out: Writer, pre: bool = False) -> None:
             work.extend((c, kept) for c in reversed(item.children))
 
 
-def _inner(element: Element) -> list[str]:
+def _inner(element: Element) -> Generator:
     out = Writer()
-    render(element, out)
+    yield render(element, out)
     return out.done()
 
 
-def list_lines(element: Element) -> list[str]:
+def list_lines(element: Element) -> Generator:
     lines, number = [], 0
     try:
         number = int(element.attributes.get("start", 1)) - 1
@@ -231,11 +253,11 @@ def list_lines(element: Element) -> list[str]:
         if c.tag != "li":
             box = Element("div")
             box.children = [c]
-            lines += _inner(box)
+            lines += yield _inner(box)
             continue
         number += 1
         mark = f"{number}. " if element.tag == "ol" else "- "
-        body = _inner(c)
+        body = yield _inner(c)
         lines += [(mark if i == 0 else " " * len(mark)) + x if x else x for i, x in enumerate(body)]
     return lines
 
@@ -247,7 +269,7 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def table_lines(element: Element) -> list[str]:
+def table_lines(element: Element) -> Generator:
     captions, rows = [], []
     work = list(reversed(element.children))
     while work:
@@ -268,19 +290,19 @@ def table_lines(element: Element) -> list[str]:
                         span = min(1000, max(1, int(d.attributes.get("colspan", 1))))
                     except ValueError:
                         span = 1
-                    row += [_inner(box)] + [[]] * (span - 1)
+                    row += [(yield _inner(box))] + [[]] * (span - 1)
                 elif isinstance(d, str) and d.strip():
                     row.append([SPACE.sub(" ", d).strip()])
             if any(row):
                 rows.append(row)
         elif c.tag in ("td", "th"):
-            rows.append([_inner(c)])
+            rows.append([(yield _inner(c))])
         elif c.tag in ("tbody", "thead", "tfoot", "colgroup"):
             work.extend(reversed(c.children))
         else:
             box = Element("div")
             box.children = [c]
-            captions += _inner(box)
+            captions += yield _inner(box)
     columns = max(map(len, rows), default=0)
     wide = [max((width(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(columns)]
     lines = []
@@ -296,21 +318,8 @@ def page_text(page: str) -> str:
     if not page:
         return ""
     out = Writer()
-    try:
-        render(parse(page), out)
-        return "\n".join(out.done()).strip("\n")
-    except RecursionError:  # lists or tables nested by the hundred: the same text without their layout
-        out = Writer()
-        work: list = [parse(page)]
-        while work:
-            item = work.pop()
-            if isinstance(item, str):
-                out.text(item)
-            elif visible(item):
-                if item.tag in BLOCK:
-                    out.line_end()
-                work.extend(reversed(item.children))
-        return "\n".join(out.done()).strip("\n")
+    run(render(parse(page), out))
+    return "\n".join(out.done()).strip("\n")
 
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
@@ -318,9 +327,9 @@ def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
     names = [c for c in pages.columns if c not in (column, "text")]
     schema = T.StructType([*pages.select(*names).schema.fields, T.StructField("text", T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             text = [page_text(p) for p in texts(batch, column)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(text, pa.string())], schema.names)
 
-    return pages.select(*names, column).mapInArrow(run, schema)
+    return pages.select(*names, column).mapInArrow(texts_of, schema)
