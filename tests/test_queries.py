@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import bars, detectors, joins, labels, scd, windows
+from tickloom.operators import bars, detectors, joins, labels, quality, scd, windows
 from tickloom.plans import registry
 from tickloom.sources import io, normalize
 
@@ -116,3 +116,10 @@ def test_filings_and_skipped_hours(spark):
     times = spark.createDataFrame([("2024-03-10 02:30:00", "1", "1", "1", "1", "x"), ("2024-03-11 10:00:00", "1", "1", "1", "1", "5")], "ts string, o string, h string, l string, c string, v string")
     rows = normalize.normalize_vendor_bars(times).collect()
     assert len(rows) == 1 and rows[0].volume == 5 and rows[0].t == dt.datetime(2024, 3, 11, 14, 0)
+
+
+def test_repeated_events_need_no_window(spark):
+    rows = [("a", 1, 2, 1), ("a", 1, 2, 2), ("a", None, 2, 1), ("a", None, 2, 1), ("a", 3, 4, 3), ("b", 1, 2, 1)]
+    out = quality.repeated_events(spark.createDataFrame(rows, "event_type string, start_ts long, end_ts long, anchor_ts long"))
+    assert sorted(map(tuple, out.collect())) == [("a", 5, 0.4, True), ("b", 1, 0.0, True)]
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
