@@ -47,3 +47,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     folder = scratch_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+class Scratch:
+    """Materialised tables of one operator: each goes as soon as the operator says that it is done with.
+
+    A table that a returned, not yet computed DataFrame reads must stay; the session's folder holds it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        folder = scratch_folder(self.spark, name)
+        df.write.parquet(folder)
+        out = self.spark.read.schema(df.schema).parquet(folder)
+        self.folders[id(out)] = (out, folder)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete these tables' files; what this object has not written is left alone."""
+        for table in tables:
+            if id(table) in self.folders:
+                delete_folder(self.spark, self.folders.pop(id(table))[1])
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder through the file system that its path names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
