@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.session import Scratch
 from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, queries, url_filter
 
 SF = "/root/testdata/sf0.01"
@@ -256,7 +257,33 @@ def test_near_duplicates_of_a_large_group_and_chains(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components({d: shingles(t, 2) for d, t in rows})
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2).collect()} == want
-    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2, bucket_rows=40).collect()} == want
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2, chunk=20).collect()} == want
+
+
+def test_near_duplicates_just_below_and_above_the_threshold(spark):
+    """700 texts of 100 words with 4 replaced at random: many pairs just below 0.8, about a thousand above."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(100)]
+    for changed in (3, 4):
+        rows = []
+        for i in range(700):
+            text = list(base)
+            for at in rng.choice(100, changed, replace=False):
+                text[at] = f"x{rng.integers(0, 10**9)}"
+            rows.append((i, " ".join(text)))
+    want = brute_components({d: shingles(t, 2) for d, t in rows})
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2).collect()}
+    assert sum(got[d] != want[d] for d in want) <= 2  # pairs that share no table of the hundred
+    assert len(set(want.values())) > 100
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    text, other = "a b c d e f g h i j k l", "q w e r t z u i o p"
+    rows = [(1, text), (1, other), (None, text), (None, "x y z"), (7, other + " a"), (7, None), (None, "x y z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(frame, shingle=2).collect())
+    assert got == Counter({(1, 1, True): 2, (None, 1, False): 1, (None, None, True): 2, (7, 1, False): 1, (7, 7, True): 1})
 
 
 def test_components(spark):
@@ -399,18 +426,28 @@ def test_merged_components_equal_components_of_all_links(spark):
     old, new = [(1, 2), (2, 3), (10, 11), (20, 21)], [(3, 11), (30, 31), (11, 30), (40, 41)]
     frame = lambda rows: spark.createDataFrame(rows, "x long, y long")
     at_once = near_dedup.components(frame(old + new)).collect()
-    in_turn = near_dedup.merged_components(near_dedup.components(frame(old)), frame(new)).collect()
+    comps = {r.node: r.component for r in near_dedup.components(frame(old)).collect()}
+    between = spark.createDataFrame([(comps.get(x, x), comps.get(y, y)) for x, y in new], "c_x long, c_y long")
+    in_turn = near_dedup.merged_components(near_dedup.components(frame(old)), between, Scratch(spark)).collect()
     assert sorted(in_turn) == sorted(at_once) and {(r.node, r.component) for r in in_turn} >= {(31, 1), (21, 20), (41, 40)}
 
 
-def test_small_buckets_are_paired_alike_at_every_corpus_size(spark):
-    rows = [(k, 8 * k + i, 50, 100 * k + i, 8 * k + i) for k in range(20) for i in range(8)]
-    frame = spark.createDataFrame(rows + [(99, 1000 + i, 50, i, 1000 + i) for i in range(40)], "key long, node long, n long, near long, component long")
-    small = F.col("x") < 1000
-    for turn in (0, 1):
-        salted, whole = (near_dedup.bucket_pairs(frame, turn, 80, most, 200) for most in (10, 1000))
-        assert sorted(salted.filter(small).collect()) == sorted(whole.filter(small).collect())
-        assert salted.filter(~small).count() >= 39  # the large bucket stays joined through its salts' leaders
+def test_a_turn_pairs_each_node_once_and_the_rest_joins_all(spark):
+    """12 nodes of one bucket: at most one pair a node, of different components; the exact join finds every close pair once."""
+    rows = [(1, i, 10, 1, i % 5) for i in range(12)] + [(2, 50, 10, 1, 50), (2, 51, 100, 1, 51)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, n long, weight long, component long")
+    hold = Scratch(spark)
+    crowded, heads = near_dedup.crowded_buckets(frame.drop("component"), frame.select("node", "component").distinct(), 0, hold)
+    pairs = near_dedup.nearest_heads(crowded, heads, 80).collect()
+    head = heads.filter("bucket = 1").first()
+    assert sorted(p.x for p in pairs) == [i for i in range(12) if i % 5 != head.head_component]
+    assert all(p.c_x != p.c_y and p.y == head.head for p in pairs)
+    sets = {i: set(range(100)) - {i} for i in range(12)} | {50: set(range(500, 600)), 51: set(range(530, 630))}
+    made = spark.createDataFrame([(i, [x * 7919 for x in s]) for i, s in sets.items()], "node long, shingles array<long>")
+    want = {(a, b) for a in range(12) for b in range(a + 1, 12) if a % 5 != b % 5}
+    for chunk in (2, 1000):
+        rest = near_dedup.remaining_pairs(crowded.select("node", "component").distinct(), made, 80, hold, chunk)
+        assert {(min(r.x, r.y), max(r.x, r.y)) for r in near_dedup.confirmed(rest, made, 80).collect()} == want
 
 
 def test_near_duplicates_among_many_texts_just_below_the_threshold(spark):

@@ -6,17 +6,21 @@ Every pair of a half key of the first collection with one of the second is a tab
 similarity s meet in some table with probability (1 - (1 - s**width) ** tables) ** 2: with 10 and 3,
 0.9985 at s = 0.8 and 0.99997 at 0.9.
 
-Texts with equal shingle sets are one node. In a table's bucket every node is paired with the
-bucket's leader and with its neighbour in the order of another table's key, never with all others,
-so that a bucket of n makes below 2 n pairs. Pairs are confirmed on full sets, first each node's most frequent partner, then the pairs
-that still join different components; buckets that still hold several components are dealt anew
-under another order until a round finds no new link. What they hold then goes through an exact join
-by prefixes of the full sets, so that no linked pair that shares a bucket is left in two components.
-Components are found by large-star and small-star steps on DataFrames.
+Texts with equal shingle sets are one node. Buckets with the same nodes are one bucket with a weight.
+First the groups are collapsed: in every turn each bucket draws a head, and a node is checked, on full
+sets, against the head of another component that it shares most tables with; a turn makes at most one
+pair a node. What then still lies in buckets of several components goes through an exact join by
+prefixes of the full sets, so that no linked pair that shares a bucket is left in two components,
+whatever the turns have found. Components come from large-star and small-star steps on DataFrames.
+
+Nothing gathers a bucket, a component or a node's copies in one task: counts and heads are combined
+map-side, and the joins that bring them back have a written table on either side, which adaptive
+execution can split. Tables that are no longer read are deleted.
 
 Defined cases: null and blank texts have no shingles, no links and their own id as component; a text
-of one word has that word as its one shingle; repeated rows fall in one node; a null doc_id takes the
-smallest id of its component; an empty table gives an empty result; extra columns are ignored.
+of fewer words than a shingle has the whole sequence as its one shingle; repeated rows fall in one
+node; a null doc_id takes the smallest id of its component (null if all are null); equal ids with
+different texts are different rows; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tickloom.llm.arrow import slices, texts
-from tickloom.session import materialise
+from tickloom.session import Scratch
 
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 MEMO = 200_000  # words whose hash a task remembers
@@ -82,73 +86,83 @@ def half_keys(shingles: np.ndarray, factors: np.ndarray, width: int) -> np.ndarr
 
 
 def sketch(docs: DataFrame, shingle: int, tables: int, width: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node (identity of the set), first and second half keys."""
+    """doc_id, text_key, n_shingles, lo and hi (identity of the set), first and second half keys."""
     long = T.ArrayType(T.LongType())
     schema = T.StructType([
-        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node_hi", T.LongType()),
-        T.StructField("node", T.LongType()), T.StructField("first", long), T.StructField("second", long),
+        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()),
+        T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()), T.StructField("first", long), T.StructField("second", long),
     ])
     factors = np.random.default_rng(seed).integers(0, 1 << 31, 2 * tables * width, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles_of = Shingler(shingle)
         for batch in slices(batches):
-            n, hi, lo, first, second = [], [], [], [], []
-            for text in texts(batch):
-                s = shingles_of(text)
-                n.append(len(s))
-                hi.append(int(_mixed(s ^ M2).sum(dtype=np.uint64).view(np.int64)))
-                lo.append(int(_mixed(s ^ M3).sum(dtype=np.uint64).view(np.int64)))
-                keys = half_keys(s, factors, width).view(np.int64) if len(s) else np.empty(0, np.int64)
-                first.append(keys[:tables])
-                second.append(keys[tables:])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(second, pa.list_(pa.int64()))],
-                schema.names,
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+            sets = [shingles_of(text) for text in texts(batch)]
+            keys = [half_keys(s, factors, width).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
+            lo, hi = zip(*map(identity, sets))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()),
+                pa.array([k[:tables] for k in keys], pa.list_(pa.int64())), pa.array([k[tables:] for k in keys], pa.list_(pa.int64())),
+            ], schema.names)
+
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
+
+
+def identity(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for the set."""
+    return int(_mixed(shingles ^ M3).sum(dtype=np.uint64).view(np.int64)), int(_mixed(shingles ^ M2).sum(dtype=np.uint64).view(np.int64))
+
+
+def distinct_sets(sketches: DataFrame) -> DataFrame:
+    """node, lo, hi, rep (least doc_id), at (one document with the set), n, first, second.
+
+    node is lo, but for sets that share it with another one: these are numbered by hi.
+    """
+    sets = sketches.filter("n_shingles > 0").groupBy("lo", "hi").agg(
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "text_key")).alias("at"), F.first("n_shingles").alias("n"), F.first("first").alias("first"), F.first("second").alias("second")
+    )
+    nth = F.row_number().over(Window.partitionBy("lo").orderBy("hi"))
+    return sets.withColumn("nth", nth).withColumn("node", F.when(F.col("nth") == 1, F.col("lo")).otherwise(F.xxhash64("lo", "hi", "nth"))).drop("nth")
 
 
 def table_rows(nodes: DataFrame) -> DataFrame:
-    """node, n, key, near: every pair of a first with a second half key is a table's key, the next pair is near."""
-    half = nodes.select("node", "n", F.posexplode("first").alias("i", "a"), "first", "second")
-    half = half.select("node", "n", "i", "a", F.expr("first[(i + 1) % size(first)]").alias("a2"), "second")
-    full = half.select("node", "n", "i", "a", "a2", F.posexplode("second").alias("j", "b"), "second")
-    return full.select("node", "n", F.xxhash64("i", "j", "a", "b").alias("key"), F.xxhash64("a2", F.expr("second[(j + 1) % size(second)]")).alias("near"))
-
-
-def bucket_pairs(rows: DataFrame, turn: int, percent: int, bucket_rows: int, total: int) -> DataFrame:
-    """rows (key, node, n, near, component) -> x, y, c_x, c_y, met, fits: pairs of different components with the number of tables that pair them.
-
-    Nodes are paired with the bucket's leader and with their neighbour; fits says whether their sizes
-    allow the similarity. Neighbours agree in another table's key too where any do. In turn 0 the least node
-    leads, so that links form stars; later turns draw the order and so the leader anew. A bucket of
-    more than bucket_rows nodes is dealt in salts first, by node, key and turn, and the salts' leaders
-    are paired in the same way; so no task sorts more than about that for one bucket, and smaller
-    buckets are paired alike however many nodes there are in total.
+    """node, n, key: every pair of a first with a second half key is a table's key."""
+    half = nodes.select("node", "n", F.posexplode("first").alias("i", "a"), "second")
+    return half.select("node", "n", "i", "a", F.posexplode("second").alias("j", "b")).select("node", "n", F.xxhash64("i", "j", "a", "b").alias("key"))
+
+
+def shared_buckets(nodes: DataFrame, hold: Scratch) -> DataFrame:
+    """bucket, node, n, weight: the buckets of two nodes or more; weight counts the tables in which the same nodes meet.
+
+    Only keys and their counts go through the first exchange, and only rows of shared keys beyond the second.
     """
-    me, salt = F.struct("node", "n", F.col("component").alias("c")), F.lit(0)
-    order = [F.xxhash64("near", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.col("node")]
-    if total > bucket_rows:  # else no bucket can be larger; at most (rows / bucket_rows) keys are
-        large = rows.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > bucket_rows)
-        rows = rows.join(F.broadcast(large.select("key", F.ceil(F.col("held") / bucket_rows).alias("salts"))), "key", "left")
-        salt = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.coalesce("salts", F.lit(1)))
-    rows = rows.select("key", "near", "node", me.alias("me"), salt.alias("salt"))
-
-    def near(rows: DataFrame) -> DataFrame:
-        bucket = Window.partitionBy("key", "salt")
-        leader = F.first("me").over(bucket.orderBy(*order)) if turn else F.min("me").over(bucket)
-        seen = rows.select("me", leader.alias("leader"), F.lag("me").over(bucket.orderBy(*order)).alias("before"))
-        seen = seen.select("me", F.explode(F.array("leader", "before")).alias("other")).filter("me.c <> other.c")
-        return seen.select(F.least("me", "other").alias("l"), F.greatest("me", "other").alias("r"))
-
-    pairs = near(rows)
-    if total > bucket_rows:
-        led = rows.join(F.broadcast(large.select("key")), "key", "left_semi").groupBy("key", "salt").agg(F.min(F.struct(*order[:2], "me", "near") if turn else F.struct("me", "near")).alias("l"))
-        pairs = pairs.union(near(led.select("key", "l.near", "l.me.node", "l.me", F.lit(-1).alias("salt"))))
-    fits = 100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n")
-    return pairs.groupBy(F.col("l.node").alias("x"), F.col("r.node").alias("y"), F.col("l.c").alias("c_x"), F.col("r.c").alias("c_y"), fits.alias("fits")).agg(F.count("*").alias("met"))
+    rows = table_rows(nodes)
+    keys = hold.write(rows.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key"), "keys")
+    met = hold.write(rows.join(keys, "key", "left_semi"), "met")
+    print_of = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))))
+    marks = hold.write(met.groupBy("key").agg(print_of.alias("bucket")), "marks")
+    out = hold.write(met.join(marks, "key").groupBy("bucket", "node", "n").agg(F.count("*").alias("weight")), "buckets")
+    hold.drop(keys, met, marks)
+    return out
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """node, shingles of the wanted nodes (node, lo, hi, at), made from the whole texts of one document each."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles_of = Shingler(shingle)
+        for batch in slices(batches):
+            sets, node = [shingles_of(t) for t in texts(batch)], batch.column("node").to_pylist()
+            same = [identity(s) == i for s, i in zip(sets, zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist()))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x for x, ok in zip(node, same) if ok], pa.int64()), pa.array([s.view(np.int64) for s, ok in zip(sets, same) if ok], pa.list_(pa.int64())),
+            ], schema.names)
+
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    asked = wanted.select("node", "lo", "hi", F.col("at.doc_id").alias("of"), F.col("at.text_key").alias("text_key"))
+    found = own.join(asked, (own["text_key"] == asked["text_key"]) & own["doc_id"].eqNullSafe(asked["of"])).select("node", "lo", "hi", "text")
+    return found.mapInArrow(run, schema).dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -159,28 +173,34 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "x").join(b, "y").filter(100 * both >= percent * (F.size("sx") + F.size("sy") - both)).select(pairs.columns)
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node, shingles of the documents that represent the wanted nodes (node, rep)."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+def crowded_buckets(buckets: DataFrame, comps: DataFrame | None, turn: int, hold: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows of the buckets that hold several components, with these, and the head that each such bucket draws in this turn."""
+    named = buckets.select("bucket", "node", "n", "weight")
+    named = named.withColumn("component", F.col("node")) if comps is None else named.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = hold.write(named, "named")
+    drawn = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n"), F.col("component"))
+    heads = named.groupBy("bucket").agg(F.min(drawn).alias("h"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    heads = hold.write(heads.select("bucket", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"), F.col("h.component").alias("head_component")), "heads")
+    rows = hold.write(named.join(heads.select("bucket"), "bucket", "left_semi"), "crowded")
+    hold.drop(named)
+    return rows, heads
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles_of = Shingler(shingle)
-        for batch in slices(batches):
-            sets = [shingles_of(t) for t in texts(batch)]
-            node = [int(_mixed(s ^ M3).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema.names)
 
-    chosen = docs.select("doc_id", "text").join(wanted.select("rep"), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    return chosen.mapInArrow(run, schema).dropDuplicates(["node"])
+def nearest_heads(crowded: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """x, y, c_x, c_y: each node with the head of another component that it shares most tables with and whose size allows the similarity."""
+    fits = f"component <> head_component and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)"
+    met = crowded.join(heads, "bucket").filter(fits).groupBy("node", "component", "head", "head_component").agg(F.sum("weight").alias("met"))
+    best = met.groupBy("node").agg(F.max(F.struct("met", "head", "component", "head_component")).alias("p"))
+    return best.select(F.col("node").alias("x"), F.col("p.head").alias("y"), F.col("p.component").alias("c_x"), F.col("p.head_component").alias("c_y"))
 
 
-def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, slots: int = 1 << 20, chunk: int = 1000) -> DataFrame:
-    """members (node, component) with sets -> x, y, c_x, c_y: of different components, all pairs that can reach percent among them.
+def prefix_rows(members: DataFrame, sets: DataFrame, percent: int, slots: int) -> DataFrame:
+    """members (node, component) -> node, n, component, s, at, short: the rarest shingles of each set, in order.
 
     Shingles are ordered by how often they occur, counted in a fixed number of slots. Sets of a and b
     shingles, a <= b, that reach the similarity have o = ceil(percent (a + b) / (100 + percent)) in
-    common, so their first a - o + 1 and b - o + 1 share one. Members of a shingle and component are
-    dealt in chunks; only chunks of different components are joined.
+    common, so their first a - o + 1 and b - o + 1 share one; short marks the prefix that the smaller
+    set of a pair needs.
     """
     named = sets.join(members, "node")
     slot = F.pmod(F.col("s"), F.lit(slots)).cast("int")
@@ -188,7 +208,6 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, slots: in
     counts = named.select(F.explode("shingles").alias("s")).groupBy(slot.alias("slot")).count().toArrow()
     often[counts["slot"].to_numpy()] = counts["count"].to_numpy()
     shared = members.sparkSession.sparkContext.broadcast(often)
-    sized = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("parts"))
     schema = "node long, n long, component long, s long, at long, short boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,18 +223,34 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, slots: in
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["node", "n", "component", "s", "at", "short"])
 
-    rows = materialise(named.select("node", "component", "shingles").mapInArrow(run, schema), "prefixes")
-    mixed = rows.groupBy("s").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("s")
-    rows = rows.join(mixed, "s", "left_semi").join(sized, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    held = [rows.filter("short") if short else rows for short in (True, False)]
-    a, b = (h.groupBy("s", F.col("component").alias(f"c_{e}"), "part").agg(F.collect_list(F.struct("n", "node", "at")).alias(e)).drop("part") for h, e in zip(held, "ab"))
+    return named.select("node", "component", "shingles").mapInArrow(run, schema)
+
+
+def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, hold: Scratch, chunk: int, slots: int = 1 << 20) -> DataFrame:
+    """members (node, component) with sets -> x, y, c_x, c_y: of different components, all pairs that can reach percent among them.
+
+    Nodes that share a prefix shingle are dealt in chunks of about `chunk`: a component with more
+    nodes than that has chunks of its own, the others share chunks; chunks of one component are not joined.
+    """
+    rows = hold.write(prefix_rows(members, sets, percent, slots), "prefixes")
+    per = rows.groupBy("s", "component").agg(F.count("*").alias("held"))
+    large = F.col("held") > chunk
+    of = per.groupBy("s").agg(F.count("*").alias("components"), F.sum(F.when(large, 0).otherwise(F.col("held"))).alias("small")).filter("components > 1")
+    of = hold.write(of.select("s", "small"), "shared")
+    per = hold.write(per.join(of, "s").select("s", "component", large.alias("large"), F.ceil(F.when(large, F.col("held")).otherwise(F.col("small")) / chunk).alias("parts")), "parts")
+    dealt = rows.join(per, ["s", "component"]).select(
+        "s", F.when(F.col("large"), F.col("component")).alias("own"), F.pmod(F.xxhash64("node"), "parts").alias("part"), F.struct("n", "node", "at", "component").alias("e"), "short"
+    )
+    dealt = hold.write(dealt, "dealt")
+    a = dealt.filter("short").groupBy("s", "own", "part").agg(F.collect_list("e").alias("a")).select("s", F.col("own").alias("own_a"), "a")
+    b = dealt.groupBy("s", "own", "part").agg(F.collect_list("e").alias("b")).select("s", F.col("own").alias("own_b"), "b")
     need = f"({percent} * (p.n + q.n) + {99 + percent}) div {100 + percent}"
-    fits = f"struct(p.n, p.node) < struct(q.n, q.node) and 100 * p.n >= {percent} * q.n and p.at <= p.n - {need} and q.at <= q.n - {need}"
-    found = F.expr(f"flatten(transform(a, p -> transform(filter(b, q -> {fits}), q -> struct(p.node as p, q.node as q))))")
-    pairs = a.join(b, "s").filter("c_a <> c_b").select("c_a", "c_b", F.explode(found).alias("f"))
-    turned = F.col("f.p") > F.col("f.q")
-    x, y, c_x, c_y = F.least("f.p", "f.q"), F.greatest("f.p", "f.q"), F.when(turned, F.col("c_b")).otherwise(F.col("c_a")), F.when(turned, F.col("c_a")).otherwise(F.col("c_b"))
-    return pairs.select(x.alias("x"), y.alias("y"), c_x.alias("c_x"), c_y.alias("c_y")).distinct()
+    fits = f"p.component <> q.component and struct(p.n, p.node) < struct(q.n, q.node) and 100 * p.n >= {percent} * q.n and p.at <= p.n - {need} and q.at <= q.n - {need}"
+    found = F.expr(f"flatten(transform(a, p -> transform(filter(b, q -> {fits}), q -> struct(p.node as x, q.node as y, p.component as c_x, q.component as c_y))))")
+    pairs = a.join(b, "s").filter("own_a is null or own_b is null or own_a <> own_b").select(F.explode(found).alias("f")).select("f.*").distinct()
+    out = hold.write(pairs, "rest")
+    hold.drop(rows, of, per, dealt)
+    return out
 
 
 def _unsettled(edges: DataFrame) -> bool:
@@ -225,84 +260,76 @@ def _unsettled(edges: DataFrame) -> bool:
     return not ends.filter("out > 1 or (out = 1 and met = 1)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, hold: Scratch | None = None) -> DataFrame:
     """links (x, y) -> node, component (its least node), for nodes with links but the least ones.
 
-    Large-star and small-star in turn; each round is a written table, until all edges form stars.
+    Large-star and small-star in turn; each step is a written table, until all edges form stars.
     """
-    edges = materialise(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).filter("u <> v").distinct(), "edges")
+    hold = hold or Scratch(links.sparkSession)
+    edges = hold.write(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).filter("u <> v").distinct(), "edges")
     while _unsettled(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = hold.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = hold.write(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        hold.drop(least, edges)
+        least = hold.write(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = materialise(small.distinct(), "edges")
+        edges = hold.write(small.distinct(), "edges")
+        hold.drop(least, large)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def merged_components(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """comps after more links (x, y): only the components that they join are gone through again.
-
-    Links that say their ends' components (c_x, c_y) are not looked up.
-    """
-    between = links if "c_x" in links.columns else _across(links, comps)
-    up = components(between.select(F.col("c_x").alias("x"), F.col("c_y").alias("y")))
+def merged_components(comps: DataFrame | None, links: DataFrame, hold: Scratch) -> DataFrame:
+    """comps after more links between components (c_x, c_y): only the components that they join are gone through again."""
+    up = components(links.select(F.col("c_x").alias("x"), F.col("c_y").alias("y")), hold)
+    if comps is None:
+        return hold.write(up, "components")
     moved = comps.join(up.toDF("component", "root"), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-    return materialise(moved.union(up), "components")
+    out = hold.write(moved.union(up), "components")
+    hold.drop(comps)
+    return out
 
 
-def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose ends lie in different components, with these."""
-    for e in ("x", "y"):
-        pairs = pairs.join(comps.select(F.col("node").alias(e), F.col("component").alias(f"c_{e}")), e, "left").withColumn(f"c_{e}", F.coalesce(f"c_{e}", e))
-    return pairs.filter("c_x <> c_y").select("x", "y", "c_x", "c_y")
+def linked(buckets: DataFrame, sets: DataFrame, percent: int, chunk: int, hold: Scratch) -> DataFrame | None:
+    """node, component of the nodes that share a bucket and have links, but for the least of each component; None without any."""
+    comps, turn = None, 0
+    while True:
+        crowded, heads = crowded_buckets(buckets, comps, turn, hold)
+        links = hold.write(confirmed(nearest_heads(crowded, heads, percent), sets, percent), "links")
+        new, left = links.count(), heads.count()
+        if new:
+            comps = merged_components(comps, links, hold)
+        hold.drop(buckets, heads, links)
+        buckets, turn = crowded, turn + 1
+        if 20 * new <= left:  # few links for the buckets left: the exact join is the shorter way
+            break
+    crowded, heads = crowded_buckets(buckets, comps, turn, hold)
+    rest = remaining_pairs(crowded.select("node", "component").distinct(), sets, percent, hold, chunk)
+    links = hold.write(confirmed(rest, sets, percent), "links")
+    if not links.isEmpty():
+        comps = merged_components(comps, links, hold)
+    hold.drop(buckets, crowded, heads, rest, links)
+    return comps
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables: int = 10, width: int = 3, seed: int = 1, bucket_rows: int = 1_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables: int = 10, width: int = 3, seed: int = 1, chunk: int = 1000) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_shingles, component_id, kept, one row per document.
 
-    Two different sets share a node with probability 2**-64 a pair.
+    chunk bounds the lists that the exact join compares; it has no influence on the result.
     """
-    sketches = materialise(sketch(docs, shingle, tables, width, seed), "sketches")
-    nodes = sketches.filter("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("first").alias("first"), F.first("second").alias("second")
-    )
-    nodes = materialise(nodes, "nodes")
-    total = nodes.count()
-    pairs = bucket_pairs(table_rows(nodes).withColumn("component", F.col("node")), 0, percent, bucket_rows, total)
-    candidates = materialise(pairs.select("x", "y", "met", "fits"), "candidates")
-    # every node that shares a bucket, also where leader and neighbour are too long or too short for it
-    met = candidates.select(F.col("x").alias("node")).union(candidates.select("y")).distinct()
-    candidates = candidates.filter("fits").drop("fits")
-    chosen = materialise(nodes.join(met, "node", "left_semi"), "chosen")
-    sets = materialise(shingle_sets(docs, chosen, shingle), "sets")
-    # each node's most frequent partner first: that joins most of what belongs together
-    ends = candidates.union(candidates.select("y", "x", "met"))
-    first = ends.groupBy("x").agg(F.min(F.struct(-F.col("met"), "y")).alias("p")).select(F.least("x", "p.y").alias("x"), F.greatest("x", "p.y").alias("y")).distinct()
-    tried = materialise(first, "tried")
-    comps = components(materialise(confirmed(tried, sets, percent), "links"))
-    # then the pairs that still join different components, and so on until a deal of the crowded buckets links nothing
-    again, rows, turn = materialise(_across(candidates.join(tried, ["x", "y"], "left_anti"), comps), "tried"), table_rows(chosen), 0
-    while True:
-        new = materialise(confirmed(again, sets, percent), "links")
-        if not new.isEmpty():
-            comps = merged_components(comps, new)
-        elif turn:
-            break
-        turn, tried = turn + 1, tried.union(again.select("x", "y"))
-        # buckets that still hold several components, under another order
-        named = rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
-        crowded = materialise(named.join(mixed, "key", "left_semi").select("key", "node", "n", "near", "component"), "crowded")
-        rows, again = crowded.drop("component"), bucket_pairs(crowded, turn, percent, bucket_rows, total).filter("fits").drop("met", "fits")
-        again = materialise(again.join(tried, ["x", "y"], "left_anti"), "tried")
-    # what the deals have left: the crowded buckets' nodes by an exact join
-    rest = materialise(remaining_pairs(crowded.select("node", "component").distinct(), sets, percent), "rest")
-    comps = merged_components(comps, materialise(confirmed(rest, sets, percent), "links"))
-    named = nodes.select("node", "rep").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    ids = named.join(least, "component").select("node", "component_id")
-    out = sketches.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(ids, "node", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    hold = Scratch(docs.sparkSession)
+    sketches = hold.write(sketch(docs, shingle, tables, width, seed), "sketches")
+    nodes = hold.write(distinct_sets(sketches), "nodes")
+    buckets = shared_buckets(nodes, hold)
+    sets = hold.write(shingle_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi"), shingle), "sets")
+    comps = linked(buckets, sets, percent, chunk, hold)
+    ids = nodes.select("node", "lo", "hi", "rep")
+    if comps is not None:
+        own = comps.union(comps.select("component", "component").distinct())
+        least = hold.write(own.join(nodes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id")), "least")
+        ids = ids.join(own.join(least, "component").drop("component"), "node", "left").withColumn("rep", F.coalesce("component_id", "rep"))
+    ids = hold.write(ids.select("lo", "hi", F.col("rep").alias("component_id")), "ids")
+    hold.drop(nodes, sets, comps)
+    with_words = sketches.filter("n_shingles > 0").join(ids, ["lo", "hi"]).select("doc_id", "n_shingles", "component_id")
+    out = with_words.union(sketches.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
