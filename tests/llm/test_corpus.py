@@ -132,38 +132,97 @@ def test_mixing_targets_and_quotas(spark, docs, texts):
     for name, target in zip(names, targets, strict=True):
         got = {r.target for r in rows if source[r.doc_id] == name}
         assert len(got) == 1 and abs(got.pop() - target) < 1e-3
-        assert abs(taken[name] - target) <= 2 * 64
+        assert abs(taken[name] - target) <= 2 * 256
     again = {r.doc_id: r.taken for r in mixing.mix_plan(docs.repartition(13)).select("doc_id", "taken").collect()}
     assert again == {r.doc_id: r.taken for r in rows}
 
 
-def test_mixing_draws_are_disjoint_and_split_exactly(docs):
-    rows = mixing.mix_plan(docs, shards=8).select("source", F.explode("draws").alias("d")).select("source", "d.slot", "d.shard").distinct().collect()
-    by_slot = defaultdict(set)
-    for r in rows:
-        by_slot[(r.source, r.slot)].add(r.shard)
-    assert all(len(s) == 1 for s in by_slot.values())
+def brute_mix(docs, plans, block_words):
+    """Words per (doc_id, pass, shard) from the plans' quotas and permutations, word by word."""
+    owner = {}
+    for p in plans:
+        for turn in range(2):
+            slots = turn * p.blocks + mixing.permuted(np.arange(p.blocks), p.blocks, p.key + turn) if p.blocks else []
+            owner[p.source, turn] = [int(np.searchsorted(p.edges, s, "right")) - 1 if s < p.quota else None for s in slots]
+    out = Counter()
+    for doc_id, source, at, size in docs:
+        for word in range(at, at + size):
+            for turn in range(2):
+                shard = owner[source, turn][word // block_words]
+                if shard is not None:
+                    out[doc_id, turn, shard] += 1
+    return out
+
+
+def placed(docs, **options):
+    rows, plans, shards = mixing._placed(docs, F.struct("doc_id"), **(mixing.OPTIONS | options))
+    return [(r.row.doc_id, r.source, r["at"], r["size"]) for r in rows.collect()], list(plans.values()), shards
+
+
+def test_mixing_parts_against_brute_force(docs):
+    rows, plans, shards = placed(docs, shards=8, block_words=64)
+    want = brute_mix(rows, plans, 64)
+    plan = mixing.mix_plan(docs, shards=8, block_words=64).collect()
+    assert shards == 8 and {(r.doc_id, p["pass"], p.shard): p.words for r in plan for p in r.parts} == dict(want)
+    assert all(r.taken == sum(p.words for p in r.parts) for r in plan)
+    for p in plans:  # the words of a source lie one after the other without a gap
+        spans = sorted((at, size) for _, source, at, size in rows if source == p.source and size)
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) == p.size
+        held = Counter()
+        for r in plan:
+            for x in r.parts:
+                held[x.shard] += x.words * (r.source == p.source)
+        quotas = np.diff(p.edges)  # each shard holds exactly its quota of blocks; a source's last block may be short
+        assert all(0 <= q * 64 - held[k] < 2 * 64 for k, q in enumerate(quotas.tolist())) and sum(quotas) == p.quota
+
+
+def test_mixing_follows_the_tree(docs, monkeypatch):
+    right = {r.doc_id: sorted(map(tuple, r.parts)) for r in mixing.mix_plan(docs).collect()}
+    assert len({p[0] for parts in right.values() for p in parts}) > 32
+    monkeypatch.setattr(mixing, "splitting_tree", lambda quotas, depth, seed: np.vstack([np.asarray(quotas)] + [np.zeros(len(quotas), np.int64)] * (2**depth - 1)))
+    wrong = {r.doc_id: sorted(map(tuple, r.parts)) for r in mixing.mix_plan(docs).collect()}
+    assert wrong != right and {p[0] for parts in wrong.values() for p in parts} == {0}
+
+
+def test_splitting_tree_and_large_draws():
     tree = mixing.splitting_tree([1000, 1, 0, 77], 4, 1)
-    assert tree.sum(0).tolist() == [1000, 1, 0, 77] and tree.shape == (16, 4) and (tree >= 0).all()
+    assert tree.sum(0).tolist() == [1000, 1, 0, 77] and tree.shape == (16, 4) and (tree >= 0).all() and np.ptp(tree.sum(1)) <= 1
+    large = mixing.splitting_tree([6 * 10**12, 5, 10**9], 3, 1)
+    assert large.sum(0).tolist() == [6 * 10**12, 5, 10**9] and (large >= 0).all() and np.ptp(large.sum(1)) <= 1
     assert sorted(mixing.permuted(np.arange(1000), 1000, 5).tolist()) == list(range(1000))
+    # the quantile of the law, against exact binomial coefficients
+    from math import comb
+
+    good, bad, draws = 40, 70, 33
+    cdf = np.cumsum([comb(good, k) * comb(bad, draws - k) / comb(good + bad, draws) for k in range(draws + 1)])
+    for u in np.linspace(0.001, 0.999, 97):
+        assert mixing._by_inversion(u, good, bad, draws) == int(np.searchsorted(cdf, u, "right"))
+    assert mixing._by_inversion(0.5, 10, 0, 4) == 4 and mixing._by_inversion(0.5, 0, 10, 4) == 0
 
 
 def test_mix_text_holds_the_taken_words(spark, docs):
-    plan = {r.doc_id: r.taken for r in mixing.mix_plan(docs).select("doc_id", "taken").collect()}
-    words = Counter()
+    plan = {r.doc_id: r.parts for r in mixing.mix_plan(docs).collect()}
     whole = {r.doc_id: r.text for r in docs.collect()}
-    for r in mixing.mix(docs).collect():
-        words[r.doc_id] += len(WORD.findall(r.text))
+    rows = mixing.mix(docs).collect()
+    assert {(r.doc_id, r.mix_pass, r.mix_shard): len(WORD.findall(r.text)) for r in rows} == {(d, p["pass"], p.shard): p.words for d, parts in plan.items() for p in parts}
+    assert len(rows) == sum(map(len, plan.values()))
+    for r in rows:
         assert r.n_chars == len(r.text)
         assert r.text in whole[r.doc_id] or "\n" in r.text
-    assert {d: n for d, n in plan.items() if n} == dict(words)
 
 
-def test_mixing_edges(odd, none):
+def test_mixing_edges(spark, odd, none):
     rows = mixing.mix_plan(odd).collect()
     assert len(rows) == len(ODD)
     assert sum(r.taken for r in mixing.mix_plan(odd).collect()) == sum(len(WORD.findall(r.text)) for r in mixing.mix(odd).collect())
-    assert mixing.mix_plan(none).count() == 0 and mixing.mix(none).count() == 0
+    empty = mixing.mix_plan(none)
+    assert empty.count() == 0 and empty.columns == mixing.mix_plan(odd).columns and mixing.mix(none).count() == 0
+    named = odd.selectExpr("*", "5 as nth", "1 as row", "2 as mix_pass", "3 as `Mix_Shard`", "4 as at", "'q' as of", "7 as bucket", "8 as place", "array(1) as parts", "9 as `a.b`")
+    mixed = mixing.mix(named)
+    assert mixed.columns == [*named.columns, "mix_pass_", "mix_shard_"]
+    got = mixed.collect()
+    assert got and all((r.nth, r.row, r.mix_pass, r["Mix_Shard"], r["a.b"]) == (5, 1, 2, 3, 9) for r in got)
+    assert mixing.mix_plan(named).count() == len(ODD)
 
 
 def test_url_edges(spark):

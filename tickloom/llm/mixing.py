@@ -6,12 +6,18 @@ blocks means a second pass. A binary tree deals the quotas to output shards: at
 vector of quotas is split by one multivariate-hypergeometric draw, until each leaf (shard) has its
 own. Within a source and pass the blocks stand in a keyed permutation, and each shard owns a run of
 it, so that the shards' draws are disjoint. What a shard gets is shuffled within the shard only.
+A document's words go to the shards whose blocks hold them: the plan and the mix have an entry for
+each document, pass and shard, so that a shard holds exactly its own quotas.
 
-The driver holds the weights' table alone: one row per source, as the weights are set by source.
+The driver holds the weights' table alone: one row per source, as the weights are set by source, with
+its shards' edges (8 bytes each, at most `most_shards`). A shard has about `shard_words` words, at
+least 64 shards are made. A source's word order is by hash buckets of about `bucket_rows` rows, at
+most 2**20 of them, so that neither a source nor a group of copies is ever one task; only rows equal
+in doc_id, text and source meet in one bucket.
 
 Defined cases: a null source is a source of its own, last in order; a null or blank text has size 0
-and nothing is taken; repeated rows take part one by one; an empty table gives an empty mix; extra
-columns are ignored by the plan and kept by the mix.
+and nothing is taken; repeated rows and ids take part one by one; an empty table gives an empty mix;
+extra columns are ignored by the plan and kept by the mix, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +26,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -51,26 +56,38 @@ def splitting_tree(quotas: list[int], depth: int, seed: int) -> np.ndarray:
     """quotas per source -> array (2**depth shards, sources); every column adds up to its quota."""
     level = np.asarray(quotas, np.int64).reshape(1, -1)
     for d in range(depth):
-        below = np.zeros((2 * len(level), level.shape[1]), np.int64)
-        for node, have in enumerate(level):
-            rng = np.random.default_rng((seed, d, node))
-            to_left, rest, left = int(have.sum()) // 2, int(have.sum()), np.zeros_like(have)
-            for i, n in enumerate(have):  # conditional draws of the multivariate law, source by source
-                k = _hypergeometric(rng, int(n), rest - int(n), to_left)
-                left[i], rest, to_left = k, rest - int(n), to_left - k
-            below[2 * node], below[2 * node + 1] = left, have - left
-        level = below
+        rng = np.random.default_rng((seed, d))
+        left, rest = np.zeros_like(level), level.sum(1)
+        to_left = rest // 2
+        for i in range(level.shape[1]):  # conditional draws of the multivariate law, source by source
+            rest = rest - level[:, i]
+            left[:, i] = hypergeometric(rng, level[:, i], rest, to_left)
+            to_left = to_left - left[:, i]
+        level = np.stack([left, level - left], 1).reshape(2 * len(level), -1)
     return level
 
 
-def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
-    if not good or not draws:
-        return 0
-    if good + bad < 1_000_000_000:  # numpy's own bound
-        return int(rng.hypergeometric(good, bad, draws))
-    n = good + bad
-    var = draws * (good / n) * (bad / n) * (n - draws) / max(1, n - 1)
-    return int(np.clip(round(rng.normal(draws * good / n, var**0.5)), max(0, draws - bad), min(good, draws)))
+def hypergeometric(rng, good: np.ndarray, bad: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """Draws of the hypergeometric law for counts of any size: beyond numpy's bound of 10**9 by inversion."""
+    small = good + bad < 1_000_000_000
+    out = np.zeros(len(good), np.int64)
+    out[small] = rng.hypergeometric(good[small], bad[small], draws[small])
+    for i in np.flatnonzero(~small):
+        out[i] = _by_inversion(rng.random(), int(good[i]), int(bad[i]), int(draws[i]))
+    return out
+
+
+def _by_inversion(u: float, good: int, bad: int, draws: int) -> int:
+    """The law's quantile at u, from ratios of neighbouring probabilities over 12 standard deviations on either side of the mode."""
+    n, low, high = good + bad, max(0, draws - bad), min(good, draws)
+    mode = (draws + 1) * (good + 1) // (n + 2)
+    reach = 2 + int(12 * (draws * (good / n) * (bad / n) * ((n - draws) / max(1, n - 1))) ** 0.5)
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log(good - k) + np.log(draws - k) - np.log(k + 1) - np.log(bad - draws + k + 1)
+    logs = np.concatenate(([0.0], np.cumsum(steps)))
+    cdf = np.cumsum(np.exp(logs - logs.max()))
+    return low + min(int(np.searchsorted(cdf, u * cdf[-1], "right")), high - low)
 
 
 def _mix64(x: np.ndarray, key: int) -> np.ndarray:
@@ -120,82 +137,111 @@ def plan_sources(sizes: list[tuple[str | None, int]], block_words: int, depth: i
     ]
 
 
-DRAW = T.StructType([T.StructField(n, T.LongType()) for n in ("shard", "slot", "pass", "first_word", "end_word")])
+@dataclass(frozen=True)
+class Draws:
+    """Block draws of some rows, ordered by row, pass, shard and word; one entry per piece of a block within a row."""
+
+    row: np.ndarray
+    turn: np.ndarray
+    shard: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def parts(self) -> np.ndarray:
+        """Where a new row, pass or shard begins."""
+        if not len(self.row):
+            return np.empty(0, np.int64)
+        new = (np.diff(self.row) != 0) | (np.diff(self.turn) != 0) | (np.diff(self.shard) != 0)
+        return np.concatenate(([0], np.flatnonzero(new) + 1))
+
+
+def draw_rows(plans: dict[str | None, SourcePlan], sources: list, at: np.ndarray, size: np.ndarray, block_words: int) -> Draws:
+    """The draws that fall on rows with these sources, first words in the source's order, and sizes."""
+    found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 5]
+    where: dict = {}
+    for i, source in enumerate(sources):
+        where.setdefault(source, []).append(i)
+    for source, index in where.items():
+        plan, index = plans[source], np.asarray(index)
+        start, words = at[index], size[index]
+        first = start // block_words
+        reach = np.where(words > 0, (start + words - 1) // block_words - first + 1, 0)
+        row = np.repeat(np.arange(len(index)), reach)
+        block = np.repeat(first, reach) + (np.arange(len(row)) - np.repeat(np.cumsum(reach) - reach, reach))
+        low = np.maximum(block * block_words - start[row], 0)
+        high = np.minimum((block + 1) * block_words - start[row], words[row])
+        for p in range(-(-plan.quota // plan.blocks) if plan.blocks else 0):
+            slot = p * plan.blocks + permuted(block, plan.blocks, plan.key + p)
+            ok = slot < plan.quota
+            shard = np.searchsorted(plan.edges, slot[ok], "right") - 1
+            found.append([index[row[ok]], np.full(len(shard), p), shard, low[ok], high[ok]])
+    row, turn, shard, low, high = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((low, shard, turn, row))
+    return Draws(row[order], turn[order], shard[order], low[order], high[order])
+
+
+def _placed(docs: DataFrame, carried: Column, block_words: int, shards: int | None, weights, share: float, most: float, seed: int, bucket_rows: int, shard_words: int, most_shards: int):
+    """Rows (row, source, size, at) with the place of their first word in their source's order, and the sources' plans."""
+    rows = docs.select(carried.alias("row"), F.col("source").alias("source"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("of"), "doc_id",
+                       word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", "source", F.lit(seed)).alias("place"))
+    sums = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
+    total = sum(r["words"] for r in sums)
+    depth = max(0, ((shards or min(most_shards, max(64, -(-int(total * share) // shard_words)))) - 1).bit_length())
+    plans = plan_sources([(r["source"], r["words"]) for r in sums], block_words, depth, weights, share, most, seed)
+    buckets = min(1 << 20, max(64, -(-sum(r["n"] for r in sums) // bucket_rows)))
+    rows = rows.withColumn("bucket", F.pmod("place", F.lit(buckets)))
+    starts = rows.groupBy("of", "bucket").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("of", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+    inner = Window.partitionBy("of", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(starts, ["of", "bucket"])
+    return rows.select("row", "source", "size", (F.col("before") + F.col("start")).alias("at")), {p.source: p for p in plans}, 1 << depth
 
 
-def mix_plan(docs: DataFrame, block_words: int = 64, shards: int = 64, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7, bucket_rows: int = 20_000) -> DataFrame:
-    """docs (doc_id, text, source) -> doc_id, row_key, source, size, source_size, target, draws, taken.
+OPTIONS = dict(block_words=256, shards=None, weights=(3, 1, 2), share=1.5, most=2.0, seed=7, bucket_rows=2_000, shard_words=32_000_000, most_shards=1 << 17)
+PART = T.StructType([T.StructField("shard", T.LongType()), T.StructField("pass", T.LongType()), T.StructField("words", T.LongType())])
 
-    draws: one entry per block draw that falls on the document: its shard, slot, pass (0 or 1) and
-    the words [first_word, end_word) of the document. taken: the words of all draws.
-    """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("row_key"))
-    # a source's place in the word order: a hash bucket, then the id; no source is ever one group
-    sums = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
-    if not sums:
-        return spark.createDataFrame([], T.StructType([*rows.schema.fields, *_plan_fields()]))
-    buckets = max(64, -(-sum(r["n"] for r in sums) // bucket_rows) * 4)
-    depth = max(0, (shards - 1).bit_length())
-    plans = plan_sources([(r["source"], r["words"]) for r in sums], block_words, depth, weights, share, most, seed)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)))
-    starts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    starts = starts.select(
-        "bucket", F.col("source").alias("of"),
-        F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-    )
-    inner = Window.partitionBy("source", "bucket").orderBy("doc_id", "row_key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    placed = placed.join(starts.withColumnRenamed("bucket", "b"), (F.col("bucket") == F.col("b")) & F.col("source").eqNullSafe(F.col("of")))
-    placed = placed.select("doc_id", "row_key", "source", "size", (F.col("before") + F.col("start")).alias("at"))
-    by_source = {p.source: p for p in plans}
-    schema = T.StructType([*rows.select("doc_id", "row_key", "source", "size").schema.fields, *_plan_fields()])
-
-    def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            n = len(frame)
-            found: list[list] = [[] for _ in range(n)]
-            taken, totals, targets = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            sources = frame["source"].where(frame["source"].notna(), None).astype(object)
-            for source, index in frame.groupby(sources, dropna=False).indices.items() if n else ():
-                plan = by_source[None if source is None or source != source else source]
-                totals[index], targets[index] = plan.size, plan.target
-                start, size = frame["at"].to_numpy()[index], frame["size"].to_numpy()[index]
-                has = size > 0
-                first, last = start // block_words, np.where(has, (start + size - 1) // block_words, -1)
-                reach = np.where(has, last - first + 1, 0)
-                row = np.repeat(np.arange(len(index)), reach)
-                block = np.repeat(first, reach) + (np.arange(len(row)) - np.repeat(np.cumsum(reach) - reach, reach))
-                low = np.maximum(block * block_words - start[row], 0)
-                high = np.minimum((block + 1) * block_words - start[row], size[row])
-                for p in range(-(-plan.quota // plan.blocks) if plan.blocks else 0):
-                    slot = p * plan.blocks + permuted(block, plan.blocks, plan.key + p)
-                    ok = slot < plan.quota
-                    shard = np.searchsorted(plan.edges, slot[ok], "right") - 1
-                    np.add.at(taken, index[row[ok]], (high - low)[ok])
-                    for r, *d in zip(index[row[ok]].tolist(), shard.tolist(), slot[ok].tolist(), [p] * int(ok.sum()), low[ok].tolist(), high[ok].tolist(), strict=True):
-                        found[r].append(tuple(d))
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "row_key": frame["row_key"], "source": frame["source"], "size": frame["size"],
-                "source_size": totals, "target": targets, "draws": found, "taken": taken,
-            })
-
-    return placed.mapInPandas(draw, schema)
-
-
-def _plan_fields() -> list[T.StructField]:
-    return [
-        T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()),
-        T.StructField("draws", T.ArrayType(DRAW)), T.StructField("taken", T.LongType()),
-    ]
 
+def mix_plan(docs: DataFrame, **options) -> DataFrame:
+    """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, taken, parts.
 
-def _cut(text: str, spans: list[tuple[int, int]]) -> str:
-    """The words of the spans with the text's own spacing inside each; spans in word order."""
-    starts, ends = _word_edges(text)
-    if len(spans) == 1 and spans[0] == (0, len(starts)):
+    parts: shard, pass (0 or 1) and words for each shard that draws words of the document; taken is
+    the sum of these words. options: see OPTIONS.
+    """
+    options = OPTIONS | options
+    rows, plans, _ = _placed(docs, F.struct("doc_id"), **options)
+    block_words = options["block_words"]
+    schema = T.StructType([
+        docs.schema["doc_id"], docs.schema["source"], T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
+        T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType()), T.StructField("parts", T.ArrayType(PART)),
+    ])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            source, size = batch.column("source").to_pylist(), batch.column("size").to_numpy()
+            d = draw_rows(plans, source, batch.column("at").to_numpy(), size, block_words)
+            edge = d.parts()
+            words = np.add.reduceat(d.high - d.low, edge) if len(edge) else np.empty(0, np.int64)
+            row = d.row[edge]
+            offsets = np.searchsorted(row, np.arange(len(size) + 1)).astype(np.int32)
+            parts = pa.StructArray.from_arrays([pa.array(x) for x in (d.shard[edge], d.turn[edge], words)], ["shard", "pass", "words"])
+            taken = np.bincount(row, words, len(size)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("source"), batch.column("size"), pa.array([plans[s].size for s in source], pa.int64()),
+                pa.array([plans[s].target for s in source], pa.float64()), pa.array(taken), pa.ListArray.from_arrays(pa.array(offsets), parts),
+            ], schema.names)
+
+    return rows.select("row.doc_id", "source", "size", "at").mapInArrow(draw, schema)
+
+
+def _cut(text: str, edges: tuple[np.ndarray, np.ndarray], low: np.ndarray, high: np.ndarray) -> str:
+    """The words [low, high) of each span, in order, with the text's own spacing inside spans that touch."""
+    starts, ends = edges
+    first = np.concatenate(([True], low[1:] != high[:-1]))
+    a, b = low[first], high[np.concatenate((first[1:], [True]))]
+    if len(a) == 1 and a[0] == 0 and b[0] == len(starts):
         return text
-    return "\n".join(text[starts[a] : ends[b - 1]] for a, b in spans)
+    return "\n".join(text[starts[x] : ends[y - 1]] for x, y in zip(a.tolist(), b.tolist()))
 
 
 def _word_edges(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -205,49 +251,44 @@ def _word_edges(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """name, with underscores appended while a column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def mix(docs: DataFrame, shuffled: bool = True, **options) -> DataFrame:
-    """The mix itself: one row per document and pass with something drawn, with docs' own columns.
+    """The mix itself: one row per document, pass and shard with something drawn, with docs' own columns.
 
-    text holds the drawn words of that pass (the whole text where all are drawn), n_chars its code
-    points where docs has that column. The rows are dealt by the shard of their first draw and
-    shuffled within the shard; the column mix_shard tells it.
+    text holds the words that the shard draws of the document in that pass (the whole text where these
+    are all), n_chars their code points where docs has that column; mix_pass and mix_shard come last,
+    with underscores appended where docs has columns of these names. Each shard is shuffled by itself.
+    The text moves twice: into its source's order, and to its shards.
     """
-    names = docs.columns
-    plan = mix_plan(docs, **options).filter("taken > 0").select("doc_id", "row_key", F.explode(F.array_distinct(F.col("draws.pass"))).alias("mix_pass"), "draws")
-    plan = plan.withColumn("draws", F.sort_array(F.expr("transform(filter(draws, d -> d.pass = mix_pass), d -> struct(d.first_word, d.end_word, d.shard))")))
-    plan = plan.groupBy("doc_id", "row_key", "mix_pass", "draws").agg(F.count("*").alias("copies"))
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    # rows equal in id and text are told apart by their number, and so are their draws
-    turn = Window.partitionBy("doc_id", "row_key")
-    keyed = keyed.withColumn("nth", F.row_number().over(turn.orderBy("doc_id")))
-    plan = plan.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn(
-        "nth", F.row_number().over(Window.partitionBy("doc_id", "row_key", "mix_pass").orderBy("draws", "nth"))
-    )
-    joined = keyed.join(plan.withColumnRenamed("doc_id", "id"), keyed["doc_id"].eqNullSafe(F.col("id")) & (keyed["row_key"] == plan["row_key"]) & (keyed["nth"] == plan["nth"]))
-    joined = joined.select(*[keyed[c] for c in names], "draws", "mix_pass")
-    schema = T.StructType([*docs.schema.fields, T.StructField("mix_pass", T.LongType()), T.StructField("mix_shard", T.LongType())])
+    options = OPTIONS | options
+    rows, plans, shards = _placed(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), **options)
+    block_words, seed, names = options["block_words"], options["seed"], docs.columns
+    turn, shard = free_name("mix_pass", names), free_name("mix_shard", names)
+    schema = T.StructType([*docs.schema.fields, T.StructField(turn, T.LongType()), T.StructField(shard, T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out, shard = [], []
-            for text, draws in zip(batch.column("text").to_pylist(), batch.column("draws").to_pylist(), strict=True):
-                spans: list[tuple[int, int]] = []
-                for d in draws:
-                    if spans and spans[-1][1] == d["first_word"]:
-                        spans[-1] = (spans[-1][0], d["end_word"])
-                    else:
-                        spans.append((d["first_word"], d["end_word"]))
-                out.append(_cut(text, spans))
-                shard.append(draws[0]["shard"])
-            columns = {c: batch.column(c) for c in names} | {"text": pa.array(out, pa.string())}
+            d = draw_rows(plans, batch.column("source").to_pylist(), batch.column("at").to_numpy(), batch.column("size").to_numpy(), block_words)
+            own = batch.column("row")
+            text, edge = own.field("text").to_pylist(), d.parts()
+            row, out, last, words = d.row[edge], [], -1, None
+            for i, a, b in zip(row.tolist(), edge.tolist(), [*edge[1:].tolist(), len(d.row)]):
+                if i != last:
+                    last, words = i, _word_edges(text[i])
+                out.append(_cut(text[i], words, d.low[a:b], d.high[a:b]))
+            columns = {c: own.field(k).take(pa.array(row)) for k, c in enumerate(names)} | {"text": pa.array(out, pa.string())}
             if "n_chars" in columns:
-                columns["n_chars"] = pa.array([len(t) for t in out], pa.int64()).cast(batch.column("n_chars").type)
-            columns |= {"mix_pass": batch.column("mix_pass"), "mix_shard": pa.array(shard, pa.int64())}
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                columns["n_chars"] = pa.array([len(t) for t in out], pa.int64()).cast(columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(d.turn[edge]), pa.array(d.shard[edge])], schema.names)
 
-    mixed = joined.mapInArrow(cut, schema)
+    mixed = rows.mapInArrow(cut, schema)
     if not shuffled:
         return mixed
-    n = max(64, options.get("shards", 64))
-    order = F.xxhash64("doc_id", "mix_pass", F.lit(options.get("seed", 7)))
-    return mixed.repartition(n, "mix_shard").sortWithinPartitions("mix_shard", order)
+    order = F.xxhash64("doc_id", "text", turn, F.lit(seed))
+    return mixed.repartition(shards, shard).sortWithinPartitions(shard, order)
