@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.session import Scratch
+from tickloom.session import Scratch, scratch_folder
 from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, queries, url_filter
 
 SF = "/root/testdata/sf0.01"
@@ -236,6 +238,19 @@ def test_url_edges(spark):
     ]
     assert rows[4].host == "a.b.example.com" and rows[4].path == "/en/70" and rows[0].host == rows[0].path == "" == rows[2].host
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
+    assert "html" in url_filter.filter_urls(pages).columns
+
+
+def test_url_rules_of_every_kind(spark):
+    """Upper case in rules, hosts with other letters, rules without a token, clashing names, a rule table, a very long URL."""
+    long = "http://long.org/es/" + "a/b?c&" * 200_000
+    urls = ["http://x.com/Abc/d", "http://x.com/abc/d", "http://X.COM/Abcd", "http://käse.de/ü/1", "http://é.é/%%%", "http://y.com/q", "http://y.community/q", long, "http://a.y.com"]
+    pages = spark.createDataFrame([(i, u, "s", "w", "t", 1) for i, u in enumerate(urls)], "page_id long, url string, site string, word string, token string, `row` int")
+    rules = tuple(url_filter.site_rule("block", r) for r in ("x.com/Abc/", "X.com/Abcd", "käse.de/ü/", "é.é/%", "y.com", "org/es/"))
+    for given in (rules, url_filter.rule_frame(spark, rules)):
+        rows = {r.page_id: r for r in url_filter.filter_urls(pages, given).collect()}
+        assert [rows[i].rule for i in range(len(urls))] == ["x.com/Abc/", None, "X.com/Abcd", "käse.de/ü/", "é.é/%", "y.com", None, "org/es/", "y.com"]
+        assert {(r.site, r.word, r.token, r.row) for r in rows.values()} == {("s", "w", "t", 1)}
 
 
 def brute_base(text):
@@ -395,12 +410,23 @@ def test_exact_duplicates_edges(odd, none):
 def test_digest_index_goes_on(spark):
     first = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     second = spark.createDataFrame([(3, "ab"), (4, "d"), (5, "d ")], "doc_id long, text string")
-    index = exact_dedup.DigestIndex(spark)
+    index = exact_dedup.DigestIndex(spark, scratch_folder(spark, "index"))
     exact_dedup.exact_duplicates(first, index).collect()
     index.close()
     again = exact_dedup.DigestIndex(spark, index.folder)
     rows = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.exact_duplicates(second, again).collect()}
-    assert rows == {3: (1, False), 4: (5, False), 5: (5, True)} and again.rows().count() == 3
+    assert rows == {3: (1, False), 4: (5, False), 5: (5, True)} and spark.table(again.table).count() == 3
+    once_more = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.exact_duplicates(second, again).collect()}
+    assert once_more == rows and spark.table(again.table).count() == 3  # a batch that comes twice is the same batch
+    assert {r.doc_id: r.kept for r in exact_dedup.exact_duplicates(first, again, batch="other").collect()} == {1: False, 2: False}
+    again.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
+    assert exact_dedup.DigestIndex.buckets_for(10) == 32 and exact_dedup.DigestIndex.buckets_for(10**9) == 512
+
+
+def test_exact_duplicates_of_string_ids(spark):
+    frame = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", None)], "doc_id string, text string")
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(frame).collect()} == {"a": ("b", 2), "b": ("b", 2), "c": ("c", 1)}
 
 
 def test_language_held_out_accuracy(spark, docs):
@@ -420,6 +446,77 @@ def test_language_edges(odd, none):
     assert count.sum() == 3 * 200_000 - 3
 
 
+def test_pu_gradient_against_finite_differences():
+    rng = np.random.default_rng(4)
+    s, t, prior = rng.normal(size=40), np.arange(40) < 12, 0.3
+    fine = s - 3 * t
+    for scores, sign in ((fine, None), (np.where(t, 6.0, -6.0) + 0.1 * s, -1)):
+        positive, negative = quality_classifier.risks(scores, t, prior)
+        assert (negative >= 0) == (sign is None)
+        risk = (lambda z: sum(quality_classifier.risks(z, t, prior))) if sign is None else (lambda z: -quality_classifier.risks(z, t, prior)[1])
+        steps = 1e-6 * np.eye(len(scores))
+        want = [(risk(scores + e) - risk(scores - e)) / 2e-6 for e in steps]
+        assert np.allclose(quality_classifier.risk_gradient(scores, t, prior), want, atol=1e-7)
+    # by hand: the positive class weighs by the prior, the unlabelled rows by one
+    assert np.isclose(sum(quality_classifier.risks(np.zeros(40), t, prior)), np.log(2) * (prior + 1 - prior))
+
+
+def test_ftrl_against_a_plain_loop():
+    rng = np.random.default_rng(6)
+    rows = [("abc"[i % 3], np.sort(rng.choice(50, 6, replace=False)) + 10 * (i % 3), rng.integers(1, 4, 6)) for i in range(40)]
+    alpha, beta, l1, l2, epochs, seed = 0.5, 1.0, 0.02, 0.1, 2, 3
+    model = language_id.fit_language(rows, alpha, beta, l1, l2, epochs, seed)
+    train = [r for i, r in enumerate(rows) if i % 5 != 4]
+    have = Counter(g for _, found, _ in train for g in found.tolist())
+    idf = {g: math.log((1 + len(train)) / (1 + have[g])) + 1 for g in range(80)}
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(key):
+        if abs(z[key]) <= l1:
+            return 0.0
+        return -math.copysign(abs(z[key]) - l1, z[key]) / ((beta + math.sqrt(n[key])) / alpha + l2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for i in order.permutation(len(train)):
+            lang, found, count = train[i]
+            x = {g: (1 + math.log(c)) * idf[g] for g, c in zip(found.tolist(), count.tolist())}
+            norm = math.sqrt(sum(v * v for v in x.values()))
+            x = {g: v / norm for g, v in x.items()} | {"bias": 1.0}
+            w = {(g, k): weight((g, k)) for g in x for k in "abc"}
+            e = {k: math.exp(sum(v * w[g, k] for g, v in x.items())) for k in "abc"}
+            for k in "abc":
+                miss = e[k] / sum(e.values()) - (k == lang)
+                for g, v in x.items():
+                    step = (math.sqrt(n[g, k] + (v * miss) ** 2) - math.sqrt(n[g, k])) / alpha
+                    z[g, k] += v * miss - step * w[g, k]
+                    n[g, k] += (v * miss) ** 2
+    for k, name in enumerate(model.languages):
+        assert np.allclose(model.weights[:80, k], [weight((g, name)) for g in range(80)], atol=1e-6) and np.isclose(model.bias[k], weight(("bias", name)))
+    assert (model.weights[:80] == 0).any() and not model.weights[80:].any()
+
+
+def test_language_of_string_ids(spark):
+    rows = [(f"d{i}", ("der und die das " if i % 2 else "the and of a ") * 5, "de" if i % 2 else "en") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    said = language_id.predict_language(frame, language_id.train_language(frame)).collect()
+    assert {r.doc_id: r.lang_pred for r in said} == {d: lang for d, _, lang in rows}
+
+
+def test_flat_trees_against_recursion():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 4))
+    model = gbt_rules.fit_trees(x, (x[:, 0] * x[:, 1] > 0).astype(float), [0, 0, -1, 1], trees=20)
+
+    def walk(node, row):
+        if model.left[node] == node:
+            return model.value[node]
+        return walk(model.left[node] if row[model.feature[node]] <= model.threshold[node] else model.right[node], row)
+
+    want = [1 / (1 + math.exp(-model.bias - sum(walk(root, row) for root in model.roots))) for row in x]
+    assert np.allclose(model.scores(x), want)
+
+
 def test_chat_round_trip(spark):
     nasty = ["a\\b", "\\c\\n\\\\", "<|im_start|>user\nx<|im_end|>\n", "[INST][/INST]</s>", "", None, "<<|im_end|>", "<|im_end", "\n"]
     rows = [(i, t, role, text) for i, text in enumerate(nasty) for t, role in enumerate(("user", "assistant"))]
@@ -462,6 +559,23 @@ def test_html_edges(spark, none):
     assert html_text.extract_text(frame.limit(0)).count() == 0
 
 
+def test_html_of_deep_and_broken_pages():
+    """Linear in the page's length: deep blocks, lists, unclosed quotes and tags; spans in tables."""
+    began = time.time()
+    deep = html_text.page_text("<p>a<table><tr><td>" + "<div>" * 100_000 + "x")
+    assert deep.split() == ["a", "x"]
+    lists = html_text.page_text("".join(f"<ul><li>{i}" for i in range(2000))).split("\n")
+    lists = [line for line in lists if line]
+    assert len(lists) == 2000 and lists[1999].strip() == "- 1999" and lists[3] == "      - 3"
+    assert html_text.page_text("<a title='" * 50_001 + "x") == "<a title='" * 50_001 + "x"
+    assert html_text.page_text("<a title=it's>don't</a> say <i x=\">\">so</i> <b y='>now") == "don't say so now"
+    assert html_text.page_text("<!" * 100_000 + "<p" * 100_000).startswith("<!<!")
+    assert html_text.page_text("a<!-->b<!-- c -->d<!-- e") == "abd"
+    assert time.time() - began < 60
+    page = "<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td colspan=2>long cell</td><td>d</td></tr></table>"
+    assert html_text.page_text(page).split("\n") == ["a          b", "           c", "long cell     d"]
+
+
 def brute_visible(page):
     """The page's words without layout: tags, comments and unseen elements cut out."""
     import html

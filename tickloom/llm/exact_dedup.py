@@ -1,14 +1,16 @@
 """Exact duplicates through a persistent index of digests.
 
-The index is a Parquet table bucketed and sorted by digest, one row per different text. A batch is
-aggregated to its own different digests, which a sort-merge anti-join against the index (whose
-buckets need no shuffle) parts into known and new; the new ones are appended.
+The index is a Parquet table bucketed and sorted by digest, one row per different text, partitioned by
+the batch that brought it. A batch is aggregated to its own different digests, which a sort-merge
+anti-join against the index (whose buckets need no shuffle) parts into known and new; the new ones
+are appended. A batch that comes again, after a lost driver say, replaces its own rows and is judged
+against the other batches only, so that its result is the same as before.
 
-Texts are equal if they are the same after every character of [\\x20\\x09-\\x0D] is deleted; null
+Texts are equal if they are the same after every character of [\x20\x09-\x0D] is deleted; null
 counts as empty. Of equal texts in a batch the one with the most code points, then the smallest
 doc_id stays. Defined cases: rows equal in id and length within a group all count as the row that
 stays (`drop_duplicates` keeps one); a null doc_id comes before others; an empty table gives an
-empty result; extra columns are ignored.
+empty result; extra columns are ignored; group_size counts the equal rows of the batch at hand.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.session import materialise, scratch_folder
+from tickloom.session import Scratch, delete_folder, scratch_folder
 
 BLANKS = r"[\x20\x09-\x0D]+"
-SCHEMA = "digest BINARY, keep_id BIGINT, keep_chars BIGINT, group_size BIGINT"
+BUCKET_ROWS = 2_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -42,66 +44,91 @@ def group_digests(rows: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """A table in `folder`; opening a folder that has one goes on with it."""
+    """An index in `folder`; opening a folder that has one goes on with it.
+
+    buckets stays as it was when the folder was first written; buckets_for gives one by the number of
+    texts expected. Without a folder the index lives in the scratch folder until close.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int = 32):
-        self.spark, self.buckets = spark, buckets
+        self.spark, self.buckets, self.own = spark, buckets, folder is None
         self.folder = folder or scratch_folder(spark, "digest-index")
         self.table = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(
-            f"CREATE TABLE {self.table} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
-            f"INTO {buckets} BUCKETS LOCATION '{self.folder}'"
-        )
-
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.table)
-
-    def new_digests(self, groups: DataFrame) -> DataFrame:
-        """The groups whose digest is not in the index."""
-        return groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-
-    def append(self, groups: DataFrame) -> None:
-        """Add groups of new digests; each bucket gets one sorted file a batch."""
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        groups.select(*names).repartition(self.buckets, "digest").write.insertInto(self.table)
-
-    def add(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Index a batch; returns its digests per row and its groups with the column known."""
-        rows = materialise(digests(docs), "digests")
-        groups = group_digests(rows)
-        fresh = materialise(self.new_digests(groups), "new-digests")
-        self.append(fresh)
-        return rows, fresh
+        self.ready = False
+
+    @staticmethod
+    def buckets_for(rows: int) -> int:
+        return max(32, 1 << (-(-rows // BUCKET_ROWS) - 1).bit_length() if rows else 32)
+
+    def open(self, id_type: str) -> None:
+        if not self.ready:
+            self.spark.sql(
+                f"CREATE TABLE {self.table} (digest BINARY, keep_id {id_type}, keep_chars BIGINT, batch STRING) USING parquet PARTITIONED BY (batch) "
+                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
+            )
+            self.spark.catalog.recoverPartitions(self.table)
+            self.ready = True
+
+    def others(self, batch: str) -> DataFrame:
+        """The rows that other batches brought."""
+        return self.spark.table(self.table).filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("known_id"))
+
+    def add(self, rows: DataFrame, batch: str | None = None, hold: Scratch | None = None) -> DataFrame:
+        """Index the digests of a batch; returns its groups: digest, keep_id, keep_chars, group_size, new.
+
+        batch names it; without a name its own content does, so that the same rows are the same batch.
+        """
+        hold = hold or Scratch(self.spark)
+        self.open(rows.schema["doc_id"].dataType.simpleString())
+        if batch is None:
+            said = rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest", "doc_id", "n_points")).alias("x"), F.bit_xor(F.xxhash64("n_points", "doc_id", "digest", F.lit(1))).alias("y")).first()
+            batch = f"{said['n']}-{said['x'] or 0}-{said['y'] or 0}"
+        groups = hold.write(group_digests(rows), "groups")
+        others = self.others(batch).hint("merge")
+        fresh = hold.write(groups.join(others, "digest", "left_anti").withColumn("new", F.lit(True)), "fresh")
+        seen = groups.join(others, "digest").select("digest", F.col("known_id").alias("keep_id"), "keep_chars", "group_size", F.lit(False).alias("new"))
+        judged = hold.write(fresh.unionByName(seen), "judged")
+        put = fresh.select("digest", "keep_id", "keep_chars", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
+        put.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table, overwrite=True)
+        hold.drop(groups, fresh)
+        return judged
 
     def close(self) -> None:
-        """Forget the table's name; its files stay."""
+        """Forget the table's name; its files stay, unless the caller named no folder."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        self.ready = False
+        if self.own:
+            delete_folder(self.spark, self.folder)
+
+
+def _judged(docs: DataFrame, index: DigestIndex | None, batch: str | None) -> tuple[DataFrame, DataFrame]:
+    """The batch's digests per row and its groups."""
+    hold = Scratch(docs.sparkSession)
+    rows = hold.write(digests(docs), "digests")
+    used = index or DigestIndex(docs.sparkSession, buckets=DigestIndex.buckets_for(rows.count()))
+    groups = used.add(rows, batch, hold)
+    if index is None:
+        used.close()
+    return rows, groups
 
 
-def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """docs -> doc_id, keep_id, group_size, kept, text_sha256, one row per document.
 
-    Rows whose text an earlier batch of the index brought have that batch's keep_id and are not kept.
+    Rows whose text another batch of the index brought have that batch's keep_id and are not kept.
     """
-    index = index or DigestIndex(docs.sparkSession)
-    rows, fresh = index.add(docs)
-    # read by path, so that a hot digest's rows can be split between tasks, as bucketed reads can't
-    known = docs.sparkSession.read.schema(fresh.schema).parquet(index.folder).select("digest", "keep_id", "keep_chars", "group_size")
-    known = known.join(fresh.select("digest").withColumn("new", F.lit(True)), "digest", "left")
-    out = rows.join(known, "digest", "left")
-    kept = F.coalesce(F.col("new"), F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_chars"))
-    return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    rows, groups = _judged(docs, index, batch)
+    kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_chars"))
+    return rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """docs without the rows whose text another row that stays has; all columns stay."""
-    index = index or DigestIndex(docs.sparkSession)
-    _, fresh = index.add(docs)
-    names = docs.columns
+    _, groups = _judged(docs, index, batch)
     keyed = docs.select(
-        F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"),
         F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256)).alias("digest"),
     )
-    stay = fresh.select("digest", "keep_id", "keep_chars")
+    stay = groups.filter("new").select("digest", "keep_id", "keep_chars")
     joined = keyed.join(stay, (keyed["digest"] == stay["digest"]) & keyed["id"].eqNullSafe(stay["keep_id"]) & (keyed["points"] == stay["keep_chars"])).select(keyed["digest"], "row")
     return joined.groupBy("digest").agg(F.first("row").alias("row")).select("row.*")

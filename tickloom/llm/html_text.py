@@ -3,7 +3,8 @@
 A tree builder follows the rules for implied tags (a paragraph ends where a block begins, a list item
 where the next one begins, and so on), visibility rules leave out what a browser doesn't show, and a
 renderer writes the visible text: blocks on lines of their own, with a blank line between paragraphs,
-list items marked and indented, table cells aligned in columns.
+list items marked and indented, table cells aligned in columns, with those free that a cell above or
+beside spans. A page is read once, without recursion.
 
 Defined cases: a null or empty page gives an empty text; broken markup is read as browsers do in
 common cases (stray end tags ignored, open elements closed at the end); repeated rows are rendered one
@@ -15,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Generator, Iterator
 
 import pyarrow as pa
@@ -22,7 +24,10 @@ from pyspark.sql import DataFrame, types as T
 
 from tickloom.llm.arrow import slices, texts
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+START = re.compile(r"<(?:!|\?|/?[a-zA-Z])")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: What follows a tag's name; a quote opens a value only after "=". A quote that never closes is a letter.
+REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -34,6 +39,7 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
 HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
 ENDS_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption legend".split())
 #: New element -> open elements that it ends, unless one of the fences stands between.
@@ -52,77 +58,108 @@ class Element:
         self.tag, self.attributes, self.children = tag, attributes or {}, []
 
 
+class Open:
+    """The open elements, with the places of each tag, so that no nesting is searched through."""
+
+    def __init__(self, root: Element):
+        self.items, self.places = [root], defaultdict(list)
+
+    @property
+    def top(self) -> Element:
+        return self.items[-1]
+
+    def push(self, element: Element) -> None:
+        self.places[element.tag].append(len(self.items))
+        self.items.append(element)
+
+    def pop(self, down_to: int) -> None:
+        while len(self.items) > down_to:
+            self.places[self.items.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, wanted, fences) -> bool:
+        """End the innermost element of the wanted tags, unless a fence is open within it."""
+        i = self.last(wanted)
+        if i and i >= self.last(fences):
+            self.pop(i)
+            return True
+        return False
+
+
 def parse(page: str) -> Element:
     """The tree of elements and strings."""
     root = Element("html")
-    stack, at = [root], 0
+    opened, at, last = Open(root), 0, page.rfind(">")
     while at < len(page):
-        m = TOKEN.search(page, at)
-        if m is None:
-            _text(stack, page[at:])
+        m = START.search(page, at)
+        begin = m.start() if m else len(page)
+        comment = page.startswith("<!--", begin)
+        if begin > last and not comment:  # no tag ends any more
+            begin = len(page)
+        if begin > at:
+            _text(opened, page[at:begin])
+        if begin == len(page):
             break
-        if m.start() > at:
-            _text(stack, page[at : m.start()])
-        at = m.end()
-        tag = m[2].lower() if m[2] else ""
-        if not tag:
+        if comment:
+            at = page.find("-->", begin + 2) + 3
+            if at == 2:
+                break
             continue
-        if m[1]:
-            _end(stack, tag)
+        if page[begin + 1] in "!?":
+            at = page.find(">", begin) + 1
             continue
-        attributes = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(m[3] or "")} if m[3] else {}
+        name = NAME.match(page, begin)
+        end = REST.match(page, name.end()).end()
+        if end == len(page):
+            end = page.find(">", name.end())
+        tag, said, at = name[2].lower(), page[name.end() : end], end + 1
         if tag == "html":
             continue
-        _imply(stack, tag)
+        if name[1]:
+            _end(opened, tag)
+            continue
+        attributes = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(said)} if said else {}
+        _imply(opened, tag)
         element = Element(tag, attributes)
-        stack[-1].children.append(element)
+        opened.top.children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
             text = page[at : end.start() if end else len(page)]
             element.children.append(html.unescape(text) if tag in ("title", "textarea") else text)
             at = end.end() if end else len(page)
         elif tag not in VOID:
-            stack.append(element)
+            opened.push(element)
     return root
 
 
-def _text(stack: list[Element], raw: str) -> None:
-    if stack[-1].tag == "head" and SPACE.sub("", raw):
-        stack.pop()
-    stack[-1].children.append(html.unescape(raw))
+def _text(opened: Open, raw: str) -> None:
+    if opened.top.tag == "head" and SPACE.sub("", raw):
+        opened.pop(len(opened.items) - 1)
+    opened.top.children.append(html.unescape(raw))
 
 
-def _imply(stack: list[Element], tag: str) -> None:
-    if stack[-1].tag == "head" and tag not in HEAD:
-        stack.pop()
+def _imply(opened: Open, tag: str) -> None:
+    if opened.top.tag == "head" and tag not in HEAD:
+        opened.pop(len(opened.items) - 1)
     if tag in ENDS_P:
-        _close(stack, {"p"}, ("table", "td", "th", "button", "caption"))
+        opened.close(("p",), ("table", "td", "th", "button", "caption"))
     if tag in IMPLIED:
         ended, fences = IMPLIED[tag]
-        wanted = set(ended.split())
-        while _close(stack, wanted, fences):
+        while opened.close(ended.split(), fences):
             pass
-    if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag):
-        stack.pop()
-
+    if tag in HEADINGS and opened.top.tag in HEADINGS:
+        opened.pop(len(opened.items) - 1)
 
-def _close(stack: list[Element], wanted: set[str], fences: tuple[str, ...]) -> bool:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in wanted:
-            del stack[i:]
-            return True
-        if stack[i].tag in fences:
-            return False
-    return False
 
-
-def _end(stack: list[Element], tag: str) -> None:
+def _end(opened: Open, tag: str) -> None:
     if tag in ("html", "body"):
         return
-    fences = ("table",) if tag not in ("table",) else ()
-    if tag == "p" and not any(e.tag == "p" for e in stack):
-        stack[-1].children.append(Element("p"))
-    _close(stack, {tag}, fences if tag in BLOCK else ("td", "th", "table"))
+    if tag == "p" and not opened.last(("p",)):
+        opened.top.children.append(Element("p"))
+    fences = () if tag == "table" else ("table",) if tag in BLOCK else ("td", "th", "table")
+    opened.close((tag,), fences)
 
 
 def visible(element: Element) -> bool:
@@ -269,8 +306,21 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+def _span(element: Element, name: str) -> int:
+    try:
+        return min(1000, max(1, int(element.attributes.get(name, 1))))
+    except ValueError:
+        return 1
+
+
+def _held(row: list, below: dict[int, int]) -> None:
+    """Leave the places free that cells of rows above reach down to."""
+    while len(row) in below:
+        row.append([])
+
+
 def table_lines(element: Element) -> Generator:
-    captions, rows = [], []
+    captions, rows, below = [], [], {}
     work = list(reversed(element.children))
     while work:
         c = work.pop()
@@ -286,13 +336,16 @@ def table_lines(element: Element) -> Generator:
                     box = d if d.tag in ("td", "th") else Element("td")
                     if box is not d:
                         box.children = [d]
-                    try:
-                        span = min(1000, max(1, int(d.attributes.get("colspan", 1))))
-                    except ValueError:
-                        span = 1
-                    row += [(yield _inner(box))] + [[]] * (span - 1)
+                    across, down = _span(d, "colspan"), _span(d, "rowspan")
+                    _held(row, below)
+                    for k in range(len(row), len(row) + across):
+                        if down > 1:
+                            below[k] = down
+                    row += [(yield _inner(box))] + [[]] * (across - 1)
                 elif isinstance(d, str) and d.strip():
                     row.append([SPACE.sub(" ", d).strip()])
+            _held(row, below)
+            below = {k: n - 1 for k, n in below.items() if n > 1}
             if any(row):
                 rows.append(row)
         elif c.tag in ("td", "th"):

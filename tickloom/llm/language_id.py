@@ -6,7 +6,7 @@ sample that training has not seen. Every document is predicted from its whole te
 
 Defined cases: a null text or one without a letter gets "und" with score 0; documents without lang
 take no part in learning; with nothing to learn from all are "und"; repeated rows are predicted one
-by one; an empty table gives an empty result; extra columns are ignored.
+by one; ids may be of any type; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,21 +121,22 @@ def train_language(docs: DataFrame, sample_rows: int = 6000, folds: int = 4, hel
     known = docs.filter(~in_fold("doc_id", folds, held_fold) & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     rows = known.filter(sampled("doc_id", sample_rows, known.count(), 5))
     ints = T.ArrayType(T.IntegerType())
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("found", ints), T.StructField("count", ints)])
+    schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("found", ints), T.StructField("count", ints)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             got = [gram_counts(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("lang"), *[pa.array([g[i].astype(np.int32) for g in got], pa.list_(pa.int32())) for i in (0, 1)]], schema.names
+                [batch.column("key"), batch.column("lang"), *[pa.array([g[i].astype(np.int32) for g in got], pa.list_(pa.int32())) for i in (0, 1)]], schema.names
             )
 
+    rows = rows.select(F.hash(F.col("doc_id").cast("string")).alias("key"), "lang", "text")
     got = rows.mapInArrow(run, schema).toArrow()
     parts = [
-        (doc or -1, lang, found.values.to_numpy(), count.values.to_numpy())
-        for doc, lang, found, count in zip(got["doc_id"].to_pylist(), got["lang"].to_pylist(), got["found"], got["count"], strict=True)
+        (key, lang, found.values.to_numpy(), count.values.to_numpy())
+        for key, lang, found, count in zip(got["key"].to_pylist(), got["lang"].to_pylist(), got["found"], got["count"], strict=True)
     ]
-    parts.sort(key=lambda r: (r[0] * 2654435761 % (1 << 32), r[1], len(r[2])))
+    parts.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2].sum()))
     return fit_language([p[1:] for p in parts if len(p[2])])
 
 

@@ -313,9 +313,10 @@ def linked(buckets: DataFrame, sets: DataFrame, percent: int, chunk: int, hold:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables: int = 10, width: int = 3, seed: int = 1, chunk: int = 1000) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, n_shingles, component_id, kept, one row per document.
+    """docs (doc_id, text, ...) -> doc_id, n_shingles, component_id, kept, group, text_key, one row per document.
 
-    chunk bounds the lists that the exact join compares; it has no influence on the result.
+    group is the same for the documents of a component and null without words; text_key tells rows of
+    equal ids apart. chunk bounds the lists that the exact join compares; it has no influence on the result.
     """
     hold = Scratch(docs.sparkSession)
     sketches = hold.write(sketch(docs, shingle, tables, width, seed), "sketches")
@@ -323,13 +324,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables
     buckets = shared_buckets(nodes, hold)
     sets = hold.write(shingle_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi"), shingle), "sets")
     comps = linked(buckets, sets, percent, chunk, hold)
-    ids = nodes.select("node", "lo", "hi", "rep")
+    ids = nodes.select("node", "lo", "hi", "rep", F.col("node").alias("group"))
     if comps is not None:
         own = comps.union(comps.select("component", "component").distinct())
-        least = hold.write(own.join(nodes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id")), "least")
-        ids = ids.join(own.join(least, "component").drop("component"), "node", "left").withColumn("rep", F.coalesce("component_id", "rep"))
-    ids = hold.write(ids.select("lo", "hi", F.col("rep").alias("component_id")), "ids")
+        least = hold.write(own.join(nodes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least")), "least")
+        ids = ids.join(own.join(least, "component"), "node", "left")
+        ids = ids.select("lo", "hi", F.coalesce("least", "rep").alias("rep"), F.coalesce("component", "group").alias("group"))
+    ids = hold.write(ids.select("lo", "hi", F.col("rep").alias("component_id"), "group"), "ids")
     hold.drop(nodes, sets, comps)
-    with_words = sketches.filter("n_shingles > 0").join(ids, ["lo", "hi"]).select("doc_id", "n_shingles", "component_id")
-    out = with_words.union(sketches.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id")))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    with_words = sketches.filter("n_shingles > 0").join(ids, ["lo", "hi"]).select("doc_id", "n_shingles", "component_id", "group", "text_key")
+    out = with_words.union(sketches.filter("n_shingles = 0").select("doc_id", "n_shingles", "doc_id", F.lit(None), "text_key"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group", "text_key")
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """docs without all but one document of each group; all columns stay.
+
+    Documents without words stay, and rows equal in id and text stay or go together.
+    """
+    judged = near_duplicates(docs, **options)
+    first = judged.filter("kept and group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("at"))
+    stay = first.select("at.*").union(judged.filter("group is null").select("doc_id", "text_key").distinct())
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("text_key"))
+    same = (keyed["text_key"] == stay["text_key"]) & keyed["row.doc_id"].eqNullSafe(stay["doc_id"])
+    return keyed.join(stay, same, "left_semi").select("row.*")

@@ -107,6 +107,24 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.02, 0.98))
 
 
+def risks(s: np.ndarray, t: np.ndarray, prior: float) -> tuple[float, float]:
+    """Risks of scores s by the logistic loss: of the positive class, and the unbiased one of the negative class."""
+    return prior * np.logaddexp(0, -s[t]).mean(), np.logaddexp(0, s[~t]).mean() - prior * np.logaddexp(0, s[t]).mean()
+
+
+def risk_gradient(s: np.ndarray, t: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of the non-negative risk by s; t marks the trusted positives, the others are unlabelled.
+
+    Where the negative class's risk has fallen below zero, the step climbs back on that part alone.
+    """
+    up, n_p, n_u, g = _sigmoid(s), t.sum(), (~t).sum(), np.zeros_like(s)
+    if risks(s, t, prior)[1] >= 0:
+        g[t], g[~t] = prior * (up[t] - 1) / n_p - prior * up[t] / n_p, up[~t] / n_u
+    else:
+        g[t], g[~t] = prior * up[t] / n_p, -up[~t] / n_u
+    return g
+
+
 def fit_pu(x: np.ndarray, positive: np.ndarray, steps: int = 400, rate: float = 0.05, ridge: float = 1e-3) -> QualityModel:
     """Fit on rows x; positive marks the trusted rows, the others are unlabelled."""
     mean, scale = x.mean(0), x.std(0) + 1e-3
@@ -114,7 +132,6 @@ def fit_pu(x: np.ndarray, positive: np.ndarray, steps: int = 400, rate: float =
         return QualityModel(mean, scale, np.zeros(x.shape[1]), 0.0, 0.5)
     z = np.clip((x - mean) / scale, -8, 8).astype(np.float64)
     y = positive.astype(bool)
-    n_p, n_u = y.sum(), (~y).sum()
     # a plain classifier of trusted against unlabelled rows, on half of them, ranks the other half for the prior
     half = np.arange(len(y)) % 2 == 0
     balance = np.where(y, 0.5 / max(1, (y & half).sum()), 0.5 / max(1, (~y & half).sum()))[half]
@@ -123,18 +140,7 @@ def fit_pu(x: np.ndarray, positive: np.ndarray, steps: int = 400, rate: float =
     rest = y[~half]
     prior = estimate_prior(rank[rest], rank[~rest]) if rest.any() and (~rest).any() else 0.5
 
-    def risk_gradient(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-        up, soft = _sigmoid(s), np.logaddexp(0, s)  # soft: loss of calling the row negative
-        negative_risk = soft[~t].mean() - prior * soft[t].mean()
-        g = np.zeros_like(s)
-        if negative_risk >= 0:
-            g[t] = prior * (up[t] - 1) / n_p - prior * up[t] / n_p
-            g[~t] = up[~t] / n_u
-        else:  # overfitted: climb back on the negative part alone
-            g[t], g[~t] = prior * up[t] / n_p, -up[~t] / n_u
-        return g
-
-    w = _descend(z, y, risk_gradient, steps, rate, ridge)
+    w = _descend(z, y, lambda s, t: risk_gradient(s, t, prior), steps, rate, ridge)
     return QualityModel(mean, scale, w[:-1], float(w[-1]), prior)
 
 

@@ -33,7 +33,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2).drop("group", "text_key")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

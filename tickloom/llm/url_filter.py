@@ -1,8 +1,9 @@
 """URL filter: rules indexed by their rarest literal token (DataFrame functions only).
 
-Every rule names the literal tokens (runs of a-z and 0-9) that stand whole in any URL it fits. It is
-indexed under the one that the table's URLs contain least. A URL's tokens fetch its candidate rules
-by an equi-join, and only those run their regular expression, on host and path.
+Every rule names the literal tokens (runs of a-z and 0-9, in lower case) that stand whole in any URL
+it fits. It is indexed under the one that the table's URLs contain least; a rule without such a token
+is indexed under ANY, which every URL has. A URL's tokens fetch its candidate rules by an equi-join,
+and only those run their regular expression, on host and path.
 
 Defined cases: a null URL or one without "://" has an empty host and path, fits no rule and is
 allowed; repeated URLs are judged once and each row gets the verdict; an empty table gives an empty
@@ -14,10 +15,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ANY = "*"
 BROADCAST_RULES = 20_000  # index entries; each is some hundred bytes, so a few MB at most
+RESULTS = ("host", "path", "rule", "verdict", "word_rule")
 
 
 @dataclass(frozen=True)
@@ -30,10 +33,13 @@ class Rule:
 
 
 def site_rule(action: str, rule: str) -> Rule:
-    """host/path: fits the host and its subdomains where the path starts with the rule's."""
+    """host/path: fits the host and its subdomains where the path starts with the rule's; only a host: all its paths."""
+    lower = str.maketrans(UPPER, LOWER)
     host, slash, path = rule.partition("/")
-    whole = re.findall("[a-z0-9]+", host) + [t for t in re.findall("[a-z0-9]+(?=[^a-z0-9A-Z])", slash + path) if t]
-    return Rule(rule, action, rf"^(?:[^/]*\.)?{_quoted(host)}{_quoted(slash + path)}", tuple(whole), True)
+    host = host.translate(lower)
+    # the path's last run of letters and digits may go on in a URL, so that it is no whole token there
+    whole = re.findall("[a-z0-9]+", host) + re.findall("[a-z0-9]+(?=[^a-z0-9])", (slash + path).translate(lower))
+    return Rule(rule, action, rf"^(?:[^/]*\.)?{_quoted(host)}{_quoted(slash + path) or '(?:/|$)'}", tuple(whole), True)
 
 
 def word_rule(action: str, name: str, pattern: str, *tokens: str) -> Rule:
@@ -74,33 +80,45 @@ def path_of(url: Column) -> Column:
 
 
 def _tokens(target: Column) -> Column:
-    return F.array_distinct(F.split(F.translate(target, UPPER, LOWER), "[^a-z0-9]+"))
+    return F.array_union(F.split(F.translate(target, UPPER, LOWER), "[^a-z0-9]+"), F.array(F.lit(ANY)))
 
 
-def rule_index(urls: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """One row per rule under its rarest token in urls (column target); ties go to the first token by name."""
-    wanted = sorted({t for r in rules for t in r.tokens})
-    seen = urls.select(F.explode(_tokens(F.col("target"))).alias("token")).filter(F.col("token").isin(wanted)).groupBy("token").count()
-    often = {r["token"]: r["count"] for r in seen.collect()}  # as many rows as the rules have tokens
-    rows = [(min(r.tokens, key=lambda t: (often.get(t, 0), t)), r.name, r.action, r.pattern, r.site, len(r.name)) for r in rules]
-    return urls.sparkSession.createDataFrame(rows, "token string, rule string, action string, pattern string, site boolean, length int")
+def rule_frame(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
+    """rule, action, pattern, tokens, site: rules as a table."""
+    rows = [(r.name, r.action, r.pattern, list(r.tokens), r.site) for r in rules]
+    return spark.createDataFrame(rows, "rule string, action string, pattern string, tokens array<string>, site boolean")
 
 
-def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = SITE_RULES + WORD_RULES, default: str = "allow") -> DataFrame:
-    """pages (url, ...) with host, path, rule (the site rule that decides, else null), verdict and word_rule."""
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "word_rule", "html")]
-    base = pages.select(*own)
+def rule_index(urls: DataFrame, rules: DataFrame, small: bool) -> DataFrame:
+    """The rules under their rarest token in urls (column target); ties go to the first token by name."""
+    side = F.broadcast if small else (lambda df: df)
+    tokens = F.when(F.size("tokens") > 0, F.col("tokens")).otherwise(F.array(F.lit(ANY)))
+    named = rules.select("rule", "action", "pattern", "site", F.explode(tokens).alias("token"))
+    seen = urls.select(F.explode(_tokens(F.col("target"))).alias("token")).join(side(named.select("token").distinct()), "token", "left_semi").groupBy("token").count()
+    rarest = F.min(F.struct(F.coalesce("count", F.lit(0)), "token"))
+    best = named.join(seen, "token", "left").groupBy("rule", "action", "pattern", "site").agg(rarest.alias("rarest"))
+    return best.select("rule", "action", "pattern", "site", F.length("rule").alias("length"), F.col("rarest.token").alias("token"))
+
+
+def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = SITE_RULES + WORD_RULES, default: str = "allow") -> DataFrame:
+    """pages (url, ...) with host, path, rule (the site rule that decides, else null), verdict and word_rule.
+
+    rules: some rules, or a table of them as rule_frame makes it, for lists of any length.
+    """
+    small = not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_RULES
+    table = rules if isinstance(rules, DataFrame) else rule_frame(pages.sparkSession, rules)
+    own = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in RESULTS]
+    base = pages.select(F.struct(*own).alias("row"), F.col("url").alias("url"))
     urls = base.select("url").distinct().select("url", F.concat(host_of(F.col("url")), path_of(F.col("url"))).alias("target"))
-    index = rule_index(urls, rules)
+    index = rule_index(urls, table, small)
     found = urls.select("url", "target", F.explode(_tokens(F.col("target"))).alias("token"))
-    found = found.join(F.broadcast(index) if len(rules) <= BROADCAST_RULES else index, "token")
-    found = found.filter(F.rlike(F.col("target"), F.col("pattern")))
+    found = found.join(F.broadcast(index) if small else index, "token").filter(F.rlike(F.col("target"), F.col("pattern")))
     best = found.groupBy("url").agg(
         F.max(F.when(F.col("site"), F.struct("length", "rule", "action"))).alias("site"),
         F.min(F.when(~F.col("site"), F.struct("rule", "action"))).alias("word"),
     )
     judged = base.join(best, "url", "left")
     return judged.select(
-        *own, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("site.rule").alias("rule"),
+        "row.*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("site.rule").alias("rule"),
         F.coalesce("site.action", "word.action", F.lit(default)).alias("verdict"), F.col("word.rule").alias("word_rule"),
     )
