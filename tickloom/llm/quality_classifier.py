@@ -182,3 +182,14 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
             )
 
     return docs.mapInArrow(score, schema)
+
+
+def accepted(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The documents with score >= 0.5, with their own columns, whatever their names."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            s = model.scores(np.stack([features(t) for t in texts(batch)]))
+            yield batch.filter(pa.array(s >= 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
