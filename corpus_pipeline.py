@@ -20,8 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with nothing to learn from the model knows no difference and all stay.
     """
     model = quality_classifier.train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_classifier.score_quality(docs.select(F.struct(*_all(docs)).alias("row"), "text"), model)
-    return scored.filter("predicted = 1").select("row.*")
+    return quality_classifier.accepted(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
