@@ -66,7 +66,10 @@ class DigestIndex:
                 f"CREATE TABLE {self.table} (digest BINARY, keep_id {id_type}, keep_chars BIGINT, batch STRING) USING parquet PARTITIONED BY (batch) "
                 f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
             )
-            self.spark.catalog.recoverPartitions(self.table)
+            context = self.spark.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(path)
+            self.spark.catalog.recoverPartitions(self.table)  # an index that is there already
             self.ready = True
 
     def others(self, batch: str) -> DataFrame:
@@ -88,8 +91,9 @@ class DigestIndex:
         fresh = hold.write(groups.join(others, "digest", "left_anti").withColumn("new", F.lit(True)), "fresh")
         seen = groups.join(others, "digest").select("digest", F.col("known_id").alias("keep_id"), "keep_chars", "group_size", F.lit(False).alias("new"))
         judged = hold.write(fresh.unionByName(seen), "judged")
-        put = fresh.select("digest", "keep_id", "keep_chars", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
-        put.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table, overwrite=True)
+        put = fresh.select("digest", "keep_id", "keep_chars").repartition(self.buckets, "digest")
+        # a given partition is overwritten by itself, whatever the session's overwrite mode
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (batch = :batch) SELECT * FROM {{put}}", args={"batch": batch}, put=put)
         hold.drop(groups, fresh)
         return judged
 
