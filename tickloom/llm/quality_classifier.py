@@ -186,10 +186,12 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 def accepted(docs: DataFrame, model: QualityModel) -> DataFrame:
     """The documents with score >= 0.5, with their own columns, whatever their names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            s = model.scores(np.stack([features(t) for t in texts(batch)]))
+            text = batch.column("row").field("text").to_pylist()
+            s = model.scores(np.stack([features(t or "") for t in text]))
             yield batch.filter(pa.array(s >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return rows.mapInArrow(keep, rows.schema).select("row.*")
