@@ -17,6 +17,12 @@ CHECKED = (
     "gap_watchlist", "ag1_minute_to_daily", "ag21_daily_quality", "wn7_streaks", "wn11_ema", "wn13_percentile_score", "e2_gap_up", "e4_parabolic", "e7_first_red_day",
     "ev5_fuse_watchlist", "br2_dollar_bars", "br6_imbalance_bars", "br7_imbalance_reset", "lb2_triple_barrier", "wt1_concurrency", "wt2_sample_weights", "ds3_walk_forward",
     "sd1_sd2_merge", "jn1_asof_dim_join", "jn6_event_window_join", "st_co1_spearman", "st_mi2_mutual_info", "qc1_inventory", "qc4_label_logic",
+    "fp7_price_bins", "fp7_cap_bins", "tk3_topn_snapshots", "tk6_stratified_pick", "jn1_asof_overlapping", "jn14_pti_universe", "jn15_filings_coverage", "ag22_imputed_cap", "st_ed1_window_grid",
+    "st_mi3_mi_by_relative_day", "st_ed4_window_score", "br4_dollar_bars_multi_day", "br5_volume_bars_multi_day", "io1_read_parquet_tree", "io3_read_delimited", "io4_vendor_json", "io5_write_partitioned",
+    "io8_write_csv_topk", "nr3_normalize_minute", "nr3_normalize_daily", "nr4_normalize_trades", "nr5_normalize_quotes", "nr6_flatten_financials", "nr7_ticker_events", "nr8_parse_filings", "nr10_short_volume",
+    "nr11_fails", "nr12_vendor_bars", "nr13_clean_splits", "nr14_clean_dividends", "nr15_normalize_snapshot", "nr16_ensure_columns", "qc5_weight_stats", "qc6_point_in_time", "qc7_filings_coverage",
+    "qc11_events_lineage", "qc15_cache_checks", "qc16_recompute", "qc19_weights_sanity", "qc21_split_ratios", "qc24_watchlist_consistency", "sd4_shares_coalesce", "st1_stream_ticks", "st2_stream_minute_bars",
+    "st3_stream_dedup", "st3_merge_newest", "st4_stream_triggers", "st5_stream_dollar_bars", "st6_stream_spike", "st7_eod_update",
 )
 
 
@@ -97,15 +103,45 @@ def test_zscore_of_a_constant_is_zero(spark):
     assert {r.x_z for r in windows.rolling_zscore(df, "x").collect()} == {0.0}
 
 
+def test_overlapping_spans_of_a_dimension(spark):
+    """A newer, shorter span that has ended gives way to the older one still in force."""
+    spans = [(0, None, 5.0), (2, 4, 9.0), (3, 3, 1.0), (8, 10, None), (9, None, 7.0)]
+    dim = spark.createDataFrame([("A", day(a), b and day(b), c) for a, b, c in spans] + [("B", day(1), day(2), 1.0), ("B", day(2), day(3), 2.0)], "ticker string, effective_from date, effective_to date, market_cap double")
+    daily = spark.createDataFrame([(t, day(i)) for t in "AB" for i in range(12)], "ticker string, trading_day date")
+    got = {(r.ticker, r.trading_day): r.market_cap_d for r in joins.asof_dim_join(daily, dim).collect()}
+    assert [got["A", day(i)] for i in range(12)] == [5.0, 5.0, 9.0, 9.0, 5.0, 5.0, 5.0, 5.0, None, 7.0, 7.0, 7.0]
+    assert [got["B", day(i)] for i in range(4)] == [None, 1.0, 2.0, None]
+
+
 def test_vendor_shapes(spark):
+    bar = '"open": "1", "high": "2", "low": "0.5", "close": "1.5", "volume": "10"'
     shapes = {
-        "keyed": '{"series": {"t1": {"1. open": "1", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "10"}}}',
-        "values": '{"values": [{"datetime": "t1", "open": "1", "high": "2", "low": "0.5", "close": "1.5", "volume": "10"}]}',
-        "results": '{"results": [{"t": 1, "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10}]}', "array": '[{"date": "t1", "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10}]',
+        "alphavantage": ('{"Time Series (1min)": {"t1": {"1. open": "1", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "10"}}}', "t1"),
+        "twelvedata": ('{"values": [{"datetime": "t1", %s}]}' % bar, "t1"), "polygon": ('{"results": [{"t": 1704067200000001000, "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10}]}', "2024-01-01 00:00:00.000001Z"),
+        "fmp": ('[{"date": "t1", %s}]' % bar, "t1"), "another": ('{"data": [{"time": "t1", %s}]}' % bar, "t1"),
     }
-    for vendor, text in shapes.items():
-        row = io.vendor_bars(spark.createDataFrame([(text,)], "value string"), vendor).collect()[0]
-        assert (row.o, row.h, row.l, row.c, row.v) == (1.0, 2.0, 0.5, 1.5, 10.0)
+    for vendor, (text, ts) in shapes.items():
+        row = io.vendor_bars(spark.createDataFrame([(text,), ("{}",), (None,)], "value string"), vendor).collect()[0]
+        assert (row.ts, *[float(row[c]) for c in "ohlcv"]) == (ts, 1.0, 2.0, 0.5, 1.5, 10.0)
+
+
+def test_multi_day_bars_in_any_batches(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    part = pd.DataFrame({"t_raw": np.arange(400), "p": rng.integers(1, 9, 400).astype(float), "s": rng.integers(1, 20, 400)})
+    size = part["s"].to_numpy(np.int64)
+    whole, end = bars.extend_bars(None, part, size, 90, part["p"].to_numpy() * size)
+    for step in (1, 7, 399):
+        carry, pieces = None, []
+        for at in range(0, 400, step):
+            cut = part.iloc[at : at + step]
+            closed, carry = bars.extend_bars(carry, cut, cut["s"].to_numpy(np.int64), 90, cut["p"].to_numpy() * cut["s"].to_numpy())
+            pieces.append(closed)
+        pieces = [p for p in pieces if len(p)]
+        pd.testing.assert_frame_equal(pd.concat(pieces).reset_index(drop=True)[list(bars.OPEN[:11])], whole.reset_index(drop=True)[list(bars.OPEN[:11])], check_dtype=False)
+        assert carry == end
 
 
 def test_filings_and_skipped_hours(spark):
@@ -116,6 +152,18 @@ def test_filings_and_skipped_hours(spark):
     times = spark.createDataFrame([("2024-03-10 02:30:00", "1", "1", "1", "1", "x"), ("2024-03-11 10:00:00", "1", "1", "1", "1", "5")], "ts string, o string, h string, l string, c string, v string")
     rows = normalize.normalize_vendor_bars(times).collect()
     assert len(rows) == 1 and rows[0].volume == 5 and rows[0].t == dt.datetime(2024, 3, 11, 14, 0)
+    # an hour that the zone has twice is ambiguous, the hours around it are not; a time with its zone is what it says
+    hours = [("2024-11-03 00:59:00", 4), ("2024-11-03 01:30:00", None), ("2024-11-03 02:00:00", 7), ("2024-11-03 01:30:00Z", 1), ("nonsense", None)]
+    times = spark.createDataFrame([(t, "1", "1", "1", "1", "5") for t, _ in hours], "ts string, o string, h string, l string, c string, v string")
+    assert sorted(r.t.hour for r in normalize.normalize_vendor_bars(times).collect()) == sorted(h for _, h in hours if h is not None)
+
+
+def test_synonyms_keep_other_columns(spark):
+    frame = spark.createDataFrame([("20240105", "X", 5, 3.5, "q")], "`Settlement Date` string, Ticker string, Fails long, `Last Price` double, note string")
+    row = normalize.normalize_ftd(frame).first().asDict()
+    assert row == {"settlement_date": "2024-01-05", "symbol": "X", "quantity_fails": 5.0, "price": 3.5, "note": "q"}
+    row = normalize.normalize_short_volume(spark.createDataFrame([("d", 1.0, "z")], "date string, shortsalevolume double, note string")).first().asDict()
+    assert row == {"tradeDate": "d", "shortVolume": 1.0, "note": "z", "symbol": None, "totalVolume": None}
 
 
 def test_repeated_events_need_no_window(spark):

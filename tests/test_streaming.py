@@ -1,8 +1,9 @@
 """Streaming jobs give what the batch operators give on the same files."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tickloom.operators import bars
 from tickloom.plans import adapters
 from tickloom.streaming import jobs
 
@@ -23,8 +24,66 @@ def test_minute_bars_of_a_stream(spark, tmp_path):
     assert got == {(r.ticker, r.minute, r.o, r.c, r.n) for r in want.collect()}
 
 
-def test_spike_and_dedup_plans(spark, tmp_path):
-    adapters.ticks(spark, SF).select("ticker", "date", "seq", "t_raw", "p", "s", F.col("ts").cast("timestamp").alias("ts")).write.parquet(f"{tmp_path}/in")
-    ticks = jobs.stream_ticks(spark, f"{tmp_path}/in")
-    assert jobs.stream_spike(ticks).isStreaming and jobs.stream_dedup(ticks, ["ticker", "seq"]).isStreaming
-    assert bars.tick_rule(spark.read.parquet(f"{tmp_path}/in")).filter("sign not in (-1, 0, 1)").count() == 0
+def landed(spark, folder, rows):
+    """Rows appended to a landing folder as one more file."""
+    frame = spark.createDataFrame(rows, "ticker string, date date, seq long, t_raw long, p double, s long").withColumn("ts", F.timestamp_micros("t_raw"))
+    frame.coalesce(1).write.mode("append").parquet(folder)
+
+
+def tick(seq, minutes, p, s=10, day=1):
+    start = int(dt.datetime(2024, 1, day, 14, tzinfo=dt.timezone.utc).timestamp())
+    return ("A", dt.date(2024, 1, day), seq, (start + minutes * 60) * 10**6, float(p), s)
+
+
+def test_dollar_bars_over_batches_with_tail_and_late_rows(spark, tmp_path):
+    inbox, out, ck = (f"{tmp_path}/{n}" for n in ("in", "out", "ck"))
+
+    def run():
+        with jobs.state_store(spark):
+            jobs.run_once(jobs.stream_dollar_bars(jobs.stream_ticks(spark, inbox), 250.0), out, ck)
+        return sorted((r.date.day, r.bar_no, r.o, r.c, r.n) for r in spark.read.schema(jobs.BARS).parquet(out).collect())
+
+    landed(spark, inbox, [tick(2, 1, 11), tick(1, 0, 10), tick(3, 2, 12)])
+    assert run() == [(1, 0, 10.0, 12.0, 3)]
+    landed(spark, inbox, [tick(4, 30, 20)])  # an open bar
+    assert run() == [(1, 0, 10.0, 12.0, 3)]
+    landed(spark, inbox, [tick(5, 31, 21), tick(6, 0, 99)])  # the second is later than the watermark and has no part
+    assert run() == [(1, 0, 10.0, 12.0, 3), (1, 1, 20.0, 21.0, 2)]
+    landed(spark, inbox, [tick(7, 32, 5)])
+    run()
+    landed(spark, inbox, [tick(8, 0, 1, day=3)])  # the first day is over: its tail goes out
+    landed(spark, inbox, [tick(9, 1, 1, day=3)])
+    assert (1, 2, 5.0, 5.0, 1) in run()
+
+
+def test_newest_rows_over_batches(spark, tmp_path):
+    inbox, out, ck = (f"{tmp_path}/{n}" for n in ("in", "out", "ck"))
+
+    def run():
+        jobs.merge_newest(jobs.stream_ticks(spark, inbox), out, ["ticker", "date"], ck, ["t_raw", "seq"]).awaitTermination()
+        return {(r.ticker, r.date.day): r.p for r in jobs.newest_version(spark, out).collect()}
+
+    landed(spark, inbox, [tick(1, 5, 1), tick(2, 7, 2), tick(3, 6, 3)])
+    assert run() == {("A", 1): 2.0}
+    landed(spark, inbox, [tick(4, 6, 4), tick(5, 0, 5, day=2)])  # the older row of a later batch doesn't win
+    assert run() == {("A", 1): 2.0, ("A", 2): 5.0}
+    landed(spark, inbox, [tick(6, 8, 6)])
+    assert run() == {("A", 1): 6.0, ("A", 2): 5.0}
+
+
+def test_days_are_appended_with_their_features(spark, tmp_path):
+    from tickloom.operators.windows import cache_features
+
+    days = adapters.daily_li(spark, SF).select("ticker", F.col("date").alias("trading_day"), F.col("c").alias("close_d"), F.col("v").alias("vol_d")).cache()
+    cut = dt.date(1998, 6, 30)
+    inbox, out, ck = (f"{tmp_path}/{n}" for n in ("in", "out", "ck"))
+    for part in (days.filter(F.col("trading_day") <= cut), days.filter(F.col("trading_day") > cut)):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        jobs.eod_update(jobs.stream_ticks(spark, inbox, days.schema), out, ck).awaitTermination()
+    key = lambda r: (r.ticker, r.trading_day)
+    got = {key(r): r for r in spark.read.parquet(out).collect()}
+    want = {key(r): r for r in cache_features(days).collect()}
+    assert got.keys() == want.keys()
+    for k, w in want.items():
+        for c in ("pctchg_d", "rvol30"):
+            assert (got[k][c] is None) == (w[c] is None) and (w[c] is None or abs(got[k][c] - w[c]) < 1e-9)

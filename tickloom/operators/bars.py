@@ -1,9 +1,10 @@
-"""Information bars. Rules that start anew at a threshold run in a grouped kernel per ticker-day (or per
-ticker, where a bar may span days); the tick rule and the running variant are plain windows."""
+"""Information bars. Rules that start anew at a threshold run in a grouped kernel per ticker-day; bars that
+run over days go through a ticker's ticks in order and hold the open bar only; the tick rule and the running
+variant are plain windows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -58,20 +59,22 @@ def signed_reset_ids(sign: np.ndarray, size: np.ndarray, threshold: float) -> np
     return out
 
 
-def _bars(ticks: DataFrame, keys: tuple[str, ...], ids: Callable[[pd.DataFrame], np.ndarray]) -> DataFrame:
-    """Finished bars of ticks (ticker, date, t_raw, seq, p, s) under the numbers that ids() gives."""
-    schema = T.StructType([ticks.schema[k] for k in keys] + T._parse_datatype_string(BAR_FIELDS).fields)
+def _bars(ticks: DataFrame, keys: tuple[str, ...], ids: Callable[[pd.DataFrame], np.ndarray], signed: bool = False) -> DataFrame:
+    """Finished bars of ticks (ticker, date, t_raw, seq, p, s) under the numbers that ids() gives; signed adds imbalance."""
+    fields = BAR_FIELDS + (", imbalance double" if signed else "")
+    schema = T.StructType([ticks.schema[k] for k in keys] + T._parse_datatype_string(fields).fields)
     cents = "cents" in ticks.columns
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(list(ORDER), kind="stable").reset_index(drop=True)
         p, s = part["p"].to_numpy(float), part["s"].to_numpy(np.int64)
         dollar = part["cents"].to_numpy(np.int64) * s if cents else p * s
-        part = part.assign(bar_no=ids(part), dollar=dollar, sign=signs(p))
+        part = part.assign(bar_no=ids(part), dollar=dollar, sign=signs(p), signed=dollar * signs(p))
         g = part.groupby("bar_no", sort=True)
         out = pd.DataFrame({
             "t_open": g["t_raw"].first(), "t_close": g["t_raw"].last(), "o": g["p"].first(), "h": g["p"].max(), "l": g["p"].min(), "c": g["p"].last(),
             "v": g["s"].sum(), "n": g.size(), "dollar": g["dollar"].sum() / (100 if cents else 1), "imbalance_score": g["sign"].mean(),
+            "imbalance": g["signed"].sum() / (100 if cents else 1),
         }).reset_index()
         for k in keys:
             out[k] = part[k].iloc[0]
@@ -90,25 +93,88 @@ def _scale(ticks: DataFrame, target: float) -> float:
     return target * 100 if "cents" in ticks.columns else target
 
 
-def dollar_bars(ticks: DataFrame, target: float = 300_000, span: str = "day") -> DataFrame:
-    """Bars of equal dollar volume; the closing tick belongs to the bar, the tail is kept.
+OPEN = ("bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n", "dollar", "signs", "size", "last_p")
 
-    span 'ticker' lets bars run over days: a group is then a ticker's whole history.
+
+def extend_bars(carry: tuple | None, part: pd.DataFrame, size: np.ndarray, limit: float, dollar: np.ndarray) -> tuple[pd.DataFrame, tuple]:
+    """Go on with the open bar of `carry` (fields OPEN; None at the start) through the ordered ticks of part.
+
+    Gives the bars that they close and the bar then open, whose n is 0 where the last tick closed one.
     """
+    p, held = part["p"].to_numpy(float), carry is not None and carry[8] > 0
+    first, last_p = (carry[0], carry[12]) if carry else (0, p[0])
+    if held:
+        size = size.copy()
+        size[0] += carry[11]
+    ticks = pd.DataFrame({
+        "bar_no": reset_bars(size, limit) + first, "t": part["t_raw"].to_numpy(), "p": p, "s": part["s"].to_numpy(np.int64), "dollar": dollar,
+        "sign": np.sign(np.diff(p, prepend=last_p)), "size": size,
+    })
+    g = ticks.groupby("bar_no", sort=True)
+    bars = pd.DataFrame({
+        "t_open": g["t"].first(), "t_close": g["t"].last(), "o": g["p"].first(), "h": g["p"].max(), "l": g["p"].min(), "c": g["p"].last(),
+        "v": g["s"].sum(), "n": g.size(), "dollar": g["dollar"].sum(), "signs": g["sign"].sum(), "size": g["size"].sum(),
+    }).reset_index()
+    if held:
+        for column, value in zip(OPEN, carry):
+            if column in ("t_open", "o"):
+                bars.loc[0, column] = value
+            elif column in ("v", "n", "dollar", "signs"):
+                bars.loc[0, column] += value
+        bars.loc[0, "h"], bars.loc[0, "l"] = max(bars.loc[0, "h"], carry[4]), min(bars.loc[0, "l"], carry[5])
+    tail = bars.iloc[-1]
+    if tail["size"] >= limit:
+        return bars, (int(tail["bar_no"]) + 1, *[0] * 11, float(p[-1]))
+    kept = tuple(type(v)(tail[c]) for c, v in zip(OPEN[:-1], (0, 0, 0, 0.0, 0.0, 0.0, 0.0, 0, 0, 0.0, 0.0, 0.0)))
+    return bars.iloc[:-1], (*kept, float(p[-1]))
+
+
+def _bars_over_days(ticks: DataFrame, limit: float, by_volume: bool) -> DataFrame:
+    """Bars that run over days: a ticker's ticks go through one task in order, of which only the open bar is held."""
+    schema = T.StructType([ticks.schema["ticker"]] + T._parse_datatype_string(BAR_FIELDS).fields)
+    scale = 100 if "cents" in ticks.columns else 1
+
+    def rows(ticker, bars: pd.DataFrame) -> pd.DataFrame:
+        out = bars.assign(ticker=ticker, imbalance_score=bars["signs"] / bars["n"], dollar=bars["dollar"] / scale)
+        return out[[f.name for f in schema]]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, carry = None, None
+        for frame in frames:
+            name = frame["ticker"].to_numpy()
+            starts = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1, [len(name)])) if len(name) else [0]
+            for a, b in zip(starts[:-1], starts[1:]):
+                if name[a] != key:
+                    if carry and carry[8]:
+                        yield rows(key, pd.DataFrame([carry], columns=OPEN))
+                    key, carry = name[a], None
+                part = frame.iloc[a:b]
+                size = part["s"].to_numpy(np.int64) if by_volume else _money(part)
+                closed, carry = extend_bars(carry, part, size, limit, _money(part))
+                yield rows(key, closed)
+        if carry and carry[8]:
+            yield rows(key, pd.DataFrame([carry], columns=OPEN))
+
+    needed = ["ticker", "t_raw", "seq", "p", "s", *(["cents"] if "cents" in ticks.columns else [])]
+    return ticks.select(*needed).repartition("ticker").sortWithinPartitions("ticker", *ORDER).mapInPandas(run, schema)
+
+
+def dollar_bars(ticks: DataFrame, target: float = 300_000) -> DataFrame:
+    """Bars of equal dollar volume; the closing tick belongs to the bar, the tail of a day is kept."""
     limit = _scale(ticks, target)
-    return _bars(ticks, ("ticker", "date") if span == "day" else ("ticker",), lambda part: reset_bars(_money(part), limit))
+    return _bars(ticks, ("ticker", "date"), lambda part: reset_bars(_money(part), limit))
 
 
-def volume_bars(ticks: DataFrame, target: float = 100_000, span: str = "day") -> DataFrame:
-    return _bars(ticks, ("ticker", "date") if span == "day" else ("ticker",), lambda part: reset_bars(part["s"].to_numpy(np.int64), target))
+def volume_bars(ticks: DataFrame, target: float = 100_000) -> DataFrame:
+    return _bars(ticks, ("ticker", "date"), lambda part: reset_bars(part["s"].to_numpy(np.int64), target))
 
 
 def dollar_bars_multi_day(ticks: DataFrame, target: float = 50_000) -> DataFrame:
-    return dollar_bars(ticks, target, "ticker")
+    return _bars_over_days(ticks, _scale(ticks, target), False)
 
 
 def volume_bars_multi_day(ticks: DataFrame, target: float = 50_000) -> DataFrame:
-    return volume_bars(ticks, target, "ticker")
+    return _bars_over_days(ticks, target, True)
 
 
 def imbalance_bars(ticks: DataFrame, kind: str = "dollar", target: float = 50_000, alpha: float = 0.2, span: str = "day") -> DataFrame:
@@ -123,10 +189,10 @@ def imbalance_bars(ticks: DataFrame, kind: str = "dollar", target: float = 50_00
 
 
 def imbalance_bars_reset(ticks: DataFrame, threshold: float = 250_000) -> DataFrame:
-    """Bars that end where the signed dollar sum reaches the threshold; with vwap and tick count."""
+    """Bars that end where the signed dollar sum (imbalance) reaches the threshold; with vwap and tick count."""
     limit = _scale(ticks, threshold)
-    bars = _bars(ticks, ("ticker", "date"), lambda part: signed_reset_ids(signs(part["p"].to_numpy(float)), _money(part), limit))
-    return bars.withColumn("vwap", ratio(F.col("dollar"), F.col("v")))
+    bars = _bars(ticks, ("ticker", "date"), lambda part: signed_reset_ids(signs(part["p"].to_numpy(float)), _money(part), limit), signed=True)
+    return bars.withColumn("vwap", F.coalesce(ratio(F.col("dollar"), F.col("v")), F.col("c")))
 
 
 def imbalance_bars_running(ticks: DataFrame, threshold: float = 250_000) -> DataFrame:

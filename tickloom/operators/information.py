@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.expressions import binned, by, ratio
 
 #: Candidate windows (days before, days after).
-WINDOWS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 3))
+WINDOWS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 2), (2, 3), (3, 3))
 
 
 def equal_width_bin(df: DataFrame, x: str, bins: int = 10, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -89,32 +89,33 @@ def window_grid(joined: DataFrame, windows=WINDOWS) -> DataFrame:
 def weighted_edge(df: DataFrame, keys: list[str], threshold: float = 0.5) -> DataFrame:
     """Weighted mean return where the probability reaches the threshold."""
     taken = F.col("prob") >= threshold
-    return df.groupBy(*keys).agg(
-        ratio(F.sum(F.when(taken, F.col("ret_at_outcome") * F.col("weight"))), F.sum(F.when(taken, F.col("weight")))).alias("edge"), F.count("*").alias("n_bars")
-    )
+    edge = ratio(F.sum(F.when(taken, F.col("ret_at_outcome") * F.col("weight"))), F.sum(F.when(taken, F.col("weight"))))
+    return df.groupBy(*keys).agg(edge.alias("edge"), F.count("*").alias("n_bars"))
 
 
 def window_model(df: DataFrame, features: list[str], least_rows: int = 100, holdout: float = 0.0, seed: int = 42, trees: int = 100, depth: int = 5) -> DataFrame:
-    """Boosted trees on label > 0: one row with auc, edge and n_bars; null scores below least_rows.
+    """Boosted trees on label > 0: one row with auc, edge, n_bars and n_days; null scores below least_rows.
 
-    Scores are on the training rows unless holdout gives the share of rows kept apart.
+    Rows with a null feature, label, return or weight take no part. Without a row at or above the
+    probability the edge is 0. Scores are on the training rows unless holdout gives the share kept apart.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    data = df.withColumn("y", (F.col("label") > 0).cast("double"))
-    n, kinds = data.agg(F.count("*"), F.countDistinct("y")).first()
+    data = df.dropna(subset=[*features, "label", "ret_at_outcome", "weight"]).withColumn("y", (F.col("label") > 0).cast("double"))
+    n, kinds, days = data.agg(F.count("*"), F.countDistinct("y"), F.countDistinct("ticker", "date")).first()
+    counts = (F.lit(n).cast("long").alias("n_bars"), F.lit(days).cast("long").alias("n_days"))
     if n < least_rows or kinds < 2:
-        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("auc"), F.lit(None).cast("double").alias("edge"), F.lit(n).cast("long").alias("n_bars"))
+        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("auc"), F.lit(None).cast("double").alias("edge"), *counts)
     data = VectorAssembler(inputCols=features, outputCol="x", handleInvalid="keep").transform(data)
     apart = F.pmod(F.xxhash64("ticker", "date", "bar_no", F.lit(seed)), F.lit(1000)) < int(1000 * holdout)
     train, test = (data.filter(~apart), data.filter(apart)) if holdout else (data, data)
     model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, seed=seed).fit(train)
     scored = model.transform(test).withColumn("prob", vector_to_array("probability")[1])
     auc = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction", weightCol="weight").evaluate(scored)
-    return weighted_edge(scored, []).select(F.lit(float(auc)).alias("auc"), "edge", "n_bars")
+    return weighted_edge(scored, []).select(F.lit(float(auc)).alias("auc"), F.coalesce("edge", F.lit(0.0)).alias("edge"), *counts)
 
 
 def window_score(results: DataFrame) -> DataFrame:

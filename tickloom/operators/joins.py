@@ -7,19 +7,45 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.expressions import by
 
 
-def asof_dim_join(daily: DataFrame, dim: DataFrame, day: str = "trading_day") -> DataFrame:
-    """The cap in force on each day: from <= day < to, of several the latest from; days without one stay.
+END = "2099-12-31"
+
+
+def in_force(dim: DataFrame) -> DataFrame:
+    """dim (ticker, effective_from, effective_to, ...) as changes: ticker, at_, dim_ (the row in force from then on, or null).
 
-    The dimension's changes and the days are merged into one stream by (ticker, date), where a day looks
-    back to the last change: one shuffle, no range join. A change that has ended counts as none.
+    Of several rows in force the one with the latest start counts. Rows are first put into islands
+    whose spans overlap, by a running maximum of ends; only rows of one island meet, so that a
+    dimension without overlaps is gone through once.
     """
-    names = daily.columns
-    days = daily.select("ticker", F.col(day).alias("at_"), F.lit(1).alias("kind_"), F.struct(*names).alias("row_"))
-    changes = dim.select("ticker", F.col("effective_from").alias("at_"), F.lit(0).alias("kind_"), F.struct("effective_from", "effective_to", "market_cap").alias("dim_"))
-    w = by("ticker", "at_", "kind_").rowsBetween(Window.unboundedPreceding, 0)
-    rows = days.unionByName(changes, allowMissingColumns=True).withColumn("last_", F.last("dim_", ignorenulls=True).over(w)).filter("kind_ = 1")
-    open_ = F.col("last_.effective_to").isNull() | (F.col("at_") < F.col("last_.effective_to"))
-    return rows.select("row_.*", F.when(open_, F.col("last_.market_cap")).alias("market_cap_d"))
+    names = dim.columns
+    rows = dim.select("ticker", F.col("effective_from").alias("from_"), F.coalesce("effective_to", F.lit(END).cast("date")).alias("to_"), F.struct(*names).alias("dim_")).filter("from_ < to_")
+    w = by("ticker", "from_", "to_")
+    new = F.coalesce(F.max("to_").over(w.rowsBetween(Window.unboundedPreceding, -1)) <= F.col("from_"), F.lit(True))
+    rows = rows.withColumn("new_", new.cast("int")).withColumn("island_", F.sum("new_").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    points = rows.select("ticker", "island_", F.explode(F.array("from_", "to_")).alias("at_")).distinct()
+    # an island's last end comes with the next one's start where they touch
+    held = points.join(rows, ["ticker", "island_"], "left").filter("from_ <= at_ and at_ <= to_")
+    open_ = F.when(F.col("at_") < F.col("to_"), F.struct("from_", "to_", "dim_"))
+    changes = held.groupBy("ticker", "island_", "at_").agg(F.max_by(open_, F.when(open_.isNotNull(), F.struct("from_", "to_"))).alias("r"))
+    return changes.groupBy("ticker", "at_").agg(F.max_by("r", F.struct(F.col("r").isNotNull(), "island_")).alias("r")).select("ticker", "at_", F.col("r.dim_").alias("dim_"))
+
+
+def days_in_force(daily: DataFrame, dim: DataFrame, day: str) -> DataFrame:
+    """row_ (the day's columns) and dim_ (the dimension's row in force on it, or null).
+
+    Changes and days are merged into one stream by (ticker, date), where a day looks back to the last
+    change: one shuffle, no range join.
+    """
+    days = daily.select("ticker", F.col(day).alias("at_"), F.lit(1).alias("kind_"), F.struct(*daily.columns).alias("row_"))
+    changes = in_force(dim).select("ticker", "at_", F.lit(0).alias("kind_"), F.struct("dim_").alias("change_"))
+    last = F.last("change_", ignorenulls=True).over(by("ticker", "at_", "kind_").rowsBetween(Window.unboundedPreceding, 0))
+    return days.unionByName(changes, allowMissingColumns=True).withColumn("last_", last).filter("kind_ = 1").select("row_", F.col("last_.dim_").alias("dim_"))
+
+
+def asof_dim_join(daily: DataFrame, dim: DataFrame, day: str = "trading_day") -> DataFrame:
+    """The cap in force on each day: from <= day < to, of several the latest from; days without one stay."""
+    rows = days_in_force(daily, dim.select("ticker", "effective_from", "effective_to", "market_cap"), day)
+    return rows.select("row_.*", F.col("dim_.market_cap").alias("market_cap_d"))
 
 
 def latest_dim_join(df: DataFrame, dim: DataFrame) -> DataFrame:
@@ -106,20 +132,32 @@ def consensus_bars(sources: DataFrame, price: str = "c", times: float = 3.0) ->
     )
 
 
-def pti_universe_check(watchlist: DataFrame, cache: DataFrame, rvol: float = 2.0, change: float = 0.15) -> DataFrame:
-    """Watchlist rows that the cache of that day does not bear out, with the reasons."""
-    both = watchlist.select("ticker", "date").join(cache.withColumnRenamed("trading_day", "date"), ["ticker", "date"], "left")
-    reasons = F.filter(
-        F.array(
-            F.when(F.col("close_d").isNull(), "no cache row"), F.when(F.coalesce(F.col("rvol30"), F.lit(0.0)) < rvol, "rvol"),
-            F.when(F.coalesce(F.abs("pctchg_d"), F.lit(0.0)) < change, "change"),
-        ),
-        lambda r: r.isNotNull(),
-    )
-    return both.select("ticker", "date", reasons.alias("reasons")).filter(F.size("reasons") > 0)
+#: Bounds of the point-in-time universe, its exchanges, and the forms that dilute.
+PTI = {"mc_max": 2e9, "float_max": 1e8, "pmin": 0.5, "pmax": 20.0, "volmin": 5e5, "chgmin": 0.15}
+PTI_EXCHANGES = ("NASDAQ", "NYSE", "NYSE MKT", "AMEX")
+DILUTING_FORMS = ("S-3", "424B", "ATM", "PIPE")
+
 
+def pti_universe_check(watchlist: DataFrame, cache: DataFrame, given: dict | None = None, exchanges=PTI_EXCHANGES) -> DataFrame:
+    """Watchlist rows that the cache of that day does not bear out, with the reasons.
 
-def filings_coverage(filings: DataFrame, cache: DataFrame, forms=("S-3", "424B5", "ATM", "PIPE")) -> DataFrame:
+    cache: ticker, date, close, volume, pct_chg, shares_out, float_est, exchange; a null counts as 0 or
+    as no exchange. The capitalisation is close times shares.
+    """
+    t = PTI | (given or {})
+    both = watchlist.select("ticker", "date").distinct().join(cache.withColumn("known_", F.lit(True)), ["ticker", "date"], "left")
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    cap, close = zero("close") * zero("shares_out"), zero("close")
+    holds = {
+        "market_cap": cap <= t["mc_max"], "float": zero("float_est") <= t["float_max"], "price": close.between(t["pmin"], t["pmax"]),
+        "volume": zero("volume") >= t["volmin"], "change": F.abs(zero("pct_chg")) >= t["chgmin"], "exchange": F.coalesce("exchange", F.lit("")).isin(*exchanges),
+    }
+    broken = F.filter(F.array(*[F.when(~ok, name) for name, ok in holds.items()]), lambda r: r.isNotNull())
+    reasons = F.when(F.col("known_").isNull(), F.array(F.lit("missing daily_cache"))).otherwise(broken)
+    return both.select("ticker", "date", F.when(F.col("known_"), cap).alias("market_cap"), reasons.alias("reasons")).filter(F.size("reasons") > 0)
+
+
+def filings_coverage(filings: DataFrame, cache: DataFrame, forms=DILUTING_FORMS) -> DataFrame:
     """Filing days without a daily row."""
     days = filings.filter(F.col("form").isin(*forms)).select("ticker", F.col("filing_date").alias("trading_day"), "form").distinct()
     return days.join(cache.select("ticker", "trading_day"), ["ticker", "trading_day"], "left_anti")
@@ -129,13 +167,11 @@ def imputed_cap(dim: DataFrame, daily: DataFrame, least_days: int = 5, fallback_
     """Caps of a dimension; null ones by the median of close times shares over the days in force, or, with too
     few such days, over the ticker's last rows."""
     spans = dim.select("ticker", "effective_from", "effective_to", "market_cap", "shares_outstanding")
-    # each day goes to the spans that start up to it, through the same merged stream as asof_dim_join
-    inside = spans.join(daily.select("ticker", "date", "c"), "ticker", "left").filter((F.col("date") >= F.col("effective_from")) & (F.coalesce(F.col("effective_to"), F.lit("2099-12-31").cast("date")) > F.col("date")))
-    medians = inside.groupBy("ticker", "effective_from").agg(F.percentile(F.col("c") * F.col("shares_outstanding"), 0.5).alias("m"), F.count("*").alias("k"))
+    inside = days_in_force(daily.select("ticker", "date", "c"), spans, "date").filter("dim_ is not null")
+    inside = inside.select("dim_.ticker", "dim_.effective_from", (F.col("row_.c") * F.col("dim_.shares_outstanding")).alias("value"))
+    medians = inside.groupBy("ticker", "effective_from").agg(F.percentile("value", 0.5).alias("m"), F.count("*").alias("k"))
     last = daily.withColumn("r", F.row_number().over(by("ticker", F.col("date").desc()))).filter(F.col("r") <= fallback_rows)
     last = last.groupBy("ticker").agg(F.percentile("c", 0.5).alias("last_c"))
     out = spans.join(medians, ["ticker", "effective_from"], "left").join(last, "ticker", "left")
     guess = F.when(F.coalesce("k", F.lit(0)) >= least_days, F.col("m")).otherwise(F.col("last_c") * F.col("shares_outstanding"))
     return out.select("ticker", "effective_from", "effective_to", F.coalesce("market_cap", guess).alias("market_cap"), "shares_outstanding", F.col("market_cap").isNull().alias("imputed"))
-
-

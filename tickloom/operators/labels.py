@@ -6,9 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
+from tickloom.functions.ordering import row_index
 from tickloom.functions.expressions import by, ratio
 from tickloom.operators.windows import ema_values
-from tickloom.session import materialise
 
 KEYS = ("ticker", "date")
 
@@ -148,20 +148,6 @@ def global_dataset(parts: list[DataFrame]) -> DataFrame:
     return whole.withColumn("label", F.coalesce("label", F.lit(0))).withColumn("weight", F.coalesce("weight", F.lit(1.0)))
 
 
-def row_index(df: DataFrame, *order: str, partitions: int = 64) -> DataFrame:
-    """df with idx, its exact place in the given order, without a window over one partition.
-
-    Rows are range-partitioned and written; the counts of the ranges, one row each, give their offsets.
-    """
-    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("part_", F.spark_partition_id())
-    ranged = materialise(ranged, "ranges")
-    counts = ranged.groupBy("part_").agg(F.count("*").alias("k"))
-    before = F.coalesce(F.sum("k").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = F.broadcast(counts.select("part_", before.alias("before")))  # as many rows as partitions
-    inside = F.row_number().over(Window.partitionBy("part_").orderBy(*order))
-    return ranged.withColumn("inside", inside).join(offsets, "part_").withColumn("idx", F.col("before") + F.col("inside") - 1).drop("part_", "before", "inside")
-
-
 def walk_forward_split(df: DataFrame, folds: int = 5, purge: int = 50, order=("anchor_ts", "ticker", "date", "bar_no"), drop_overlap: bool = False) -> DataFrame:
     """df with idx and part: train up to the last fold less the purged rows, valid from there on."""
     indexed = row_index(df, *order)

@@ -108,8 +108,8 @@ def aggregation_check(minutes: DataFrame, daily: DataFrame, tolerance: float = 1
     return a.join(b, KEYS).filter(off).select(*KEYS)
 
 
-def cache_checks(cache: DataFrame, minutes: DataFrame, session_minutes: int = 390, tolerance: float = 0.01) -> DataFrame:
-    """Per ticker: days against weekdays of its range, days whose volume is not the minutes', wrong gap flags."""
+def cache_checks(cache: DataFrame, minutes: DataFrame, session_minutes: int = 390, tolerance: float = 0.01, coverage: float = 0.05) -> DataFrame:
+    """Per ticker: days against weekdays of its range (5 % allowed), days whose volume is not the minutes', wrong gap flags."""
     volume = minutes.groupBy("ticker", F.col("date").alias("trading_day")).agg(F.sum("v").alias("minute_v"))
     rows = cache.join(volume, ["ticker", "trading_day"], "left")
     out = rows.groupBy("ticker").agg(
@@ -118,7 +118,9 @@ def cache_checks(cache: DataFrame, minutes: DataFrame, session_minutes: int = 39
         F.count_if(F.col("has_gaps") != (F.col("session_rows") < session_minutes)).alias("bad_flags"),
     )
     weekdays = F.size(F.filter(F.sequence("first", "last"), lambda d: F.weekday(d) < 5))
-    return out.select("ticker", "days", weekdays.alias("weekdays"), "bad_volume", "bad_flags")
+    out = out.select("ticker", "days", weekdays.cast("long").alias("weekdays"), "bad_volume", "bad_flags")
+    out = out.withColumn("coverage_ok", F.abs(ratio(F.col("days") * 1.0, F.col("weekdays")) - 1) <= coverage)
+    return out.withColumn("ok", F.col("coverage_ok") & (F.col("bad_volume") == 0) & (F.col("bad_flags") == 0))
 
 
 def recompute_features(cache: DataFrame, tolerance: float = 1e-4) -> DataFrame:
@@ -189,5 +191,21 @@ def verdict(checks: DataFrame) -> DataFrame:
     return checks.agg(F.count("*").alias("checks"), F.count_if(~F.col("ok")).alias("failed"), F.bool_and("ok").alias("all_ok")).select("checks", "failed", F.when(F.col("all_ok"), "GO").otherwise("NO-GO").alias("verdict"))
 
 
-def point_in_time(watchlist: DataFrame, cache: DataFrame, **options) -> DataFrame:
-    return joins.pti_universe_check(watchlist, cache, **options)
+def point_in_time(watchlist: DataFrame, cache: DataFrame, given: dict | None = None) -> DataFrame:
+    """Watchlist rows checked and borne out by the cache of their day; ok if all are and there are any."""
+    broken = joins.pti_universe_check(watchlist, cache, given).agg(F.count("*").alias("broken"))
+    total = watchlist.select("ticker", "date").distinct().agg(F.count("*").alias("checked"))
+    out = total.join(F.broadcast(broken))  # one row
+    return out.select("checked", (F.col("checked") - F.col("broken")).alias("passed"), ((F.col("broken") == 0) & (F.col("checked") > 0)).alias("ok"))
+
+
+def filings_covered(filings: DataFrame, cache: DataFrame, forms=joins.DILUTING_FORMS) -> DataFrame:
+    """Days with diluting filings, those without a daily row, and whether there are none."""
+    asked = filings.filter(F.col("form").isin(*forms)).select("ticker", "filing_date", "form").distinct().agg(F.count("*").alias("checked"))
+    return asked.join(F.broadcast(joins.filings_coverage(filings, cache, forms).agg(F.count("*").alias("missing")))).withColumn("ok", F.col("missing") == 0)  # one row
+
+
+def lineage(events: DataFrame, bars: DataFrame) -> DataFrame:
+    """Events, those whose anchor is no bar's close, and whether there are none."""
+    total = events.agg(F.count("*").alias("checked"))
+    return total.join(F.broadcast(joins.events_lineage(events, bars).agg(F.count("*").alias("orphans")))).withColumn("ok", F.col("orphans") == 0)  # one row

@@ -65,19 +65,29 @@ def date_window(df: DataFrame, first, last, date: str = "date") -> DataFrame:
 
 
 def bins(df: DataFrame, column: str, edges: list[float], labels: list[str], out: str = "bin") -> DataFrame:
-    """Rows per labelled range; labels has one more entry than edges, null goes to 'unknown'."""
-    chain = F.when(F.col(column).isNull(), "unknown")
+    """Rows per labelled range, each below its edge; labels has one more entry than edges, its last one for the rest."""
+    chain = F.when(F.lit(False), labels[-1])
     for e, label in zip(edges, labels, strict=False):
         chain = chain.when(F.col(column) < e, label)
     return df.groupBy(chain.otherwise(labels[-1]).alias(out)).agg(F.count("*").alias("n"))
 
 
+#: Ranges of price and market capitalisation, with their names.
+PRICE_EDGES, TOP_PRICE = (0.50, 1.00, 5.00, 10.00), 20.00
+PRICE_LABELS = ("$0.20-$0.50 (penny)", "$0.50-$1.00", "$1.00-$5.00", "$5.00-$10.00", "$10.00-$20.00", ">$20.00 (ERROR!)")
+CAP_EDGES = (50_000_000, 300_000_000, 2_000_000_000, 10_000_000_000)
+CAP_LABELS = ("< $50M (Nano)", "$50M-$300M (Micro)", "$300M-$2B (Small)", "$2B-$10B (Mid)", "> $10B (Large)")
+
+
 def price_bins(df: DataFrame, column: str = "close_d") -> DataFrame:
-    return bins(df, column, [1.0, 5.0, 10.0, 20.0], ["below 1", "1 to 5", "5 to 10", "10 to 20", "from 20"])
+    """Rows per range of price; the highest price allowed belongs to the range below it, null to the last."""
+    above = F.when(F.col(column) == TOP_PRICE, PRICE_EDGES[-1]).otherwise(F.col(column))
+    return bins(df.select(above.alias("price_")), "price_", [*PRICE_EDGES, TOP_PRICE], list(PRICE_LABELS))
 
 
 def cap_bins(df: DataFrame, column: str = "market_cap") -> DataFrame:
-    return bins(df, column, [50e6, 300e6, 2e9], ["nano", "micro", "small", "large"])
+    """Rows per range of market capitalisation, of those that have one."""
+    return bins(df.filter(F.col(column).isNotNull()), column, list(CAP_EDGES), list(CAP_LABELS))
 
 
 def topn_12m(cache: DataFrame, rows: int = 252, k: int = 1000) -> DataFrame:
@@ -93,10 +103,14 @@ def topn_asof(cache: DataFrame, asof: str, k: int = 100, days: int = 252) -> Dat
 
 
 def topn_snapshots(cache: DataFrame, asofs: DataFrame, k: int = 100, days: int = 252) -> DataFrame:
-    """Rankings for all dates of asofs in one join: each row counts for the dates it is within reach of."""
-    asofs = F.broadcast(asofs.select(F.col("asof").cast("date")).distinct())  # a calendar: a row per date asked for
-    inside = (F.col("trading_day") > F.date_add("asof", -days)) & (F.col("trading_day") <= F.col("asof"))
-    sums = cache.join(asofs, inside).groupBy("asof", "ticker").agg(F.coalesce(F.sum(F.col("info_rich").cast("int")), F.lit(0)).alias("days_rich"), F.max("trading_day").alias("last_seen"))
+    """Rankings for all dates of asofs at once: each row counts for the dates that lie up to `days` days after it.
+
+    The dates are exploded to the days that they reach back to, so that the join is on equal days.
+    """
+    asofs = asofs.select(F.col("asof").cast("date")).distinct()
+    reach = asofs.select("asof", F.explode(F.sequence(F.date_add("asof", 1 - days), F.col("asof"))).alias("trading_day"))
+    daily = cache.groupBy("ticker", "trading_day").agg(F.coalesce(F.sum(F.col("info_rich").cast("int")), F.lit(0)).alias("rich"))
+    sums = daily.join(reach, "trading_day").groupBy("asof", "ticker").agg(F.sum("rich").alias("days_rich"), F.max("trading_day").alias("last_seen"))
     rank = F.row_number().over(by("asof", F.desc("days_rich"), F.desc("last_seen"), "ticker"))
     return sums.withColumn("rank", rank).filter(F.col("rank") <= k)
 
@@ -122,7 +136,7 @@ def stratified_pick(activity: DataFrame, picks: dict[str, int] | None = None) ->
     picks = picks or {"high": 20, "mid": 20, "low": 10}
     cuts = activity.agg(F.percentile("n_days", F.array(F.lit(0.33), F.lit(0.67))).alias("q"))
     rows = activity.join(F.broadcast(cuts))  # one row
-    stratum = F.when(F.col("n_days") >= F.col("q")[1], "high").when(F.col("n_days") >= F.col("q")[0], "mid").otherwise("low")
+    stratum = F.when(F.col("n_days") > F.col("q")[1], "high").when(F.col("n_days") > F.col("q")[0], "mid").otherwise("low")
     rows = rows.withColumn("stratum", stratum).drop("q")
     rows = rows.withColumn("rank", F.row_number().over(by("stratum", F.desc("diversity"), "ticker")))
     return rows.filter(reduce(lambda a, b: a | b, [(F.col("stratum") == s) & (F.col("rank") <= n) for s, n in picks.items()]))

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
+from tickloom.functions.ordering import running
 from tickloom.functions.expressions import by, full_window, price_change, ratio, run_length
 
 
@@ -99,14 +100,14 @@ def scd_next(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn("effective_to", F.lead("as_of").over(by("ticker", "as_of")))
 
 
-def percentile_score(df: DataFrame, weights: dict[str, float], heavy: float = 80.0, medium: float = 50.0) -> DataFrame:
+def percentile_score(df: DataFrame, weights: dict[str, float], heavy: float = 70.0, medium: float = 40.0) -> DataFrame:
     """Rank percentiles of the columns, their weighted sum and its class. Ranks are taken through counts per
-    value, so only the distinct values of a column are ordered together."""
+    value and a running sum over ranges of values, so no task sees all of them."""
     total = df.agg(F.count("*").alias("total_"))
     for x in weights:
         counts = df.groupBy(x).agg(F.count("*").alias("k"))
-        upto = F.sum("k").over(Window.orderBy(x).rangeBetween(Window.unboundedPreceding, 0))
-        df = df.join(counts.select(F.col(x).alias("v_"), upto.alias("upto")), F.col(x) == F.col("v_"), "left").drop("v_").withColumnRenamed("upto", f"upto_{x}")
+        upto = running(counts, [x], "k", "below").select(F.col(x).alias("v_"), (F.col("below") + F.col("k")).alias(f"upto_{x}"))
+        df = df.join(upto, F.col(x) == F.col("v_"), "left").drop("v_")
     df = df.join(F.broadcast(total))  # one row
     rank = {x: F.when(F.col("total_") > 1, (F.col(f"upto_{x}") - 1) * 100.0 / (F.col("total_") - 1)).otherwise(100.0) for x in weights}
     df = df.withColumns({f"pct_{x}": r for x, r in rank.items()})

@@ -53,6 +53,12 @@ def snapshots(spark: SparkSession, d: str) -> DataFrame:
     return caps.select("ticker", "as_of", F.when(F.col("k") % 7 != 0, F.col("cap")).alias("market_cap"), (F.col("k") % 5).cast("double").alias("shares_outstanding"))
 
 
+def customer_caps(spark: SparkSession, d: str, year: int) -> DataFrame:
+    """Caps and share counts of the customers with orders in a year."""
+    o = table(spark, d, "orders").filter(F.year("o_orderdate") == year)
+    return o.groupBy(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker")).agg(F.floor(F.max("o_totalprice") / 100_000).cast("double").alias("market_cap"), F.count("*").cast("double").alias("shares_outstanding"))
+
+
 def cap_dim(spark: SparkSession, d: str) -> DataFrame:
     return scd2_from_snapshots(snapshots(spark, d))
 
@@ -74,14 +80,26 @@ def universe(spark: SparkSession, d: str) -> DataFrame:
 
 
 def details(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").filter("c_custkey % 4 <> 0")
+    """Details of the customers in debt or with more than 1,000; the others have none."""
+    c = table(spark, d, "customer").filter("c_acctbal < 0 or c_acctbal > 1000")
     return c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal") * 1000).alias("market_cap"), F.col("c_custkey").cast("string").alias("cik"))
 
 
+def form_of(doc_id):
+    return F.element_at(F.array(*map(F.lit, ("S-3", "424B5", "8-K", "424B3", "424B"))), (doc_id % 5 + 1).cast("int"))
+
+
+def filing_day(doc_id):
+    return F.date_add(F.lit("1995-01-01").cast("date"), (doc_id % 2500).cast("int"))
+
+
+FORM_SQL = "['S-3', '424B5', '8-K', '424B3', '424B'][doc_id % 5 + 1]"
+FILING_DAY_SQL = "(DATE '1995-01-01' + (doc_id % 2500)::INT)"
+
+
 def filings(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    form = F.element_at(F.array(*map(F.lit, ("S-3", "424B5", "8-K", "424B3"))), (F.col("doc_id") % 4 + 1).cast("int"))
-    return docs.select(F.concat(F.lit("S"), (F.col("doc_id") % 10).cast("string")).alias("ticker"), form.alias("form"), F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") % 2500).cast("int")).alias("filing_date"))
+    return docs.select(F.concat(F.lit("S"), (F.col("doc_id") % 10).cast("string")).alias("ticker"), form_of(F.col("doc_id")).alias("form"), filing_day(F.col("doc_id")).alias("filing_date"))
 
 
 CTE = """WITH RECURSIVE ticks AS (SELECT 'T' || (user_id % 20) AS ticker, ts::DATE AS date, event_id AS seq, epoch_us(ts) AS t_raw, value AS p, 1 + event_id % 97 AS s, round(value * 100)::BIGINT AS cents, ts FROM events),
@@ -95,8 +113,8 @@ marked AS (SELECT *, row_number() OVER w = 1 OR market_cap IS DISTINCT FROM lag(
 cap_dim AS (SELECT ticker, as_of AS effective_from, coalesce(lead(as_of) OVER (PARTITION BY ticker ORDER BY as_of), DATE '2099-12-31') AS effective_to, market_cap, shares_outstanding FROM marked WHERE fresh),
 cache AS (SELECT ticker, date AS trading_day, c AS close_d, v AS vol_d, dollar AS dollar_vol_d, n AS session_rows, (c - lag(c) OVER w) / nullif(lag(c) OVER w, 0) AS pctchg_d, ln(c / nullif(lag(c) OVER w, 0)) AS return_d, v / nullif(avg(v) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 0) AS rvol30 FROM daily_li WINDOW w AS (PARTITION BY ticker ORDER BY date)),
 universe AS (SELECT 'C' || c_custkey AS ticker, CASE WHEN c_mktsegment = 'BUILDING' THEN 'CS' ELSE c_mktsegment END AS type, CASE WHEN c_nationkey % 2 = 0 THEN 'XNAS' ELSE 'XASE' END AS primary_exchange, c_acctbal > 0 AS active, c_name AS name FROM customer),
-details AS (SELECT 'C' || c_custkey AS ticker, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal * 1000 END AS market_cap, c_custkey::VARCHAR AS cik FROM customer WHERE c_custkey % 4 <> 0),
-filings AS (SELECT 'S' || (doc_id % 10) AS ticker, ['S-3', '424B5', '8-K', '424B3'][doc_id % 4 + 1] AS form, DATE '1995-01-01' + (doc_id % 2500)::INT AS filing_date FROM documents),
+details AS (SELECT 'C' || c_custkey AS ticker, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal * 1000 END AS market_cap, c_custkey::VARCHAR AS cik FROM customer WHERE c_acctbal < 0 OR c_acctbal > 1000),
+filings AS (SELECT 'S' || (doc_id % 10) AS ticker, {form} AS form, {filing_day} AS filing_date FROM documents),
 runs AS (SELECT *, row_number() OVER w AS r, lag(c) OVER w AS prev_c FROM {days} WINDOW w AS (PARTITION BY ticker ORDER BY date)),
 stops AS (SELECT *, r - coalesce(max(CASE WHEN NOT c > o THEN r END) OVER u, 0) AS green_run, r - coalesce(max(CASE WHEN NOT c < o THEN r END) OVER u, 0) AS red_run,
   v / nullif(CASE WHEN count(*) OVER f = 20 THEN avg(v) OVER f END, 0) AS rvol FROM runs WINDOW u AS (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY ticker ORDER BY date ROWS 19 PRECEDING)),
@@ -118,4 +136,4 @@ TARGET = 8000
 
 def sql(body: str, days: str = "daily") -> str:
     """A DuckDB query over the adapters; only what it names is computed."""
-    return CTE.replace("{days}", days).replace("{target}", str(TARGET)) + body
+    return CTE.replace("{days}", days).replace("{target}", str(TARGET)).replace("{form}", FORM_SQL).replace("{filing_day}", FILING_DAY_SQL) + body

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators import bars as B, daily as D, detectors as E, fusion as V, labels as L, reports as R, universe as U, windows as W
 from tickloom.plans import adapters as A
+from tickloom.session import materialise
 
 FUNCTIONS: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -82,8 +83,8 @@ query("wn13_percentile_score", lambda s, d: rounded(W.percentile_score(A.daily(s
 t AS (SELECT ticker, sum(n) AS ticks, sum(v) AS volume, sum(dollar) AS dollars FROM daily GROUP BY 1),
 p AS (SELECT a.ticker, (SELECT count(*) FROM t) AS k, (SELECT count(*) FROM t b WHERE b.ticks <= a.ticks) AS x, (SELECT count(*) FROM t b WHERE b.volume <= a.volume) AS y, (SELECT count(*) FROM t b WHERE b.dollars <= a.dollars) AS z FROM t a),
 q AS (SELECT ticker, ((x - 1) * 0.5 + (y - 1) * 0.3 + (z - 1) * 0.2) * 100.0 / (k - 1) AS score FROM p)
-SELECT ticker, round(score, 6) AS score, CASE WHEN round(score, 6) >= 80 THEN 'heavy' WHEN round(score, 6) >= 50 THEN 'medium' ELSE 'light' END AS class FROM q""")
-query("wn14_gap_days", lambda s, d: W.gap_days(A.daily_li(s, d).filter(F.dayofmonth("date") < 20)).select("ticker", "date", F.col("gap").cast("long").alias("gap")), "SELECT ticker, date, gap FROM (SELECT ticker, date, date - lag(date) OVER (PARTITION BY ticker ORDER BY date) AS gap FROM daily_li WHERE day(date) < 20) WHERE gap > 7")
+SELECT ticker, round(score, 6) AS score, CASE WHEN round(score, 6) >= 70 THEN 'heavy' WHEN round(score, 6) >= 40 THEN 'medium' ELSE 'light' END AS class FROM q""")
+query("wn14_gap_days", lambda s, d: W.gap_days(A.daily_li(s, d), 1).select("ticker", "date", F.col("gap").cast("long").alias("gap")), "SELECT ticker, date, gap FROM (SELECT ticker, date, date - lag(date) OVER (PARTITION BY ticker ORDER BY date) AS gap FROM daily_li) WHERE gap > 1")
 query("wn15_range_spike", lambda s, d: rounded(W.rolling_range_spike(A.minutes(s, d)).select("ticker", "date", "t", "spike_up", "spike_down"), 9), "SELECT ticker, date, t, round(max(h) OVER w / nullif(first(o) OVER w, 0) - 1, 9) AS spike_up, round(min(l) OVER w / nullif(first(o) OVER w, 0) - 1, 9) AS spike_down FROM minutes WINDOW w AS (PARTITION BY ticker, date ORDER BY t RANGE BETWEEN 7200000000 PRECEDING AND CURRENT ROW)")
 
 # ---- detectors (E0-E11, E13, EV*) -----------------------------------------------------------------
@@ -189,8 +190,10 @@ query("lb1_bar_vol_ema", lambda s, d: rounded(L.bar_vol(bars_of(s, d)).select("t
 e AS (SELECT ticker, date, bar_no, a AS x FROM vols WHERE bar_no = 0 UNION ALL SELECT b.ticker, b.date, b.bar_no, 2.0 / 51 * b.a + 49.0 / 51 * e.x FROM e JOIN vols b ON b.ticker = e.ticker AND b.date = e.date AND b.bar_no = e.bar_no + 1)
 SELECT ticker, date, bar_no, round(x, 6) AS vol FROM e""")
 query("lb2_triple_barrier", lambda s, d: rounded(labels_of(s, d)), f"SELECT ticker, date, bar_no, anchor_ts, end_bar, t1, pt_hit, sl_hit, label, {r('ret_at_outcome', 'vol_at_anchor')} FROM labels_")
-query("wt1_concurrency", lambda s, d: L.concurrency(labels_of(s, d)).select("ticker", "date", "bar_no", F.col("concurrency").cast("long").alias("concurrency")), "SELECT ticker, date, bar_no, concurrency FROM open_")
-query("wt2_sample_weights", lambda s, d: rounded(long_(L.sample_weights(labels_of(s, d)), "concurrency")), f"SELECT ticker, date, bar_no, anchor_ts, concurrency, {r('weight')} FROM weights_")
+stored_labels = lambda s, d: materialise(labels_of(s, d), "labels")  # noqa: E731  bars and labels are computed once, then read
+weights_of = lambda s, d: L.sample_weights(stored_labels(s, d))
+query("wt1_concurrency", lambda s, d: L.concurrency(stored_labels(s, d)).select("ticker", "date", "bar_no", F.col("concurrency").cast("long").alias("concurrency")), "SELECT ticker, date, bar_no, concurrency FROM open_")
+query("wt2_sample_weights", lambda s, d: rounded(long_(weights_of(s, d), "concurrency")), f"SELECT ticker, date, bar_no, anchor_ts, concurrency, {r('weight')} FROM weights_")
 query("wt3_time_decay", lambda s, d: rounded(L.time_decay(A.daily(s, d).select("ticker", "date"), 10.0)), "SELECT ticker, date, round(pow(0.5, (max(date) OVER (PARTITION BY ticker) - date) / 10.0), 6) AS decay FROM daily")
 query("br10_top_label", lambda s, d: rounded(B.top_label(labels_of(s, d))), "SELECT ticker, date, bar_no, label, round(ret_at_outcome, 6) AS ret_at_outcome FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY abs(ret_at_outcome) DESC, bar_no) AS k FROM labels_) WHERE k = 1")
 EMAS = [(x, n) for x, spans in L.EMA_SPANS.items() for n in spans]
@@ -204,14 +207,21 @@ query("ft1_bar_features", lambda s, d: rounded(L.bar_features(bars_of(s, d)), 4)
 
 
 def dataset(s, d):
-    labels = labels_of(s, d)
-    return L.build_dataset(bars_of(s, d), labels, L.sample_weights(labels))
+    """Bars and labels are written once; features, weights and the set read them."""
+    bars = materialise(bars_of(s, d), "bars")
+    labels = materialise(L.triple_barrier(L.bar_vol(bars, "sma")), "labels")
+    return L.build_dataset(bars, labels, L.sample_weights(labels))
+
+
+def twice(s, d):
+    whole = dataset(s, d)
+    return L.global_dataset([whole.filter("bar_no = 0").drop("weight"), whole.filter("bar_no > 0")])
 
 
 SMALL = ("ticker", "date", "bar_no", "anchor_ts", "label", "ret_1_ema10", "weight")
 query("ds1_build_dataset", lambda s, d: rounded(dataset(s, d).select(*SMALL), 5), FEATS + "SELECT ticker, date, bar_no, l.anchor_ts, label, round(ret_1_ema10, 5) AS ret_1_ema10, round(weight, 5) AS weight FROM labels_ l JOIN fe USING (ticker, date, bar_no) JOIN weights_ USING (ticker, date, bar_no)")
 query("jn3_assemble", lambda s, d: rounded(L.assemble(labels_of(s, d), L.bar_features(bars_of(s, d)), L.sample_weights(labels_of(s, d)).filter("bar_no > 0")).select("ticker", "date", "bar_no", "weight"), 5), "SELECT ticker, date, bar_no, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight FROM weights_")
-query("ds2_global_dataset", lambda s, d: L.global_dataset([dataset(s, d).filter("bar_no = 0").drop("weight"), dataset(s, d).filter("bar_no > 0")]).select("ticker", "date", "bar_no", "label", F.round("weight", 5).alias("weight")), "SELECT ticker, date, bar_no, label, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight FROM labels_ JOIN weights_ USING (ticker, date, bar_no)")
+query("ds2_global_dataset", lambda s, d: twice(s, d).select("ticker", "date", "bar_no", "label", F.round("weight", 5).alias("weight")), "SELECT ticker, date, bar_no, label, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight FROM labels_ JOIN weights_ USING (ticker, date, bar_no)")
 query("ds3_walk_forward", lambda s, d: L.walk_forward_split(labels_of(s, d)).select("ticker", "date", "bar_no", F.col("idx").cast("long").alias("idx"), "part"), """
 SELECT ticker, date, bar_no, idx, CASE WHEN idx < greatest(n * 4 // 5 - 50, 0) THEN 'train' WHEN idx >= n * 4 // 5 THEN 'valid' ELSE 'purged' END AS part FROM (SELECT *, row_number() OVER (ORDER BY anchor_ts, ticker, date, bar_no) - 1 AS idx, count(*) OVER () AS n FROM labels_)""")
 query("ds4_dataset_meta", lambda s, d: L.dataset_meta(L.walk_forward_split(labels_of(s, d)).withColumn("weight", F.lit(1.0))), """

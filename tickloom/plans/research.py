@@ -9,7 +9,8 @@ from tickloom.operators.fusion import duplicated_rows
 from tickloom.operators.labels import walk_forward_split
 from tickloom.operators.windows import forward_returns
 from tickloom.plans import adapters as A
-from tickloom.plans.market import WATCH, bars_of, found, labels_of, long_, query, rounded, watch
+from tickloom.plans.market import SHORT, WATCH, bars_of, found, labels_of, long_, query, rounded, watch
+from tickloom.session import materialise
 from tickloom.sources import io, normalize as N
 
 RICH = {"rvol": 1.2, "pctchg": 0.15, "dvol": 1e5, "max_price": 1e5}
@@ -24,7 +25,12 @@ query("fp3_info_rich", lambda s, d: rich(s, d).select("ticker", "trading_day", "
 query("fp4_filter_hits", lambda s, d: long_(U.filter_hits(A.cache_li(s, d), RICH).select("ticker", "trading_day", "num_filters", "combination"), "num_filters"), RICH_SQL + "SELECT ticker, trading_day, coalesce(r_rvol, false)::INT + coalesce(r_chg, false)::INT + coalesce(r_dvol, false)::INT + coalesce(r_px, false)::INT::BIGINT AS num_filters, concat_ws('+', CASE WHEN r_rvol THEN 'F1' END, CASE WHEN r_chg THEN 'F2' END, CASE WHEN r_dvol THEN 'F3' END, CASE WHEN r_px THEN 'F4' END) AS combination FROM rich")
 query("fp5_rth_filter", lambda s, d: U.rth_filter(A.ticks(s, d), tz=None).select("ticker", "seq"), "SELECT ticker, seq FROM ticks WHERE hour(ts) * 60 + minute(ts) BETWEEN 570 AND 960")
 query("fp6_date_window", lambda s, d: U.date_window(A.daily(s, d), "2024-01-05", "2024-01-12").select("ticker", "date"), "SELECT ticker, date FROM daily WHERE date BETWEEN '2024-01-05' AND '2024-01-12'")
-query("fp7_price_bins", lambda s, d: U.price_bins(A.daily(s, d), "c"), "SELECT CASE WHEN c < 1 THEN 'below 1' WHEN c < 5 THEN '1 to 5' WHEN c < 10 THEN '5 to 10' WHEN c < 20 THEN '10 to 20' ELSE 'from 20' END AS bin, count(*) AS n FROM daily GROUP BY 1")
+query("fp7_price_bins", lambda s, d: U.price_bins(A.daily(s, d).withColumn("c", F.col("c") / F.when(F.col("n") % 2 == 0, 100).otherwise(1)), "c"), """
+SELECT CASE WHEN x < 0.5 THEN '$0.20-$0.50 (penny)' WHEN x < 1 THEN '$0.50-$1.00' WHEN x < 5 THEN '$1.00-$5.00' WHEN x < 10 THEN '$5.00-$10.00' WHEN x <= 20 THEN '$10.00-$20.00' ELSE '>$20.00 (ERROR!)' END AS bin, count(*) AS n
+FROM (SELECT c / CASE WHEN n % 2 = 0 THEN 100 ELSE 1 END AS x FROM daily) GROUP BY 1""")
+query("fp7_cap_bins", lambda s, d: U.cap_bins(A.snapshots(s, d).withColumn("market_cap", F.col("market_cap") * 5e8)), """
+SELECT CASE WHEN x < 5e7 THEN '< $50M (Nano)' WHEN x < 3e8 THEN '$50M-$300M (Micro)' WHEN x < 2e9 THEN '$300M-$2B (Small)' WHEN x < 1e10 THEN '$2B-$10B (Mid)' ELSE '> $10B (Large)' END AS bin, count(*) AS n
+FROM (SELECT market_cap * 5e8 AS x FROM snapshots) WHERE x IS NOT NULL GROUP BY 1""")
 query("tk1_topn_12m", lambda s, d: U.topn_12m(rich(s, d).withColumn("info_rich", F.coalesce("info_rich", F.lit(False)))), RICH_SQL + "SELECT ticker, sum(coalesce(info_rich, false)::INT)::BIGINT AS days_rich, max(trading_day) AS last_seen FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trading_day DESC) AS k FROM rich) WHERE k <= 252 GROUP BY 1")
 TOP = 'SELECT "asof", ticker, sum(coalesce(info_rich, false)::INT)::BIGINT AS days_rich, max(trading_day) AS last_seen FROM {asofs} JOIN rich ON trading_day > "asof" - 252 AND trading_day <= "asof" GROUP BY 1, 2'
 RANKED = 'SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "asof" ORDER BY days_rich DESC, last_seen DESC, ticker) AS rank FROM ({top})) WHERE rank <= 5'
@@ -34,7 +40,7 @@ query("tk4_top_k", lambda s, d: U.top_k(A.filings(s, d), "form", 3), "SELECT for
 query("tk5_top_k_per_group", lambda s, d: long_(U.top_k_per_group(A.daily_li(s, d).withColumn("year", F.year("date").cast("long")).select("ticker", "year", "date", "v"), ["year"], [F.desc("v"), F.col("ticker"), F.col("date")], 5), "rank"), "SELECT ticker, year, date, v, rank FROM (SELECT ticker, year(date) AS year, date, v, row_number() OVER (PARTITION BY year(date) ORDER BY v DESC, ticker, date) AS rank FROM daily_li) WHERE rank <= 5")
 ACTIVITY = WATCH + ", act AS (SELECT a.*, u AS n_unique, u * ln(n_days) AS diversity FROM (SELECT ticker, count(*) AS n_days, sum(event_count)::BIGINT AS total_events, min(date) AS first_day, max(date) AS last_day FROM watch GROUP BY 1) a JOIN (SELECT ticker, count(DISTINCT event_type) AS u FROM ev GROUP BY 1) USING (ticker))\n"
 query("ag16_ticker_activity", lambda s, d: rounded(long_(R.ticker_activity(watch(s, d)), "span_days")), ACTIVITY + "SELECT ticker, n_days, total_events, first_day, last_day, n_unique, last_day - first_day AS span_days, round(diversity, 6) AS diversity FROM act")
-query("tk6_stratified_pick", lambda s, d: long_(U.stratified_pick(R.ticker_activity(watch(s, d)), {"high": 3, "mid": 3, "low": 2}).select("ticker", "stratum", "rank"), "rank"), ACTIVITY + "SELECT * FROM (SELECT ticker, stratum, row_number() OVER (PARTITION BY stratum ORDER BY diversity DESC, ticker) AS rank FROM (SELECT ticker, diversity, CASE WHEN n_days >= (SELECT quantile_cont(n_days, 0.67) FROM act) THEN 'high' WHEN n_days >= (SELECT quantile_cont(n_days, 0.33) FROM act) THEN 'mid' ELSE 'low' END AS stratum FROM act)) WHERE rank <= CASE stratum WHEN 'low' THEN 2 ELSE 3 END")
+query("tk6_stratified_pick", lambda s, d: long_(U.stratified_pick(R.ticker_activity(watch(s, d)), {"high": 3, "mid": 3, "low": 2}).select("ticker", "stratum", "rank"), "rank"), ACTIVITY + "SELECT * FROM (SELECT ticker, stratum, row_number() OVER (PARTITION BY stratum ORDER BY diversity DESC, ticker) AS rank FROM (SELECT ticker, diversity, CASE WHEN n_days > (SELECT quantile_cont(n_days, 0.67) FROM act) THEN 'high' WHEN n_days > (SELECT quantile_cont(n_days, 0.33) FROM act) THEN 'mid' ELSE 'low' END AS stratum FROM act)) WHERE rank <= CASE stratum WHEN 'low' THEN 2 ELSE 3 END")
 query("tk7_extremes", lambda s, d: U.extremes(A.daily(s, d), "v", ["ticker", "date"]), "(SELECT 'max' AS kind, ticker, date, v FROM daily ORDER BY v DESC, ticker, date LIMIT 1) UNION ALL (SELECT 'min', ticker, date, v FROM daily ORDER BY v, ticker, date LIMIT 1)")
 query("tk8_sample_n", lambda s, d: U.sample_n(A.daily(s, d), ["ticker", "date"], 100).select("ticker", "date"))
 query("so1_union_diagonal", lambda s, d: U.union_diagonal([A.details(s, d).select("ticker", "cik"), A.universe(s, d).select("ticker", "type")]), "SELECT ticker, cik, NULL AS type FROM details UNION ALL SELECT ticker, NULL, type FROM universe")
@@ -50,12 +56,18 @@ query("sd5_scd2_integrity", lambda s, d: S.scd2_integrity(A.cap_dim(s, d)), "SEL
 query("sd6_current_view", lambda s, d: S.current_view(A.cap_dim(s, d)), "SELECT * FROM cap_dim WHERE effective_to = DATE '2099-12-31'")
 query("sd6_as_of", lambda s, d: S.as_of(A.cap_dim(s, d), "1998-06-15"), "SELECT * FROM cap_dim WHERE effective_from <= DATE '1998-06-15' AND effective_to > DATE '1998-06-15'")
 query("sd1_sd2_merge", lambda s, d: long_(S.scd2_merge(
-    S.scd2_initial(A.snapshots(s, d).filter("as_of = date'1998-06-01'").withColumnRenamed("as_of", "snapshot_date")), A.snapshots(s, d).filter("as_of = date'1998-07-01' and ticker <> 'S3'"), "1998-07-01", ["market_cap", "shares_outstanding"], True), "version"), """,
-p AS (SELECT * FROM snapshots WHERE as_of = DATE '1998-06-01'), q AS (SELECT * FROM snapshots WHERE as_of = DATE '1998-07-01' AND ticker <> 'S3'),
+    S.scd2_initial(A.customer_caps(s, d, 1997).withColumn("snapshot_date", F.lit("1998-01-01"))), A.customer_caps(s, d, 1998), "1999-01-01", ["market_cap", "shares_outstanding"], True), "version"), """,
+p AS (SELECT 'C' || o_custkey AS ticker, floor(max(o_totalprice) / 100000) AS market_cap, count(*)::DOUBLE AS shares_outstanding FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1),
+q AS (SELECT 'C' || o_custkey AS ticker, floor(max(o_totalprice) / 100000) AS market_cap, count(*)::DOUBLE AS shares_outstanding FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1),
 b AS (SELECT p.ticker AS t, q.ticker AS u, p.market_cap AS pm, p.shares_outstanding AS ps, q.market_cap AS qm, q.shares_outstanding AS qs, p.market_cap IS NOT DISTINCT FROM q.market_cap AND p.shares_outstanding IS NOT DISTINCT FROM q.shares_outstanding AS same FROM p FULL JOIN q ON p.ticker = q.ticker)
-SELECT t AS ticker, pm AS market_cap, ps AS shares_outstanding, DATE '1998-06-01' AS effective_from, CASE WHEN u IS NULL OR NOT same THEN DATE '1998-07-01' END AS effective_to, 1::BIGINT AS version FROM b WHERE t IS NOT NULL
-UNION ALL SELECT u, qm, qs, DATE '1998-07-01', NULL, CASE WHEN t IS NULL THEN 1 ELSE 2 END FROM b WHERE u IS NOT NULL AND (t IS NULL OR NOT same)""")
+SELECT t AS ticker, pm AS market_cap, ps AS shares_outstanding, DATE '1998-01-01' AS effective_from, CASE WHEN u IS NULL OR NOT same THEN DATE '1999-01-01' END AS effective_to, 1::BIGINT AS version FROM b WHERE t IS NOT NULL
+UNION ALL SELECT u, qm, qs, DATE '1999-01-01', NULL, CASE WHEN t IS NULL THEN 1 ELSE 2 END FROM b WHERE u IS NOT NULL AND (t IS NULL OR NOT same)""")
 query("jn1_asof_dim_join", lambda s, d: J.asof_dim_join(A.cache_li(s, d).select("ticker", "trading_day"), A.cap_dim(s, d)), "SELECT a.ticker, trading_day, market_cap AS market_cap_d FROM cache a LEFT JOIN cap_dim b ON a.ticker = b.ticker AND effective_from <= trading_day AND trading_day < effective_to")
+lapped = lambda s, d: A.cap_dim(s, d).withColumn("effective_to", F.when(F.month("effective_from") % 3 == 0, F.date_add("effective_from", 10)).otherwise(F.date_add("effective_to", 100)))
+query("jn1_asof_overlapping", lambda s, d: J.asof_dim_join(A.cache_li(s, d).select("ticker", "trading_day"), lapped(s, d)), """,
+lapped AS (SELECT ticker, effective_from, CASE WHEN month(effective_from) % 3 = 0 THEN effective_from + 10 ELSE effective_to + 100 END AS effective_to, market_cap FROM cap_dim)
+SELECT ticker, trading_day, market_cap AS market_cap_d FROM (SELECT a.ticker, trading_day, market_cap, row_number() OVER (PARTITION BY a.ticker, trading_day ORDER BY effective_from DESC NULLS LAST) AS k
+  FROM cache a LEFT JOIN lapped b ON a.ticker = b.ticker AND effective_from <= trading_day AND trading_day < effective_to) WHERE k = 1""")
 query("jn2_latest_dim_join", lambda s, d: J.latest_dim_join(A.cache_li(s, d).select("ticker", "trading_day"), A.cap_dim(s, d)), "SELECT ticker, trading_day, (SELECT arg_max(market_cap, effective_from) FROM cap_dim b WHERE b.ticker = a.ticker AND market_cap IS NOT NULL) AS market_cap FROM cache a")
 query("jn4_events_lineage", lambda s, d: J.events_lineage(labels_of(s, d).select("ticker", (F.col("anchor_ts") + F.col("bar_no") % 2).alias("anchor_ts")), bars_of(s, d)), "SELECT ticker, anchor_ts + bar_no % 2 AS anchor_ts FROM labels_ a WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.ticker = a.ticker AND b.t_close = anchor_ts + bar_no % 2)")
 rets = lambda s, d: forward_returns(A.daily(s, d)).select("ticker", "date", *R.HORIZONS)
@@ -73,8 +85,15 @@ query("jn11_compare_bars", lambda s, d: rounded(J.compare_bars(ref(s, d), ours(s
 query("jn12_compare_daily", lambda s, d: J.compare_daily(A.daily(s, d).withColumn("c", F.col("c") * (1 + (F.col("n") % 2) / 100)), A.daily(s, d)).select("ticker", "date", "status"), "SELECT ticker, date, CASE WHEN n % 2 = 0 OR c = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM daily")
 three = lambda s, d: A.daily(s, d).select("ticker", "date", "c", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).select(F.concat(F.lit("v"), F.col("k").cast("string")).alias("source"), "ticker", "date", (F.col("c") + F.col("k") * F.col("k")).alias("c"))
 query("jn13_consensus_bars", lambda s, d: rounded(J.consensus_bars(three(s, d), times=2.5)), "SELECT ticker, date, round(c + 1, 6) AS median, 1.0 AS mad, 3::BIGINT AS n_sources, round(1 / 3, 6) AS outlier_share FROM daily")
-query("jn14_pti_universe", lambda s, d: J.pti_universe_check(A.filings(s, d).select("ticker", F.col("filing_date").alias("date")), A.cache_li(s, d)).select("ticker", "date", F.array_join("reasons", "+").alias("reasons")), "SELECT * FROM (SELECT f.ticker, filing_date AS date, concat_ws('+', CASE WHEN close_d IS NULL THEN 'no cache row' END, CASE WHEN coalesce(rvol30, 0) < 2 THEN 'rvol' END, CASE WHEN coalesce(abs(pctchg_d), 0) < 0.15 THEN 'change' END) AS reasons FROM filings f LEFT JOIN cache c ON c.ticker = f.ticker AND c.trading_day = f.filing_date) WHERE reasons <> ''")
-query("jn15_filings_coverage", lambda s, d: J.filings_coverage(A.filings(s, d), A.cache_li(s, d)), "SELECT DISTINCT ticker, filing_date AS trading_day, form FROM filings f WHERE form IN ('S-3', '424B5') AND NOT EXISTS (SELECT 1 FROM cache c WHERE c.ticker = f.ticker AND c.trading_day = f.filing_date)")
+PTI_GIVEN = {"mc_max": 1e6, "float_max": 60.0, "pmin": 900.0, "pmax": 1400.0, "volmin": 60.0, "chgmin": 0.10}  # about the data's own size
+exchange = lambda: F.when(F.col("ticker") < "S3", "NASDAQ").when(F.col("ticker") < "S6", "NYSE MKT").when(F.col("ticker") < "S8", "OTC")
+pti_cache = lambda s, d: A.cache_li(s, d).select("ticker", F.col("trading_day").alias("date"), F.col("close_d").alias("close"), F.col("vol_d").alias("volume"), F.col("pctchg_d").alias("pct_chg"), (F.col("session_rows") * 300).alias("shares_out"), (F.col("vol_d") / 2).alias("float_est"), exchange().alias("exchange"))
+PTI_SQL = """SELECT * FROM (SELECT f.ticker, f.date, CASE WHEN c.ticker IS NOT NULL THEN round(close_d * session_rows * 300, 6) END AS market_cap, CASE WHEN c.ticker IS NULL THEN 'missing daily_cache' ELSE concat_ws('+',
+  CASE WHEN close_d * session_rows * 300 > 1e6 THEN 'market_cap' END, CASE WHEN vol_d / 2 > 60 THEN 'float' END, CASE WHEN close_d < 900 OR close_d > 1400 THEN 'price' END, CASE WHEN vol_d < 60 THEN 'volume' END,
+  CASE WHEN coalesce(abs(pctchg_d), 0) < 0.10 THEN 'change' END, CASE WHEN NOT (f.ticker < 'S6') THEN 'exchange' END) END AS reasons
+FROM (SELECT DISTINCT ticker, filing_date AS date FROM filings) f LEFT JOIN cache c ON c.ticker = f.ticker AND c.trading_day = f.date) WHERE reasons <> ''"""
+query("jn14_pti_universe", lambda s, d: rounded(J.pti_universe_check(A.filings(s, d).select("ticker", F.col("filing_date").alias("date")), pti_cache(s, d), PTI_GIVEN).select("ticker", "date", "market_cap", F.array_join("reasons", "+").alias("reasons"))), PTI_SQL)
+query("jn15_filings_coverage", lambda s, d: J.filings_coverage(A.filings(s, d), A.cache_li(s, d)), "SELECT DISTINCT ticker, filing_date AS trading_day, form FROM filings f WHERE form IN ('S-3', '424B') AND NOT EXISTS (SELECT 1 FROM cache c WHERE c.ticker = f.ticker AND c.trading_day = f.filing_date)")
 query("ag22_imputed_cap", lambda s, d: rounded(J.imputed_cap(A.cap_dim(s, d), A.daily_li(s, d))), """,
 m AS (SELECT d.ticker, effective_from, median(c * shares_outstanding) AS m, count(*) AS k FROM cap_dim d JOIN daily_li b ON b.ticker = d.ticker AND b.date >= effective_from AND b.date < effective_to GROUP BY 1, 2),
 z AS (SELECT ticker, median(c) AS lc FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS q FROM daily_li) WHERE q <= 30 GROUP BY 1)
@@ -109,12 +128,31 @@ query("ag20_contingency_mi", lambda s, d: rounded(I.contingency_mi(two(s, d), "x
 query("st_mi1_equal_width_bin", lambda s, d: long_(I.equal_width_bin(A.daily(s, d), "v").select("ticker", "date", "v_bin"), "v_bin"), "SELECT ticker, date, greatest(0, least(9, ceil((v - lo) / ((hi - lo) / 10.0)) - 1))::BIGINT AS v_bin FROM daily, (SELECT min(v) AS lo, max(v) AS hi FROM daily)")
 query("st_mi4_normalized_mi", lambda s, d: rounded(I.normalized_mi(two(s, d), "x", "y")), CELLS + ", h AS (SELECT sum(k / t * ln(k * t / (kx * ky))) AS mi, -sum(k / t * ln(kx / t)) AS hx, -sum(k / t * ln(ky / t)) AS hy FROM gm) SELECT round(mi, 6) AS mi, round(hx, 6) AS hx, round(hy, 6) AS hy, round(mi / ((hx + hy) / 2), 6) AS nmi FROM h")
 query("st_mi2_mutual_info", lambda s, d: rounded(I.mutual_info(A.daily(s, d), ["v", "n"], "c")), ", u AS (SELECT 'v' AS f, v::DOUBLE AS x, c AS y FROM daily UNION ALL SELECT 'n', n, c FROM daily), b AS (SELECT f, greatest(0, least(9, ceil((x - min(x) OVER w) / ((max(x) OVER w - min(x) OVER w) / 10)) - 1)) AS x, greatest(0, least(9, ceil((y - min(y) OVER w) / ((max(y) OVER w - min(y) OVER w) / 10)) - 1)) AS y FROM u WINDOW w AS (PARTITION BY f)), c AS (SELECT f, x, y, count(*) AS k FROM b GROUP BY ALL), m AS (SELECT *, sum(k) OVER (PARTITION BY f, x) AS kx, sum(k) OVER (PARTITION BY f, y) AS ky, sum(k) OVER (PARTITION BY f) AS t FROM c) SELECT round(avg(mi), 6) AS mi, count(*) AS features FROM (SELECT f, sum(k / t * ln(k * t / (kx * ky))) AS mi FROM m GROUP BY 1)")
-mi3 = lambda s, d: I.mi_by_relative_day(found(s, d).select("ticker", "date", "event_type"), A.daily(s, d).select("ticker", "date", "v", "n"), A.daily(s, d), ["v", "n"])
-query("st_mi3_mi_by_relative_day", lambda s, d: rounded(long_(mi3(s, d), "rel_day")))
-query("st_mi5_suggest_window", lambda s, d: I.suggest_window(mi3(s, d)))
-query("st_mi6_mi_scale", lambda s, d: rounded(I.mi_scale(mi3(s, d))))
+
+
+def mi3(s, d):
+    days = materialise(A.daily(s, d), "days")
+    return I.mi_by_relative_day(E.detect_all(days, SHORT).select("ticker", "date", "event_type"), days.select("ticker", "date", "v", "n"), days, ["v", "n"])
+
+
+MI3 = WATCH + """,
+base AS (SELECT e.ticker, e.date, event_type, b.c / nullif(a.c, 0) - 1 AS ret FROM ev e JOIN daily a ON a.ticker = e.ticker AND a.date = e.date JOIN daily b ON b.ticker = e.ticker AND b.date = e.date + 3),
+rel AS (SELECT event_type, rel_day, ret, f.v, f.n FROM base, (SELECT unnest(range(-3, 4))::INT AS rel_day) JOIN daily f ON f.ticker = base.ticker AND f.date = base.date + rel_day),
+long AS (SELECT event_type, rel_day, 'v' AS f, v::DOUBLE AS x, ret AS y FROM rel WHERE ret IS NOT NULL UNION ALL SELECT event_type, rel_day, 'n', n, ret FROM rel WHERE ret IS NOT NULL),
+ranges AS (SELECT *, count(*) OVER g AS rows_, min(x) OVER g AS x0, max(x) OVER g AS x1, min(y) OVER g AS y0, max(y) OVER g AS y1 FROM long WINDOW g AS (PARTITION BY event_type, rel_day, f)),
+cut AS (SELECT event_type, rel_day, f, CASE WHEN x0 = x1 THEN 5 ELSE greatest(0, least(9, ceil((x - x0) / ((x1 - x0) / 10)) - 1)) END AS x, CASE WHEN y0 = y1 THEN 5 ELSE greatest(0, least(9, ceil((y - y0) / ((y1 - y0) / 10)) - 1)) END AS y FROM ranges WHERE rows_ > 10),
+cells AS (SELECT event_type, rel_day, f, x, y, count(*) AS k FROM cut GROUP BY ALL),
+margins AS (SELECT *, sum(k) OVER (PARTITION BY event_type, rel_day, f, x) AS kx, sum(k) OVER (PARTITION BY event_type, rel_day, f, y) AS ky, sum(k) OVER (PARTITION BY event_type, rel_day, f) AS t FROM cells),
+each AS (SELECT event_type, rel_day, f, greatest(0, sum(k / t * ln(k * t / (kx * ky)))) AS mi FROM margins GROUP BY 1, 2, 3),
+mean AS (SELECT event_type, rel_day, avg(mi) AS mi FROM each GROUP BY 1, 2),
+mi3 AS (SELECT event_type, rel_day::BIGINT AS rel_day, count(*) AS n_rows, CASE WHEN count(*) >= 50 THEN coalesce(any_value(mi), 0) ELSE 0 END AS mi FROM rel LEFT JOIN mean USING (event_type, rel_day) GROUP BY 1, 2),
+mi6 AS (SELECT *, coalesce(mi / nullif(max(mi) OVER (PARTITION BY event_type), 0), 0) AS nmi FROM mi3)
+"""
+query("st_mi3_mi_by_relative_day", lambda s, d: rounded(long_(mi3(s, d), "rel_day")), MI3 + "SELECT event_type, rel_day, n_rows, round(mi, 6) AS mi FROM mi3")
+query("st_mi5_suggest_window", lambda s, d: long_(long_(I.suggest_window(mi3(s, d)), "first_day"), "last_day"), MI3 + "SELECT event_type, min(rel_day) AS first_day, max(rel_day) AS last_day FROM mi6 WHERE nmi >= 0.1 GROUP BY 1")
+query("st_mi6_mi_scale", lambda s, d: rounded(long_(I.mi_scale(mi3(s, d)), "rel_day")), MI3 + "SELECT event_type, rel_day, n_rows, round(mi, 6) AS mi, round(nmi, 6) AS nmi FROM mi6")
 joined = lambda s, d: J.event_window_join(found(s, d), labels_of(s, d).drop("t1"))
-query("st_ed1_window_grid", lambda s, d: I.window_grid(joined(s, d)).groupBy("event_type", F.col("pre_days").cast("long").alias("pre_days"), F.col("post_days").cast("long").alias("post_days")).agg(F.count("*").alias("n")), WATCH + ", grid AS (" + " UNION ALL ".join(f"SELECT {a}::BIGINT AS pre_days, {b}::BIGINT AS post_days" for a, b in I.WINDOWS) + ") SELECT event_type, pre_days, post_days, count(*) AS n FROM ev e JOIN labels_ l ON l.ticker = e.ticker AND l.date BETWEEN e.date - 3 AND e.date + 3 JOIN grid ON l.date - e.date BETWEEN -pre_days AND post_days GROUP BY 1, 2, 3")
+query("st_ed1_window_grid", lambda s, d: I.window_grid(joined(s, d)).groupBy("event_type", F.col("pre_days").cast("long").alias("pre_days"), F.col("post_days").cast("long").alias("post_days")).agg(F.count("*").alias("n")), WATCH + ", grid(pre_days, post_days) AS (VALUES (0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 2), (2, 3), (3, 3)) SELECT event_type, pre_days::BIGINT AS pre_days, post_days::BIGINT AS post_days, count(*) AS n FROM ev e JOIN labels_ l ON l.ticker = e.ticker AND l.date BETWEEN e.date - 3 AND e.date + 3 JOIN grid ON l.date - e.date BETWEEN -pre_days AND post_days GROUP BY 1, 2, 3")
 query("st_ed3_weighted_edge", lambda s, d: rounded(I.weighted_edge(labels_of(s, d).withColumn("prob", (F.col("bar_no") % 2).cast("double")).withColumn("weight", F.lit(1.0) + F.col("bar_no")), ["ticker"])), "SELECT ticker, round(sum(ret_at_outcome * (1 + bar_no)) FILTER (bar_no % 2 = 1) / sum(1 + bar_no) FILTER (bar_no % 2 = 1), 6) AS edge, count(*) AS n_bars FROM labels_ GROUP BY 1")
 pairs = lambda s, d: A.daily(s, d).groupBy("ticker").agg(F.avg("v").alias("mi"), F.avg("c").alias("edge"))
 PAIRS = ", pr AS (SELECT ticker, avg(v) AS mi, avg(c) AS edge FROM daily GROUP BY 1), rk2 AS (SELECT *, rank() OVER (ORDER BY mi) + (count(*) OVER (PARTITION BY mi) - 1) / 2 AS a, rank() OVER (ORDER BY edge) + (count(*) OVER (PARTITION BY edge) - 1) / 2 AS b FROM pr)\n"

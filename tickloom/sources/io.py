@@ -36,26 +36,34 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, schem
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
+#: The members of the vendors' bars, in the order open, high, low, close, volume.
+KEYED = ("1. open", "2. high", "3. low", "4. close", "5. volume")
+NAMED = ("open", "high", "low", "close", "volume")
+SERIES = "$['Time Series (1min)']"
+
+
 def vendor_bars(df: DataFrame, vendor: str, column: str = "value") -> DataFrame:
-    """JSON documents of four shapes -> ts (string), o, h, l, c, v as the vendor gives them."""
+    """JSON documents -> ts, o, h, l, c, v as strings, as the vendor gives them; epoch times as ISO with zone.
+
+    alphavantage: {"Time Series (1min)": {time: {"1. open": ...}}}; twelvedata: {"values": [{"datetime" or
+    "date": ..., "open": ...}]}; polygon: {"results": [{"t": nanoseconds, "o": ...}]}; fmp: [{"date": ...,
+    "open": ...}]; any other: a list, or {"data": a list}, with timestamp, datetime, date or time.
+    A document of another shape gives no rows.
+    """
     j = F.col(column)
-    if vendor == "keyed":  # {"series": {time: {"1. open": ...}}}
-        rows = df.select(F.explode(F.from_json(F.get_json_object(j, "$.series"), "map<string, map<string, string>>")).alias("ts", "b"))
-        names = ("1. open", "2. high", "3. low", "4. close", "5. volume")
-        return rows.select("ts", *[F.col("b")[n].try_cast("double").alias(a) for n, a in zip(names, "ohlcv", strict=True)])
-    if vendor == "values":  # {"values": [{"datetime": ..., "open": "1"}]}
-        kind = "array<struct<datetime: string, open: string, high: string, low: string, close: string, volume: string>>"
-        rows = df.select(F.inline(F.from_json(F.get_json_object(j, "$.values"), kind)))
-        return rows.select(F.col("datetime").alias("ts"), *[F.col(n).try_cast("double").alias(n[0] if n != "volume" else "v") for n in ("open", "high", "low", "close", "volume")])
-    if vendor == "results":  # {"results": [{"t": ms, "o": ...}]}
-        rows = df.select(F.inline(F.from_json(F.get_json_object(j, "$.results"), f"array<struct<t: bigint, {_typed()}>>")))
-        return rows.select(F.col("t").cast("string").alias("ts"), *"ohlcv")
-    rows = df.select(F.inline(F.from_json(j, f"array<struct<date: string, {_typed()}>>")))  # [{"date": ..., "o": ...}]
-    return rows.select(F.col("date").alias("ts"), *"ohlcv")
-
-
-def _typed() -> str:
-    return ", ".join(f"{c}: double" for c in "ohlcv")
+    if vendor == "alphavantage":
+        rows = df.select(F.explode(F.from_json(F.get_json_object(j, SERIES), "map<string, map<string, string>>")).alias("ts", "b"))
+        return rows.select("ts", *[F.col("b")[n].alias(a) for n, a in zip(KEYED, "ohlcv", strict=True)])
+    if vendor == "polygon":
+        kind = "array<struct<t: bigint, " + ", ".join(f"{c}: string" for c in "ohlcv") + ">>"
+        rows = df.select(F.inline(F.from_json(F.get_json_object(j, "$.results"), kind)))
+        at = F.date_format(F.to_utc_timestamp(F.timestamp_micros(F.expr("t div 1000")), F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return rows.select(F.concat(at, F.lit("Z")).alias("ts"), *"ohlcv")
+    times = {"twelvedata": ("datetime", "date"), "fmp": ("date",)}.get(vendor, ("t", "timestamp", "datetime", "date", "time"))
+    kind = "array<struct<" + ", ".join(f"{c}: string" for c in (*times, *NAMED)) + ">>"
+    inner = {"twelvedata": F.get_json_object(j, "$.values"), "fmp": j}.get(vendor, F.coalesce(F.get_json_object(j, "$.data"), j))
+    rows = df.select(F.inline(F.from_json(inner, kind)))
+    return rows.select(F.coalesce(*times).alias("ts"), *[F.col(n).alias(a) for n, a in zip(NAMED, "ohlcv", strict=True)])
 
 
 def read_vendor_json(spark: SparkSession, path: str, vendor: str) -> DataFrame:

@@ -59,26 +59,52 @@ def normalize_quotes(df: DataFrame) -> DataFrame:
     )
 
 
-#: Statement fields, by statement.
+#: Where the vendor's nested statements hold each flat column.
+FINANCIAL_HEAD = ("cik", "fiscal_period", "fiscal_year", "start_date", "end_date", "filing_date", "acceptance_datetime")
 FINANCIALS = {
-    "income_statement": ("revenues", "cost_of_revenue", "gross_profit", "operating_expenses", "operating_income_loss", "net_income_loss", "basic_earnings_per_share", "diluted_earnings_per_share"),
-    "balance_sheet": ("assets", "current_assets", "liabilities", "current_liabilities", "equity", "long_term_debt", "inventory"),
-    "cash_flow_statement": ("net_cash_flow", "net_cash_flow_from_operating_activities", "net_cash_flow_from_investing_activities", "net_cash_flow_from_financing_activities"),
+    "net_cash_flow_operating": "cash_flow_statement.net_cash_flow_from_operating_activities",
+    "net_cash_flow_financing": "cash_flow_statement.net_cash_flow_from_financing_activities",
+    "net_cash_flow_investing": "cash_flow_statement.net_cash_flow_from_investing_activities",
+    "free_cash_flow": "cash_flow_statement.net_cash_flow",
+    "cash_and_equivalents": "balance_sheet.cash_and_cash_equivalents",
+    "total_assets": "balance_sheet.assets",
+    "current_assets": "balance_sheet.current_assets",
+    "current_liabilities": "balance_sheet.current_liabilities",
+    "total_debt": "balance_sheet.long_term_debt",
+    "stockholders_equity": "balance_sheet.equity",
+    "revenues": "income_statement.revenues",
+    "net_income": "income_statement.net_income_loss",
+    "operating_expenses": "income_statement.operating_expenses",
+    "rd_expenses": "income_statement.research_and_development_expenses",
+    "basic_eps": "comprehensive_income.basic_earnings_per_share",
+    "diluted_eps": "comprehensive_income.diluted_earnings_per_share",
+    "shares_outstanding": "comprehensive_income.basic_average_shares",
+    "shares_outstanding_diluted": "comprehensive_income.diluted_average_shares",
 }
 
 
 def flatten_financials(df: DataFrame, column: str = "json") -> DataFrame:
-    """Nested statements to flat columns, each the value of its field."""
-    head = ("start_date", "end_date", "filing_date", "fiscal_period", "fiscal_year")
-    fields = [F.get_json_object(column, f"$.financials.{s}.{f}.value").try_cast("double").alias(f) for s, names in FINANCIALS.items() for f in names]
-    return df.select("ticker", *[F.get_json_object(column, f"$.{h}").alias(h) for h in head], *fields)
+    """df (ticker, timeframe, json) -> 27 flat columns; each statement figure is the value member of its field."""
+    fields = [F.get_json_object(column, f"$.financials.{path}.value").try_cast("double").alias(name) for name, path in FINANCIALS.items()]
+    return df.select("ticker", *[F.get_json_object(column, f"$.{h}").alias(h) for h in FINANCIAL_HEAD], "timeframe", *fields)
+
+
+#: The flat columns of a company event, and the member of the event that holds each.
+EVENT_FIELDS = {
+    "event_id": "id", "event_type": "type", "date": "date", "name": "name", "cash_amount": "cash_amount", "declaration_date": "declaration_date",
+    "execution_date": "execution_date", "expiration_date": "expiration_date", "pay_date": "pay_date", "record_date": "record_date", "security_type": "security_type",
+}
 
 
 def flatten_ticker_events(df: DataFrame, column: str = "json") -> DataFrame:
-    """One row per event of a company; one with nulls where there is none."""
-    kind = "struct<name: string, events: array<struct<type: string, date: string, ticker_change: struct<ticker: string>>>>"
-    rows = df.select("ticker", F.from_json(column, kind).alias("r")).select("ticker", F.col("r.name").alias("name"), F.explode_outer("r.events").alias("e"))
-    return rows.select("ticker", "name", F.col("e.type").alias("type"), F.to_date("e.date").alias("date"), F.col("e.ticker_change.ticker").alias("new_ticker"))
+    """One row of 13 columns per event in events.results; companies without events have none. A missing ticker is empty."""
+    kinds = {"cash_amount": "double"}
+    members = ", ".join(f"{m}: {kinds.get(n, 'string')}" for n, m in EVENT_FIELDS.items())
+    kind = f"struct<ticker: string, events: struct<results: array<struct<{members}, ticker_change: struct<ticker: string>>>>>"
+    rows = df.select(F.from_json(column, kind).alias("r")).select(F.coalesce("r.ticker", F.lit("")).alias("ticker"), F.explode("r.events.results").alias("e"))
+    flat = {n: F.col(f"e.{m}") for n, m in EVENT_FIELDS.items()}
+    changed = F.col("e.ticker_change.ticker").alias("ticker_change_from")
+    return rows.select("ticker", *[flat[n].alias(n) for n in ("event_id", "event_type", "date")], changed, *[c.alias(n) for n, c in flat.items() if n not in ("event_id", "event_type", "date")])
 
 
 def parse_filings(df: DataFrame, first: str, last: str, forms: list[str], newest: int = 500, column: str = "json") -> DataFrame:
@@ -102,40 +128,77 @@ def keyword_flags(docs: DataFrame, patterns: dict[str, str], text: str = "text")
     return docs.withColumn("keyword_flags", F.to_json(F.map_filter(counts, lambda _, n: n > 0)))
 
 
-def _renamed(df: DataFrame, synonyms: dict[str, str], wanted: list[str]) -> DataFrame:
-    """Columns under their canonical names, found by lower-cased synonym; absent ones null."""
-    have: dict[str, str] = {}
+def _renamed(df: DataFrame, name_of) -> DataFrame:
+    """Columns under their canonical names, in place; of several with one name the first takes it, others stay as they are."""
+    taken, out = set(df.columns), []
+    used: set[str] = set()
     for c in df.columns:
-        name = synonyms.get(c.lower().replace(" ", "").replace("_", ""))
-        if name and name not in have:
-            have[name] = c
-    return df.select(*[(F.col(f"`{have[w]}`") if w in have else F.lit(None)).alias(w) for w in wanted])
+        name = name_of(c) or c
+        if name in used or (name != c and name in taken):
+            name = c
+        used.add(name)
+        out.append(F.col(f"`{c}`").alias(name))
+    return df.select(*out)
+
+
+#: What sources call the columns of short volume, in lower case.
+SHORT_VOLUME = {
+    "tradeDate": ("tradedate", "date", "settlementdate"), "symbol": ("symbol", "issuesymbol", "ticker"), "shortVolume": ("shortvolume", "short_sale_volume", "shortsalevolume"),
+    "shortExemptVolume": ("shortexemptvolume", "short_exempt_volume", "shortexempt"), "totalVolume": ("totalvolume", "total_volume", "volume"), "market": ("market", "exch", "exchange"),
+}
 
 
 def normalize_short_volume(df: DataFrame) -> DataFrame:
-    synonyms = {"date": "tradeDate", "tradedate": "tradeDate", "symbol": "symbol", "ticker": "symbol", "shortvolume": "shortVolume", "shortexemptvolume": "shortExemptVolume", "totalvolume": "totalVolume", "volume": "totalVolume", "market": "market"}
-    out = _renamed(df, synonyms, ["tradeDate", "symbol", "shortVolume", "shortExemptVolume", "totalVolume", "market"])
-    return out.withColumns({c: F.col(c).cast("string").try_cast("double") for c in ("shortVolume", "shortExemptVolume", "totalVolume")}).withColumn("market", F.col("market").cast("string"))
+    """Synonyms renamed, other columns kept; a wanted column that no source column gives is added as null."""
+    canonical = {s: name for name, synonyms in SHORT_VOLUME.items() for s in synonyms}
+    return ensure_columns(_renamed(df, lambda c: canonical.get(c.lower())), {"tradeDate": "string", "symbol": "string", "shortVolume": "double", "totalVolume": "double"})
+
+
+def _ftd_name(column: str) -> str | None:
+    c = column.lower().strip()
+    if "settlement" in c and "date" in c:
+        return "settlement_date"
+    if c == "cusip":
+        return "cusip"
+    if c in ("symbol", "ticker"):
+        return "symbol"
+    if ("quantity" in c and "fail" in c) or c in ("fails", "qty", "quantity"):
+        return "quantity_fails"
+    return "price" if "price" in c else None
 
 
 def normalize_ftd(df: DataFrame) -> DataFrame:
-    synonyms = {"settlementdate": "settlement_date", "date": "settlement_date", "cusip": "cusip", "symbol": "symbol", "ticker": "symbol", "quantity(fails)": "quantity_fails", "quantityfails": "quantity_fails", "quantity": "quantity_fails", "price": "price"}
-    out = _renamed(df, synonyms, ["settlement_date", "cusip", "symbol", "quantity_fails", "price"])
-    day = F.col("settlement_date").cast("string")
-    iso = F.when(F.rlike(day, F.lit("^[0-9]{8}$")), F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))).otherwise(day)
-    return out.withColumns({"settlement_date": iso, "quantity_fails": F.col("quantity_fails").cast("string").try_cast("long"), "price": F.col("price").cast("string").try_cast("double")})
+    """Synonyms renamed, other columns kept; days of eight digits as ISO; figures that are no numbers become null."""
+    out = _renamed(df, _ftd_name)
+    if "settlement_date" in out.columns:
+        day = F.col("settlement_date").cast("string")
+        iso = F.when(F.rlike(day, F.lit("^[0-9]{8}$")), F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))).otherwise(day)
+        out = out.withColumn("settlement_date", iso)
+    return out.withColumns({c: F.col(c).cast("string").try_cast("double") for c in ("quantity_fails", "price") if c in out.columns})
+
+
+SHIFTS = (30, 60)  # minutes by which zones put clocks back
 
 
 def normalize_vendor_bars(df: DataFrame, tz: str | None = "America/New_York", rth_only: bool = False) -> DataFrame:
-    """ts, o, h, l, c, v (strings) -> bars with t in UTC. Times that the zone skips become null and go, as do
-    times that do not parse; a volume that is no number counts as 0."""
+    """ts, o, h, l, c, v (strings) -> bars with t in UTC.
+
+    A time with a zone is taken as it is; one without is of tz. Times that the zone skips or has twice
+    become null and go, as do times that do not parse; a volume that is no number counts as 0.
+    """
+    zoned = F.rlike("ts", F.lit("(?:Z|[+-][0-9]{2}:?[0-9]{2})$"))
     naive = F.try_to_timestamp("ts").cast("timestamp_ntz")
     if tz:
         utc = F.to_utc_timestamp(naive.cast("timestamp"), tz)
-        back = F.from_utc_timestamp(utc, tz).cast("timestamp_ntz")
-        t = F.when(back == naive, utc)  # a time that does not come back does not exist there
+        clock = lambda at: F.from_utc_timestamp(at, tz).cast("timestamp_ntz")
+        once = clock(utc) == naive  # a time that does not come back does not exist there
+        for minutes in SHIFTS:
+            for sign in ("-", "+"):
+                once &= clock(utc + F.expr(f"INTERVAL '{sign}{minutes}' MINUTE")) != naive
+        local = F.when(once, utc)
     else:
-        t = naive.cast("timestamp")
+        local = naive.cast("timestamp")
+    t = F.when(zoned, F.try_to_timestamp("ts")).otherwise(local)
     out = df.withColumn("t", t).filter("t is not null")
     out = out.select("t", *[F.col(c).cast("string").try_cast("double").alias(n) for c, n in zip("ohlc", ("open", "high", "low", "close"), strict=True)], F.coalesce(F.col("v").cast("string").try_cast("double"), F.lit(0.0)).cast("long").alias("volume"))
     if rth_only:
@@ -144,13 +207,26 @@ def normalize_vendor_bars(df: DataFrame, tz: str | None = "America/New_York", rt
     return out
 
 
+def _last_of(df: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """One row per key; of several the last by the day and then by its other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(date, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rest])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("r")).select("r.*")
+
+
 def clean_splits(df: DataFrame) -> DataFrame:
-    out = df.select("ticker", F.to_date("execution_date").alias("execution_date"), F.col("split_from").cast("double"), F.col("split_to").cast("double"))
-    return out.withColumn("ratio", ratio(F.col("split_from"), F.col("split_to"))).dropDuplicates(["ticker", "execution_date", "split_from", "split_to"])
+    """Typed columns, the others kept, with ratio; one row per ticker, day and ratio parts."""
+    kinds = {"ticker": "string", "execution_date": "string", "split_from": "double", "split_to": "double", "declared_date": "string"}
+    out = df.withColumns({c: F.col(c).cast(k) for c, k in kinds.items() if c in df.columns})
+    out = out.withColumn("ratio", ratio(F.col("split_from"), F.col("split_to")))
+    return _last_of(out, ["ticker", "execution_date", "split_from", "split_to"], "execution_date")
 
 
 def clean_dividends(df: DataFrame) -> DataFrame:
-    return df.select("ticker", F.to_date("ex_dividend_date").alias("ex_dividend_date"), F.col("cash_amount").cast("double")).dropDuplicates()
+    """Typed columns, the others kept; one row per ticker, day and amount."""
+    kinds = {n: "string" for n in ("ticker", "ex_dividend_date", "declaration_date", "record_date", "payable_date", "frequency", "dividend_type")} | {"cash_amount": "double"}
+    out = df.withColumns({c: F.col(c).cast(k) for c, k in kinds.items() if c in df.columns})
+    return _last_of(out, ["ticker", "ex_dividend_date", "cash_amount"], "ex_dividend_date")
 
 
 def normalize_snapshot(df: DataFrame, snapshot_date: str) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickloom.functions.expressions import price_change, ratio
+from tickloom.operators.bars import OPEN, extend_bars
 
 TICKS = "ticker string, date date, seq long, t_raw long, p double, s long, ts timestamp"
 
@@ -37,77 +41,122 @@ def stream_dedup(rows: DataFrame, keys: list[str], ts: str = "ts", late: str = "
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def merge_newest(rows: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """The last row of each key: every batch is merged into the table at path, version by version."""
-    from tickloom.sources.io import merge_idempotent
+def merge_newest(rows: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str]) -> StreamingQuery:
+    """The last row of each key in the given order: every batch is merged into the table at path, version by version.
+
+    Version n is made of the newest complete version below n and batch n only, and written to its own
+    folder, so that a batch that comes again makes the same version.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
-        done = [int(r.v) for r in spark.read.parquet(f"{path}/log").select("v").collect()] if number else []
-        merged = merge_idempotent(spark.read.parquet(f"{path}/v={max(done)}"), fresh, keys) if done else fresh
-        merged.write.mode("overwrite").parquet(f"{path}/v={number}")
-        spark.createDataFrame([(number,)], "v long").write.mode("overwrite" if not number else "append").parquet(f"{path}/log")
+        before = newest_version(spark, path, number)
+        both = batch if before is None else batch.unionByName(before)
+        merged = both.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), F.struct(*order)).alias("r")).select("r.*")
+        merged.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/v={number}")
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def newest_version(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
+    """The newest complete version of a table of versions, of those below a number if given; None without any."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    done = [int(n[2:]) for n in names if n.startswith("v=") and files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    done = [n for n in done if below is None or n < below]
+    return spark.read.parquet(f"{path}/v={max(done)}") if done else None
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """The custom stateful jobs keep their state in RocksDB; the session's own choice comes back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class FirstTrigger(StatefulProcessor):
-    """Per ticker-day: open, running volume and dollars; emits the first bar that meets the test."""
+    """Per ticker-day: open and running dollars; emits the first bar that meets the test."""
 
     def __init__(self, change: float, dollars: float, low: float, high: float):
         self.test = change, dollars, low, high
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "open double, dollars double, done boolean", ttlDurationMs=3 * 86_400_000)
+        self.state = handle.getValueState("state", "open double, dollars double, done boolean")
+        self.handle = handle
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        opened, dollars, done = self.state.get() if self.state.exists() else (None, 0.0, False)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        opened, before, done = self.state.get() if self.state.exists() else (None, 0.0, False)
         change, least, low, high = self.test
-        part = pd.concat(list(rows)).sort_values("t")
-        for r in part.itertuples():
-            opened = r.o if opened is None else opened
-            dollars += r.v * r.c
-            if not done and opened and abs(r.c / opened - 1) >= change and dollars >= least and low <= r.c <= high:
-                done = True
-                yield pd.DataFrame({"ticker": [key[0]], "date": [key[1]], "t": [r.t], "c": [r.c], "cum_dollar": [dollars], "pct_open": [r.c / opened - 1]})
-        self.state.update((opened, dollars, done))
+        part = pd.concat(list(rows)).sort_values("t", kind="stable")
+        opened = float(part["o"].iloc[0]) if opened is None else opened
+        c = part["c"].to_numpy(float)
+        dollars = before + np.cumsum(part["v"].to_numpy(float) * c)
+        moved = c / opened - 1 if opened else np.zeros(len(c))
+        hits = np.flatnonzero((np.abs(moved) >= change) & (dollars >= least) & (low <= c) & (c <= high) & bool(opened))
+        if len(hits) and not done:
+            i, done = hits[0], True
+            yield pd.DataFrame({"ticker": [key[0]], "date": [key[1]], "t": [int(part["t"].iloc[i])], "c": [c[i]], "cum_dollar": [dollars[i]], "pct_open": [moved[i]]})
+        self.state.update((opened, float(dollars[-1]), done))
+        self.handle.registerTimer(day_end(key[1]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()  # the day is over and its late rows are dropped
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
+def day_end(day) -> int:
+    """Milliseconds of the midnight (UTC) after a day."""
+    return (dt.date(day.year, day.month, day.day).toordinal() + 1 - dt.date(1970, 1, 1).toordinal()) * 86_400_000
+
+
 TRIGGERS = "ticker string, date date, t long, c double, cum_dollar double, pct_open double"
 
 
-def stream_triggers(minutes: DataFrame, change: float = 0.15, dollars: float = 5e6, low: float = 0.2, high: float = 20.0) -> DataFrame:
-    """The first trigger of each ticker-day; the minutes of a day must come in order of batches."""
-    return minutes.groupBy("ticker", "date").transformWithStateInPandas(FirstTrigger(change, dollars, low, high), TRIGGERS, "append", "processingtime")
+def stream_triggers(minutes: DataFrame, change: float = 0.15, dollars: float = 5e6, low: float = 0.2, high: float = 20.0, ts: str = "ts", late: str = "5 minutes") -> DataFrame:
+    """The first trigger of each ticker-day; rows later than the watermark are dropped, the others go in order of t within a batch."""
+    rows = minutes.withWatermark(ts, late).groupBy("ticker", "date")
+    return rows.transformWithStateInPandas(FirstTrigger(change, dollars, low, high), TRIGGERS, "append", "eventtime")
 
 
 class DollarBars(StatefulProcessor):
-    """Per ticker-day the open bar and its sums; a bar goes out with the tick that closes it."""
+    """Per ticker-day the open bar; a bar goes out with the tick that closes it, the tail when the day is over."""
 
     def __init__(self, target: float):
         self.target = target
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bar", "bar_no long, t_open long, t_close long, o double, h double, l double, c double, v long, n long, dollar double", ttlDurationMs=3 * 86_400_000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        bar = list(self.state.get()) if self.state.exists() else [0, None, None, None, None, None, None, 0, 0, 0.0]
-        out = []
-        for r in pd.concat(list(rows)).sort_values(["t_raw", "seq"]).itertuples():
-            if not bar[8]:
-                bar[1:7] = [r.t_raw, r.t_raw, r.p, r.p, r.p, r.p]
-            bar[2], bar[4], bar[5], bar[6] = r.t_raw, max(bar[4], r.p), min(bar[5], r.p), r.p
-            bar[7:] = [bar[7] + r.s, bar[8] + 1, bar[9] + r.p * r.s]
-            if bar[9] >= self.target:
-                out.append([*key, *bar])
-                bar = [bar[0] + 1, None, None, None, None, None, None, 0, 0, 0.0]
-        self.state.update(tuple(bar))
-        if out:
-            yield pd.DataFrame(out, columns=["ticker", "date", "bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n", "dollar"])
+        kinds = dict(zip(OPEN, ("long", "long", "long", "double", "double", "double", "double", "long", "long", "double", "double", "double", "double"), strict=True))
+        self.state = handle.getValueState("bar", ", ".join(f"{n} {k}" for n, k in kinds.items()))
+        self.handle = handle
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        part = pd.concat(list(rows)).sort_values(["t_raw", "seq"], kind="stable")
+        money = part["p"].to_numpy(float) * part["s"].to_numpy(np.int64)
+        closed, carry = extend_bars(self.state.get() if self.state.exists() else None, part, money, self.target, money)
+        self.state.update(carry)
+        self.handle.registerTimer(day_end(key[1]))
+        if len(closed):
+            yield self.rows(key, closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        carry = self.state.get() if self.state.exists() else None
+        self.state.clear()
+        if carry and carry[8]:
+            yield self.rows(key, pd.DataFrame([tuple(carry)], columns=list(OPEN)))
+
+    def rows(self, key, bars: pd.DataFrame) -> pd.DataFrame:
+        return bars.assign(ticker=key[0], date=key[1])[["ticker", "date", "bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n", "dollar"]]
 
     def close(self) -> None:
         pass
@@ -116,9 +165,12 @@ class DollarBars(StatefulProcessor):
 BARS = "ticker string, date date, bar_no long, t_open long, t_close long, o double, h double, l double, c double, v long, n long, dollar double"
 
 
-def stream_dollar_bars(ticks: DataFrame, target: float = 300_000) -> DataFrame:
-    """Closed bars as they close; the last, open bar of a day is left to the batch job."""
-    return ticks.groupBy("ticker", "date").transformWithStateInPandas(DollarBars(target), BARS, "append", "processingtime")
+def stream_dollar_bars(ticks: DataFrame, target: float = 300_000, ts: str = "ts", late: str = "5 minutes") -> DataFrame:
+    """Closed bars as they close, and each day's last one once the watermark has passed its end.
+
+    Ticks later than the watermark are dropped; the others of a batch are taken in order of their time.
+    """
+    return ticks.withWatermark(ts, late).groupBy("ticker", "date").transformWithStateInPandas(DollarBars(target), BARS, "append", "eventtime")
 
 
 def stream_spike(ticks: DataFrame, late: str = "5 minutes", up: float = 0.2, down: float = -0.3, length: str = "120 minutes", step: str = "1 minute") -> DataFrame:
