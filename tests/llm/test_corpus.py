@@ -331,7 +331,7 @@ def test_near_duplicates_of_a_large_group_and_chains(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components({d: shingles(t, 2) for d, t in rows})
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2).collect()} == want
-    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2, chunk=20).collect()} == want
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, shingle=2, block=20).collect()} == want
 
 
 def test_near_duplicates_just_below_and_above_the_threshold(spark):
@@ -617,10 +617,31 @@ def test_a_turn_pairs_each_node_once_and_the_rest_joins_all(spark):
     assert all(p.c_x != p.c_y and p.y == head.head for p in pairs)
     sets = {i: set(range(100)) - {i} for i in range(12)} | {50: set(range(500, 600)), 51: set(range(530, 630))}
     made = spark.createDataFrame([(i, [x * 7919 for x in s]) for i, s in sets.items()], "node long, shingles array<long>")
-    want = {(a, b) for a in range(12) for b in range(a + 1, 12) if a % 5 != b % 5}
-    for chunk in (2, 1000):
-        rest = near_dedup.remaining_pairs(crowded.select("node", "component").distinct(), made, 80, hold, chunk)
-        assert {(min(r.x, r.y), max(r.x, r.y)) for r in near_dedup.confirmed(rest, made, 80).collect()} == want
+    for block in (2, 1000):
+        rest = near_dedup.remaining_links(crowded, heads, made, 80, hold, block)
+        joined = {(r.c_x, r.c_y) for r in rest.collect()}
+        assert {x for p in joined for x in p} == set(range(5)) and len(joined) <= 4 * 36
+
+
+def test_shared_counts_and_spanning_links():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(40)]
+    counts = near_dedup.shared_counts(sets, 16)
+    assert all(counts[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40))
+    comps = np.arange(40) // 2 * 2
+    links = near_dedup.spanning_links(np.arange(40), comps, sets, 30)
+    close = {(comps[i], comps[j]) for i in range(40) for j in range(i + 1, 40) if 100 * counts[i, j] >= 30 * (len(sets[i]) + len(sets[j]) - counts[i, j])}
+    roots = lambda pairs: components_of(pairs, set(comps.tolist()))
+    assert roots([(comps[i], comps[j]) for i, j in links]) == roots(close) and len(links) < 20
+    assert near_dedup.spanning_links(np.arange(2), np.arange(2), [np.array([1, 2]), np.array([3])], 80) == []
+
+
+def components_of(pairs, nodes):
+    root = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
 
 
 def test_near_duplicates_among_many_texts_just_below_the_threshold(spark):

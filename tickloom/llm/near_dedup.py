@@ -9,9 +9,10 @@ similarity s meet in some table with probability (1 - (1 - s**width) ** tables)
 Texts with equal shingle sets are one node. Buckets with the same nodes are one bucket with a weight.
 First the groups are collapsed: in every turn each bucket draws a head, and a node is checked, on full
 sets, against the head of another component that it shares most tables with; a turn makes at most one
-pair a node. What then still lies in buckets of several components goes through an exact join by
-prefixes of the full sets, so that no linked pair that shares a bucket is left in two components,
-whatever the turns have found. Components come from large-star and small-star steps on DataFrames.
+pair a node. What then still lies in buckets of several components goes through an exact join: nodes
+are put into blocks, and blocks whose nodes share a prefix shingle are compared as wholes on the full
+sets, so that no linked pair that shares a bucket is left in two components, whatever the turns have
+found; a comparison gives fewer links than it has components, never all pairs. Components come from large-star and small-star steps on DataFrames.
 
 Nothing gathers a bucket, a component or a node's copies in one task: counts and heads are combined
 map-side, and the joins that bring them back have a written table on either side, which adaptive
@@ -25,6 +26,7 @@ different texts are different rows; an empty table gives an empty result; extra
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,8 +181,8 @@ def crowded_buckets(buckets: DataFrame, comps: DataFrame | None, turn: int, hold
     named = named.withColumn("component", F.col("node")) if comps is None else named.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = hold.write(named, "named")
     drawn = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n"), F.col("component"))
-    heads = named.groupBy("bucket").agg(F.min(drawn).alias("h"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
-    heads = hold.write(heads.select("bucket", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"), F.col("h.component").alias("head_component")), "heads")
+    heads = named.groupBy("bucket").agg(F.min(drawn).alias("h"), F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("held")).filter("a <> b")
+    heads = hold.write(heads.select("bucket", "held", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"), F.col("h.component").alias("head_component")), "heads")
     rows = hold.write(named.join(heads.select("bucket"), "bucket", "left_semi"), "crowded")
     hold.drop(named)
     return rows, heads
@@ -226,30 +228,101 @@ def prefix_rows(members: DataFrame, sets: DataFrame, percent: int, slots: int) -
     return named.select("node", "component", "shingles").mapInArrow(run, schema)
 
 
-def remaining_pairs(members: DataFrame, sets: DataFrame, percent: int, hold: Scratch, chunk: int, slots: int = 1 << 20) -> DataFrame:
-    """members (node, component) with sets -> x, y, c_x, c_y: of different components, all pairs that can reach percent among them.
+def blocks_of(crowded: DataFrame, heads: DataFrame, percent: int, block: int, hold: Scratch) -> DataFrame:
+    """node, component, block, size_class: about `block` nodes that are likely alike to a block.
 
-    Nodes that share a prefix shingle are dealt in chunks of about `chunk`: a component with more
-    nodes than that has chunks of its own, the others share chunks; chunks of one component are not joined.
+    A component of more nodes than that has blocks of its own, other nodes are put by their largest
+    bucket. Sets whose sizes allow the similarity are in the same size class or in neighbouring ones.
     """
-    rows = hold.write(prefix_rows(members, sets, percent, slots), "prefixes")
-    per = rows.groupBy("s", "component").agg(F.count("*").alias("held"))
-    large = F.col("held") > chunk
-    of = per.groupBy("s").agg(F.count("*").alias("components"), F.sum(F.when(large, 0).otherwise(F.col("held"))).alias("small")).filter("components > 1")
-    of = hold.write(of.select("s", "small"), "shared")
-    per = hold.write(per.join(of, "s").select("s", "component", large.alias("large"), F.ceil(F.when(large, F.col("held")).otherwise(F.col("small")) / chunk).alias("parts")), "parts")
-    dealt = rows.join(per, ["s", "component"]).select(
-        "s", F.when(F.col("large"), F.col("component")).alias("own"), F.pmod(F.xxhash64("node"), "parts").alias("part"), F.struct("n", "node", "at", "component").alias("e"), "short"
+    width = 1.001 * math.log(100 / percent) if percent < 100 else 1.0
+    size_class = F.floor(F.ln("n") / width)
+    nodes = crowded.join(heads.select("bucket", "held"), "bucket").groupBy("node", "n", "component").agg(F.max(F.struct("held", "bucket")).alias("b"))
+    nodes = hold.write(nodes.select("node", "component", F.col("b.bucket").alias("bucket"), size_class.alias("size_class")), "grouped")
+    large = nodes.groupBy("component").agg(F.count("*").alias("k")).filter(F.col("k") > block).select("component", F.lit(True).alias("large"))
+    large = hold.write(large, "large")
+    nodes_by = nodes.join(large, "component", "left").withColumn("family", F.when(F.col("large"), F.xxhash64("component", F.lit(1))).otherwise(F.col("bucket")))
+    nodes_by = hold.write(nodes_by.drop("bucket", "large"), "families")
+    parts = hold.write(nodes_by.groupBy("family", "size_class").agg(F.ceil(F.count("*") / block).alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("node"), "parts")
+    out = nodes_by.join(parts, ["family", "size_class"]).select("node", "component", "size_class", F.xxhash64("family", "size_class", part).alias("block"))
+    out = hold.write(out, "blocks")
+    hold.drop(nodes, large, nodes_by, parts)
+    return out
+
+
+def block_pairs(prefixes: DataFrame, members: DataFrame, hold: Scratch) -> DataFrame:
+    """a, b (a <= b): the blocks in which nodes of different components share a prefix shingle and sizes allow the similarity."""
+    held = prefixes.join(members.select("node", "block", "size_class"), "node").groupBy("s", "block", "size_class").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("short").alias("short")
     )
-    dealt = hold.write(dealt, "dealt")
-    a = dealt.filter("short").groupBy("s", "own", "part").agg(F.collect_list("e").alias("a")).select("s", F.col("own").alias("own_a"), "a")
-    b = dealt.groupBy("s", "own", "part").agg(F.collect_list("e").alias("b")).select("s", F.col("own").alias("own_b"), "b")
-    need = f"({percent} * (p.n + q.n) + {99 + percent}) div {100 + percent}"
-    fits = f"p.component <> q.component and struct(p.n, p.node) < struct(q.n, q.node) and 100 * p.n >= {percent} * q.n and p.at <= p.n - {need} and q.at <= q.n - {need}"
-    found = F.expr(f"flatten(transform(a, p -> transform(filter(b, q -> {fits}), q -> struct(p.node as x, q.node as y, p.component as c_x, q.component as c_y))))")
-    pairs = a.join(b, "s").filter("own_a is null or own_b is null or own_a <> own_b").select(F.explode(found).alias("f")).select("f.*").distinct()
-    out = hold.write(pairs, "rest")
-    hold.drop(rows, of, per, dealt)
+    held = hold.write(held, "held")
+    mixed = held.groupBy("s").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("s")
+    held_by = hold.write(held.join(mixed, "s", "left_semi"), "mixed")
+    a, b = (held_by.select("s", *[F.col(c).alias(f"{c}_{e}") for c in ("block", "size_class", "low", "high", "short")]) for e in "ab")
+    needed = "block_a <= block_b and abs(size_class_a - size_class_b) <= 1 and (short_a or short_b) and not (low_a = high_b and high_a = low_b)"
+    out = hold.write(a.join(b, "s").filter(needed).select(F.col("block_a").alias("a"), F.col("block_b").alias("b")).distinct(), "block-pairs")
+    hold.drop(held, held_by)
+    return out
+
+
+def shared_counts(sets: list[np.ndarray], slab: int = 8192) -> np.ndarray:
+    """Sizes of all intersections of the sets, by products of their incidence matrix, slab by slab of its columns."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, column = row[often[column] > 1], column[often[column] > 1]
+    _, column = np.unique(column, return_inverse=True)
+    counts, order = np.zeros((len(sets), len(sets)), np.float32), np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, slab):
+        a, b = np.searchsorted(column, (at, at + slab))
+        part = np.zeros((len(sets), slab), np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        counts += part @ part.T
+    return counts.astype(np.int64)
+
+
+def spanning_links(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Places of pairs at the similarity that join the components they join: one fewer than these, at most."""
+    n, both = np.array([len(s) for s in sets]), shared_counts(sets)
+    close = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (comps[:, None] != comps[None, :])
+    root = {c: c for c in comps.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(close))):
+        p, q = find(int(comps[i])), find(int(comps[j]))
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((int(i), int(j)))
+    return out
+
+
+def remaining_links(crowded: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, hold: Scratch, block: int, slots: int = 1 << 20) -> DataFrame:
+    """Rows of crowded buckets -> c_x, c_y: components joined by pairs among these nodes that are at the similarity.
+
+    Nodes are put into blocks; blocks that can hold such a pair, by shared prefix shingles, are compared
+    as wholes on their full sets, and a comparison gives no more links than it has components.
+    """
+    members = blocks_of(crowded, heads, percent, block, hold)
+    prefixes = hold.write(prefix_rows(members.select("node", "component"), sets, percent, slots), "prefixes")
+    pairs = block_pairs(prefixes, members, hold)
+    whole = hold.write(members.join(sets, "node").select("node", "component", "block", "shingles"), "block-sets")
+    asked = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    schema = T.StructType([T.StructField("c_x", T.LongType()), T.StructField("c_y", T.LongType())])
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, comps = table["node"].to_numpy(), table["component"].to_numpy()
+        found = spanning_links(nodes, comps, [s.values.to_numpy() for s in table["shingles"]], percent)
+        return pa.table([pa.array([comps[i] for i, _ in found], pa.int64()), pa.array([comps[j] for _, j in found], pa.int64())], schema.names)
+
+    links = asked.join(whole, "block").groupBy("a", "b").applyInArrow(compare, schema)
+    out = hold.write(links.distinct(), "links")
+    hold.drop(members, prefixes, pairs, whole)
     return out
 
 
@@ -290,9 +363,11 @@ def merged_components(comps: DataFrame | None, links: DataFrame, hold: Scratch)
     return out
 
 
-def linked(buckets: DataFrame, sets: DataFrame, percent: int, chunk: int, hold: Scratch) -> DataFrame | None:
+def linked(buckets: DataFrame, sets: DataFrame, percent: int, block: int, hold: Scratch) -> DataFrame | None:
     """node, component of the nodes that share a bucket and have links, but for the least of each component; None without any."""
     comps, turn = None, 0
+    if buckets.isEmpty():
+        return None
     while True:
         crowded, heads = crowded_buckets(buckets, comps, turn, hold)
         links = hold.write(confirmed(nearest_heads(crowded, heads, percent), sets, percent), "links")
@@ -304,26 +379,25 @@ def linked(buckets: DataFrame, sets: DataFrame, percent: int, chunk: int, hold:
         if 20 * new <= left:  # few links for the buckets left: the exact join is the shorter way
             break
     crowded, heads = crowded_buckets(buckets, comps, turn, hold)
-    rest = remaining_pairs(crowded.select("node", "component").distinct(), sets, percent, hold, chunk)
-    links = hold.write(confirmed(rest, sets, percent), "links")
+    links = remaining_links(crowded, heads, sets, percent, hold, block)
     if not links.isEmpty():
         comps = merged_components(comps, links, hold)
-    hold.drop(buckets, crowded, heads, rest, links)
+    hold.drop(buckets, crowded, heads, links)
     return comps
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables: int = 10, width: int = 3, seed: int = 1, chunk: int = 1000) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables: int = 10, width: int = 3, seed: int = 1, block: int = 256) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_shingles, component_id, kept, group, text_key, one row per document.
 
     group is the same for the documents of a component and null without words; text_key tells rows of
-    equal ids apart. chunk bounds the lists that the exact join compares; it has no influence on the result.
+    equal ids apart. block bounds what the exact join compares at once; it has no influence on the result.
     """
     hold = Scratch(docs.sparkSession)
     sketches = hold.write(sketch(docs, shingle, tables, width, seed), "sketches")
     nodes = hold.write(distinct_sets(sketches), "nodes")
     buckets = shared_buckets(nodes, hold)
     sets = hold.write(shingle_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi"), shingle), "sets")
-    comps = linked(buckets, sets, percent, chunk, hold)
+    comps = linked(buckets, sets, percent, block, hold)
     ids = nodes.select("node", "lo", "hi", "rep", F.col("node").alias("group"))
     if comps is not None:
         own = comps.union(comps.select("component", "component").distinct())
