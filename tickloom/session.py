@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,9 +59,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.folders = spark, {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+        """The table written and read again; arrow_rows bounds the batches that its Python workers get meanwhile."""
         folder = scratch_folder(self.spark, name)
-        df.write.parquet(folder)
+        with arrow_batches(self.spark, arrow_rows):
+            df.write.parquet(folder)
         out = self.spark.read.schema(df.schema).parquet(folder)
         self.folders[id(out)] = (out, folder)
         return out
@@ -72,6 +75,20 @@ class Scratch:
                 delete_folder(self.spark, self.folders.pop(id(table))[1])
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int | None):
+    """Batches of at most so many rows for Python workers; the session's own setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        if rows:
+            spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+        yield
+    finally:
+        if rows:
+            spark.conf.set(key, before)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Delete a scratch folder through the file system that its path names."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
