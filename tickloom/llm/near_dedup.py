@@ -39,6 +39,7 @@ from tickloom.session import Scratch
 
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 MEMO = 200_000  # words whose hash a task remembers
+BATCH = 1_000  # texts or sets that a Python worker gets at once
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -213,7 +214,7 @@ def prefix_rows(members: DataFrame, sets: DataFrame, percent: int, slots: int) -
     schema = "node long, n long, component long, s long, at long, short boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             cols = [[] for _ in range(6)]
             for node, component, shingles in zip(batch["node"].to_pylist(), batch["component"].to_pylist(), batch["shingles"]):
                 s = shingles.values.to_numpy()
@@ -309,7 +310,7 @@ def remaining_links(crowded: DataFrame, heads: DataFrame, sets: DataFrame, perce
     as wholes on their full sets, and a comparison gives no more links than it has components.
     """
     members = blocks_of(crowded, heads, percent, block, hold)
-    prefixes = hold.write(prefix_rows(members.select("node", "component"), sets, percent, slots), "prefixes")
+    prefixes = hold.write(prefix_rows(members.select("node", "component"), sets, percent, slots), "prefixes", BATCH)
     pairs = block_pairs(prefixes, members, hold)
     whole = hold.write(members.join(sets, "node").select("node", "component", "block", "shingles"), "block-sets")
     asked = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
@@ -393,10 +394,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, tables
     equal ids apart. block bounds what the exact join compares at once; it has no influence on the result.
     """
     hold = Scratch(docs.sparkSession)
-    sketches = hold.write(sketch(docs, shingle, tables, width, seed), "sketches")
+    sketches = hold.write(sketch(docs, shingle, tables, width, seed), "sketches", BATCH)
     nodes = hold.write(distinct_sets(sketches), "nodes")
     buckets = shared_buckets(nodes, hold)
-    sets = hold.write(shingle_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi"), shingle), "sets")
+    sets = hold.write(shingle_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi"), shingle), "sets", BATCH)
     comps = linked(buckets, sets, percent, block, hold)
     ids = nodes.select("node", "lo", "hi", "rep", F.col("node").alias("group"))
     if comps is not None:
