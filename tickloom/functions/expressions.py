@@ -12,6 +12,11 @@ def by(keys: str | Iterable[str], *order) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+def daily_window() -> WindowSpec:
+    """A ticker's days in order."""
+    return by("ticker", "date")
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is 0."""
     return F.try_divide(a, b)

@@ -3,14 +3,11 @@ which Catalyst plans as one sort by (ticker, date)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.expressions import by, full_window, price_change, ratio, run_length
+from tickloom.functions.expressions import daily_window, full_window, price_change, ratio, run_length
 
-
-
-def daily_window() -> WindowSpec:
-    return by("ticker", "date")
+#: Thresholds of the detectors, and the events' names.
 DEFAULTS = {
     "rvol_rows": 20, "rvol_threshold": 5.0, "gap_up": 0.10, "spike": 0.20, "parabolic": 0.50, "parabolic_days": 5, "high_rows": 252,
     "green_days": 3, "first_red_rise": 0.50, "gap_down": -0.15, "crash": -0.30, "bounce_reds": 3, "volume_bounce_rvol": 3.0, "volume_bounce_reds": 2,

@@ -49,6 +49,12 @@ def simultaneous(watchlist: DataFrame) -> DataFrame:
     return watchlist.groupBy("event_count").agg(F.count("*").alias("days"))
 
 
+def combinations(watchlist: DataFrame, k: int = 10) -> DataFrame:
+    """The commonest combinations of events on days with several."""
+    several = watchlist.filter(F.size("events") > 1).groupBy(F.array_join(F.sort_array("events"), ",").alias("combination")).agg(F.count("*").alias("days"))
+    return several.orderBy(F.desc("days"), "combination").limit(k)
+
+
 def explode_events(watchlist: DataFrame) -> DataFrame:
     return watchlist.select("ticker", "date", F.explode("events").alias("event_type"), "event_count")
 
@@ -63,10 +69,18 @@ def expand_event_window(watchlist: DataFrame, windows: DataFrame, default: int =
     return widest.select("ticker", days.alias("day")).distinct()
 
 
-def export_signals(watchlist: DataFrame, bars: DataFrame) -> DataFrame:
-    """Opening time and close of the first bar of each event day, per event."""
+def export_signals(watchlist: DataFrame, bars: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+    """Opening time and close of the first bar of each event day, per event, and the event's suggested window.
+
+    windows (event_type, first_day, last_day) is a table with a row per event type; others have "N/A".
+    """
     first = bars.groupBy("ticker", "date").agg(F.min_by(F.struct("t_open", "c"), "bar_no").alias("b"))
-    return explode_events(watchlist).join(first, ["ticker", "date"]).select("ticker", "date", "event_type", F.col("b.t_open").alias("t_open"), F.col("b.c").alias("close"))
+    rows = explode_events(watchlist).join(first, ["ticker", "date"])
+    label = F.lit("N/A")
+    if windows is not None:
+        rows = rows.join(windows, "event_type", "left")
+        label = F.when(F.col("first_day").isNotNull(), F.format_string("[%+d,%+d]", "first_day", "last_day")).otherwise("N/A")
+    return rows.select("ticker", "date", "event_type", F.col("b.t_open").alias("t_open"), F.col("b.c").alias("close"), label.alias("window_suggested"))
 
 
 def download_plan(watchlist: DataFrame, windows: DataFrame) -> DataFrame:

@@ -29,6 +29,19 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.array(*aggregates).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
+def distinct_lists(df: DataFrame, columns: list[str], most: int = 20) -> DataFrame:
+    """Per column the number of its values and, where there are at most so many, their sorted list as text.
+
+    Values are first made distinct per column, and one more than `most` of them at the utmost is listed.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("e")).select("e.*")
+    ranked = long.filter("value is not null").distinct()
+    few = ranked.groupBy("column").agg(F.count("*").alias("n_distinct"))
+    kept = ranked.join(F.broadcast(few.filter(F.col("n_distinct") <= most)), "column")  # a row per column
+    lists = kept.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("value")), ",").alias("values"))
+    return few.join(lists, "column", "left")
+
+
 def completeness(df: DataFrame, fields: list[str]) -> DataFrame:
     """Values and their share in percent, per field."""
     rows = F.array(*[F.struct(F.lit(f).alias("field"), F.count(f).alias("n"), ratio(F.count(f) * 100.0, F.count("*")).alias("pct")) for f in fields])
@@ -51,6 +64,18 @@ def outlier_counts(df: DataFrame, x: str, edges=(10, 20, 50, 100)) -> DataFrame:
     return df.agg(rows.alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
+def top_outliers(df: DataFrame, x: str, columns: list[str], k: int = 20) -> DataFrame:
+    """The k rows with the largest x, ties in order of the columns."""
+    return df.filter(F.col(x).isNotNull()).orderBy(F.desc(x), *columns).limit(k).select(*columns, x)
+
+
+def hit_rates(events: DataFrame, days: DataFrame) -> DataFrame:
+    """Per event type: events, tickers, the share of all days in percent, and events per ticker."""
+    total = days.agg(F.count("*").alias("total"))
+    out = events.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("ticker").alias("tickers")).join(F.broadcast(total))  # one row
+    return out.select("event_type", "n", "tickers", ratio(F.col("n") * 100.0, F.col("total")).alias("hit_rate_pct"), ratio(F.col("n") * 1.0, F.col("tickers")).alias("per_ticker"))
+
+
 def yearly_density(watchlist: DataFrame, date: str = "date", by_month: bool = False) -> DataFrame:
     """Tickers per day, summed up by year (and month)."""
     keys = [F.year(date).alias("year")] + ([F.month(date).alias("month")] if by_month else [])

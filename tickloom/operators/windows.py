@@ -4,15 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tickloom.functions.expressions import by, daily_window, full_window, price_change, ratio, run_length
 from tickloom.functions.ordering import running
-from tickloom.functions.expressions import by, full_window, price_change, ratio, run_length
-
-
-
-def daily_window() -> WindowSpec:
-    return by("ticker", "date")
 
 
 def prev_close(daily: DataFrame) -> DataFrame:

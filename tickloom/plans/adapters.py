@@ -134,6 +134,19 @@ weights_ AS (SELECT ticker, date, bar_no, anchor_ts, concurrency, abs(ret_at_out
 TARGET = 8000
 
 
+#: The label chain on exponential volatility: its last value carries on within a day.
+EMA_VOLS = """moves AS (SELECT *, coalesce(abs(ln(c / lag(c) OVER (PARTITION BY ticker, date ORDER BY bar_no))), 0) AS a FROM bars),
+carried AS (SELECT ticker, date, bar_no, a AS x FROM moves WHERE bar_no = 0 UNION ALL SELECT m.ticker, m.date, m.bar_no, 2.0 / 51 * m.a + 49.0 / 51 * e.x FROM carried e JOIN moves m ON m.ticker = e.ticker AND m.date = e.date AND m.bar_no = e.bar_no + 1),
+vols AS (SELECT m.*, x AS vol FROM moves m JOIN carried USING (ticker, date, bar_no)),
+"""
+
+
+def ema_sql(body: str) -> str:
+    """The same with the labels' volatility exponential, as the operators have it by default."""
+    start, end = CTE.index("vols AS ("), CTE.index("hits AS (")
+    return sql(body).replace(CTE[start:end], EMA_VOLS)
+
+
 def sql(body: str, days: str = "daily") -> str:
     """A DuckDB query over the adapters; only what it names is computed."""
     return CTE.replace("{days}", days).replace("{target}", str(TARGET)).replace("{form}", FORM_SQL).replace("{filing_day}", FILING_DAY_SQL) + body

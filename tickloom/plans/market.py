@@ -138,7 +138,7 @@ query("ev6_watchlist_summary", lambda s, d: V.watchlist_summary(watch(s, d)), WA
 SELECT 'days' AS section, 'total' AS item, count(*) AS n FROM watch UNION ALL SELECT 'days', 'single', count(*) FROM watch WHERE event_count = 1 UNION ALL SELECT 'days', 'multi', count(*) FROM watch WHERE event_count > 1
 UNION ALL SELECT 'type', event_type, count(*) FROM (SELECT DISTINCT * FROM ev) GROUP BY 2 UNION ALL (SELECT 'combination', array_to_string(events, '+'), count(*) AS n FROM watch GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10)""")
 query("ev7_simultaneous", lambda s, d: long_(V.simultaneous(watch(s, d)), "event_count"), WATCH + "SELECT event_count, count(*) AS days FROM watch GROUP BY 1")
-query("ev8_export_signals", lambda s, d: V.export_signals(watch(s, d), bars_of(s, d)), WATCH + "SELECT ticker, date, event_type, min(t_open) AS t_open, arg_min(c, bar_no) AS close FROM (SELECT DISTINCT * FROM ev) JOIN bars USING (ticker, date) GROUP BY 1, 2, 3")
+query("ev8_export_signals", lambda s, d: V.export_signals(watch(s, d), bars_of(s, d)).drop("window_suggested"), WATCH + "SELECT ticker, date, event_type, min(t_open) AS t_open, arg_min(c, bar_no) AS close FROM (SELECT DISTINCT * FROM ev) JOIN bars USING (ticker, date) GROUP BY 1, 2, 3")
 WINDOW_DAYS = {"E2": 1, "E3": 2, "E8": 3}
 config = lambda s: s.createDataFrame([(E.EVENTS[k], n) for k, n in WINDOW_DAYS.items()], "event_type string, days int")
 CONFIG = ", config AS (" + " UNION ALL ".join(f"SELECT '{E.EVENTS[k]}' AS event_type, {n} AS days" for k, n in WINDOW_DAYS.items()) + ")\n"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.plans import certification, market, research, streams, vendor  # noqa: F401  importing a module registers its queries
+from tickloom.plans import certification, events, market, research, streams, vendor  # noqa: F401  importing a module registers its queries
 
 
 def queries() -> dict:
