@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.expressions import ratio
+from tickloom.functions.ordering import grouped_quantiles
 
 
 def count_by(df: DataFrame, **keys: Column) -> DataFrame:
@@ -16,17 +17,14 @@ def nunique_by(df: DataFrame, key: Column, name: str, of: str, approximate: bool
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per numeric column: nulls, range, mean, deviation and quartiles, from one wide aggregate."""
-    aggregates, q = [], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    for c in columns:
-        x, p = F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), q)
-        aggregates.append(
-            F.struct(
-                F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("nulls"), F.count("*").alias("rows"), F.min(x).alias("min"), F.max(x).alias("max"),
-                F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), p[0].alias("q25"), p[1].alias("median"), p[2].alias("q75"),
-            )
-        )
-    return df.agg(F.array(*aggregates).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    """One row per numeric column: nulls, range, mean, deviation and quartiles."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("e")).select("e.*")
+    stats = long.groupBy("column").agg(
+        F.count_if(F.col("x").isNull()).alias("nulls"), F.count("*").alias("rows"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std")
+    )
+    quartiles = grouped_quantiles(long, ["column"], "x", [0.25, 0.5, 0.75])
+    out = stats.join(F.broadcast(quartiles), "column", "left")  # a row per column
+    return out.select(*stats.columns, F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"))
 
 
 def distinct_lists(df: DataFrame, columns: list[str], most: int = 20) -> DataFrame:
@@ -51,11 +49,11 @@ def completeness(df: DataFrame, fields: list[str]) -> DataFrame:
 def quantile_report(df: DataFrame, x: str, quantiles: list[float], period: Column | None = None) -> DataFrame:
     """Linear quantiles, moments and counts of signs, by period; one row per quantile list."""
     names = [f"p{round(q * 100):02d}" for q in quantiles]
-    grouped = df.groupBy((period if period is not None else F.lit("all")).alias("period"))
-    out = grouped.agg(
-        F.percentile(x, F.array(*map(F.lit, quantiles))).alias("q"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.count_if(F.col(x) > 0).alias("up"), F.count_if(F.col(x) < 0).alias("down"), F.count_if(F.col(x) == 0).alias("flat"),
-    )
+    rows = df.select((period if period is not None else F.lit("all")).alias("period"), F.col(x).alias("x"))
+    stats = rows.groupBy("period").agg(
+        F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.count_if(F.col("x") > 0).alias("up"), F.count_if(F.col("x") < 0).alias("down"), F.count_if(F.col("x") == 0).alias("flat")
+    )
+    out = stats.join(grouped_quantiles(rows, ["period"], "x", quantiles), "period", "left")
     return out.select("period", *[F.col("q")[i].alias(n) for i, n in enumerate(names)], "mean", "std", "up", "down", "flat")
 
 
