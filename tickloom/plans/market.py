@@ -130,7 +130,8 @@ WATCH = f", ev AS ({ALL_SQL}), watch AS (SELECT ticker, date, list_sort(list_dis
 flat = lambda df, c="events": df.withColumn(c, F.array_join(c, "+"))
 long_ = lambda df, *cs: df.withColumns({c: F.col(c).cast("long") for c in cs})
 query("ev1_detect_all", lambda s, d: found(s, d).select("ticker", "date", "event_type"), WATCH + "SELECT * FROM ev")
-query("ev2_fuse_details", lambda s, d: V.fuse_details(found(s, d)).select("ticker", "date", "event_type", F.round(F.get_json_object("details_json", "$.value").cast("double"), 6).isNotNull().alias("has_value")), WATCH + "SELECT ticker, date, event_type, true AS has_value FROM ev")
+query("ev2_fuse_details", lambda s, d: V.fuse_details(found(s, d)).select("ticker", "date", "event_type", F.round(F.get_json_object("details_json", "$.value").cast("double"), 5).alias("value")), WATCH + """
+SELECT ticker, date, event_type, round(CASE left(event_type, 3) WHEN 'E2_' THEN (o - prev_c) / prev_c WHEN 'E8_' THEN (o - prev_c) / prev_c WHEN 'E3_' THEN (h - o) / o WHEN 'E9_' THEN (l - o) / o WHEN 'E6_' THEN green_run ELSE prev_red END, 5) AS value FROM ev JOIN feats USING (ticker, date)""")
 query("ev3_fuse_days", lambda s, d: long_(flat(V.fuse_days(V.fuse_details(found(s, d))), "event_types").withColumn("details", F.size("details")), "num_events", "details"), WATCH + "SELECT ticker, date, array_to_string(events, '+') AS event_types, event_count AS num_events, event_count AS details FROM watch")
 query("ev4_ml_flags", lambda s, d: V.ml_flags(V.fuse_days(V.fuse_details(found(s, d))), {k: E.EVENTS[k] for k in SHORT}).select("ticker", "date", *[f"has_{k.lower()}" for k in SHORT], "event_combination", "is_multi_event"), WATCH + f"SELECT ticker, date, {', '.join(f'''list_contains(events, '{E.EVENTS[k]}') AS has_{k.lower()}''' for k in SHORT)}, array_to_string(list_transform(events, lambda e: split_part(e, '_', 1)), '_') AS event_combination, event_count > 1 AS is_multi_event FROM watch")
 query("ev5_fuse_watchlist", lambda s, d: long_(flat(watch(s, d)), "event_count"), WATCH + "SELECT ticker, date, array_to_string(events, '+') AS events, event_count FROM watch")
@@ -165,15 +166,20 @@ SELECT {keys}, bar_no, min(t_raw) AS t_open, max(t_raw) AS t_close, arg_min(p, q
 folded("br3_volume_bars", lambda s, d: B.volume_bars(A.ticks(s, d), 200), "k.s", 200)
 folded("br4_dollar_bars_multi_day", lambda s, d: B.dollar_bars_multi_day(A.ticks(s, d), 50_000), "k.cents * k.s", 5_000_000, "ticker")
 folded("br5_volume_bars_multi_day", lambda s, d: B.volume_bars_multi_day(A.ticks(s, d), 1000), "k.s", 1000, "ticker")
-query("br6_imbalance_bars", lambda s, d: rounded(B.imbalance_bars(A.ticks(s, d), "dollar", 8000).select("ticker", "date", "bar_no", "n", "v", "dollar")), """,
+query("br6_imbalance_bars", lambda s, d: rounded(B.imbalance_bars(A.ticks(s, d), "dollar", 8000)), """,
 im AS (SELECT ticker, date, r, sign * cents * s AS g, cents * s AS acc, abs(sign)::DOUBLE AS e, 0::BIGINT AS bar_no FROM signed WHERE r = 1 UNION ALL
  SELECT k.ticker, k.date, k.r, CASE WHEN z THEN 0 ELSE f.g END + k.sign * k.cents * k.s, CASE WHEN z THEN 0 ELSE f.acc END + k.cents * k.s, 0.2 * abs(k.sign) + 0.8 * f.e, f.bar_no + z::INT
  FROM (SELECT *, abs(g) >= greatest(1, e * 800000) OR acc >= 800000 AS z FROM im) f JOIN signed k ON k.ticker = f.ticker AND k.date = f.date AND k.r = f.r + 1)
-SELECT ticker, date, bar_no, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100, 6) AS dollar FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
-query("br7_imbalance_reset", lambda s, d: rounded(B.imbalance_bars_reset(A.ticks(s, d), 4000).select("ticker", "date", "bar_no", "n", "v", "vwap")), """,
+SELECT ticker, date, bar_no, min(t_raw) AS t_open, max(t_raw) AS t_close, round(arg_min(p, r), 6) AS o, round(max(p), 6) AS h, round(min(p), 6) AS l, round(arg_max(p, r), 6) AS c, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100, 6) AS dollar, round(avg(sign), 6) AS imbalance_score FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
+query("br6_imbalance_volume_bars", lambda s, d: rounded(B.imbalance_bars(A.ticks(s, d), "volume", 100)), """,
+im AS (SELECT ticker, date, r, sign * s AS g, s AS acc, abs(sign)::DOUBLE AS e, 0::BIGINT AS bar_no FROM signed WHERE r = 1 UNION ALL
+ SELECT k.ticker, k.date, k.r, CASE WHEN z THEN 0 ELSE f.g END + k.sign * k.s, CASE WHEN z THEN 0 ELSE f.acc END + k.s, 0.2 * abs(k.sign) + 0.8 * f.e, f.bar_no + z::INT
+ FROM (SELECT *, abs(g) >= greatest(1, e * 100) OR acc >= 100 AS z FROM im) f JOIN signed k ON k.ticker = f.ticker AND k.date = f.date AND k.r = f.r + 1)
+SELECT ticker, date, bar_no, min(t_raw) AS t_open, max(t_raw) AS t_close, round(arg_min(p, r), 6) AS o, round(max(p), 6) AS h, round(min(p), 6) AS l, round(arg_max(p, r), 6) AS c, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100, 6) AS dollar, round(avg(sign), 6) AS imbalance_score FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
+query("br7_imbalance_reset", lambda s, d: rounded(B.imbalance_bars_reset(A.ticks(s, d), 4000)), """,
 im AS (SELECT ticker, date, r, sign * cents * s AS g, 0::BIGINT AS bar_no FROM signed WHERE r = 1 UNION ALL
  SELECT k.ticker, k.date, k.r, CASE WHEN abs(f.g) >= 400000 THEN 0 ELSE f.g END + k.sign * k.cents * k.s, f.bar_no + (abs(f.g) >= 400000)::INT FROM im f JOIN signed k ON k.ticker = f.ticker AND k.date = f.date AND k.r = f.r + 1)
-SELECT ticker, date, bar_no, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100 / sum(s), 6) AS vwap FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
+SELECT ticker, date, bar_no, min(t_raw) AS t_open, max(t_raw) AS t_close, round(arg_min(p, r), 6) AS o, round(max(p), 6) AS h, round(min(p), 6) AS l, round(arg_max(p, r), 6) AS c, count(*) AS n, sum(s)::BIGINT AS v, round(sum(cents * s) / 100, 6) AS dollar, round(avg(sign), 6) AS imbalance_score, round(sum(sign * cents * s) / 100, 6) AS imbalance, round(sum(cents * s) / 100 / sum(s), 6) AS vwap FROM im JOIN signed USING (ticker, date, r) GROUP BY 1, 2, 3""")
 query("br8_imbalance_running", lambda s, d: rounded(B.imbalance_bars_running(A.ticks(s, d), 4000), 9), """
 SELECT ticker, date, bar_no, arg_min(p, r) AS o, max(p) AS h, min(p) AS l, arg_max(p, r) AS c, sum(s)::BIGINT AS v, count(*) AS n, round(sum(cents * s) / 100 / sum(s), 9) AS vwap, round((max(t_raw) - min(t_raw)) / 1e6, 9) AS duration_sec
 FROM (SELECT *, coalesce(sum((abs(run) >= 4000)::INT) OVER (PARTITION BY ticker, date ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bar_no FROM (SELECT *, sum(sign * cents * s / 100) OVER (PARTITION BY ticker, date ORDER BY r) AS run FROM signed)) GROUP BY 1, 2, 3""")
