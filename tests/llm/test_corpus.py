@@ -135,8 +135,9 @@ def test_mixing_targets_and_quotas(spark, docs, texts):
         got = {r.target for r in rows if source[r.doc_id] == name}
         assert len(got) == 1 and abs(got.pop() - target) < 1e-3
         assert abs(taken[name] - target) <= 2 * 256
-    again = {r.doc_id: r.taken for r in mixing.mix_plan(docs.repartition(13)).select("doc_id", "taken").collect()}
-    assert again == {r.doc_id: r.taken for r in rows}
+    again = {r.doc_id: [tuple(p) for p in r.parts] for r in mixing.mix_plan(docs.repartition(13)).collect()}
+    said = {r.doc_id: [tuple(map(int, p.split(":"))) for p in r.shares.split(",") if p] for r in rows}
+    assert again == said and all(r.taken == sum(p[2] for p in said[r.doc_id]) and r.n_parts == len(said[r.doc_id]) for r in rows)
 
 
 def brute_mix(docs, plans, block_words):

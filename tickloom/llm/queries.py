@@ -20,7 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "parts")
+    """shares: the words that each shard and pass of the splitting tree takes of the document, as shard:pass:words."""
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    shares = F.array_join(F.transform("parts", lambda p: F.concat_ws(":", p["shard"].cast("string"), p["pass"].cast("string"), p["words"].cast("string"))), ",")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.size("parts").cast("long").alias("n_parts"), shares.alias("shares"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
