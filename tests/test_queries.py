@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions import ordering
 from tickloom.operators import bars, detectors, joins, labels, quality, scd, windows
 from tickloom.plans import registry
 from tickloom.sources import io, normalize
@@ -158,6 +159,20 @@ def test_filings_and_skipped_hours(spark):
     assert sorted(r.t.hour for r in normalize.normalize_vendor_bars(times).collect()) == sorted(h for _, h in hours if h is not None)
 
 
+def test_grouped_quantiles_are_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [("a", float(x)) for x in rng.integers(0, 9, 400)] + [("b", float(x)) for x in rng.normal(size=7)] + [("c", 1.5), ("d", None), ("b", None)]
+    frame = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    wanted = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    got = {r.g: r.q for r in ordering.grouped_quantiles(frame, ["g"], "x", wanted).collect()}
+    assert set(got) == {"a", "b", "c"}
+    for g in got:
+        assert np.allclose(got[g], np.quantile([x for k, x in rows if k == g and x is not None], wanted))
+    assert ordering.grouped_quantiles(frame.limit(0), ["g"], "x", wanted).count() == 0
+
+
 def test_synonyms_keep_other_columns(spark):
     frame = spark.createDataFrame([("20240105", "X", 5, 3.5, "q")], "`Settlement Date` string, Ticker string, Fails long, `Last Price` double, note string")
     row = normalize.normalize_ftd(frame).first().asDict()

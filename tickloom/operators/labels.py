@@ -72,15 +72,13 @@ def triple_barrier(bars_with_vol: DataFrame, pt: float = 3.0, sl: float = 2.0, t
 def concurrency(labels: DataFrame) -> DataFrame:
     """How many labels of the ticker-day are open at each anchor: the starts up to it less the ends before it.
 
-    Both are running counts over one sorted stream of starts and ends.
+    Labels and their ends go through one ordered stream, so nothing is joined back.
     """
-    starts = labels.select(*KEYS, F.col("bar_no").alias("at"), F.lit(1).alias("start"), F.lit(0).alias("end"))
-    ends = labels.select(*KEYS, (F.col("end_bar") + 1).alias("at"), F.lit(0).alias("start"), F.lit(1).alias("end"))
-    steps = starts.union(ends).groupBy(*KEYS, "at").agg(F.sum("start").alias("start"), F.sum("end").alias("end"))
-    running = by(KEYS, "at").rowsBetween(Window.unboundedPreceding, 0)
-    counts = steps.withColumn("concurrency", F.sum(F.col("start") - F.col("end")).over(running)).filter("start > 0")
-    counts = counts.select(*KEYS, F.col("at").alias("bar_no"), F.greatest(F.lit(1), "concurrency").alias("concurrency"))
-    return labels.join(counts, [*KEYS, "bar_no"])
+    rows = labels.select(*KEYS, F.col("bar_no").alias("at_"), F.lit(1).alias("step_"), F.struct(*labels.columns).alias("row_"))
+    ends = labels.select(*KEYS, (F.col("end_bar") + 1).alias("at_"), F.lit(-1).alias("step_"), F.lit(None).cast(rows.schema["row_"].dataType).alias("row_"))
+    upto = by(KEYS, "at_").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = rows.union(ends).withColumn("open_", F.greatest(F.lit(1), F.sum("step_").over(upto))).filter("row_ is not null")
+    return counted.select("row_.*", F.col("open_").alias("concurrency"))
 
 
 def sample_weights(labels: DataFrame, uniqueness: bool = True, abs_return: bool = True, half_life: float | None = None) -> DataFrame:
