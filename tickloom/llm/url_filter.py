@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tickloom.session import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ANY = "*"
 BROADCAST_RULES = 20_000  # index entries; each is some hundred bytes, so a few MB at most
@@ -109,7 +111,8 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = SITE_RUL
     table = rules if isinstance(rules, DataFrame) else rule_frame(pages.sparkSession, rules)
     own = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in RESULTS]
     base = pages.select(F.struct(*own).alias("row"), F.col("url").alias("url"))
-    urls = base.select("url").distinct().select("url", F.concat(host_of(F.col("url")), path_of(F.col("url"))).alias("target"))
+    hold = Scratch(pages.sparkSession)
+    urls = hold.write(base.select("url").distinct().select("url", F.concat(host_of(F.col("url")), path_of(F.col("url"))).alias("target")), "urls")
     index = rule_index(urls, table, small)
     found = urls.select("url", "target", F.explode(_tokens(F.col("target"))).alias("token"))
     found = found.join(F.broadcast(index) if small else index, "token").filter(F.rlike(F.col("target"), F.col("pattern")))
@@ -117,6 +120,8 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = SITE_RUL
         F.max(F.when(F.col("site"), F.struct("length", "rule", "action"))).alias("site"),
         F.min(F.when(~F.col("site"), F.struct("rule", "action"))).alias("word"),
     )
+    best = hold.write(best, "verdicts")  # a written table on either side, so that a hot URL's rows can be split
+    hold.drop(urls)
     judged = base.join(best, "url", "left")
     return judged.select(
         "row.*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("site.rule").alias("rule"),
