@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import information as I, joins as J, quality as Q, reports as R, scd as S
-from tickloom.operators.daily import ohlcv
-from tickloom.operators.windows import cache_features
+from tickloom.operators import information as I, quality as Q, scd as S
 from tickloom.plans import adapters as A
-from tickloom.plans.market import WATCH, bars_of, found, labels_of, query, rounded, watch, weights_of
+from tickloom.plans.market import WATCH, bars_of, labels_of, query, rounded, watch, weights_of
 
 # ---- weights, lineage, filings, universe ----------------------------------------------------------
 query("qc5_weight_stats", lambda s, d: rounded(Q.weight_stats(weights_of(s, d).withColumn("weight", F.col("weight") * F.when(F.dayofmonth("date") == 7, 2).otherwise(1)), most=0.5)), """,
