@@ -630,11 +630,11 @@ def test_shared_counts_and_spanning_links():
     counts = near_dedup.shared_counts(sets, 16)
     assert all(counts[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40))
     comps = np.arange(40) // 2 * 2
-    links = near_dedup.spanning_links(np.arange(40), comps, sets, 30)
+    links = near_dedup.spanning_links(comps, sets, 30)
     close = {(comps[i], comps[j]) for i in range(40) for j in range(i + 1, 40) if 100 * counts[i, j] >= 30 * (len(sets[i]) + len(sets[j]) - counts[i, j])}
     roots = lambda pairs: components_of(pairs, set(comps.tolist()))
     assert roots([(comps[i], comps[j]) for i, j in links]) == roots(close) and len(links) < 20
-    assert near_dedup.spanning_links(np.arange(2), np.arange(2), [np.array([1, 2]), np.array([3])], 80) == []
+    assert near_dedup.spanning_links(np.arange(2), [np.array([1, 2]), np.array([3])], 80) == []
 
 
 def components_of(pairs, nodes):

@@ -282,7 +282,7 @@ def shared_counts(sets: list[np.ndarray], slab: int = 8192) -> np.ndarray:
     return counts.astype(np.int64)
 
 
-def spanning_links(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def spanning_links(comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Places of pairs at the similarity that join the components they join: one fewer than these, at most."""
     n, both = np.array([len(s) for s in sets]), shared_counts(sets)
     close = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (comps[:, None] != comps[None, :])
@@ -312,13 +312,13 @@ def remaining_links(crowded: DataFrame, heads: DataFrame, sets: DataFrame, perce
     members = blocks_of(crowded, heads, percent, block, hold)
     prefixes = hold.write(prefix_rows(members.select("node", "component"), sets, percent, slots), "prefixes", BATCH)
     pairs = block_pairs(prefixes, members, hold)
-    whole = hold.write(members.join(sets, "node").select("node", "component", "block", "shingles"), "block-sets")
+    whole = hold.write(members.join(sets, "node").select("component", "block", "shingles"), "block-sets")
     asked = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
     schema = T.StructType([T.StructField("c_x", T.LongType()), T.StructField("c_y", T.LongType())])
 
     def compare(table: pa.Table) -> pa.Table:
-        nodes, comps = table["node"].to_numpy(), table["component"].to_numpy()
-        found = spanning_links(nodes, comps, [s.values.to_numpy() for s in table["shingles"]], percent)
+        comps = table["component"].to_numpy()
+        found = spanning_links(comps, [s.values.to_numpy() for s in table["shingles"]], percent)
         return pa.table([pa.array([comps[i] for i, _ in found], pa.int64()), pa.array([comps[j] for _, j in found], pa.int64())], schema.names)
 
     links = asked.join(whole, "block").groupBy("a", "b").applyInArrow(compare, schema)
