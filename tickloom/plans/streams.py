@@ -56,8 +56,8 @@ def newest(spark: SparkSession, d: str) -> DataFrame:
 
 query("st3_merge_newest", lambda s, d: newest(s, d).select("ticker", "date", "seq", "p"), """
 SELECT ticker, date, arg_max(seq, t_raw) AS seq, arg_max(p, t_raw) AS p FROM ticks GROUP BY 1, 2""")
-query("st4_stream_triggers", lambda s, d: rounded(stateful(s, lambda: jobs.stream_triggers(minute_stream(s, d), dollars=5e3, high=1e4)).select("ticker", "date", "t", "c", "cum_dollar", "pct_open"), 4), """
-SELECT ticker, date, min(t) AS t, round(arg_min(c, t), 4) AS c, round(arg_min(cum, t), 4) AS cum_dollar, round(arg_min(move, t), 4) AS pct_open FROM (
+query("st4_stream_triggers", lambda s, d: rounded(stateful(s, lambda: jobs.stream_triggers(minute_stream(s, d), dollars=5e3, high=1e4)).select("ticker", "date", "t", "c", "cum_dollar", "pct_open"), 9), """
+SELECT ticker, date, min(t) AS t, round(arg_min(c, t), 9) AS c, round(arg_min(cum, t), 9) AS cum_dollar, round(arg_min(move, t), 9) AS pct_open FROM (
   SELECT *, sum(v * c) OVER w AS cum, c / first(o) OVER w - 1 AS move FROM minutes WINDOW w AS (PARTITION BY ticker, date ORDER BY t))
 WHERE abs(move) >= 0.15 AND cum >= 5e3 AND c BETWEEN 0.2 AND 1e4 GROUP BY 1, 2""")
 query("st5_stream_dollar_bars", lambda s, d: rounded(stateful(s, lambda: jobs.stream_dollar_bars(tick_stream(s, d), A.TARGET)).select("ticker", "date", "bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n")), """,
