@@ -86,7 +86,7 @@ query("jn12_compare_daily", lambda s, d: J.compare_daily(A.daily(s, d).withColum
 SELECT ticker, date, round(p, 6) AS price_pct, round(q, 6) AS volume_pct, CASE WHEN p <= 0.10 AND q <= 3 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
   SELECT ticker, date, abs(c * (1 + (n % 2) / 100) - c) / CASE WHEN abs(c) < 1e-12 THEN 1 ELSE abs(c) END * 100 AS p, n % 3 * 10 / v * 100 AS q FROM daily)""")
 three = lambda s, d: A.daily(s, d).select("ticker", "date", "c", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).select(F.concat(F.lit("v"), F.col("k").cast("string")).alias("source"), "ticker", "date", (F.col("c") + F.col("k") * F.col("k")).alias("c"))
-query("jn13_consensus_bars", lambda s, d: rounded(J.consensus_bars(three(s, d), times=2.5)), "SELECT ticker, date, round(c + 1, 6) AS median, 1.0 AS mad, 3::BIGINT AS n_sources, round(1 / 3, 6) AS outlier_share FROM daily")
+query("jn13_consensus_bars", lambda s, d: rounded(J.consensus_bars(three(s, d), times=2.5)), "SELECT ticker, date, round(c + 1, 6) AS median, 1.0::DOUBLE AS mad, 3::BIGINT AS n_sources, round(1 / 3, 6) AS outlier_share FROM daily")
 PTI_GIVEN = {"mc_max": 1e6, "float_max": 60.0, "pmin": 900.0, "pmax": 1400.0, "volmin": 60.0, "chgmin": 0.10}  # about the data's own size
 exchange = lambda: F.when(F.col("ticker") < "S3", "NASDAQ").when(F.col("ticker") < "S6", "NYSE MKT").when(F.col("ticker") < "S8", "OTC")
 pti_cache = lambda s, d: A.cache_li(s, d).select("ticker", F.col("trading_day").alias("date"), F.col("close_d").alias("close"), F.col("vol_d").alias("volume"), F.col("pctchg_d").alias("pct_chg"), (F.col("session_rows") * 300).alias("shares_out"), (F.col("vol_d") / 2).alias("float_est"), exchange().alias("exchange"))
@@ -173,7 +173,7 @@ query("qc8_content_hash", lambda s, d: Q.content_hash(A.daily(s, d), ["date"]))
 query("qc9_split_purge", lambda s, d: Q.split_purge(walk_forward_split(labels_of(s, d))).select("train", "valid", "purged", "ok"), "SELECT greatest(n * 4 // 5 - 50, 0) AS train, n - n * 4 // 5 AS valid, n * 4 // 5 - greatest(n * 4 // 5 - 50, 0) AS purged, true AS ok FROM (SELECT count(*) AS n FROM labels_)")
 cert = lambda s, d: labels_of(s, d).select(F.concat(F.lit("L"), F.col("label")).alias("event_type"), "anchor_ts", (F.col("anchor_ts") - F.col("bar_no") * 10**6).alias("start_ts"), F.col("t1").alias("end_ts"))
 query("qc10_events_order", lambda s, d: Q.events_order(cert(s, d).withColumn("start_ts", F.col("start_ts") + 3 * 10**6)), "SELECT 'L' || label AS event_type, anchor_ts, anchor_ts - bar_no * 1000000 + 3000000 AS start_ts, t1 AS end_ts FROM labels_ WHERE NOT (bar_no >= 3 AND anchor_ts <= t1)")
-query("qc12_repeated_events", lambda s, d: rounded(Q.repeated_events(cert(s, d).union(cert(s, d)))), "SELECT 'L' || label AS event_type, 2 * count(*) AS n, 0.5 AS share, true AS ok FROM labels_ GROUP BY 1")
+query("qc12_repeated_events", lambda s, d: rounded(Q.repeated_events(cert(s, d).union(cert(s, d)))), "SELECT 'L' || label AS event_type, 2 * count(*) AS n, 0.5::DOUBLE AS share, true AS ok FROM labels_ GROUP BY 1")
 query("qc13_ohlc_rules", lambda s, d: Q.ohlc_rules(A.daily_li(s, d).withColumn("h", F.when(F.col("n") == 3, F.col("l") - 1).otherwise(F.col("h")))), "SELECT count(*) AS n, count(*) FILTER (n = 3) AS high_below, 0::BIGINT AS low_above, count(*) FILTER (n = 3) AS high_below_low, count(*) FILTER (c <= 0) AS no_price, 0::BIGINT AS negative_volume, 0::BIGINT AS no_volume, 0::BIGINT AS repeated FROM daily_li")
 query("qc14_aggregation_check", lambda s, d: Q.aggregation_check(A.minutes(s, d), A.daily(s, d).withColumn("v", F.col("v") + (F.col("n") % 2))), "SELECT ticker, date FROM daily WHERE n % 2 = 1")
 query("qc17_timestamp_sanity", lambda s, d: Q.timestamp_sanity(A.ticks(s, d).withColumn("t_unit", F.when(F.col("seq") % 10 == 0, "ns").otherwise("us"))).select("seq"), "SELECT seq FROM ticks WHERE seq % 10 = 0")
