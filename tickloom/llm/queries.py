@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, url_filter
+from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, token_alignment, token_counts, url_filter, whitening
 from tickloom.llm.folds import in_fold
 
 
@@ -70,6 +70,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), *token_alignment.default_tokenizers())
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries through one cache: what the first has counted the second does not encode again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_deliveries(docs, token_counts.default_tokenizer(), deliveries=2)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +91,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_url_filter, op4_quality_rules, op5_near_dedup, op6_bpe, op7_exact_dedup, op8_language_id, op9_chat_format, op10_html_text, pipeline)}
+    made = (
+        op1_quality, op2_mixing, op3_url_filter, op4_quality_rules, op5_near_dedup, op6_bpe, op7_exact_dedup, op8_language_id, op9_chat_format, op10_html_text,
+        op11_token_alignment, op12_token_counts, op13_whitening, pipeline,
+    )
+    return {f.__name__: f for f in made}
 
 
 def _sql(text: str) -> str:
