@@ -1,16 +1,18 @@
-"""Information bars. Rules that start anew at a threshold run in a grouped kernel per ticker-day; bars that
-run over days go through a ticker's ticks in order and hold the open bar only; the tick rule and the running
-variant are plain windows."""
+"""Information bars. Rules that start anew at a threshold run in a grouped kernel per ticker-day, in which
+ends of bars are searched in bulk; bars that run over days are made day by day too, once small maps of the
+days have been chained; the tick rule and the running variant are plain windows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tickloom.functions.expressions import by, ratio
+from tickloom.operators.carry import CarryMap, carry_map, first_passages
+from tickloom.session import materialise
 
 ORDER = ("t_raw", "seq")
 BAR_FIELDS = "bar_no long, t_open long, t_close long, o double, h double, l double, c double, v long, n long, dollar double, imbalance_score double"
@@ -37,26 +39,16 @@ def reset_bars(size: np.ndarray, target: float) -> np.ndarray:
 
 
 def imbalance_ids(sign: np.ndarray, size: np.ndarray, target: float, alpha: float) -> np.ndarray:
-    """A bar ends where its signed sum reaches max(1, mean |sign| * target), or its sum the target."""
-    out, number, signed, total, mean = np.zeros(len(size), np.int64), 0, 0.0, 0.0, None
-    for i in range(len(size)):
-        step = abs(sign[i])
-        mean = step if mean is None else alpha * step + (1 - alpha) * mean
-        signed, total = signed + sign[i] * size[i], total + size[i]
-        out[i] = number
-        if abs(signed) >= max(1.0, mean * target) or total >= target:
-            number, signed, total = number + 1, 0.0, 0.0
-    return out
+    """A bar ends where its signed sum reaches max(1, mean |sign| * target), or its sum the target.
+
+    The exponential mean goes on through bars, so that every tick's threshold is known beforehand.
+    """
+    mean = pd.Series(np.abs(sign)).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+    return first_passages(np.cumsum(sign * size), np.maximum(1.0, mean * target), np.cumsum(size), target)
 
 
 def signed_reset_ids(sign: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
-    out, number, signed = np.zeros(len(size), np.int64), 0, 0.0
-    for i in range(len(size)):
-        signed += sign[i] * size[i]
-        out[i] = number
-        if abs(signed) >= threshold:
-            number, signed = number + 1, 0.0
-    return out
+    return first_passages(np.cumsum(sign * size), threshold)
 
 
 def _bars(ticks: DataFrame, keys: tuple[str, ...], ids: Callable[[pd.DataFrame], np.ndarray], signed: bool = False) -> DataFrame:
@@ -129,34 +121,89 @@ def extend_bars(carry: tuple | None, part: pd.DataFrame, size: np.ndarray, limit
     return bars.iloc[:-1], (*kept, float(p[-1]))
 
 
-def _bars_over_days(ticks: DataFrame, limit: float, by_volume: bool) -> DataFrame:
-    """Bars that run over days: a ticker's ticks go through one task in order, of which only the open bar is held."""
-    schema = T.StructType([ticks.schema["ticker"]] + T._parse_datatype_string(BAR_FIELDS).fields)
-    scale = 100 if "cents" in ticks.columns else 1
+MAP = "total double, bounds array<double>, outs array<double>, counts array<long>, last_p double"
+BLOCK_DAYS = 32
+
+
+def _map_of(row) -> CarryMap:
+    return CarryMap(row.total, *(np.array(x, kind) for x, kind in ((row.bounds, float), (row.outs, float), (row.counts, np.int64))))
+
+
+def _map_columns(m: CarryMap, last_p: float) -> dict:
+    return {"total": [m.total], "bounds": [m.bounds], "outs": [m.outs], "counts": [m.counts], "last_p": [last_p]}
 
-    def rows(ticker, bars: pd.DataFrame) -> pd.DataFrame:
-        out = bars.assign(ticker=ticker, imbalance_score=bars["signs"] / bars["n"], dollar=bars["dollar"] / scale)
-        return out[[f.name for f in schema]]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, carry = None, None
-        for frame in frames:
-            name = frame["ticker"].to_numpy()
-            starts = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1, [len(name)])) if len(name) else [0]
-            for a, b in zip(starts[:-1], starts[1:]):
-                if name[a] != key:
-                    if carry and carry[8]:
-                        yield rows(key, pd.DataFrame([carry], columns=OPEN))
-                    key, carry = name[a], None
-                part = frame.iloc[a:b]
-                size = part["s"].to_numpy(np.int64) if by_volume else _money(part)
-                closed, carry = extend_bars(carry, part, size, limit, _money(part))
-                yield rows(key, closed)
-        if carry and carry[8]:
-            yield rows(key, pd.DataFrame([carry], columns=OPEN))
-
-    needed = ["ticker", "t_raw", "seq", "p", "s", *(["cents"] if "cents" in ticks.columns else [])]
-    return ticks.select(*needed).repartition("ticker").sortWithinPartitions("ticker", *ORDER).mapInPandas(run, schema)
+def _bars_over_days(ticks: DataFrame, limit: float, by_volume: bool) -> DataFrame:
+    """Bars that run over days, each day of a ticker by itself.
+
+    A day gives a map from the open bar's sum before it to the sum after it. The maps of a block of days are
+    composed, those of a ticker's blocks are walked, and walking each block again gives every day the sum and
+    the number of the bar that is open before it. With these each day makes its own parts of bars, and parts
+    of one bar, from days in a row, are put together.
+    """
+    cents = "cents" in ticks.columns
+    key = [ticks.schema["ticker"]]
+    day = [ticks.schema["ticker"], ticks.schema["date"]]
+    needed = ["ticker", "date", "t_raw", "seq", "p", "s", *(["cents"] if cents else [])]
+
+    def kind(fields: list, text: str) -> T.StructType:
+        return T.StructType(fields + T._parse_datatype_string(text).fields)
+
+    def sizes(part: pd.DataFrame) -> np.ndarray:
+        return part["s"].to_numpy(np.int64) if by_volume else _money(part)
+
+    def of_day(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(list(ORDER), kind="stable")
+        block = (pd.Timestamp(part["date"].iloc[0]) - pd.Timestamp(0)).days // BLOCK_DAYS
+        return pd.DataFrame({"ticker": [part["ticker"].iloc[0]], "date": [part["date"].iloc[0]], "block": [block]} | _map_columns(carry_map(sizes(part), limit), float(part["p"].iloc[-1])))
+
+    def of_block(part: pd.DataFrame) -> pd.DataFrame:
+        rows = list(part.sort_values("date").itertuples(index=False))
+        whole = _map_of(rows[0])
+        for row in rows[1:]:
+            whole = whole.then(_map_of(row))
+        return pd.DataFrame({"ticker": [rows[0].ticker], "block": [rows[0].block]} | _map_columns(whole, rows[-1].last_p))
+
+    def walk(rows: pd.DataFrame, order: str, x: float, bar: int, last_p: float | None) -> pd.DataFrame:
+        """Each row with the sum, bar and price before it."""
+        out = []
+        for row in rows.sort_values(order).itertuples(index=False):
+            out.append((row.ticker, getattr(row, order), x, bar, last_p))
+            (x,), (more,) = _map_of(row).at(np.array([x]))
+            x, bar, last_p = float(x), bar + int(more), row.last_p
+        return pd.DataFrame(out, columns=["ticker", order, "x", "bar", "prev_p"]).astype({"prev_p": float})
+
+    def of_ticker(part: pd.DataFrame) -> pd.DataFrame:
+        return walk(part, "block", 0.0, 0, None)
+
+    def within(part: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        return walk(part, "date", *start[["x", "bar", "prev_p"]].iloc[0])
+
+    def parts_of(part: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(list(ORDER), kind="stable").reset_index(drop=True)
+        x, bar, prev_p = start[["x", "bar", "prev_p"]].iloc[0]
+        p, size = part["p"].to_numpy(float), sizes(part).copy()
+        if x:
+            size[0] += type(size[0])(x)
+        number = reset_bars(size, limit) + int(bar)
+        g = part.assign(bar_no=number, dollar=_money(part), sign=np.sign(np.diff(p, prepend=p[0] if np.isnan(prev_p) else prev_p))).groupby("bar_no", sort=True)
+        out = pd.DataFrame({
+            "t_open": g["t_raw"].first(), "t_close": g["t_raw"].last(), "o": g["p"].first(), "h": g["p"].max(), "l": g["p"].min(), "c": g["p"].last(),
+            "v": g["s"].sum(), "n": g.size(), "dollar": g["dollar"].sum(), "signs": g["sign"].sum(),
+        }).reset_index()
+        return out.assign(ticker=part["ticker"].iloc[0], date=part["date"].iloc[0])[[f.name for f in parts]]
+
+    parts = kind(day, f"bar_no long, t_open long, t_close long, o double, h double, l double, c double, v long, n long, dollar {'long' if cents else 'double'}, signs double")
+    rows = ticks.select(*needed).groupBy("ticker", "date")
+    maps = materialise(rows.applyInPandas(of_day, kind(day, f"block long, {MAP}")), "day-maps")
+    blocks = maps.groupBy("ticker", "block").applyInPandas(of_block, kind(key, f"block long, {MAP}"))
+    before = blocks.groupBy("ticker").applyInPandas(of_ticker, kind(key, "block long, x double, bar long, prev_p double"))
+    opened = maps.groupBy("ticker", "block").cogroup(before.groupBy("ticker", "block")).applyInPandas(within, kind(day, "x double, bar long, prev_p double"))
+    pieces = rows.cogroup(opened.groupBy("ticker", "date")).applyInPandas(parts_of, parts)
+    return pieces.groupBy("ticker", "bar_no").agg(
+        F.min("t_open").alias("t_open"), F.max("t_close").alias("t_close"), F.min_by("o", "date").alias("o"), F.max("h").alias("h"), F.min("l").alias("l"),
+        F.max_by("c", "date").alias("c"), F.sum("v").alias("v"), F.sum("n").alias("n"), (F.sum("dollar") / (100 if cents else 1)).alias("dollar"), (F.sum("signs") / F.sum("n")).alias("imbalance_score"),
+    )
 
 
 def dollar_bars(ticks: DataFrame, target: float = 300_000) -> DataFrame:
