@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.plans import adapters as A
 from tickloom.plans.market import query, rounded
+from tickloom.plans.research import RICH, RICH_SQL
 from tickloom.session import scratch_folder
 from tickloom.streaming import jobs
 
@@ -56,18 +57,24 @@ def newest(spark: SparkSession, d: str) -> DataFrame:
 
 query("st3_merge_newest", lambda s, d: newest(s, d).select("ticker", "date", "seq", "p"), """
 SELECT ticker, date, arg_max(seq, t_raw) AS seq, arg_max(p, t_raw) AS p FROM ticks GROUP BY 1, 2""")
-query("st4_stream_triggers", lambda s, d: rounded(stateful(s, lambda: jobs.stream_triggers(minute_stream(s, d), dollars=5e3, high=1e4)).select("ticker", "date", "t", "c", "cum_dollar", "pct_open"), 9), """
+query("st4_stream_triggers", lambda s, d: rounded(stateful(s, lambda: jobs.stream_triggers(minute_stream(s, d), dollars=5e3, high=1e4, zone="UTC")).select("ticker", "date", "t", "c", "cum_dollar", "pct_open"), 9), """
 SELECT ticker, date, min(t) AS t, round(arg_min(c, t), 9) AS c, round(arg_min(cum, t), 9) AS cum_dollar, round(arg_min(move, t), 9) AS pct_open FROM (
   SELECT *, sum(v * c) OVER w AS cum, c / first(o) OVER w - 1 AS move FROM minutes WINDOW w AS (PARTITION BY ticker, date ORDER BY t))
 WHERE abs(move) >= 0.15 AND cum >= 5e3 AND c BETWEEN 0.2 AND 1e4 GROUP BY 1, 2""")
-query("st5_stream_dollar_bars", lambda s, d: rounded(stateful(s, lambda: jobs.stream_dollar_bars(tick_stream(s, d), A.TARGET)).select("ticker", "date", "bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n")), """,
+query("st5_stream_dollar_bars", lambda s, d: rounded(stateful(s, lambda: jobs.stream_dollar_bars(tick_stream(s, d), A.TARGET, zone="UTC")).select("ticker", "date", "bar_no", "t_open", "t_close", "o", "h", "l", "c", "v", "n")), """,
 closed AS (SELECT *, sum(dollar) OVER (PARTITION BY ticker, date, bar_no) >= {target} AS whole FROM bars)
 SELECT ticker, date, bar_no, t_open, t_close, round(o, 6) AS o, round(h, 6) AS h, round(l, 6) AS l, round(c, 6) AS c, v, n FROM closed WHERE whole OR date < (SELECT max(date) FROM ticks)""".replace("{target}", str(A.TARGET)))
-query("st6_stream_spike", lambda s, d: rounded(result(s, jobs.stream_spike(tick_stream(s, d), step="30 minutes")).select("ticker", F.unix_micros("start").alias("t"), "spike_up", "spike_down"), 9), """,
-wide AS (SELECT t.*, date_trunc('hour', ts) + INTERVAL 30 MINUTE * k AS start FROM ticks t, (SELECT unnest([-4, -3, -2, -1, 0, 1]) AS k)),
-win AS (SELECT ticker, start, arg_min(p, seq) AS o, max(p) AS h, min(p) AS l FROM wide WHERE start <= ts AND ts < start + INTERVAL 2 HOUR GROUP BY 1, 2)
+SPIKES = """,
+mins AS (SELECT ticker, date_trunc('minute', ts) AS m, arg_min(p, seq) AS o, max(p) AS h, min(p) AS l FROM ticks GROUP BY 1, 2),
+wide AS (SELECT ticker, m, o, h, l, start FROM (SELECT *, unnest(range(0, 120, {step})) AS k FROM mins),
+  LATERAL (SELECT time_bucket(INTERVAL {step} MINUTE, m) - INTERVAL 1 MINUTE * k AS start)),
+win AS (SELECT ticker, start, arg_min(o, m) AS o, max(h) AS h, min(l) AS l FROM wide GROUP BY 1, 2)
 SELECT ticker, epoch_us(start) AS t, round((h - o) / nullif(o, 0), 9) AS spike_up, round((l - o) / nullif(o, 0), 9) AS spike_down FROM win
-WHERE (h / nullif(o, 0) - 1 >= 0.2 OR l / nullif(o, 0) - 1 <= -0.3) AND start + INTERVAL 125 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM ticks)""")
+WHERE ((h - o) / nullif(o, 0) >= 0.2 OR (l - o) / nullif(o, 0) <= -0.3)
+  AND start + INTERVAL 125 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM ticks)"""
+spikes = lambda s, d, step: rounded(stateful(s, lambda: jobs.stream_spike(tick_stream(s, d), step=step)).select("ticker", F.unix_micros("start").alias("t"), "spike_up", "spike_down"), 9)
+query("st6_stream_spike", lambda s, d: spikes(s, d, 1), SPIKES.replace("{step}", "1"))
+query("st6_stream_spike_half_hours", lambda s, d: spikes(s, d, 30), SPIKES.replace("{step}", "30"))
 
 
 def updated(spark: SparkSession, d: str) -> DataFrame:
@@ -79,3 +86,22 @@ def updated(spark: SparkSession, d: str) -> DataFrame:
 
 query("st7_eod_update", lambda s, d: rounded(updated(s, d).select("ticker", "trading_day", "close_d", "pctchg_d", "rvol30")), """
 SELECT ticker, trading_day, round(close_d, 6) AS close_d, round(pctchg_d, 6) AS pctchg_d, round(rvol30, 6) AS rvol30 FROM cache""")
+
+
+def refreshed(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """The days in three deliveries, each brought into all tables at once."""
+    days = A.cache_li(spark, d).select("ticker", "trading_day", "close_d", F.col("vol_d").cast("double").alias("vol_d"), "dollar_vol_d")
+    inbox, out, checkpoint = (scratch_folder(spark, n) for n in ("landing", "eod", "checkpoint"))
+    for years in ((0, 1994), (1995, 1996), (1997, 9999)):
+        days.filter(F.year("trading_day").between(*years)).write.mode("append").parquet(inbox)
+        jobs.eod_tables(jobs.stream_ticks(spark, inbox, days.schema), out, checkpoint, thresholds=RICH, buckets=4).awaitTermination()
+    return jobs.read_eod(spark, out, table)
+
+
+RICH_DAYS = RICH_SQL + "SELECT ticker, trading_day, round(close_d, 6) AS close_d, round(pctchg_d, 6) AS pctchg_d, round(rvol30, 6) AS rvol30, info_rich FROM rich"
+days_of = lambda s, d, table: rounded(refreshed(s, d, table).select("ticker", "trading_day", "close_d", "pctchg_d", "rvol30", "info_rich"))
+query("st7_eod_cache", lambda s, d: days_of(s, d, "cache"), RICH_DAYS)
+query("st7_eod_watchlist", lambda s, d: days_of(s, d, "watchlist"), RICH_DAYS + " WHERE info_rich")
+query("st7_eod_topn", lambda s, d: refreshed(s, d, "topn"), RICH_SQL + """
+SELECT ticker, sum(coalesce(info_rich, false)::INT)::BIGINT AS days_rich, max(trading_day) AS last_seen
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trading_day DESC) AS k FROM rich) WHERE k <= 252 GROUP BY 1""")
