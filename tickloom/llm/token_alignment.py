@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 from array import array
@@ -31,52 +32,105 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tickloom.llm.bpe import _chunks as space_chunks, byte_letters
+from tickloom.llm.bpe import byte_letters
 from tickloom.llm.chunk_memo import ChunkMemo
 from tickloom.session import Scratch
 
-MEMO = 300_000  # chunks whose ids a task remembers, for each side
+MEMO = 500_000  # parts of texts whose ids a task remembers
 BATCH_ROWS, BATCH_BYTES = 256, 4_000_000  # what is aligned at a time; a longer text goes by itself
 BROADCAST_PAIRS = 400_000  # rows of the table of counts up to which it is broadcast: some 20 MB
 SALTS = 16
-#: Parts of a text that begin at a run of spaces after another character.
-CHUNKS = regex.compile(r" *[^ ]+| +")
+TOGETHER = 500  # new parts that are encoded as one text
+#: A space before white space.
+BEFORE_BLANK = regex.compile(r" (?=\p{White_Space})")
+
+
+def beside_blank(text: str) -> bool:
+    """True if a space of the text stands at its end or before white space, or the text begins with white space."""
+    if text[0].isspace() or text[-1] == " " or "  " in text:
+        return True
+    if text.isascii():
+        return any(f" {c}" in text for c in "\n\t\r\x0b\x0c")
+    return BEFORE_BLANK.search(text) is not None
 
 
 class Side:
-    """One tokenizer: ids of a text, and the bytes of each id (none for control tokens).
+    """One tokenizer: ids of texts that begin with a space, and the bytes of each id (none for control tokens).
 
-    encode_many gives ids of strings; cut parts a text where no token can reach across, so that the parts
-    can be encoded by themselves and remembered (None: nowhere).
+    parted says that no token reaches from a character over a single space to what follows it.
     """
 
-    def __init__(self, token_bytes: list[bytes | None], encode_many: Callable[[list[str]], list[list[int]]], cut: Callable[[str], list[str]] | None):
-        self.token_bytes, self.cut = token_bytes, cut or (lambda text: [text])
+    def __init__(self, token_bytes: list[bytes | None], ids_of: Callable[[str], list[int]], parted: bool):
+        self.token_bytes, self.ids_of, self.parted = token_bytes, ids_of, parted
         self.size = np.array([len(b or b"") for b in token_bytes], np.int64)
-        self.encode_many = encode_many
-        self.memo = ChunkMemo(self._made, MEMO if cut else 0)
-
-    def _made(self, chunks: list[str]) -> list[tuple[bytes, bool]]:
-        """The ids of each chunk as 32-bit integers, and whether they stand for its very bytes."""
-        made = self.encode_many(chunks)
-        return [(array("i", ids).tobytes(), self.joined(ids) == c.encode("utf-8", "surrogatepass")) for c, ids in zip(chunks, made, strict=True)]
 
     def joined(self, ids: list[int]) -> bytes | None:
         """The bytes of the ids in turn; None if one of them stands for no bytes."""
         parts = [self.token_bytes[i] for i in ids]
         return None if None in parts else b"".join(parts)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
-        """The ids of each text; None if they do not stand for its very bytes."""
-        cut = [self.cut(t) for t in texts]
-        known = self.memo.known({c for chunks in cut for c in chunks})
+    def encode(self, text: str) -> bytes | None:
+        """The ids as 32-bit integers; None if they do not stand for the text's very bytes."""
+        ids = self.ids_of(text)
+        return array("i", ids).tobytes() if self.joined(ids) == text.encode("utf-8", "surrogatepass") else None
+
+    def encode_parts(self, parts: list[str]) -> list[bytes | None]:
+        """The ids of parts of texts, each a space and what follows up to the next: all as one text, cut again
+        where the parts end; where that fails, by halves, down to the part that is not what its ids say."""
+        if len(parts) == 1:
+            return [self.encode(parts[0])]
+        if not parts:
+            return []
+        made = self.encode("".join(parts))
+        if made is not None:
+            ends = np.cumsum(self.size[np.frombuffer(made, np.int32)])
+            cuts = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])
+            place = np.searchsorted(ends, cuts)
+            if np.array_equal(ends[place], cuts):
+                at = [0, *(4 * place + 4).tolist()]
+                return [made[x:y] for x, y in itertools.pairwise(at)]
+        half = len(parts) // 2
+        return self.encode_parts(parts[:half]) + self.encode_parts(parts[half:])
+
+
+class Both:
+    """Two tokenizers over the same texts; the ids of parts that come again are remembered."""
+
+    def __init__(self, a: Side, b: Side):
+        self.a, self.b = a, b
+        self.memo = ChunkMemo(self._made, MEMO)
+        self.parted, self.odd = a.parted and b.parted, set()
+
+    def _made(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of both sides; parts for whose very bytes either side's do not stand are noted as odd."""
+        spaced = [" " + p for p in parts]
+        made = [[x for i in range(0, len(spaced), TOGETHER) for x in s.encode_parts(spaced[i : i + TOGETHER])] for s in (self.a, self.b)]
+        self.odd.update(p for p, x, y in zip(parts, *made, strict=True) if x is None or y is None)
+        return [(x or b"", y or b"") for x, y in zip(*made, strict=True)]
+
+    def _whole(self, text: str) -> tuple[bytes, bytes] | None:
+        x, y = self.a.encode(text), self.b.encode(text)
+        return None if x is None or y is None else (x, y)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of a space and each text on both sides; none where either side's bytes differ from it.
+
+        A text is cut at its spaces where each stands alone between other characters than white space,
+        which is where either side begins a token; other texts are encoded whole.
+        """
+        plain = [self.parted and t != "" and not beside_blank(t) for t in texts]
+        cut = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
+        if len(self.odd) > MEMO:
+            self.odd.clear()
+            self.memo = ChunkMemo(self._made, MEMO)
+        known = self.memo.known(set(itertools.chain.from_iterable(cut))).__getitem__
         out = []
-        for text, chunks in zip(texts, cut, strict=True):
-            found = [known[c] for c in chunks]
-            ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-            # chunks that are all right make a text that is; else what they say together counts
-            same = all([f[1] for f in found]) or self.joined(ids.tolist()) == text.encode("utf-8", "surrogatepass")
-            out.append(ids if same else None)
+        for text, ok, parts in zip(texts, plain, cut, strict=True):
+            if ok and self.odd.isdisjoint(parts):
+                x, y = map(b"".join, zip(*map(known, parts), strict=True))
+            else:
+                x, y = (self._whole(" " + text) if text else None) or (b"", b"")
+            out.append((np.frombuffer(x, np.int32), np.frombuffer(y, np.int32)))
         return out
 
 
@@ -97,7 +151,7 @@ def byte_level_side(file: str) -> Side:
         spec = json.load(f)
     before = spec["pre_tokenizer"] or {}
     words = spec["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-    return Side(token_bytes, lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)], space_chunks if words else None)
+    return Side(token_bytes, lambda text: library.encode_batch_fast([text], add_special_tokens=False)[0].ids, bool(words))
 
 
 def piece_side(file: str) -> Side:
@@ -112,19 +166,14 @@ def piece_side(file: str) -> Side:
             token_bytes.append(bytes([int(piece[3:-1], 16)]))
         else:
             token_bytes.append(None if library.is_control(i) or library.is_unknown(i) else piece.replace("▁", " ").encode())
-    space = library.piece_to_id("▁")
-    whole = space != library.unk_id() and all(b is None or b" " not in b.lstrip(b" ") for b in token_bytes)
-
-    def encode_many(texts: list[str]) -> list[list[int]]:
-        # the text's own first space is the one that the library puts there, though not before nothing
-        return [ids or [space] for ids in library.encode([t[1:] for t in texts], num_threads=1)]
-
-    return Side(token_bytes, encode_many, CHUNKS.findall if whole else None)
+    parted = all(b is None or b" " not in b.lstrip(b" ") for b in token_bytes)
+    # the text's own first space is the one that the library puts there
+    return Side(token_bytes, lambda text: library.encode(text[1:], num_threads=1), parted)
 
 
 @functools.lru_cache(4)
-def side(file: str) -> Side:
-    return byte_level_side(file) if file.endswith(".json") else piece_side(file)
+def both(file_a: str, file_b: str) -> Both:
+    return Both(*(byte_level_side(f) if f.endswith(".json") else piece_side(f) for f in (file_a, file_b)))
 
 
 def covering(starts: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
@@ -150,9 +199,9 @@ def _numbers(size: int) -> list[np.ndarray]:
 class Aligned:
     """Tokens of a batch of documents: flat arrays, document by document, with places in one byte stream."""
 
-    def __init__(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray], size_a: np.ndarray, size_b: np.ndarray):
-        self.n, self.vocabulary = len(ids_a), max(len(size_a), len(size_b))
-        self.a, self.b = self._flat(ids_a, size_a), self._flat(ids_b, size_b)
+    def __init__(self, ids: list[tuple[np.ndarray, np.ndarray]], size_a: np.ndarray, size_b: np.ndarray):
+        self.n, self.vocabulary = len(ids), max(len(size_a), len(size_b))
+        self.a, self.b = self._flat([x for x, _ in ids], size_a), self._flat([y for _, y in ids], size_b)
         self.left, self.right = links(self.a, self.b) if len(self.a) and len(self.b) else (np.zeros(0, np.int64),) * 2
         ends_a, ends_b = self.a["end"].to_numpy(), self.b["end"].to_numpy()
         self.cut_a, self.cut_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
@@ -208,13 +257,6 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]
             yield keys.take(pa.array(rows)), held
 
 
-def encode_both(texts: list[str], a: Side, b: Side) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Ids of a space and each text on both sides; none where either side's bytes differ from it."""
-    spaced, none = [" " + t for t in texts], np.zeros(0, np.int32)
-    out = [(x, y) if t and x is not None and y is not None else (none, none) for t, x, y in zip(texts, a.encode(spaced), b.encode(spaced), strict=True)]
-    return [x for x, _ in out], [y for _, y in out]
-
-
 def align(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs (array of pair, n)."""
     longs = [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")]
@@ -222,9 +264,9 @@ def align(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], *longs, T.StructField("groups_sha256", T.StringType()), T.StructField("pairs", T.ArrayType(pair))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = side(file_a), side(file_b)
+        sides = both(file_a, file_b)
         for keys, held in _parts(batches):
-            x = Aligned(*encode_both(held, a, b), a.size, b.size)
+            x = Aligned(sides.encode(held), sides.a.size, sides.b.size)
             doc, pair, n = x.pairs()
             n_a, n_b = x.per_doc(x.a["doc"]), x.per_doc(x.b["doc"])
             structs = pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
