@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +37,43 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _owned.get().append((spark, folder))
+    return folder
+
+
+#: What scratch_folder has given out: to the block that owns it, else to the program.
+_leftover: list[tuple[SparkSession, str]] = []
+_owned: ContextVar[list[tuple[SparkSession, str]]] = ContextVar("owned", default=_leftover)
+
+
+@contextmanager
+def scratch_tables():
+    """A block that owns every scratch folder made within: they are deleted at its end.
+
+    A result must be written or collected inside the block, as the tables that it reads go with it. What is
+    made outside of any block is deleted when the program ends.
+    """
+    mine: list[tuple[SparkSession, str]] = []
+    token = _owned.set(mine)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        _delete_all(mine)
+
+
+def _delete_all(folders: list[tuple[SparkSession, str]]) -> None:
+    while folders:
+        spark, folder = folders.pop()
+        delete_folder(spark, folder)
+
+
+@atexit.register
+def _delete_leftovers() -> None:
+    if _leftover and SparkSession.getActiveSession() is not None:
+        with suppress(Exception):  # the JVM may be gone already
+            _delete_all(_leftover)
 
 
 @functools.cache
@@ -53,7 +91,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 class Scratch:
     """Materialised tables of one operator: each goes as soon as the operator says that it is done with.
 
-    A table that a returned, not yet computed DataFrame reads must stay; the session's folder holds it.
+    A table that a returned, not yet computed DataFrame reads must stay until its owner's end (scratch_tables).
     """
 
     def __init__(self, spark: SparkSession):
@@ -75,6 +113,11 @@ class Scratch:
                 delete_folder(self.spark, self.folders.pop(id(table))[1])
 
 
+    def drop_all(self) -> None:
+        for table, _ in list(self.folders.values()):
+            self.drop(table)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int | None):
     """Batches of at most so many rows for Python workers; the session's own setting comes back afterwards."""
