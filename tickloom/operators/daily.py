@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickloom.functions.clock import epoch_micros, floored
 from tickloom.functions.expressions import ratio
 
 
@@ -33,15 +34,15 @@ def daily_cache_agg(minutes: DataFrame, session_minutes: int = 390) -> DataFrame
 
 
 def ticks_to_minute(ticks: DataFrame, unit: str = "minute") -> DataFrame:
-    """OHLCV and VWAP per ticker and minute (or another unit of date_trunc) of event time ts."""
-    keyed = ticks.withColumn("minute", F.date_trunc(unit, "ts"))
+    """OHLCV and VWAP per ticker and minute (or second, hour, day in UTC) of event time ts."""
+    keyed = ticks.withColumn("minute", floored(epoch_micros(ticks, "ts"), unit))
     bars = ohlcv(keyed, ["ticker", "date", "minute"], "seq", "p", "s")
     return bars.withColumn("vw", ratio(F.col("dollar"), F.col("v"))).withColumn("t", F.unix_micros(F.col("minute").cast("timestamp")))
 
 
 def bars_to_minute(bars: DataFrame, unit: str = "minute") -> DataFrame:
     """Information bars regrouped by the minute of t_close."""
-    keyed = bars.withColumn("minute", F.date_trunc(unit, F.timestamp_micros("t_close")))
+    keyed = bars.withColumn("minute", floored(F.col("t_close"), unit))
     return keyed.groupBy("ticker", "minute").agg(
         F.min_by("o", "bar_no").alias("o"), F.max("h").alias("h"), F.min("l").alias("l"), F.max_by("c", "bar_no").alias("c"), F.sum("v").alias("v")
     )

@@ -2,32 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from tickloom.functions.clock import epoch_micros, floored
 from tickloom.functions.expressions import by
+from tickloom.functions.ordering import grouped_quantiles
+from tickloom.session import materialise
 
 
 END = "2099-12-31"
 
 
+class Sweep:
+    """Rows of one ticker after another, by start and end -> the changes of what is in force.
+
+    Of the rows that are open only those can come into force again that end after all that began later: they
+    form a stack whose ends fall towards its top, the row in force. Each row enters and leaves it once.
+    """
+
+    def __init__(self) -> None:
+        self.key, self.stack, self.out = None, [], []  # stack: (end, place in pool); out: [ticker, at, place or None]
+
+    def emit(self, at, place: int | None) -> None:
+        if self.out and self.out[-1][0] == self.key and self.out[-1][1] == at:
+            self.out[-1][2] = place
+        else:
+            self.out.append([self.key, at, place])
+
+    def close_until(self, at=None) -> None:
+        while self.stack and (at is None or self.stack[-1][0] <= at):
+            end, _ = self.stack.pop()
+            self.emit(end, self.stack[-1][1] if self.stack else None)
+
+    def add(self, ticker, start, end, place: int) -> None:
+        if ticker != self.key:
+            self.close_until()
+            self.key = ticker
+        self.close_until(start)
+        while self.stack and self.stack[-1][0] <= end:
+            self.stack.pop()
+        self.stack.append((end, place))
+        self.emit(start, place)
+
+    def repooled(self) -> list[int]:
+        """The places that are still needed, in the order in which they come to be numbered anew."""
+        kept = sorted({p for _, p in self.stack} | {o[2] for o in self.out if o[2] is not None})
+        number = {p: i for i, p in enumerate(kept)}
+        self.stack = [(end, number[p]) for end, p in self.stack]
+        self.out = [[k, at, None if p is None else number[p]] for k, at, p in self.out]
+        return kept
+
+
 def in_force(dim: DataFrame) -> DataFrame:
     """dim (ticker, effective_from, effective_to, ...) as changes: ticker, at_, dim_ (the row in force from then on, or null).
 
-    Of several rows in force the one with the latest start counts. Rows are first put into islands
-    whose spans overlap, by a running maximum of ends; only rows of one island meet, so that a
-    dimension without overlaps is gone through once.
+    Of several rows in force the one with the latest start, then the latest end counts. A ticker's rows are
+    swept once in order; what is held meanwhile are the open rows that can come into force again.
     """
-    names = dim.columns
-    rows = dim.select("ticker", F.col("effective_from").alias("from_"), F.coalesce("effective_to", F.lit(END).cast("date")).alias("to_"), F.struct(*names).alias("dim_")).filter("from_ < to_")
-    w = by("ticker", "from_", "to_")
-    new = F.coalesce(F.max("to_").over(w.rowsBetween(Window.unboundedPreceding, -1)) <= F.col("from_"), F.lit(True))
-    rows = rows.withColumn("new_", new.cast("int")).withColumn("island_", F.sum("new_").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    points = rows.select("ticker", "island_", F.explode(F.array("from_", "to_")).alias("at_")).distinct()
-    # an island's last end comes with the next one's start where they touch
-    held = points.join(rows, ["ticker", "island_"], "left").filter("from_ <= at_ and at_ <= to_")
-    open_ = F.when(F.col("at_") < F.col("to_"), F.struct("from_", "to_", "dim_"))
-    changes = held.groupBy("ticker", "island_", "at_").agg(F.max_by(open_, F.when(open_.isNotNull(), F.struct("from_", "to_"))).alias("r"))
-    return changes.groupBy("ticker", "at_").agg(F.max_by("r", F.struct(F.col("r").isNotNull(), "island_")).alias("r")).select("ticker", "at_", F.col("r.dim_").alias("dim_"))
+    rows = dim.select("ticker", F.col("effective_from").alias("from_"), F.coalesce("effective_to", F.lit(END).cast("date")).alias("to_"), F.struct(*dim.columns).alias("dim_")).filter("from_ < to_")
+    schema = T.StructType([rows.schema["ticker"], T.StructField("at_", rows.schema["from_"].dataType), T.StructField("dim_", rows.schema["dim_"].dataType)])
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, pool, kinds = Sweep(), None, None
+
+        def made(rows: list) -> pa.RecordBatch:
+            columns = [pa.array([r[0] for r in rows], kinds[0]), pa.array([r[1] for r in rows], kinds[1]), pool.take(pa.array([r[2] for r in rows], pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["ticker", "at_", "dim_"])
+
+        for batch in batches:
+            kinds = batch.column("ticker").type, batch.column("from_").type
+            pool = batch.column("dim_") if pool is None else pa.concat_arrays([pool, batch.column("dim_")])
+            first = len(pool) - batch.num_rows
+            for i, (ticker, start, end) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ticker", "from_", "to_")), strict=True)):
+                state.add(ticker, start, end, first + i)
+            if len(state.out) > 1:
+                yield made(state.out[:-1])  # the last one may still be replaced
+                state.out = state.out[-1:]
+            pool = pool.take(pa.array(state.repooled(), pa.int64()))
+        if pool is not None:
+            state.close_until()
+            yield made(state.out)
+
+    return rows.repartition("ticker").sortWithinPartitions("ticker", "from_", "to_").mapInArrow(sweep, schema)
 
 
 def days_in_force(daily: DataFrame, dim: DataFrame, day: str) -> DataFrame:
@@ -95,9 +154,18 @@ def _relative(ours: Column, ref: Column) -> Column:
     return F.abs(ours - ref) / F.when(F.abs(ref) < 1e-12, 1.0).otherwise(F.abs(ref))
 
 
+def _first_in_minute(bars: DataFrame) -> DataFrame:
+    values = ["t", "o", "h", "l", "c", "v"]
+    first = bars.groupBy("ticker", floored(epoch_micros(bars, "t"), "minute").alias("minute_")).agg(F.min(F.struct(*values)).alias("r"))
+    return first.select("ticker", F.col("minute_").alias("t"), *[f"r.{c}" for c in values[1:]])
+
+
 def matched_bars(ref: DataFrame, ours: DataFrame, price_tol: float = 0.01, volume_tol: float = 0.05) -> DataFrame:
-    """Bars of two sources at the same minute (t a timestamp), their largest price difference and volume difference."""
-    a, b = (x.withColumn("t", F.date_trunc("minute", "t")).dropDuplicates(["ticker", "t"]) for x in (ref, ours))
+    """Bars of two sources at the same minute (t a timestamp), their largest price difference and volume difference.
+
+    Of several bars of a source in one minute the first by time, then by its values, counts.
+    """
+    a, b = (_first_in_minute(x) for x in (ref, ours))
     both = a.alias("a").join(b.alias("b"), ["ticker", "t"])
     price = F.greatest(*[_relative(F.col(f"b.{c}"), F.col(f"a.{c}")) for c in "ohlc"])
     both = both.select("ticker", "t", price.alias("price_diff"), _relative(F.col("b.v"), F.col("a.v")).alias("volume_diff"))
@@ -106,10 +174,13 @@ def matched_bars(ref: DataFrame, ours: DataFrame, price_tol: float = 0.01, volum
 
 def compare_bars(ref: DataFrame, ours: DataFrame, price_tol: float = 0.01, volume_tol: float = 0.05) -> DataFrame:
     """Match rate, mean and 95th percentile of differences, and breaks, per ticker."""
-    return matched_bars(ref, ours, price_tol, volume_tol).groupBy("ticker").agg(
+    matched = materialise(matched_bars(ref, ours, price_tol, volume_tol), "matched")
+    sums = matched.groupBy("ticker").agg(
         F.count("*").alias("n"), F.avg(F.col("passed").cast("double")).alias("match_rate"), F.avg("price_diff").alias("mean_price_diff"),
-        F.percentile("price_diff", 0.95).alias("p95_price_diff"), F.count_if(~F.col("passed")).alias("breaks"),
+        F.count_if(~F.col("passed")).alias("breaks"),
     )
+    places = grouped_quantiles(matched, ["ticker"], "price_diff", [0.95]).select(F.col("ticker").alias("ticker_"), F.col("q")[0].alias("p95_price_diff"))
+    return sums.join(places, F.col("ticker").eqNullSafe(F.col("ticker_")), "left").drop("ticker_")
 
 
 def compare_daily(ours: DataFrame, ref: DataFrame, price_pct: float = 0.10, volume_pct: float = 3.0) -> DataFrame:

@@ -83,10 +83,11 @@ def yearly_density(watchlist: DataFrame, date: str = "date", by_month: bool = Fa
 
 def event_stats(events: DataFrame) -> DataFrame:
     """Range, mean and upper quantiles of the value, and events per ticker, by event type."""
-    q = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
     out = events.groupBy("event_type").agg(
-        F.count("*").alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"), q.alias("q"), F.countDistinct("ticker").alias("tickers")
+        F.count("*").alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"), F.countDistinct("ticker").alias("tickers")
     )
+    places = grouped_quantiles(events, ["event_type"], "value", [0.5, 0.95, 0.99]).withColumnRenamed("event_type", "type_")
+    out = out.join(places, F.col("event_type").eqNullSafe(F.col("type_")), "left")
     return out.select("event_type", "n", "min", "mean", "max", F.col("q")[0].alias("median"), F.col("q")[1].alias("p95"), F.col("q")[2].alias("p99"), ratio(F.col("n") * 1.0, F.col("tickers")).alias("per_ticker"))
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickloom.functions.clock import at_zone, epoch_micros, minute_of_day, utc_clock
 from tickloom.functions.expressions import by
 
 #: The thresholds of an information-rich day.
@@ -54,10 +55,9 @@ def filter_hits(cache: DataFrame, given: dict | None = None) -> DataFrame:
 
 
 def rth_filter(df: DataFrame, ts: str = "ts", tz: str | None = "America/New_York") -> DataFrame:
-    """09:30 to 16:00 inclusive; tz converts from UTC, None takes the clock as it is."""
-    at = F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz) if tz else F.col(ts)
-    minute = F.hour(at) * 60 + F.minute(at)
-    return df.filter(minute.between(570, 960))
+    """09:30 to 16:00 inclusive on the clock of tz; None takes a clock as it is, an instant by UTC. The session's zone plays no part."""
+    clock = utc_clock(epoch_micros(df, ts))
+    return df.filter(minute_of_day(at_zone(clock, tz) if tz else clock).between(570, 960))
 
 
 def date_window(df: DataFrame, first, last, date: str = "date") -> DataFrame:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.clock import at_zone, clock_micros, from_zone, minute_of_day, utc_clock
 from tickloom.functions.expressions import by, ratio
 
 
@@ -27,17 +28,17 @@ def to_event_time(ticks: DataFrame) -> DataFrame:
 
 
 def normalize_minute(df: DataFrame) -> DataFrame:
-    """Minute bars with date and minute strings from epoch milliseconds t."""
-    ts = F.timestamp_millis("t")
+    """Minute bars with date and minute strings (UTC) from epoch milliseconds t."""
+    at = utc_clock(F.col("t").cast("long") * 1000).cast("string")
     return df.select(
-        "ticker", F.date_format(ts, "yyyy-MM-dd").alias("date"), F.date_format(ts, "yyyy-MM-dd HH:mm").alias("minute"), F.col("t").cast("long").alias("t"),
+        "ticker", F.substring(at, 1, 10).alias("date"), F.substring(at, 1, 16).alias("minute"), F.col("t").cast("long").alias("t"),
         *[F.col(c).cast("double").alias(c) for c in "ohlcv"], F.col("n").cast("long").alias("n"), F.col("vw").cast("double").alias("vw"),
     )
 
 
 def normalize_daily(df: DataFrame) -> DataFrame:
     return df.select(
-        "ticker", F.date_format(F.timestamp_millis("t"), "yyyy-MM-dd").alias("date"), *[F.col(c).cast("double").alias(c) for c in "ohlcv"],
+        "ticker", F.substring(utc_clock(F.col("t").cast("long") * 1000).cast("string"), 1, 10).alias("date"), *[F.col(c).cast("double").alias(c) for c in "ohlcv"],
         F.col("n").cast("long").alias("n"), F.col("vw").cast("double").alias("vw"),
     )
 
@@ -183,27 +184,28 @@ SHIFTS = (30, 60)  # minutes by which zones put clocks back
 def normalize_vendor_bars(df: DataFrame, tz: str | None = "America/New_York", rth_only: bool = False) -> DataFrame:
     """ts, o, h, l, c, v (strings) -> bars with t in UTC.
 
-    A time with a zone is taken as it is; one without is of tz. Times that the zone skips or has twice
-    become null and go, as do times that do not parse; a volume that is no number counts as 0.
+    A time with a zone is taken as it is; one without is of tz (None: UTC), whatever the session's zone. Times
+    that the zone skips or has twice become null and go, as do times that do not parse; a volume that is no
+    number counts as 0.
     """
     zoned = F.rlike("ts", F.lit("(?:Z|[+-][0-9]{2}:?[0-9]{2})$"))
-    naive = F.try_to_timestamp("ts").cast("timestamp_ntz")
+    naive = F.when(~zoned, F.col("ts")).try_cast("timestamp_ntz")
     if tz:
-        utc = F.to_utc_timestamp(naive.cast("timestamp"), tz)
-        clock = lambda at: F.from_utc_timestamp(at, tz).cast("timestamp_ntz")
+        utc = from_zone(naive, tz)
+        clock = lambda at: at_zone(at, tz)
         once = clock(utc) == naive  # a time that does not come back does not exist there
         for minutes in SHIFTS:
             for sign in ("-", "+"):
                 once &= clock(utc + F.expr(f"INTERVAL '{sign}{minutes}' MINUTE")) != naive
         local = F.when(once, utc)
     else:
-        local = naive.cast("timestamp")
-    t = F.when(zoned, F.try_to_timestamp("ts")).otherwise(local)
+        local = naive
+    t = F.when(zoned, F.try_to_timestamp("ts")).otherwise(F.timestamp_micros(clock_micros(local)))
     out = df.withColumn("t", t).filter("t is not null")
     out = out.select("t", *[F.col(c).cast("string").try_cast("double").alias(n) for c, n in zip("ohlc", ("open", "high", "low", "close"), strict=True)], F.coalesce(F.col("v").cast("string").try_cast("double"), F.lit(0.0)).cast("long").alias("volume"))
     if rth_only:
-        at = F.from_utc_timestamp("t", "America/New_York")
-        out = out.filter((F.hour(at) * 60 + F.minute(at) >= 570) & (F.hour(at) < 16))
+        at = at_zone(utc_clock(F.unix_micros("t")), "America/New_York")
+        out = out.filter((minute_of_day(at) >= 570) & (F.hour(at) < 16))
     return out
 
 
