@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import re
 import time
 import zlib
@@ -12,8 +13,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.session import Scratch, scratch_folder
-from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, queries, url_filter
+from tickloom.session import Scratch, _owned, scratch_folder, scratch_tables
+from tickloom.llm import bpe, chat_format, exact_dedup, gbt_rules, html_text, language_id, mixing, near_dedup, quality_classifier, queries, token_counts, url_filter
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -425,6 +426,52 @@ def test_digest_index_goes_on(spark):
     assert exact_dedup.DigestIndex.buckets_for(10) == 32 and exact_dedup.DigestIndex.buckets_for(10**9) == 512
 
 
+def test_digest_index_keeps_the_buckets_that_it_has(spark):
+    texts = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    for first, then in ((64, 32), (32, 64), (8, 8)):
+        index = exact_dedup.DigestIndex(spark, scratch_folder(spark, "index"), buckets=first)
+        exact_dedup.exact_duplicates(texts, index, batch="one").collect()
+        index.close()
+        again = exact_dedup.DigestIndex(spark, index.folder, buckets=then)
+        assert exact_dedup.exact_duplicates(texts, again, batch="two").filter("kept").count() == 0 and again.buckets == first
+        again.close()
+
+
+def test_digest_index_after_retries_and_other_content(spark):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    def keepers(index):
+        return sorted((r.keep_id, r.group_size) for r in index.keepers().collect())
+
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+    exact_dedup.exact_duplicates(frame((1, "a"), (2, "b")), index, batch="one").collect()
+    later = lambda: {r.doc_id: r.kept for r in exact_dedup.exact_duplicates(frame((3, "a  "), (4, "c")), index, batch="two").collect()}
+    assert later() == {3: False, 4: True} == later()
+    assert keepers(index) == [(2, 1), (3, 2), (4, 1)]  # the longer one of a later batch stays over all
+    exact_dedup.exact_duplicates(frame((5, "x"), (6, "c")), index, batch="one").collect()  # other content in its place
+    assert keepers(index) == [(3, 1), (4, 2), (5, 1)]
+    assert later() == {3: True, 4: False}  # 6 of batch one is known, and stood first when two came again
+    assert keepers(index) == [(3, 1), (4, 2), (5, 1)]
+    index.close()
+
+
+def test_batches_through_the_index_equal_one_pass(spark, docs, odd, none):
+    for frame in (docs.select("doc_id", "text"), odd.select("doc_id", "text"), odd, none):
+        one, several = (sorted(map(tuple, f(frame).collect()), key=str) for f in (exact_dedup.exact_duplicates, lambda f: exact_dedup.exact_duplicates_in_batches(f, 3)))
+        assert one == several
+
+
+def test_scratch_tables_leave_nothing(spark, docs, tmp_path):
+    some = docs.limit(120)
+    with scratch_tables():
+        made = [exact_dedup.exact_duplicates_in_batches(some, 2), near_dedup.near_duplicates(some), token_counts.count_tokens(some, token_counts.default_tokenizer()), url_filter.filter_urls(spark.createDataFrame([("http://a.b/c",)], "url string"))]
+        assert all(df.count() for df in made)
+        folders = [f for _, f in _owned.get()]
+        assert folders and any(os.path.exists(f.removeprefix("file:")) for f in folders)
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in folders)
+
+
 def test_exact_duplicates_of_string_ids(spark):
     frame = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", None)], "doc_id string, text string")
     assert {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(frame).collect()} == {"a": ("b", 2), "b": ("b", 2), "c": ("c", 1)}

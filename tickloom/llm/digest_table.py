@@ -27,10 +27,10 @@ class DigestTable:
     without that number are refused. Without a folder the table lives in the scratch folder until close.
     """
 
-    def __init__(self, spark: SparkSession, columns: str, parts: tuple[str, ...] = ("batch",), folder: str | None = None, buckets: int = 32):
+    def __init__(self, spark: SparkSession, columns: str, parts: tuple[str, ...] = ("batch",), folder: str | None = None, buckets: int = 32, name: str = "digests"):
         self.spark, self.columns, self.parts, self.own = spark, columns, parts, folder is None
         self.folder, self.buckets = folder or scratch_folder(spark, "digests"), buckets
-        self.name = f"digests_{uuid.uuid4().hex}"
+        self.name = f"{name}_{uuid.uuid4().hex}"
         self.ready = False
 
     def _files(self) -> tuple[object, object]:

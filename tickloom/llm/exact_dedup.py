@@ -1,28 +1,30 @@
 """Exact duplicates through a persistent index of digests.
 
 The index is a Parquet table bucketed and sorted by digest, one row per different text, partitioned by
-the batch that brought it. A batch is aggregated to its own different digests, which a sort-merge
-anti-join against the index (whose buckets need no shuffle) parts into known and new; the new ones
-are appended. A batch that comes again, after a lost driver say, replaces its own rows and is judged
-against the other batches only, so that its result is the same as before.
+the batch that brought it, with the batch's best candidate to stay and the number of its rows. A batch is
+aggregated to its own different digests, which sort-merge anti-joins against the index (whose buckets need
+no shuffle) part into known and new; the new ones are appended to it, the known ones to a record of
+repeats beside it. Who stays of a text over all batches is an aggregate over both. A batch that comes
+again, after a lost driver say, replaces its own rows and is judged against the other batches only, so
+that its result is the same as before; one that is replaced by other content leaves nothing behind, as the
+record holds what other batches had of its texts: `keepers` gives at any time what stays of what there is.
 
 Texts are equal if they are the same after every character of [\x20\x09-\x0D] is deleted; null
-counts as empty. Of equal texts in a batch the one with the most code points, then the smallest
-doc_id stays. Defined cases: rows equal in id and length within a group all count as the row that
-stays (`drop_duplicates` keeps one); a null doc_id comes before others; an empty table gives an
-empty result; extra columns are ignored; group_size counts the equal rows of the batch at hand.
+counts as empty. Of equal texts the one with the most code points, then the smallest doc_id stays.
+Defined cases: rows equal in id and length within a group all count as the row that stays
+(`drop_duplicates` keeps one); a null doc_id comes before others; an empty table gives an empty result;
+extra columns are ignored; group_size counts the equal rows of all batches in `exact_duplicates_in_batches`
+and of the batch at hand in `exact_duplicates`.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tickloom.llm.digest_table import DigestTable, buckets_for
 from tickloom.session import Scratch, delete_folder, scratch_folder
 
 BLANKS = r"[\x20\x09-\x0D]+"
-BUCKET_ROWS = 2_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -43,38 +45,44 @@ def group_digests(rows: DataFrame) -> DataFrame:
     return groups.select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.less")).alias("keep_chars"), "group_size")
 
 
+def best(rows: DataFrame) -> DataFrame:
+    """digest, keep_id, keep_chars, group_size of candidates with these columns."""
+    first = F.min(F.struct((-F.col("keep_chars")).alias("less"), F.col("keep_id"))).alias("best")
+    groups = rows.groupBy("digest").agg(first, F.sum("group_size").alias("group_size"))
+    return groups.select("digest", F.col("best.keep_id").alias("keep_id"), (-F.col("best.less")).alias("keep_chars"), "group_size")
+
+
+def _columns(id_type: str) -> str:
+    return f"keep_id {id_type}, keep_chars BIGINT, group_size BIGINT"
+
+
 class DigestIndex:
-    """An index in `folder`; opening a folder that has one goes on with it.
+    """An index in `folder`; opening a folder that has one goes on with it, in the buckets that it has.
 
-    buckets stays as it was when the folder was first written; buckets_for gives one by the number of
-    texts expected. Without a folder the index lives in the scratch folder until close.
+    Without a folder the index lives in the scratch folder until close. id_type is that of doc_id; where it
+    isn't given, the first batch says it.
     """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int = 32):
-        self.spark, self.buckets, self.own = spark, buckets, folder is None
+    buckets_for = staticmethod(buckets_for)
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int = 32, id_type: str | None = None):
+        self.spark, self.own, self.typed = spark, folder is None, id_type is not None
         self.folder = folder or scratch_folder(spark, "digest-index")
-        self.table = f"digest_index_{uuid.uuid4().hex}"
-        self.ready = False
-
-    @staticmethod
-    def buckets_for(rows: int) -> int:
-        return max(32, 1 << (-(-rows // BUCKET_ROWS) - 1).bit_length() if rows else 32)
-
-    def open(self, id_type: str) -> None:
-        if not self.ready:
-            self.spark.sql(
-                f"CREATE TABLE {self.table} (digest BINARY, keep_id {id_type}, keep_chars BIGINT, batch STRING) USING parquet PARTITIONED BY (batch) "
-                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
-            )
-            context = self.spark.sparkContext
-            path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(path)
-            self.spark.catalog.recoverPartitions(self.table)  # an index that is there already
-            self.ready = True
-
-    def others(self, batch: str) -> DataFrame:
-        """The rows that other batches brought."""
-        return self.spark.table(self.table).filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("known_id"))
+        kind = _columns(id_type or "bigint")
+        self.texts = DigestTable(spark, kind, folder=self.folder, buckets=buckets, name="digest_index")
+        self.repeats = DigestTable(spark, kind, folder=f"{self.folder.rstrip('/')}-repeats", buckets=buckets, name="digest_index_repeats")
+
+    @property
+    def table(self) -> str:
+        return self.texts.name
+
+    @property
+    def buckets(self) -> int:
+        return self.texts.open().buckets
+
+    def keepers(self) -> DataFrame:
+        """Per digest the row that stays of all batches (keep_id, keep_chars) and how many there are (group_size)."""
+        return best(self.texts.rows().drop("batch").unionByName(self.repeats.rows().drop("batch")))
 
     def add(self, rows: DataFrame, batch: str | None = None, hold: Scratch | None = None) -> DataFrame:
         """Index the digests of a batch; returns its groups: digest, keep_id, keep_chars, group_size, new.
@@ -82,34 +90,42 @@ class DigestIndex:
         batch names it; without a name its own content does, so that the same rows are the same batch.
         """
         hold = hold or Scratch(self.spark)
-        self.open(rows.schema["doc_id"].dataType.simpleString())
+        if not self.typed and not self.texts.ready:
+            self.texts.columns = self.repeats.columns = _columns(rows.schema["doc_id"].dataType.simpleString())
         if batch is None:
             said = rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest", "doc_id", "n_points")).alias("x"), F.bit_xor(F.xxhash64("n_points", "doc_id", "digest", F.lit(1))).alias("y")).first()
             batch = f"{said['n']}-{said['x'] or 0}-{said['y'] or 0}"
         groups = hold.write(group_digests(rows), "groups")
-        others = self.others(batch).hint("merge")
-        fresh = hold.write(groups.join(others, "digest", "left_anti").withColumn("new", F.lit(True)), "fresh")
-        seen = groups.join(others, "digest").select("digest", F.col("known_id").alias("keep_id"), "keep_chars", "group_size", F.lit(False).alias("new"))
-        judged = hold.write(fresh.unionByName(seen), "judged")
-        put = fresh.select("digest", "keep_id", "keep_chars").repartition(self.buckets, "digest")
-        # a given partition is overwritten by itself, whatever the session's overwrite mode
-        self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (batch = :batch) SELECT * FROM {{put}}", args={"batch": batch}, put=put)
-        hold.drop(groups, fresh)
-        return judged
+        others = [t.rows().filter(F.col("batch") != batch).drop("batch") for t in (self.texts, self.repeats)]  # what other batches brought
+        fresh = groups
+        for known in others:
+            fresh = fresh.join(known.hint("merge"), "digest", "left_anti")
+        fresh = hold.write(fresh, "fresh")
+        seen = groups
+        for k, known in enumerate(others):
+            first = best(known).select("digest", F.struct((-F.col("keep_chars")).alias("less"), F.col("keep_id").alias("id")).alias(f"known{k}"))
+            seen = seen.join(first.hint("merge"), "digest", "left")
+        seen = seen.withColumn("known", F.least("known0", "known1")).filter("known is not null")
+        seen = hold.write(seen.select("digest", "keep_id", "keep_chars", "group_size", F.col("known.id").alias("known_id")), "seen")
+        self.texts.put(fresh, batch=batch)
+        self.repeats.put(seen.drop("known_id"), batch=batch)
+        hold.drop(groups)
+        stands = seen.select("digest", F.col("known_id").alias("keep_id"), "keep_chars", "group_size", F.lit(False).alias("new"))
+        return fresh.withColumn("new", F.lit(True)).unionByName(stands)
 
     def close(self) -> None:
-        """Forget the table's name; its files stay, unless the caller named no folder."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        self.ready = False
-        if self.own:
-            delete_folder(self.spark, self.folder)
+        """Forget the tables' names; their files stay, unless the caller named no folder."""
+        for table in (self.texts, self.repeats):
+            table.close()
+            if self.own:
+                delete_folder(self.spark, table.folder)
 
 
 def _judged(docs: DataFrame, index: DigestIndex | None, batch: str | None) -> tuple[DataFrame, DataFrame]:
     """The batch's digests per row and its groups."""
     hold = Scratch(docs.sparkSession)
     rows = hold.write(digests(docs), "digests")
-    used = index or DigestIndex(docs.sparkSession, buckets=DigestIndex.buckets_for(rows.count()))
+    used = index or DigestIndex(docs.sparkSession, buckets=buckets_for(rows.count()))
     groups = used.add(rows, batch, hold)
     if index is None:
         used.close()
@@ -126,6 +142,25 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: s
     return rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def exact_duplicates_in_batches(docs: DataFrame, batches: int = 4, folder: str | None = None) -> DataFrame:
+    """As exact_duplicates, over one index that takes docs batch by batch, dealt by id, and is opened anew for each.
+
+    Who stays, and of how many, is read from the index once it holds all batches.
+    """
+    spark, hold = docs.sparkSession, Scratch(docs.sparkSession)
+    rows = hold.write(digests(docs).withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")), "digests")
+    folder = folder or scratch_folder(spark, "digest-index")
+    buckets, id_type = buckets_for(rows.count()), docs.schema["doc_id"].dataType.simpleString()
+    for k in range(batches):
+        index = DigestIndex(spark, folder, buckets, id_type)
+        index.add(rows.filter(F.col("turn") == k).drop("turn"), f"batch-{k}", own := Scratch(spark))
+        own.drop_all()
+        index.close()
+    keepers = DigestIndex(spark, folder, buckets, id_type).keepers().hint("merge")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_chars"))
+    return rows.join(keepers, "digest").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """docs without the rows whose text another row that stays has; all columns stay."""
     _, groups = _judged(docs, index, batch)
