@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -28,13 +29,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm.arrow import slices
+from tickloom.llm.arrow import bounded, stretches
 from tickloom.llm.chunk_memo import ChunkMemo
 from tickloom.llm.digest_table import DigestTable
 from tickloom.session import Scratch
 
 LIMIT = 2048
 MEMO = 500_000  # chunks whose counts a task remembers
+LONG = 1_000_000  # characters beyond which a text is taken stretch by stretch
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -107,9 +109,15 @@ def counter(file: str) -> Callable[[list[str]], list[int]]:
     memo = ChunkMemo(counts, MEMO)
 
     def by_chunks(texts: list[str]) -> list[int]:
-        cut = [[c for c in t.split(" ") if c] for t in texts]
-        known = memo.known({c for chunks in cut for c in chunks})
-        return [sum([known[c] for c in chunks]) for chunks in cut]
+        return [sum(map(of_stretches, stretches(t))) for t in texts] if any(len(t) > LONG for t in texts) else of_all(texts)
+
+    def of_stretches(part: str) -> int:
+        return of_all([part])[0]
+
+    def of_all(texts: list[str]) -> list[int]:
+        cut = [t.split(" ") for t in texts]
+        known = memo.known(set(itertools.chain.from_iterable(cut))).__getitem__
+        return [sum(map(known, chunks)) for chunks in cut]
 
     return by_chunks
 
@@ -141,7 +149,7 @@ def _encoded(misses: DataFrame, file: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, before = counter(file), None
-        for batch in slices(batches):
+        for batch in bounded(batches, "content"):
             digests, contents = batch.column("digest").to_pylist(), batch.column("content").to_pylist()
             first = [i for i, d in enumerate(digests) if d != (digests[i - 1] if i else before)]
             before = digests[-1] if digests else before
