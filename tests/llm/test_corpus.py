@@ -180,6 +180,19 @@ def test_mixing_parts_against_brute_force(docs):
         assert all(0 <= q * 64 - held[k] < 2 * 64 for k, q in enumerate(quotas.tolist())) and sum(quotas) == p.quota
 
 
+def test_small_sources_come_near_their_targets(spark):
+    sizes = {"a": 530, "b": 290, "c": 100, "d": 50, "e": 600, "f": 61, "g": 9_000, "h": 1, "i": 40_000}
+    rows = [(k * 1000 + j, " ".join(["w"] * min(20, n - j)), s) for k, (s, n) in enumerate(sizes.items()) for j in range(0, n, 20)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = Counter(), {}
+    for r in plan:
+        assert r.taken <= 2 * r["size"] and r.source_size == sizes[r.source]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= max(0.5, 0.02 * target[s]), (s, taken[s], target[s])
+
+
 def test_mixing_follows_the_tree(docs, monkeypatch):
     right = {r.doc_id: sorted(map(tuple, r.parts)) for r in mixing.mix_plan(docs).collect()}
     assert len({p[0] for parts in right.values() for p in parts}) > 32

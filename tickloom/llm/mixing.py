@@ -1,7 +1,8 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-The words of a source, its documents in hash order one after the other, are cut into blocks of
-`block_words`. A source's target gives its exact quota of block draws; a quota above the number of
+The words of a source, its documents in hash order one after the other, are cut into blocks: of
+`block_words`, or where that is None of a 128th of the source's target, from 1 to 256 words, so that a
+quota of whole blocks comes within some hundredths of any target. A source's target gives its exact quota of block draws; a quota above the number of
 blocks means a second pass. A binary tree deals the quotas to output shards: at each node the
 vector of quotas is split by one multivariate-hypergeometric draw, until each leaf (shard) has its
 own. Within a source and pass the blocks stand in a keyed permutation, and each shard owns a run of
@@ -10,7 +11,7 @@ A document's words go to the shards whose blocks hold them: the plan and the mix
 each document, pass and shard, so that a shard holds exactly its own quotas.
 
 The driver holds the weights' table alone: one row per source, as the weights are set by source, with
-its shards' edges (8 bytes each, at most `most_shards`). A shard has about `shard_words` words, at
+its shards' edges (8 bytes each, at most `most_shards`, in one array), which tasks get as they are. A shard has about `shard_words` words, at
 least 64 shards are made. A source's word order is by hash buckets of about `bucket_rows` rows, at
 most 2**20 of them, so that neither a source nor a group of copies is ever one task; only rows equal
 in doc_id, text and source meet in one bucket.
@@ -119,21 +120,23 @@ class SourcePlan:
     target: float
     blocks: int
     quota: int
-    edges: tuple[int, ...]  # first slot of each shard, then the quota
+    edges: np.ndarray  # first slot of each shard, then the quota
     key: int
+    block_words: int
 
 
-def plan_sources(sizes: list[tuple[str | None, int]], block_words: int, depth: int, weights=(3, 1, 2), share=1.5, most=2.0, seed=7) -> list[SourcePlan]:
+def plan_sources(sizes: list[tuple[str | None, int]], block_words: int | None, depth: int, weights=(3, 1, 2), share=1.5, most=2.0, seed=7) -> list[SourcePlan]:
     """Targets, quotas and shard edges; sizes: (source, words), one entry per source."""
     ranked = sorted(sizes, key=lambda s: (s[0] is None, [ord(c) for c in s[0] or ""]))
     targets = water_fill([n for _, n in ranked], [weights[i % len(weights)] for i in range(len(ranked))], share, most)
-    blocks = [-(-n // block_words) for _, n in ranked]
+    words = [block_words or max(1, min(256, int(t // 128))) for t in targets]
+    blocks = [-(-n // w) for (_, n), w in zip(ranked, words, strict=True)]
     quotas = [min(int(most * b), round(t / n * b)) if n else 0 for (_, n), t, b in zip(ranked, targets, blocks, strict=True)]
     shards = splitting_tree(quotas, depth, seed)
     edges = np.vstack([np.zeros(len(ranked), np.int64), shards.cumsum(0)])
     return [
-        SourcePlan(s, n, t, b, q, tuple(edges[:, i].tolist()), seed * 1_000_003 + i)
-        for i, ((s, n), t, b, q) in enumerate(zip(ranked, targets, blocks, quotas, strict=True))
+        SourcePlan(s, n, t, b, q, edges[:, i].copy(), seed * 1_000_003 + i, w)
+        for i, ((s, n), t, b, q, w) in enumerate(zip(ranked, targets, blocks, quotas, words, strict=True))
     ]
 
 
@@ -155,7 +158,7 @@ class Draws:
         return np.concatenate(([0], np.flatnonzero(new) + 1))
 
 
-def draw_rows(plans: dict[str | None, SourcePlan], sources: list, at: np.ndarray, size: np.ndarray, block_words: int) -> Draws:
+def draw_rows(plans: dict[str | None, SourcePlan], sources: list, at: np.ndarray, size: np.ndarray) -> Draws:
     """The draws that fall on rows with these sources, first words in the source's order, and sizes."""
     found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 5]
     where: dict = {}
@@ -163,7 +166,7 @@ def draw_rows(plans: dict[str | None, SourcePlan], sources: list, at: np.ndarray
         where.setdefault(source, []).append(i)
     for source, index in where.items():
         plan, index = plans[source], np.asarray(index)
-        start, words = at[index], size[index]
+        start, words, block_words = at[index], size[index], plan.block_words
         first = start // block_words
         reach = np.where(words > 0, (start + words - 1) // block_words - first + 1, 0)
         row = np.repeat(np.arange(len(index)), reach)
@@ -180,7 +183,7 @@ def draw_rows(plans: dict[str | None, SourcePlan], sources: list, at: np.ndarray
     return Draws(row[order], turn[order], shard[order], low[order], high[order])
 
 
-def _placed(docs: DataFrame, carried: Column, block_words: int, shards: int | None, weights, share: float, most: float, seed: int, bucket_rows: int, shard_words: int, most_shards: int):
+def _placed(docs: DataFrame, carried: Column, block_words: int | None, shards: int | None, weights, share: float, most: float, seed: int, bucket_rows: int, shard_words: int, most_shards: int):
     """Rows (row, source, size, at) with the place of their first word in their source's order, and the sources' plans."""
     rows = docs.select(carried.alias("row"), F.col("source").alias("source"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("of"), "doc_id",
                        word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", "source", F.lit(seed)).alias("place"))
@@ -198,7 +201,7 @@ def _placed(docs: DataFrame, carried: Column, block_words: int, shards: int | No
     return rows.select("row", "source", "size", (F.col("before") + F.col("start")).alias("at")), {p.source: p for p in plans}, 1 << depth
 
 
-OPTIONS = dict(block_words=256, shards=None, weights=(3, 1, 2), share=1.5, most=2.0, seed=7, bucket_rows=2_000, shard_words=32_000_000, most_shards=1 << 17)
+OPTIONS = dict(block_words=None, shards=None, weights=(3, 1, 2), share=1.5, most=2.0, seed=7, bucket_rows=2_000, shard_words=32_000_000, most_shards=1 << 17)
 PART = T.StructType([T.StructField("shard", T.LongType()), T.StructField("pass", T.LongType()), T.StructField("words", T.LongType())])
 
 
@@ -210,7 +213,6 @@ def mix_plan(docs: DataFrame, **options) -> DataFrame:
     """
     options = OPTIONS | options
     rows, plans, _ = _placed(docs, F.struct("doc_id"), **options)
-    block_words = options["block_words"]
     schema = T.StructType([
         docs.schema["doc_id"], docs.schema["source"], T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
         T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType()), T.StructField("parts", T.ArrayType(PART)),
@@ -219,7 +221,7 @@ def mix_plan(docs: DataFrame, **options) -> DataFrame:
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
             source, size = batch.column("source").to_pylist(), batch.column("size").to_numpy()
-            d = draw_rows(plans, source, batch.column("at").to_numpy(), size, block_words)
+            d = draw_rows(plans, source, batch.column("at").to_numpy(), size)
             edge = d.parts()
             words = np.add.reduceat(d.high - d.low, edge) if len(edge) else np.empty(0, np.int64)
             row = d.row[edge]
@@ -268,13 +270,13 @@ def mix(docs: DataFrame, shuffled: bool = True, **options) -> DataFrame:
     """
     options = OPTIONS | options
     rows, plans, shards = _placed(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), **options)
-    block_words, seed, names = options["block_words"], options["seed"], docs.columns
+    seed, names = options["seed"], docs.columns
     turn, shard = free_name("mix_pass", names), free_name("mix_shard", names)
     schema = T.StructType([*docs.schema.fields, T.StructField(turn, T.LongType()), T.StructField(shard, T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            d = draw_rows(plans, batch.column("source").to_pylist(), batch.column("at").to_numpy(), batch.column("size").to_numpy(), block_words)
+            d = draw_rows(plans, batch.column("source").to_pylist(), batch.column("at").to_numpy(), batch.column("size").to_numpy())
             own = batch.column("row")
             text, edge = own.field("text").to_pylist(), d.parts()
             row, out, last, words = d.row[edge], [], -1, None
