@@ -507,6 +507,51 @@ def test_language_edges(odd, none):
     assert count.sum() == 3 * 200_000 - 3
 
 
+def test_visibility_is_inherited_and_can_come_back():
+    page = html_text.page_text
+    assert page('<p>a<span style="visibility:hidden">b<b style="visibility: visible">c</b>d</span>e</p>') == "a c e"
+    assert page('<div style="display:none">a<b style="visibility:visible">b</b></div>c') == "c"
+    assert page('<ul style="visibility:hidden"><li>a<li style="visibility:visible">b</ul>') == "- b"
+    assert page('<table style="visibility:hidden"><tr><td>a<td style="visibility:visible">b</table>') == "b"
+    assert page('<table><tr style="visibility:collapse"><td>a<td>b<tr><td>c<td>d</table>') == "c  d"
+
+
+def test_numbers_of_items():
+    page = html_text.page_text
+    assert page("<ol><li>a<li value=9>b<li>c</ol>") == "1. a\n9. b\n10. c"
+    assert page("<ol reversed><li>a<li>b<li>c</ol>") == "3. a\n2. b\n1. c"
+    assert page("<ol reversed start=10><li>a<li value='4x'>b<li value=x>c</ol>") == "10. a\n4. b\n3. c"
+    assert page("<ol start='-1'><li>a<li>b</ol>") == "-1. a\n0. b"
+    assert page(f"<ol><li value={'9' * 5000}>a</ol>").endswith("a")
+
+
+def test_spans_down_take_no_room():
+    began = time.perf_counter()
+    assert html_text.page_text("<table>" + "<tr><td rowspan=60000>" * 3000 + "</table>") == ""
+    assert time.perf_counter() - began < 5
+    assert html_text.page_text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>") == "a  b\n   c\nd  e"
+
+
+def test_temperature_without_a_bound():
+    rng = np.random.default_rng(9)
+    for scale in (0.01, 1.0, 30.0):
+        true = rng.normal(size=(400, 3))
+        y = np.array([rng.choice(3, p=np.exp(z) / np.exp(z).sum()) for z in true])
+        logits = true * scale
+        found = language_id.fit_temperature(logits, y)
+        loss = lambda t: language_id.losses(logits, y, t).sum() + 0.5 * np.log(t) ** 2
+        grid = np.exp(np.linspace(np.log(scale) - 3, np.log(scale) + 3, 2001))
+        assert loss(found) <= min(map(loss, grid)) + 1e-9 and abs(np.log(found / scale)) < 1
+    sure = np.eye(3)[np.arange(30) % 3] * 50.0
+    assert 0 < language_id.fit_temperature(sure, np.arange(30) % 3) < 100
+
+
+def test_language_weights_are_sparse(docs):
+    model = language_id.train_language(docs)
+    seen = np.unique(np.concatenate([language_id.gram_counts(r.text or "")[0] for r in docs.select("text").limit(200).collect()]))
+    assert model.sparsity(seen) > 0.5 and 0.05 < model.temperature < 10
+
+
 def test_pu_gradient_against_finite_differences():
     rng = np.random.default_rng(4)
     s, t, prior = rng.normal(size=40), np.arange(40) < 12, 0.3

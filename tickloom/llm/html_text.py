@@ -29,7 +29,9 @@ NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 #: What follows a tag's name; a quote opens a value only after "=". A quote that never closes is a letter.
 REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+NO_BOX = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
+NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 #: Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -163,12 +165,19 @@ def _end(opened: Open, tag: str) -> None:
 
 
 def visible(element: Element) -> bool:
+    """False if the element makes no box at all, whatever is within."""
     a = element.attributes
     if element.tag in UNSEEN or "hidden" in a:
         return False
     if element.tag == "input" or element.tag == "dialog" and "open" not in a:
         return False
-    return not ("style" in a and HIDDEN_STYLE.search(a["style"]))
+    return not ("style" in a and NO_BOX.search(a["style"]))
+
+
+def shown(element: Element, before: bool) -> bool:
+    """Whether the element's own text is seen: its style says so, or what holds around it (before) goes on."""
+    said = VISIBILITY.findall(element.attributes["style"]) if "style" in element.attributes else ()
+    return said[-1].lower() == "visible" if said else before
 
 
 class Writer:
@@ -229,15 +238,15 @@ def run(step: Generator):
     return value
 
 
-def render(element: Element, out: Writer, pre: bool = False) -> Generator:
+def render(element: Element, out: Writer, pre: bool = False, seen: bool = True) -> Generator:
     """Write the visible text of the element's children; deep trees are walked with an own stack."""
-    work: list = [(c, pre) for c in reversed(element.children)]
+    work: list = [(c, pre, seen) for c in reversed(element.children)]
     while work:
-        item, kept = work.pop()
+        item, kept, seen = work.pop()
         if callable(item):
             item()
         elif isinstance(item, str):
-            out.text(item, kept)
+            out.text(item if seen else " ", kept and seen)
         elif not visible(item):
             continue
         elif item.tag == "br":
@@ -250,11 +259,11 @@ def render(element: Element, out: Writer, pre: bool = False) -> Generator:
             continue
         elif item.tag in ("ul", "ol", "menu", "dir"):
             out.gap()
-            out.put((yield list_lines(item)))
+            out.put((yield list_lines(item, shown(item, seen))))
             out.gap()
         elif item.tag == "table":
             out.gap()
-            out.put((yield table_lines(item)))
+            out.put((yield table_lines(item, shown(item, seen))))
             out.gap()
         elif item.tag in BLOCK:
             edge = out.gap if item.tag in SPACED else out.line_end
@@ -262,27 +271,33 @@ def render(element: Element, out: Writer, pre: bool = False) -> Generator:
             if item.tag == "pre" and out.blank:
                 out.lines.append("")
                 out.blank = False
-            work.append((edge, False))
-            work.extend((c, kept or item.tag == "pre") for c in reversed(item.children))
+            work.append((edge, False, True))
+            work.extend((c, kept or item.tag == "pre", shown(item, seen)) for c in reversed(item.children))
         else:
-            work.extend((c, kept) for c in reversed(item.children))
+            work.extend((c, kept, shown(item, seen)) for c in reversed(item.children))
 
 
-def _inner(element: Element) -> Generator:
+def _inner(element: Element, seen: bool = True) -> Generator:
     out = Writer()
-    yield render(element, out)
+    yield render(element, out, seen=seen)
     return out.done()
 
 
-def list_lines(element: Element) -> Generator:
-    lines, number = [], 0
-    try:
-        number = int(element.attributes.get("start", 1)) - 1
-    except ValueError:
-        number = 0
+def _number(element: Element, name: str) -> int | None:
+    """An attribute's whole number, as far as it begins with one."""
+    m = NUMBER.match(element.attributes.get(name, ""))
+    return int(m[1]) if m else None
+
+
+def list_lines(element: Element, seen: bool = True) -> Generator:
+    """Items with their marks: numbers go on from start or an item's own value, downwards if reversed."""
+    lines, step = [], -1 if "reversed" in element.attributes else 1
+    number = _number(element, "start")
+    if number is None:
+        number = 1 if step > 0 else sum(isinstance(c, Element) and c.tag == "li" and visible(c) for c in element.children)
     for c in element.children:
         if isinstance(c, str):
-            if c.strip():
+            if c.strip() and seen:
                 lines.append(SPACE.sub(" ", c).strip())
             continue
         if not visible(c):
@@ -290,12 +305,15 @@ def list_lines(element: Element) -> Generator:
         if c.tag != "li":
             box = Element("div")
             box.children = [c]
-            lines += yield _inner(box)
+            lines += yield _inner(box, seen)
             continue
-        number += 1
+        own = _number(c, "value")
+        number = number if own is None else own
         mark = f"{number}. " if element.tag == "ol" else "- "
-        body = yield _inner(c)
-        lines += [(mark if i == 0 else " " * len(mark)) + x if x else x for i, x in enumerate(body)]
+        number += step
+        body = yield _inner(c, shown(c, seen))
+        first = mark if shown(c, seen) else " " * len(mark)
+        lines += [(first if i == 0 else " " * len(mark)) + x if x else x for i, x in enumerate(body)]
     return lines
 
 
@@ -313,56 +331,63 @@ def _span(element: Element, name: str) -> int:
         return 1
 
 
-def _held(row: list, below: dict[int, int]) -> None:
-    """Leave the places free that cells of rows above reach down to."""
-    while len(row) in below:
-        row.append([])
-
-
-def table_lines(element: Element) -> Generator:
+def table_lines(element: Element, seen: bool = True) -> Generator:
+    """Cells in columns as wide as their widest cell; a row holds its own cells by column, so that places which
+    cells of rows above reach down to take no room in memory, and columns without text none on the page."""
     captions, rows, below = [], [], {}
-    work = list(reversed(element.children))
+    work: list = [(c, seen) for c in reversed(element.children)]
     while work:
-        c = work.pop()
+        c, here = work.pop()
         if isinstance(c, str):
-            if c.strip():
+            if c.strip() and here:
                 captions.append(SPACE.sub(" ", c).strip())
         elif not visible(c):
             continue
         elif c.tag == "tr":
-            row = []
+            row, at, here = {}, 0, shown(c, here)
             for d in c.children:
                 if isinstance(d, Element) and visible(d):
                     box = d if d.tag in ("td", "th") else Element("td")
                     if box is not d:
                         box.children = [d]
                     across, down = _span(d, "colspan"), _span(d, "rowspan")
-                    _held(row, below)
-                    for k in range(len(row), len(row) + across):
-                        if down > 1:
-                            below[k] = down
-                    row += [(yield _inner(box))] + [[]] * (across - 1)
-                elif isinstance(d, str) and d.strip():
-                    row.append([SPACE.sub(" ", d).strip()])
-            _held(row, below)
+                    while at in below:
+                        at += 1
+                    if down > 1:
+                        below.update((k, down) for k in range(at, at + across))
+                    row[at] = yield _inner(box, shown(box, here))
+                    at += across
+                elif isinstance(d, str) and d.strip() and here:
+                    row[at] = [SPACE.sub(" ", d).strip()]
+                    at += 1
             below = {k: n - 1 for k, n in below.items() if n > 1}
-            if any(row):
+            if row:
                 rows.append(row)
         elif c.tag in ("td", "th"):
-            rows.append([(yield _inner(c))])
+            rows.append({0: (yield _inner(c, shown(c, here)))})
         elif c.tag in ("tbody", "thead", "tfoot", "colgroup"):
-            work.extend(reversed(c.children))
+            work.extend((x, shown(c, here)) for x in reversed(c.children))
         else:
             box = Element("div")
             box.children = [c]
-            captions += yield _inner(box)
-    columns = max(map(len, rows), default=0)
-    wide = [max((width(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(columns)]
+            captions += yield _inner(box, here)
+    wide: dict[int, int] = {}
+    for r in rows:
+        for k, cell in r.items():
+            wide[k] = max(wide.get(k, 0), max(map(width, cell), default=0))
+    starts, start = {}, 0
+    for k in sorted(k for k, w in wide.items() if w):
+        starts[k], start = start, start + wide[k] + 2
     lines = []
     for r in rows:
-        for i in range(max(map(len, r), default=0)):
-            cells = [(c[i] if i < len(c) else "") for c in r]
-            lines.append("  ".join(x + " " * (wide[k] - width(x)) for k, x in enumerate(cells)).rstrip(" "))
+        cells = [(starts[k], cell) for k, cell in sorted(r.items()) if k in starts]
+        for i in range(max((len(c) for _, c in cells), default=0)):
+            line, done = [], 0
+            for at, cell in cells:
+                if i < len(cell) and cell[i]:
+                    line += [" " * (at - done), cell[i]]
+                    done = at + width(cell[i])
+            lines.append("".join(line).rstrip(" "))
     return captions + lines
 
 
