@@ -32,12 +32,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tickloom.llm.arrow import bounded, texts
 from tickloom.llm.bpe import byte_letters
 from tickloom.llm.chunk_memo import ChunkMemo
 from tickloom.session import Scratch
 
 MEMO = 500_000  # parts of texts whose ids a task remembers
-BATCH_ROWS, BATCH_BYTES = 256, 4_000_000  # what is aligned at a time; a longer text goes by itself
+BATCH_ROWS, BATCH_BYTES = 256, 4_000_000  # what is handled at a time; a longer text goes by itself
+PART_CHARS = 2_000_000  # what is aligned at a time
 BROADCAST_PAIRS = 400_000  # rows of the table of counts up to which it is broadcast: some 20 MB
 SALTS = 16
 TOGETHER = 500  # new parts that are encoded as one text
@@ -112,20 +114,20 @@ class Both:
         x, y = self.a.encode(text), self.b.encode(text)
         return None if x is None or y is None else (x, y)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, given: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of a space and each text on both sides; none where either side's bytes differ from it.
 
         A text is cut at its spaces where each stands alone between other characters than white space,
         which is where either side begins a token; other texts are encoded whole.
         """
-        plain = [self.parted and t != "" and not beside_blank(t) for t in texts]
-        cut = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
+        plain = [self.parted and t != "" and not beside_blank(t) for t in given]
+        cut = [t.split(" ") if p else [] for t, p in zip(given, plain, strict=True)]
         if len(self.odd) > MEMO:
             self.odd.clear()
             self.memo = ChunkMemo(self._made, MEMO)
         known = self.memo.known(set(itertools.chain.from_iterable(cut))).__getitem__
         out = []
-        for text, ok, parts in zip(texts, plain, cut, strict=True):
+        for text, ok, parts in zip(given, plain, cut, strict=True):
             if ok and self.odd.isdisjoint(parts):
                 x, y = map(b"".join, zip(*map(known, parts), strict=True))
             else:
@@ -220,10 +222,7 @@ class Aligned:
         """Different pairs of ids of each document, a << 32 | b, with their links: doc, pair, n."""
         doc = self.a["doc"].to_numpy()[self.left]
         pair = self.a["id"].to_numpy().astype(np.int64)[self.left] << 32 | self.b["id"].to_numpy()[self.right]
-        order = np.lexsort((pair, doc))
-        doc, pair = doc[order], pair[order]
-        first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])]) if len(doc) else np.zeros(0, np.int64)
-        return doc[first], pair[first], np.diff(np.r_[first, len(doc)])
+        return _summed(doc, pair, np.ones(len(doc), np.int64))
 
     def group_texts(self) -> list[bytes]:
         """The groups of each document as `a1,a2|b1;a3|b2,b3`."""
@@ -240,21 +239,69 @@ class Aligned:
         return [b"".join(out[x:y].tolist())[:-1] for x, y in zip(np.r_[0, ends[:-1]], ends, strict=True)]
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Ids of rows and their texts, few at a time and few bytes at a time."""
-    for batch in batches:
-        rows, held, size = [], [], 0
-        keys = batch.column("doc_id")
-        for i in range(batch.num_rows):
-            text = batch.column("text")[i].as_py() or ""
-            if rows and (len(rows) == BATCH_ROWS or size + len(text) > BATCH_BYTES):
-                yield keys.take(pa.array(rows)), held
-                rows, held, size = [], [], 0
-            rows.append(i)
-            held.append(text)
-            size += len(text)
-        if rows:
-            yield keys.take(pa.array(rows)), held
+def parts_of(text: str) -> Iterator[str]:
+    """A text in parts of about PART_CHARS characters, cut at single spaces before other characters than white
+    space, where both sides begin a token; the space is left out, as each part is encoded behind one."""
+    start = 0
+    while len(text) - start > PART_CHARS:
+        end = text.find(" ", start + PART_CHARS)
+        while end > 0 and (text[end - 1] == " " or text[end + 1 : end + 2].isspace()):
+            end = text.find(" ", end + 1)
+        if end < 0 or end + 1 >= len(text):
+            break
+        yield text[start:end]
+        start = end + 1
+    yield text[start:]
+
+
+def _summed(row: np.ndarray, pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of n for equal rows and pairs, in their order."""
+    order = np.lexsort((pair, row))
+    row, pair, n = row[order], pair[order], n[order]
+    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])]) if len(row) else np.zeros(0, np.int64)
+    return row[first], pair[first], np.add.reduceat(n, first) if len(row) else n
+
+
+def aligned_rows(sides: Both, texts: list[str]) -> list[tuple]:
+    """Of each text n_a, n_b, n_groups, n_links, the digest of its groups, its pairs and their links.
+
+    Long texts go part by part, so that the tokens of no more than some PART_CHARS are held at a time.
+    """
+    rows, counts = len(texts), np.zeros((4, len(texts)), np.int64)
+    digests, lost = [hashlib.sha256() for _ in texts], set()
+    found = [np.zeros(0, np.int64)] * 3
+
+    def take(held: list[str], owner: list[int]) -> None:
+        nonlocal found
+        ids, of = sides.encode(held), np.array(owner)
+        lost.update(i for i, (x, _) in zip(owner, ids, strict=True) if not len(x))
+        x = Aligned(ids, sides.a.size, sides.b.size)
+        doc, pair, n = x.pairs()
+        for k, c in enumerate((x.per_doc(x.a["doc"]), x.per_doc(x.b["doc"]), x.per_doc(x.a["doc"].to_numpy()[x.cut_a]), np.bincount(doc, n, x.n))):
+            np.add.at(counts[k], of, c.astype(np.int64))
+        for i, said in zip(owner, x.group_texts(), strict=True):
+            digests[i].update((b";" if begun[i] else b"") + said)
+            begun[i] = True
+        found = [np.concatenate([u, v]) for u, v in zip(found, (of[doc], pair, n), strict=True)]
+        if len(set(owner)) < len(owner) or (len(found[0]) and owner[0] in split):
+            found = list(_summed(*found))
+
+    begun, split, held, owner, size = [False] * rows, set(), [], [], 0
+    for i, text in enumerate(texts):
+        for k, part in enumerate(parts_of(text)):
+            if k:
+                split.add(i)
+            if held and size + len(part) > PART_CHARS:
+                take(held, owner)
+                held, owner, size = [], [], 0
+            held.append(part)
+            owner.append(i)
+            size += len(part)
+    if held:
+        take(held, owner)
+    at = np.searchsorted(found[0], np.arange(rows + 1))
+    none = (0, 0, 0, 0, "", found[1][:0], found[2][:0])
+    return [none if i in lost else (*counts[:, i].tolist(), digests[i].hexdigest(), found[1][at[i] : at[i + 1]], found[2][at[i] : at[i + 1]]) for i in range(rows)]
 
 
 def align(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
@@ -265,16 +312,12 @@ def align(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = both(file_a, file_b)
-        for keys, held in _parts(batches):
-            x = Aligned(sides.encode(held), sides.a.size, sides.b.size)
-            doc, pair, n = x.pairs()
-            n_a, n_b = x.per_doc(x.a["doc"]), x.per_doc(x.b["doc"])
-            structs = pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
-            offsets = np.r_[0, np.cumsum(np.bincount(doc, minlength=x.n))]
-            digests = [hashlib.sha256(g).hexdigest() if g else "" for g in x.group_texts()]
-            columns = [n_a, n_b, x.per_doc(x.a["doc"].to_numpy()[x.cut_a]), np.bincount(doc, n, x.n).astype(np.int64)]
+        for batch in bounded(batches, "text", BATCH_ROWS, BATCH_BYTES):
+            *counts, digests, pairs, n = zip(*aligned_rows(sides, texts(batch)), strict=True)
+            structs = pa.StructArray.from_arrays([pa.array(np.concatenate(pairs), pa.int64()), pa.array(np.concatenate(n), pa.int64())], ["pair", "n"])
+            offsets = np.r_[0, np.cumsum([len(x) for x in pairs])]
             yield pa.RecordBatch.from_arrays(
-                [keys, *[pa.array(c, pa.int64()) for c in columns], pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)],
+                [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in counts], pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)],
                 schema.names,
             )
 
