@@ -229,21 +229,26 @@ def prefix_rows(members: DataFrame, sets: DataFrame, percent: int, slots: int) -
     return named.select("node", "component", "shingles").mapInArrow(run, schema)
 
 
+SET_SIZE = 2000  # shingles of a set up to which a block is counted in sets
+
+
 def blocks_of(crowded: DataFrame, heads: DataFrame, percent: int, block: int, hold: Scratch) -> DataFrame:
-    """node, component, block, size_class: about `block` nodes that are likely alike to a block.
+    """node, component, block, size_class: about `block` nodes that are likely alike to a block, fewer where
+    they have more than SET_SIZE shingles each on average.
 
-    A component of more nodes than that has blocks of its own, other nodes are put by their largest
+    A component of more nodes or shingles than that has blocks of its own, other nodes are put by their largest
     bucket. Sets whose sizes allow the similarity are in the same size class or in neighbouring ones.
     """
     width = 1.001 * math.log(100 / percent) if percent < 100 else 1.0
     size_class = F.floor(F.ln("n") / width)
     nodes = crowded.join(heads.select("bucket", "held"), "bucket").groupBy("node", "n", "component").agg(F.max(F.struct("held", "bucket")).alias("b"))
-    nodes = hold.write(nodes.select("node", "component", F.col("b.bucket").alias("bucket"), size_class.alias("size_class")), "grouped")
-    large = nodes.groupBy("component").agg(F.count("*").alias("k")).filter(F.col("k") > block).select("component", F.lit(True).alias("large"))
+    nodes = hold.write(nodes.select("node", "n", "component", F.col("b.bucket").alias("bucket"), size_class.alias("size_class")), "grouped")
+    full = F.greatest(F.count("*") / block, F.sum("n") / (block * SET_SIZE))
+    large = nodes.groupBy("component").agg(full.alias("k")).filter(F.col("k") > 1).select("component", F.lit(True).alias("large"))
     large = hold.write(large, "large")
     nodes_by = nodes.join(large, "component", "left").withColumn("family", F.when(F.col("large"), F.xxhash64("component", F.lit(1))).otherwise(F.col("bucket")))
     nodes_by = hold.write(nodes_by.drop("bucket", "large"), "families")
-    parts = hold.write(nodes_by.groupBy("family", "size_class").agg(F.ceil(F.count("*") / block).alias("parts")), "parts")
+    parts = hold.write(nodes_by.groupBy("family", "size_class").agg(F.ceil(full).alias("parts")), "parts")
     part = F.pmod(F.xxhash64("node"), "parts")
     out = nodes_by.join(parts, ["family", "size_class"]).select("node", "component", "size_class", F.xxhash64("family", "size_class", part).alias("block"))
     out = hold.write(out, "blocks")
