@@ -163,7 +163,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, f
         return QualityModel(np.zeros(STATS + SHAPES), np.ones(STATS + SHAPES), np.zeros(STATS + SHAPES), 0.0, 0.5)
     x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, -1)
     positive = got.column("positive").to_numpy(zero_copy_only=False).astype(bool)
-    order = np.lexsort((*x.T[:3], positive))  # independent of the order in which tasks end
+    order = np.lexsort((*x.T, positive))  # independent of the order in which tasks end
     return fit_pu(x[order], positive[order])
 
 
