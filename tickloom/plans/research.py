@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.operators import detectors as E, information as I, joins as J, quality as Q, reports as R, scd as S, universe as U
+from tickloom.operators.boosting import window_models
 from tickloom.operators.fusion import duplicated_rows
 from tickloom.operators.labels import walk_forward_split
 from tickloom.operators.windows import forward_returns
@@ -155,6 +156,27 @@ query("st_mi5_suggest_window", lambda s, d: long_(long_(I.suggest_window(mi3(s,
 query("st_mi6_mi_scale", lambda s, d: rounded(long_(I.mi_scale(mi3(s, d)), "rel_day")), MI3 + "SELECT event_type, rel_day, n_rows, round(mi, 6) AS mi, round(nmi, 6) AS nmi FROM mi6")
 joined = lambda s, d: J.event_window_join(found(s, d), labels_of(s, d).drop("t1"))
 query("st_ed1_window_grid", lambda s, d: I.window_grid(joined(s, d)).groupBy("event_type", F.col("pre_days").cast("long").alias("pre_days"), F.col("post_days").cast("long").alias("post_days")).agg(F.count("*").alias("n")), WATCH + ", grid(pre_days, post_days) AS (VALUES (0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 2), (2, 3), (3, 3)) SELECT event_type, pre_days::BIGINT AS pre_days, post_days::BIGINT AS post_days, count(*) AS n FROM ev e JOIN labels_ l ON l.ticker = e.ticker AND l.date BETWEEN e.date - 3 AND e.date + 3 JOIN grid ON l.date - e.date BETWEEN -pre_days AND post_days GROUP BY 1, 2, 3")
+GRID_FEATURES = ["vol_at_anchor", "rel_day", "bar_no", "span"]
+
+
+def grid_models(s, d):
+    """A model of every event and window; whether its scores lie where they must."""
+    rows = materialise(I.window_grid(joined(s, d)).withColumn("weight", F.lit(1.0)).withColumn("span", F.col("end_bar") - F.col("bar_no")), "grid")
+    keys = ["event_type", "pre_days", "post_days"]
+    made = window_models(rows, GRID_FEATURES, keys, trees=5, depth=3, rate=0.3)
+    ends = rows.groupBy(*keys).agg(F.min("ret_at_outcome").alias("low"), F.max("ret_at_outcome").alias("high"))
+    inside = F.col("edge").isNull() | (F.col("edge") == 0) | F.col("edge").between(F.col("low") - 1e-9, F.col("high") + 1e-9)
+    return made.join(ends, keys).select(
+        "event_type", *[F.col(c).cast("long").alias(c) for c in keys[1:]], "n_bars", "n_days", F.col("auc").isNotNull().alias("scored"),
+        F.coalesce(F.col("auc").between(0.5, 1), F.lit(True)).alias("auc_ok"), inside.alias("edge_ok"),
+    )
+
+
+query("st_ed2_window_models", grid_models, WATCH + """,
+grid(pre_days, post_days) AS (VALUES (0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 2), (2, 3), (3, 3))
+SELECT event_type, pre_days::BIGINT AS pre_days, post_days::BIGINT AS post_days, count(*) AS n_bars, count(DISTINCT (l.ticker, l.date)) AS n_days,
+  count(*) >= 100 AND count(DISTINCT label > 0) = 2 AS scored, true AS auc_ok, true AS edge_ok
+FROM ev e JOIN labels_ l ON l.ticker = e.ticker JOIN grid ON l.date BETWEEN e.date - pre_days::INT AND e.date + post_days::INT GROUP BY 1, 2, 3""")
 query("st_ed3_weighted_edge", lambda s, d: rounded(I.weighted_edge(labels_of(s, d).withColumn("prob", (F.col("bar_no") % 2).cast("double")).withColumn("weight", F.lit(1.0) + F.col("bar_no")), ["ticker"])), "SELECT ticker, round(sum(ret_at_outcome * (1 + bar_no)) FILTER (bar_no % 2 = 1) / sum(1 + bar_no) FILTER (bar_no % 2 = 1), 6) AS edge, count(*) AS n_bars FROM labels_ GROUP BY 1")
 pairs = lambda s, d: A.daily(s, d).groupBy("ticker").agg(F.avg("v").alias("mi"), F.avg("c").alias("edge"))
 PAIRS = ", pr AS (SELECT ticker, avg(v) AS mi, avg(c) AS edge FROM daily GROUP BY 1), rk2 AS (SELECT *, rank() OVER (ORDER BY mi) + (count(*) OVER (PARTITION BY mi) - 1) / 2 AS a, rank() OVER (ORDER BY edge) + (count(*) OVER (PARTITION BY edge) - 1) / 2 AS b FROM pr)\n"
