@@ -69,7 +69,8 @@ class DigestTable:
         self.open()
         where = ", ".join(f"{p} = :{p}" for p in self.parts)
         columns = [c for c in self.rows().columns if c not in self.parts]
-        put = rows.select(*columns).repartition(self.buckets, F.col("digest"))
+        # dealt by bucket, so that a bucket has one file however many tasks there are
+        put = rows.select(*columns).repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
         self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({where}) SELECT * FROM {{put}}", args=parts, put=put)
 
     def close(self) -> None:
