@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.expressions import binned, by, ratio
+from tickloom.session import materialise
 
 #: Candidate windows (days before, days after).
 WINDOWS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 2), (2, 3), (3, 3))
@@ -64,6 +65,7 @@ def mi_by_relative_day(events: DataFrame, day_features: DataFrame, closes: DataF
     base = base.join(later, ["ticker", "date"]).select("ticker", "date", "event_type", (ratio(F.col("later"), F.col("c")) - 1).alias("ret"))
     spread = base.select("ticker", "event_type", "ret", F.col("date").alias("event_date"), F.explode(F.sequence(F.lit(-pre), F.lit(post))).alias("rel_day"))
     rows = spread.withColumn("date", F.date_add("event_date", F.col("rel_day"))).join(day_features, ["ticker", "date"])
+    rows = materialise(rows.select("event_type", "rel_day", "ret", *features), "event-days")  # read once a feature
     counts = rows.groupBy("event_type", "rel_day").agg(F.count("*").alias("n_rows"))
     mi = mutual_info(rows, features, "ret", keys=("event_type", "rel_day"))
     return counts.join(mi, ["event_type", "rel_day"], "left").select("event_type", "rel_day", "n_rows", F.when(F.col("n_rows") >= least_rows, F.coalesce("mi", F.lit(0.0))).otherwise(0.0).alias("mi"))

@@ -57,8 +57,10 @@ def weight_stats(weights: DataFrame, tolerance: float = 1e-6, most: float = 0.9)
 
 
 def content_hash(df: DataFrame, keys: list[str]) -> DataFrame:
-    """An order-free fingerprint of each partition's rows."""
-    h = F.xxhash64(*sorted(df.columns))
+    """An order-free fingerprint of each partition's rows: sums and exclusive ors of the rows' digests, as they
+    stand in text (columns by name, null as \\N)."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.bit_xor(h).alias("xor"), F.sum(F.pmod(h, F.lit(1 << 40))).alias("sum"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tickloom.functions.expressions import by, daily_window, full_window, price_change, ratio, run_length
 from tickloom.functions.ordering import running
+from tickloom.operators.sliding import sliding_extreme
 
 
 def prev_close(daily: DataFrame) -> DataFrame:
@@ -37,8 +38,25 @@ def forward_returns(daily: DataFrame, horizons: tuple[int, ...] = (1, 3, 5, 10))
 
 
 def rolling_max_prev(daily: DataFrame, rows: int = 252) -> DataFrame:
-    """Highest close of the rows before today; null until there are as many."""
-    return daily.withColumn("max_prev", full_window(F.col("c"), daily_window(), -rows, -1, F.max, rows))
+    """Highest close of the rows before today; null until there are as many closes."""
+    return sliding_max(daily, "c", rows, "max_prev")
+
+
+def sliding_max(df: DataFrame, x: str, rows: int, out: str, keys=("ticker",), order=("date",)) -> DataFrame:
+    """Largest x of the `rows` rows before each; null unless all of them are there and have one.
+
+    A ticker's rows are cut into blocks of `rows`: a window that ends in one block began in the block before,
+    so that it is the end of one and the beginning of the other, each a running maximum. No frame slides: the
+    time is linear in the rows, whatever their number in a window.
+    """
+    whole = by(keys, *order)
+    place = df.withColumn("row_", F.row_number().over(whole) - 1).withColumn("seen_", F.count(x).over(whole.rowsBetween(Window.unboundedPreceding, 0)))
+    block = by([*keys, "block_"], *order)
+    place = place.withColumn("block_", F.floor(F.col("row_") / rows))
+    place = place.withColumn("upto_", F.max(x).over(block.rowsBetween(Window.unboundedPreceding, 0))).withColumn("from_", F.max(x).over(block.rowsBetween(0, Window.unboundedFollowing)))
+    last, first = (F.lag(c, k).over(whole) for c, k in (("upto_", 1), ("from_", rows)))
+    full = (F.col("row_") >= rows) & (F.lag("seen_", 1).over(whole) - F.coalesce(F.lag("seen_", rows + 1).over(whole), F.lit(0)) == rows)
+    return place.withColumn(out, F.when(full, F.greatest(first, last))).drop("row_", "seen_", "block_", "upto_", "from_")
 
 
 def rolling_zscore(df: DataFrame, x: str, rows: int = 20, keys=("ticker",), order=("date",)) -> DataFrame:
@@ -73,11 +91,7 @@ def last_n(df: DataFrame, rows: int = 252, order: str = "date") -> DataFrame:
 
 def ema_values(x: np.ndarray, span: float) -> np.ndarray:
     """alpha = 2 / (span + 1), started at the first value; null counts as 0."""
-    out, alpha, last = np.empty(len(x)), 2 / (span + 1), None
-    for i, v in enumerate(np.nan_to_num(x)):
-        last = v if last is None else alpha * v + (1 - alpha) * last
-        out[i] = last
-    return out
+    return pd.Series(np.nan_to_num(x)).ewm(span=span, adjust=False).mean().to_numpy()
 
 
 def ema(df: DataFrame, x: str, span: float, keys=("ticker", "date"), order=("bar_no",)) -> DataFrame:
@@ -117,8 +131,20 @@ def gap_days(df: DataFrame, most: int = 7) -> DataFrame:
 
 
 def rolling_range_spike(minutes: DataFrame, seconds: int = 7200) -> DataFrame:
-    """Highest and lowest price of the last seconds against the open of the window's first bar."""
-    at = minutes.withColumn("sec", F.floor(F.col("t") / 1_000_000).cast("long"))
-    w = by(("ticker", "date"), "sec").rangeBetween(-seconds, 0)
-    opened = F.first("o").over(w)
-    return at.withColumns({"spike_up": price_change(F.max("h").over(w), opened), "spike_down": price_change(F.min("l").over(w), opened)}).drop("sec")
+    """Highest and lowest price of the last seconds against the open of the window's first bar.
+
+    Bars of one second are in each other's windows. Extremes go through a queue in which each bar is once.
+    """
+    schema = T.StructType([*minutes.schema.fields, T.StructField("spike_up", T.DoubleType()), T.StructField("spike_down", T.DoubleType())])
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["t", "o", "h", "l"], kind="stable")
+        sec = part["t"].to_numpy() // 1_000_000
+        first, last = np.searchsorted(sec, sec - seconds), np.searchsorted(sec, sec, "right")
+        o = part["o"].to_numpy(float)[first]
+        high, low = (sliding_extreme(part[c].to_numpy(float), first, last, c == "h") for c in "hl")
+        with np.errstate(divide="ignore", invalid="ignore"):
+            up, down = (pd.array(np.where(o == 0, np.nan, (x - o) / o), "Float64") for x in (high, low))
+        return part.assign(spike_up=up, spike_down=down)
+
+    return minutes.groupBy("ticker", "date").applyInPandas(run, schema)

@@ -226,7 +226,18 @@ def twice(s, d):
 
 SMALL = ("ticker", "date", "bar_no", "anchor_ts", "label", "ret_1_ema10", "weight")
 query("ds1_build_dataset", lambda s, d: rounded(dataset(s, d).select(*SMALL), 5), FEATS + "SELECT ticker, date, bar_no, l.anchor_ts, label, round(ret_1_ema10, 5) AS ret_1_ema10, round(weight, 5) AS weight FROM labels_ l JOIN fe USING (ticker, date, bar_no) JOIN weights_ USING (ticker, date, bar_no)")
-query("jn3_assemble", lambda s, d: rounded(L.assemble(labels_of(s, d), L.bar_features(bars_of(s, d)), L.sample_weights(labels_of(s, d)).filter("bar_no > 0")).select("ticker", "date", "bar_no", "weight"), 5), "SELECT ticker, date, bar_no, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight FROM weights_")
+
+
+def assembled(s, d):
+    """Bars and labels are written once; weights of first bars are left out."""
+    bars = materialise(bars_of(s, d), "bars")
+    labels = materialise(L.triple_barrier(L.bar_vol(bars, "sma")), "labels")
+    return L.assemble(labels, L.bar_features(bars), L.sample_weights(labels).filter("bar_no > 0"))
+
+
+query("jn3_assemble", lambda s, d: rounded(assembled(s, d).select(*SMALL), 5), FEATS + """
+SELECT ticker, date, bar_no, l.anchor_ts, label, round(ret_1_ema10, 5) AS ret_1_ema10, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight
+FROM labels_ l JOIN fe USING (ticker, date, bar_no) JOIN weights_ USING (ticker, date, bar_no)""")
 query("ds2_global_dataset", lambda s, d: twice(s, d).select("ticker", "date", "bar_no", "label", F.round("weight", 5).alias("weight")), "SELECT ticker, date, bar_no, label, round(CASE WHEN bar_no > 0 THEN weight ELSE 1 END, 5) AS weight FROM labels_ JOIN weights_ USING (ticker, date, bar_no)")
 query("ds3_walk_forward", lambda s, d: L.walk_forward_split(labels_of(s, d)).select("ticker", "date", "bar_no", F.col("idx").cast("long").alias("idx"), "part"), """
 SELECT ticker, date, bar_no, idx, CASE WHEN idx < greatest(n * 4 // 5 - 50, 0) THEN 'train' WHEN idx >= n * 4 // 5 THEN 'valid' ELSE 'purged' END AS part FROM (SELECT *, row_number() OVER (ORDER BY anchor_ts, ticker, date, bar_no) - 1 AS idx, count(*) OVER () AS n FROM labels_)""")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tickloom.operators import detectors as E, information as I, joins as J, quality as Q, reports as R, scd as S, universe as U
 from tickloom.operators.boosting import window_models
 from tickloom.operators.fusion import duplicated_rows
 from tickloom.operators.labels import walk_forward_split
+from tickloom.operators.stored_scd import StoredDimension
 from tickloom.operators.windows import forward_returns
 from tickloom.plans import adapters as A
 from tickloom.plans.market import SHORT, WATCH, bars_of, found, labels_of, long_, query, rounded, watch
-from tickloom.session import materialise
+from tickloom.session import materialise, scratch_folder
 from tickloom.sources import io, normalize as N
 
 RICH = {"rvol": 1.2, "pctchg": 0.15, "dvol": 1e5, "max_price": 1e5}
@@ -43,7 +44,8 @@ ACTIVITY = WATCH + ", act AS (SELECT a.*, u AS n_unique, u * ln(n_days) AS diver
 query("ag16_ticker_activity", lambda s, d: rounded(long_(R.ticker_activity(watch(s, d)), "span_days")), ACTIVITY + "SELECT ticker, n_days, total_events, first_day, last_day, n_unique, last_day - first_day AS span_days, round(diversity, 6) AS diversity FROM act")
 query("tk6_stratified_pick", lambda s, d: long_(U.stratified_pick(R.ticker_activity(watch(s, d)), {"high": 3, "mid": 3, "low": 2}).select("ticker", "stratum", "rank"), "rank"), ACTIVITY + "SELECT * FROM (SELECT ticker, stratum, row_number() OVER (PARTITION BY stratum ORDER BY diversity DESC, ticker) AS rank FROM (SELECT ticker, diversity, CASE WHEN n_days > (SELECT quantile_cont(n_days, 0.67) FROM act) THEN 'high' WHEN n_days > (SELECT quantile_cont(n_days, 0.33) FROM act) THEN 'mid' ELSE 'low' END AS stratum FROM act)) WHERE rank <= CASE stratum WHEN 'low' THEN 2 ELSE 3 END")
 query("tk7_extremes", lambda s, d: U.extremes(A.daily(s, d), "v", ["ticker", "date"]), "(SELECT 'max' AS kind, ticker, date, v FROM daily ORDER BY v DESC, ticker, date LIMIT 1) UNION ALL (SELECT 'min', ticker, date, v FROM daily ORDER BY v, ticker, date LIMIT 1)")
-query("tk8_sample_n", lambda s, d: U.sample_n(A.daily(s, d), ["ticker", "date"], 100).select("ticker", "date"))
+query("tk8_sample_n", lambda s, d: U.sample_n(A.daily(s, d), ["ticker", "date"], 100).select("ticker", "date"), """
+SELECT ticker, date FROM daily ORDER BY md5(concat_ws('|', '42', ticker, date::VARCHAR)), ticker, date LIMIT 100""")
 query("so1_union_diagonal", lambda s, d: U.union_diagonal([A.details(s, d).select("ticker", "cik"), A.universe(s, d).select("ticker", "type")]), "SELECT ticker, cik, NULL AS type FROM details UNION ALL SELECT ticker, NULL, type FROM universe")
 query("so2_distinct_on", lambda s, d: U.distinct_on(A.filings(s, d), ["ticker", "form"], [F.desc("filing_date")]), "SELECT ticker, form, max(filing_date) AS filing_date FROM filings GROUP BY 1, 2")
 query("so3_merge_tickers", lambda s, d: U.merge_tickers(A.details(s, d), A.filings(s, d)), "SELECT ticker FROM details UNION SELECT ticker FROM filings")
@@ -63,6 +65,26 @@ q AS (SELECT 'C' || o_custkey AS ticker, floor(max(o_totalprice) / 100000) AS ma
 b AS (SELECT p.ticker AS t, q.ticker AS u, p.market_cap AS pm, p.shares_outstanding AS ps, q.market_cap AS qm, q.shares_outstanding AS qs, p.market_cap IS NOT DISTINCT FROM q.market_cap AND p.shares_outstanding IS NOT DISTINCT FROM q.shares_outstanding AS same FROM p FULL JOIN q ON p.ticker = q.ticker)
 SELECT t AS ticker, pm AS market_cap, ps AS shares_outstanding, DATE '1998-01-01' AS effective_from, CASE WHEN u IS NULL OR NOT same THEN DATE '1999-01-01' END AS effective_to, 1::BIGINT AS version FROM b WHERE t IS NOT NULL
 UNION ALL SELECT u, qm, qs, DATE '1999-01-01', NULL, CASE WHEN t IS NULL THEN 1 ELSE 2 END FROM b WHERE u IS NOT NULL AND (t IS NULL OR NOT same)""")
+
+
+def stored_dimension(s, d):
+    """The customers' caps of each year, merged into a stored dimension year by year."""
+    dim = StoredDimension(s, scratch_folder(s, "dimension"), T._parse_datatype_string("market_cap double, shares_outstanding double"), buckets=4)
+    for year in (*range(1992, 1999), 1998):  # the last one twice
+        caps = A.customer_caps(s, d, year).select("ticker", F.col("market_cap").cast("double").alias("market_cap"), F.col("shares_outstanding").cast("double").alias("shares_outstanding"))
+        dim.merge(caps, f"{year + 1}-01-01", close_absent=True)
+    return dim.rows()
+
+
+query("sd2_stored_dimension", lambda s, d: long_(stored_dimension(s, d), "version"), """,
+c AS (SELECT 'C' || o_custkey AS ticker, year(o_orderdate) AS y, floor(max(o_totalprice) / 100000)::DOUBLE AS market_cap, count(*)::DOUBLE AS shares_outstanding FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 1998 GROUP BY 1, 2),
+m AS (SELECT *, coalesce(lag(y) OVER w = y - 1 AND market_cap IS NOT DISTINCT FROM lag(market_cap) OVER w AND shares_outstanding IS NOT DISTINCT FROM lag(shares_outstanding) OVER w, false) AS goes_on FROM c WINDOW w AS (PARTITION BY ticker ORDER BY y)),
+r AS (SELECT *, sum((NOT goes_on)::INT) OVER (PARTITION BY ticker ORDER BY y) AS run FROM m),
+u AS (SELECT ticker, market_cap, shares_outstanding, min(y) AS a, max(y) AS b FROM r GROUP BY ticker, run, market_cap, shares_outstanding),
+k AS (SELECT *, coalesce(lag(b) OVER w = a - 1, false) AS follows FROM u WINDOW w AS (PARTITION BY ticker ORDER BY a)),
+h AS (SELECT *, sum((NOT follows)::INT) OVER (PARTITION BY ticker ORDER BY a) AS chain FROM k)
+SELECT ticker, market_cap, shares_outstanding, make_date(a + 1, 1, 1) AS effective_from, CASE WHEN b < 1998 THEN make_date(b + 2, 1, 1) END AS effective_to,
+  row_number() OVER (PARTITION BY ticker, chain ORDER BY a) AS version FROM h""")
 query("jn1_asof_dim_join", lambda s, d: J.asof_dim_join(A.cache_li(s, d).select("ticker", "trading_day"), A.cap_dim(s, d)), "SELECT a.ticker, trading_day, market_cap AS market_cap_d FROM cache a LEFT JOIN cap_dim b ON a.ticker = b.ticker AND effective_from <= trading_day AND trading_day < effective_to")
 lapped = lambda s, d: A.cap_dim(s, d).withColumn("effective_to", F.when(F.month("effective_from") % 3 == 0, F.date_add("effective_from", 10)).otherwise(F.date_add("effective_to", 100)))
 query("jn1_asof_overlapping", lambda s, d: J.asof_dim_join(A.cache_li(s, d).select("ticker", "trading_day"), lapped(s, d)), """,
@@ -191,7 +213,17 @@ query("qc3_conservation", lambda s, d: rounded(Q.tick_bar_conservation(A.ticks(s
 SELECT ticker, date, round(lost / greatest(1, v), 6) AS volume_error, 0.0::DOUBLE AS dollar_error, lost / greatest(1, v) <= 0.001 AS ok
 FROM daily JOIN (SELECT ticker, date, coalesce(sum(v) FILTER (day(date) = 5 AND bar_no = 0), 0) AS lost FROM bars GROUP BY 1, 2) USING (ticker, date)""")
 query("qc4_label_logic", lambda s, d: rounded(Q.label_logic(labels_of(s, d))), "SELECT *, round(greatest(n_down, n_flat, n_up) / n, 6) AS max_share, greatest(n_down, n_flat, n_up) / n <= 0.9 AND both_hit = 0 AND reversed = 0 AS ok FROM (SELECT count(*) AS n, count(*) FILTER (pt_hit AND sl_hit) AS both_hit, count(*) FILTER (t1 < anchor_ts) AS reversed, count(*) FILTER (label = -1) AS n_down, count(*) FILTER (label = 0) AS n_flat, count(*) FILTER (label = 1) AS n_up FROM labels_)")
-query("qc8_content_hash", lambda s, d: Q.content_hash(A.daily(s, d), ["date"]))
+whole_days = lambda s, d: A.daily(s, d).select("ticker", "date", "v", F.when(F.col("n") % 7 != 0, F.col("n")).alias("n"))
+query("qc8_content_hash", lambda s, d: Q.content_hash(whole_days(s, d), ["date"]).withColumn("sum", F.col("sum").cast("long")), r"""
+SELECT date, count(*) AS n, bit_xor(h) AS xor, sum(h % (1::BIGINT << 40))::BIGINT AS sum
+FROM (SELECT date, ('0x' || substr(md5(date::VARCHAR || '|' || coalesce(CASE WHEN n % 7 <> 0 THEN n END::VARCHAR, '\N') || '|' || ticker || '|' || v::VARCHAR), 1, 15))::BIGINT AS h FROM daily)
+GROUP BY date""")
+changed_days = lambda s, d: whole_days(s, d).withColumn("v", F.col("v") + (F.dayofmonth("date") % 5 == 0).cast("long") * (F.col("ticker") == "T3").cast("long"))
+query("qc8_reproducible", lambda s, d: Q.reproducible(whole_days(s, d), changed_days(s, d), ["date"]), "SELECT DISTINCT date FROM daily WHERE day(date) % 5 = 0 AND ticker = 'T3'")
+query("ag24_count_histogram", lambda s, d: R.count_histogram(A.daily(s, d)).withColumn("from_n", F.col("from_n").cast("long")), """
+SELECT CASE WHEN n >= 100 THEN 100 WHEN n >= 50 THEN 50 WHEN n >= 20 THEN 20 WHEN n >= 10 THEN 10 WHEN n >= 5 THEN 5 WHEN n >= 2 THEN 2 WHEN n >= 1 THEN 1 ELSE 0 END::BIGINT AS from_n, count(*) AS tickers FROM daily GROUP BY 1""")
+query("so1_union_relaxed", lambda s, d: U.union_relaxed([A.daily(s, d).select("ticker", "date", "n"), A.daily_li(s, d).select("n", "date", "ticker")]).groupBy("ticker").agg(F.count("*").alias("days"), F.sum("n").alias("n")), """
+SELECT ticker, count(*) AS days, sum(n)::BIGINT AS n FROM (SELECT ticker, date, n FROM daily UNION ALL SELECT ticker, date, n FROM daily_li) GROUP BY 1""")
 query("qc9_split_purge", lambda s, d: Q.split_purge(walk_forward_split(labels_of(s, d))).select("train", "valid", "purged", "ok"), "SELECT greatest(n * 4 // 5 - 50, 0) AS train, n - n * 4 // 5 AS valid, n * 4 // 5 - greatest(n * 4 // 5 - 50, 0) AS purged, true AS ok FROM (SELECT count(*) AS n FROM labels_)")
 cert = lambda s, d: labels_of(s, d).select(F.concat(F.lit("L"), F.col("label")).alias("event_type"), "anchor_ts", (F.col("anchor_ts") - F.col("bar_no") * 10**6).alias("start_ts"), F.col("t1").alias("end_ts"))
 query("qc10_events_order", lambda s, d: Q.events_order(cert(s, d).withColumn("start_ts", F.col("start_ts") + 3 * 10**6)), "SELECT 'L' || label AS event_type, anchor_ts, anchor_ts - bar_no * 1000000 + 3000000 AS start_ts, t1 AS end_ts FROM labels_ WHERE NOT (bar_no >= 3 AND anchor_ts <= t1)")

@@ -70,10 +70,22 @@ def read_vendor_json(spark: SparkSession, path: str, vendor: str) -> DataFrame:
     return vendor_bars(spark.read.text(path, wholetext=True), vendor)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str], files_per_key: int = 1, mode: str = "overwrite") -> None:
-    """Parquet by key, zstd; the rows of a key go to few files, a hot key to as many as asked for."""
-    salt = [F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))] if files_per_key > 1 else []
-    df.repartition(*[F.col(k) for k in keys], *salt).write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+FILE_ROWS = 5_000_000
+
+
+def write_partitioned(df: DataFrame, path: str, keys: list[str], file_rows: int = FILE_ROWS, mode: str = "overwrite") -> None:
+    """Parquet by key, zstd: a key of up to file_rows rows is one file, a hot key as many as it needs.
+
+    Rows are counted by key first. Keys beyond file_rows, of which there are no more than rows / file_rows, get
+    salts; their table alone is joined to the rows. No file has more than file_rows rows.
+    """
+    hot = df.groupBy(*keys).agg(F.count("*").alias("rows_")).filter(F.col("rows_") > file_rows)
+    hot = hot.select(F.struct(*keys).alias("key_"), F.ceil(F.col("rows_") / file_rows).alias("files_"))
+    salted = df.withColumn("key_", F.struct(*keys)).join(F.broadcast(hot), "key_", "left").drop("key_")
+    salt = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("files_")), F.lit(0))
+    dealt = salted.withColumn("files_", salt).repartition(*[F.col(k) for k in keys], "files_").drop("files_")
+    options = {"compression": "zstd", "partitionOverwriteMode": "dynamic", "maxRecordsPerFile": str(file_rows)}
+    dealt.write.mode(mode).options(**options).partitionBy(*keys).parquet(path)
 
 
 def merge_idempotent(old: DataFrame, new: DataFrame, keys: list[str], newest: list[Column] | None = None) -> DataFrame:
