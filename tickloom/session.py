@@ -97,11 +97,14 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.folders = spark, {}
 
-    def write(self, df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
-        """The table written and read again; arrow_rows bounds the batches that its Python workers get meanwhile."""
+    def write(self, df: DataFrame, name: str, arrow_rows: int | None = None, plain: bool = False) -> DataFrame:
+        """The table written and read again; arrow_rows bounds the batches that its Python workers get meanwhile.
+
+        plain tables, of digests say, are not compressed: a codec's buffers would be all that it costs.
+        """
         folder = scratch_folder(self.spark, name)
         with arrow_batches(self.spark, arrow_rows):
-            df.write.parquet(folder)
+            (df.write.option("compression", "none") if plain else df.write).parquet(folder)
         out = self.spark.read.schema(df.schema).parquet(folder)
         self.folders[id(out)] = (out, folder)
         return out
@@ -113,11 +116,6 @@ class Scratch:
                 delete_folder(self.spark, self.folders.pop(id(table))[1])
 
 
-    def drop_all(self) -> None:
-        for table, _ in list(self.folders.values()):
-            self.drop(table)
-
-
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int | None):
     """Batches of at most so many rows for Python workers; the session's own setting comes back afterwards."""
