@@ -18,7 +18,7 @@ def buckets_for(rows: int) -> int:
 
 
 class DigestTable:
-    """A Parquet table in `folder`; opening a folder that has one goes on with it.
+    """A Parquet table in `folder`; opening a folder that has one goes on with it. Digests are not compressed.
 
     columns are SQL (name type) beside the key `digest BINARY`; parts are the names of the text columns
     that partition it, the last of which is the batch. The number of buckets is stored in the folder when
@@ -54,7 +54,7 @@ class DigestTable:
             self.buckets = self._stored_buckets()
             parts = ", ".join(f"{p} STRING" for p in self.parts)
             self.spark.sql(
-                f"CREATE TABLE {self.name} (digest BINARY, {self.columns}, {parts}) USING parquet PARTITIONED BY ({', '.join(self.parts)}) "
+                f"CREATE TABLE {self.name} (digest BINARY, {self.columns}, {parts}) USING parquet OPTIONS (compression 'none') PARTITIONED BY ({', '.join(self.parts)}) "
                 f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
             )
             self.spark.catalog.recoverPartitions(self.name)  # a table that is there already

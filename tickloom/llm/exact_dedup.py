@@ -84,32 +84,36 @@ class DigestIndex:
         """Per digest the row that stays of all batches (keep_id, keep_chars) and how many there are (group_size)."""
         return best(self.texts.rows().drop("batch").unionByName(self.repeats.rows().drop("batch")))
 
-    def add(self, rows: DataFrame, batch: str | None = None, hold: Scratch | None = None) -> DataFrame:
-        """Index the digests of a batch; returns its groups: digest, keep_id, keep_chars, group_size, new.
+    def add(self, rows: DataFrame, batch: str | None = None, hold: Scratch | None = None, judged: bool = True) -> DataFrame | None:
+        """Index the digests of a batch; returns its groups, if they are asked for: digest, keep_id, keep_chars, group_size, new.
 
         batch names it; without a name its own content does, so that the same rows are the same batch.
         """
         hold = hold or Scratch(self.spark)
+        keep = lambda df, name: hold.write(df.coalesce(self.buckets), name, plain=True)
         if not self.typed and not self.texts.ready:
             self.texts.columns = self.repeats.columns = _columns(rows.schema["doc_id"].dataType.simpleString())
         if batch is None:
             said = rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest", "doc_id", "n_points")).alias("x"), F.bit_xor(F.xxhash64("n_points", "doc_id", "digest", F.lit(1))).alias("y")).first()
             batch = f"{said['n']}-{said['x'] or 0}-{said['y'] or 0}"
-        groups = hold.write(group_digests(rows), "groups")
+        groups = keep(group_digests(rows), "groups")
         others = [t.rows().filter(F.col("batch") != batch).drop("batch") for t in (self.texts, self.repeats)]  # what other batches brought
         fresh = groups
         for known in others:
             fresh = fresh.join(known.hint("merge"), "digest", "left_anti")
-        fresh = hold.write(fresh, "fresh")
+        fresh = keep(fresh, "fresh")
         seen = groups
         for k, known in enumerate(others):
             first = best(known).select("digest", F.struct((-F.col("keep_chars")).alias("less"), F.col("keep_id").alias("id")).alias(f"known{k}"))
             seen = seen.join(first.hint("merge"), "digest", "left")
         seen = seen.withColumn("known", F.least("known0", "known1")).filter("known is not null")
-        seen = hold.write(seen.select("digest", "keep_id", "keep_chars", "group_size", F.col("known.id").alias("known_id")), "seen")
+        seen = keep(seen.select("digest", "keep_id", "keep_chars", "group_size", F.col("known.id").alias("known_id")), "seen")
         self.texts.put(fresh, batch=batch)
         self.repeats.put(seen.drop("known_id"), batch=batch)
         hold.drop(groups)
+        if not judged:
+            hold.drop(fresh, seen)
+            return None
         stands = seen.select("digest", F.col("known_id").alias("keep_id"), "keep_chars", "group_size", F.lit(False).alias("new"))
         return fresh.withColumn("new", F.lit(True)).unionByName(stands)
 
@@ -124,7 +128,7 @@ class DigestIndex:
 def _judged(docs: DataFrame, index: DigestIndex | None, batch: str | None) -> tuple[DataFrame, DataFrame]:
     """The batch's digests per row and its groups."""
     hold = Scratch(docs.sparkSession)
-    rows = hold.write(digests(docs), "digests")
+    rows = hold.write(digests(docs), "digests", plain=True)
     used = index or DigestIndex(docs.sparkSession, buckets=buckets_for(rows.count()))
     groups = used.add(rows, batch, hold)
     if index is None:
@@ -148,13 +152,12 @@ def exact_duplicates_in_batches(docs: DataFrame, batches: int = 4, folder: str |
     Who stays, and of how many, is read from the index once it holds all batches.
     """
     spark, hold = docs.sparkSession, Scratch(docs.sparkSession)
-    rows = hold.write(digests(docs).withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")), "digests")
+    rows = hold.write(digests(docs).withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")), "digests", plain=True)
     folder = folder or scratch_folder(spark, "digest-index")
     buckets, id_type = buckets_for(rows.count()), docs.schema["doc_id"].dataType.simpleString()
     for k in range(batches):
         index = DigestIndex(spark, folder, buckets, id_type)
-        index.add(rows.filter(F.col("turn") == k).drop("turn"), f"batch-{k}", own := Scratch(spark))
-        own.drop_all()
+        index.add(rows.filter(F.col("turn") == k).drop("turn"), f"batch-{k}", hold, judged=False)
         index.close()
     keepers = DigestIndex(spark, folder, buckets, id_type).keepers().hint("merge")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_chars"))

@@ -166,9 +166,9 @@ def fill(docs: DataFrame, tokenizer_file: str, cache: TokenCache, hold: Scratch
     """
     hold = hold or Scratch(docs.sparkSession)
     keyed = _keyed(docs, tokenizer_file)
-    rows = hold.write(keyed.drop("content"), "digests")
+    rows = hold.write(keyed.drop("content"), "digests", plain=True)
     distinct = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    missing = hold.write(distinct.join(cache.counts(tokenizer_file).hint("merge"), "digest", "left_anti"), "missing")
+    missing = hold.write(distinct.join(cache.counts(tokenizer_file).hint("merge"), "digest", "left_anti"), "missing", plain=True)
     chosen = keyed.join(missing.withColumnRenamed("digest", "wanted"), (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     counted = _encoded(chosen, tokenizer_file).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     cache.append(counted, tokenizer_file)
