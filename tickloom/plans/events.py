@@ -43,6 +43,12 @@ query("ag11_top_outliers", lambda s, d: rounded(R.top_outliers(A.cache_li(s, d),
 SELECT ticker, trading_day, round(rvol30, 6) AS rvol30 FROM cache WHERE rvol30 IS NOT NULL ORDER BY cache.rvol30 DESC, ticker, trading_day LIMIT 20""")
 query("ag13_hit_rates", lambda s, d: rounded(R.hit_rates(found(s, d), A.daily(s, d))), WATCH + """
 SELECT event_type, count(*) AS n, count(DISTINCT ticker) AS tickers, round(count(*) * 100.0 / (SELECT count(*) FROM daily), 6) AS hit_rate_pct, round(count(*) / count(DISTINCT ticker), 6) AS per_ticker FROM ev GROUP BY 1""")
+#: The ticks spread over a year, so that some lie in summer time; in 2024 New York's began on 10 March at 07:00 and ended on 3 November at 06:00 UTC.
+spread = lambda s, d: A.ticks(s, d).withColumn("ts", F.expr("timestamp_micros(t_raw + (seq % 330) * 86400000000)"))
+query("fp5_rth_over_the_year", lambda s, d: U.rth_filter(spread(s, d)).select("ticker", "seq"), """,
+far AS (SELECT ticker, seq, ts + INTERVAL 1 DAY * (seq % 330) AS u FROM ticks),
+ny AS (SELECT *, u - CASE WHEN u >= TIMESTAMP '2024-03-10 07:00:00' AND u < TIMESTAMP '2024-11-03 06:00:00' THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END AS t FROM far)
+SELECT ticker, seq FROM ny WHERE hour(t) * 60 + minute(t) BETWEEN 570 AND 960""")
 query("fp5_rth_new_york", lambda s, d: U.rth_filter(A.ticks(s, d)).select("ticker", "seq"), """
 SELECT ticker, seq FROM ticks WHERE hour(ts - INTERVAL 5 HOUR) * 60 + minute(ts - INTERVAL 5 HOUR) BETWEEN 570 AND 960""")
 

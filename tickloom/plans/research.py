@@ -110,6 +110,16 @@ SELECT ticker, date, round(p, 6) AS price_pct, round(q, 6) AS volume_pct, CASE W
   SELECT ticker, date, abs(c * (1 + (n % 2) / 100) - c) / CASE WHEN abs(c) < 1e-12 THEN 1 ELSE abs(c) END * 100 AS p, n % 3 * 10 / v * 100 AS q FROM daily)""")
 three = lambda s, d: A.daily(s, d).select("ticker", "date", "c", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).select(F.concat(F.lit("v"), F.col("k").cast("string")).alias("source"), "ticker", "date", (F.col("c") + F.col("k") * F.col("k")).alias("c"))
 query("jn13_consensus_bars", lambda s, d: rounded(J.consensus_bars(three(s, d), times=2.5)), "SELECT ticker, date, round(c + 1, 6) AS median, 1.0::DOUBLE AS mad, 3::BIGINT AS n_sources, round(1 / 3, 6) AS outlier_share FROM daily")
+#: Three sources on odd days and four on even ones, as far apart as the day's number of ticks says.
+several = lambda s, d: A.daily(s, d).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3) - F.col("n") % 2))).select(
+    F.concat(F.lit("v"), F.col("k").cast("string")).alias("source"), "ticker", "date", (F.col("v") + F.col("k") * F.col("k") * (F.col("n") % 4)).cast("double").alias("c"))
+query("jn13_consensus_of_several", lambda s, d: rounded(J.consensus_bars(several(s, d), times=2.0)), """,
+src AS (SELECT ticker, date, (v + k * k * (n % 4))::DOUBLE AS p FROM (SELECT *, unnest(range(0, 4 - n % 2)) AS k FROM daily)),
+mid AS (SELECT ticker, date, quantile_cont(p, 0.5) AS median, count(*) AS n_sources FROM src GROUP BY 1, 2),
+off AS (SELECT *, abs(p - median) AS o FROM src JOIN mid USING (ticker, date)),
+mad AS (SELECT ticker, date, quantile_cont(o, 0.5) AS mad FROM off GROUP BY 1, 2)
+SELECT ticker, date, round(any_value(median), 6) AS median, round(any_value(mad), 6) AS mad, any_value(n_sources) AS n_sources, round(avg((o > 2 * mad)::INT), 6) AS outlier_share
+FROM off JOIN mad USING (ticker, date) GROUP BY 1, 2""")
 PTI_GIVEN = {"mc_max": 1e6, "float_max": 60.0, "pmin": 900.0, "pmax": 1400.0, "volmin": 60.0, "chgmin": 0.10}  # about the data's own size
 exchange = lambda: F.when(F.col("ticker") < "S3", "NASDAQ").when(F.col("ticker") < "S6", "NYSE MKT").when(F.col("ticker") < "S8", "OTC")
 pti_cache = lambda s, d: A.cache_li(s, d).select("ticker", F.col("trading_day").alias("date"), F.col("close_d").alias("close"), F.col("vol_d").alias("volume"), F.col("pctchg_d").alias("pct_chg"), (F.col("session_rows") * 300).alias("shares_out"), (F.col("vol_d") / 2).alias("float_est"), exchange().alias("exchange"))
@@ -212,6 +222,10 @@ query("qc2_schema", lambda s, d: Q.schema_check(A.snapshots(s, d), {"ticker": "s
 query("qc3_conservation", lambda s, d: rounded(Q.tick_bar_conservation(A.ticks(s, d), bars_of(s, d).withColumn("v", F.when((F.dayofmonth("date") == 5) & (F.col("bar_no") == 0), 0).otherwise(F.col("v"))))), """
 SELECT ticker, date, round(lost / greatest(1, v), 6) AS volume_error, 0.0::DOUBLE AS dollar_error, lost / greatest(1, v) <= 0.001 AS ok
 FROM daily JOIN (SELECT ticker, date, coalesce(sum(v) FILTER (day(date) = 5 AND bar_no = 0), 0) AS lost FROM bars GROUP BY 1, 2) USING (ticker, date)""")
+lost_dollars = lambda s, d: bars_of(s, d).withColumn("dollar", F.when(F.col("bar_no") % 3 == 1, 0.0).otherwise(F.col("dollar")))
+query("qc3_lost_dollars", lambda s, d: rounded(Q.tick_bar_conservation(A.ticks(s, d), lost_dollars(s, d))), """
+SELECT ticker, date, 0.0::DOUBLE AS volume_error, round(lost / greatest(1, dollar), 6) AS dollar_error, lost / greatest(1, dollar) <= 0.001 AS ok
+FROM daily JOIN (SELECT ticker, date, coalesce(sum(dollar) FILTER (bar_no % 3 = 1), 0) AS lost FROM bars GROUP BY 1, 2) USING (ticker, date)""")
 query("qc4_label_logic", lambda s, d: rounded(Q.label_logic(labels_of(s, d))), "SELECT *, round(greatest(n_down, n_flat, n_up) / n, 6) AS max_share, greatest(n_down, n_flat, n_up) / n <= 0.9 AND both_hit = 0 AND reversed = 0 AS ok FROM (SELECT count(*) AS n, count(*) FILTER (pt_hit AND sl_hit) AS both_hit, count(*) FILTER (t1 < anchor_ts) AS reversed, count(*) FILTER (label = -1) AS n_down, count(*) FILTER (label = 0) AS n_flat, count(*) FILTER (label = 1) AS n_up FROM labels_)")
 whole_days = lambda s, d: A.daily(s, d).select("ticker", "date", "v", F.when(F.col("n") % 7 != 0, F.col("n")).alias("n"))
 query("qc8_content_hash", lambda s, d: Q.content_hash(whole_days(s, d), ["date"]).withColumn("sum", F.col("sum").cast("long")), r"""
@@ -229,6 +243,9 @@ cert = lambda s, d: labels_of(s, d).select(F.concat(F.lit("L"), F.col("label")).
 query("qc10_events_order", lambda s, d: Q.events_order(cert(s, d).withColumn("start_ts", F.col("start_ts") + 3 * 10**6)), "SELECT 'L' || label AS event_type, anchor_ts, anchor_ts - bar_no * 1000000 + 3000000 AS start_ts, t1 AS end_ts FROM labels_ WHERE NOT (bar_no >= 3 AND anchor_ts <= t1)")
 query("qc12_repeated_events", lambda s, d: rounded(Q.repeated_events(cert(s, d).union(cert(s, d)))), "SELECT 'L' || label AS event_type, 2 * count(*) AS n, 0.5::DOUBLE AS share, true AS ok FROM labels_ GROUP BY 1")
 query("qc13_ohlc_rules", lambda s, d: Q.ohlc_rules(A.daily_li(s, d).withColumn("h", F.when(F.col("n") == 3, F.col("l") - 1).otherwise(F.col("h")))), "SELECT count(*) AS n, count(*) FILTER (n = 3) AS high_below, 0::BIGINT AS low_above, count(*) FILTER (n = 3) AS high_below_low, count(*) FILTER (c <= 0) AS no_price, 0::BIGINT AS negative_volume, 0::BIGINT AS no_volume, 0::BIGINT AS repeated FROM daily_li")
+off_days = lambda s, d: A.daily(s, d).withColumns({
+    "o": F.col("o") + (F.col("n") % 7 == 0).cast("int"), "h": F.col("h") + (F.col("n") % 5 == 0).cast("int"), "l": F.col("l") - (F.col("n") % 4 == 0).cast("int"), "c": F.col("c") - (F.col("n") % 3 == 0).cast("int")})
+query("qc14_prices_that_are_off", lambda s, d: Q.aggregation_check(A.minutes(s, d), off_days(s, d)), "SELECT ticker, date FROM daily WHERE n % 7 = 0 OR n % 5 = 0 OR n % 4 = 0 OR n % 3 = 0")
 query("qc14_aggregation_check", lambda s, d: Q.aggregation_check(A.minutes(s, d), A.daily(s, d).withColumn("v", F.col("v") + (F.col("n") % 2))), "SELECT ticker, date FROM daily WHERE n % 2 = 1")
 query("qc17_timestamp_sanity", lambda s, d: Q.timestamp_sanity(A.ticks(s, d).withColumn("t_unit", F.when(F.col("seq") % 10 == 0, "ns").otherwise("us"))).select("seq"), "SELECT seq FROM ticks WHERE seq % 10 = 0")
 query("qc18_month_coverage", lambda s, d: Q.month_coverage(A.daily_li(s, d), "1994-06-01", "1997-12-31"), "SELECT ticker, count(DISTINCT date_trunc('month', date)) FILTER (date BETWEEN '1994-06-01' AND '1997-12-31') AS present, 43::BIGINT AS expected, CASE WHEN count(DISTINCT date_trunc('month', date)) FILTER (date BETWEEN '1994-06-01' AND '1997-12-31') = 43 THEN 'full' ELSE 'partial' END AS status FROM daily_li GROUP BY 1")
