@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-import pytest
 
 from tickloom.llm import queries, whitening
 from tickloom.llm.bidiagonal import bidiagonalise, right_vectors, squared_values
