@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from tickloom.operators import boosting
+from tickloom.operators import boosting, information
 
 
 def frame(spark, seed=1, n=900):
@@ -70,3 +70,13 @@ def test_grouped_auc_by_pairs(spark):
         order = (pos["prob"].to_numpy()[:, None] > neg["prob"].to_numpy()) + 0.5 * (pos["prob"].to_numpy()[:, None] == neg["prob"].to_numpy())
         weight = pos["weight"].to_numpy()[:, None] * neg["weight"].to_numpy()
         assert np.isclose(got[g], (order * weight).sum() / weight.sum())
+
+
+def test_a_single_window(spark):
+    rows, df = frame(spark, 4, 400)
+    one, again = (information.window_model(df, ["u", "v"], trees=3, depth=2).first() for _ in range(2))
+    assert 0.5 < one.auc <= 1 and rows["ret_at_outcome"].min() <= one.edge <= rows["ret_at_outcome"].max()
+    assert (one.n_bars, one.n_days) == (400, len(rows[["ticker", "date"]].drop_duplicates()))
+    assert abs(one.auc - again.auc) < 1e-9 and abs(one.edge - again.edge) < 1e-9  # the seed is fixed
+    few = information.window_model(df.limit(50), ["u", "v"]).first()
+    assert few.auc is None and few.edge is None and few.n_bars == 50
