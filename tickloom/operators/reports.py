@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.expressions import ratio
+from tickloom.functions.expressions import correlation, ratio
 from tickloom.functions.ordering import grouped_quantiles
 
 
@@ -128,9 +128,9 @@ def presence_matrix(watchlist: DataFrame, values: list[str]) -> DataFrame:
 
 
 def cooccurrence_corr(watchlist: DataFrame, values: list[str]) -> DataFrame:
-    """Correlation of the presence of every two events, in one aggregate."""
+    """Correlation of the presence of every two events, in one aggregate; NaN for an event that all rows or none have."""
     m, codes = presence_matrix(watchlist, values), [v.split("_")[0] for v in values]
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr")) for i, a in enumerate(codes) for b in codes[i + 1 :]]
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr")) for i, a in enumerate(codes) for b in codes[i + 1 :]]
     return m.agg(F.array(*rows).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
