@@ -80,3 +80,23 @@ def test_a_single_window(spark):
     assert abs(one.auc - again.auc) < 1e-9 and abs(one.edge - again.edge) < 1e-9  # the seed is fixed
     few = information.window_model(df.limit(50), ["u", "v"]).first()
     assert few.auc is None and few.edge is None and few.n_bars == 50
+
+
+def test_windows_of_joined_rows_are_those_of_the_grid(spark):
+    """Rows that count in many windows give the models of the rows once a window, and trees see gathered rows only."""
+    rows, _ = frame(spark, 5, 2000)
+    rows["rel_day"] = np.random.default_rng(6).integers(-2, 3, len(rows))
+    df = spark.createDataFrame(rows.drop(columns=["pre_days"])).repartition(4)
+    windows, keys = ((0, 0), (1, 2), (2, 2)), ["event_type", "pre_days", "post_days"]
+    options = {"trees": 3, "depth": 2, "rate": 0.4}
+    got = boosting.window_models(df, ["v", "rel_day"], keys, windows=windows, **options).orderBy(*keys).collect()
+    want = boosting.window_models(information.window_grid(df, windows), ["v", "rel_day"], keys, **options).orderBy(*keys).collect()
+    assert len(got) == len(want) == 9
+    for a, b in zip(got, want):
+        assert a[:3] == b[:3] and (a.n_bars, a.n_days) == (b.n_bars, b.n_days) and (a.auc is None) == (b.auc is None)
+        assert a.auc is None or (abs(a.auc - b.auc) < 1e-9 and abs(a.edge - b.edge) < 1e-9)
+    binned, _ = boosting.binned_rows(df.selectExpr("*", "cast(label > 0 as double) y"), keys, ["v", "rel_day"], windows=windows)
+    cells = boosting.gathered(binned, 2, 0.5)
+    assert binned.count() == 2000 and cells.count() <= 3 * 5 * 5 * 2
+    sums = cells.selectExpr("sum(weight)", "sum(w0)", "sum(w1)").first()
+    assert np.isclose(sums[0], rows["weight"].sum()) and 0.4 < sums[1] / sums[0] < 0.6 and sums[1] != sums[2]
