@@ -40,3 +40,16 @@ def test_a_run_that_opens_at_nothing_has_no_rise(spark, tmp_path):
     hours = [(0.0, 2.0), (2.0, 3.0), (3.0, 4.0), (4.0, 1.0), (1.0, 2.0), (2.0, 3.0), (3.0, 4.0), (4.0, 1.0)]
     got, want = both(spark, "e7_first_red_day", events_folder(tmp_path, [(60 * h + 30 * k, 0, p) for h, pair in enumerate(hours) for k, p in enumerate(pair)]))
     assert got == want and len(got) == 1 and got[0][-1] == 3.0
+
+
+def test_financials_of_odd_kinds(spark):
+    from tickloom.sources import normalize as N
+
+    (a, path), (b, other) = list(N.FINANCIALS.items())[:2]
+    head = N.FINANCIAL_HEAD[0]
+    nested = lambda path, value: '"%s": {"%s": %s}' % (*path.split("."), value)
+    texts = ['{"%s": 7, "financials": {%s}}' % (head, nested(path, '{"value": "1.5e2", "unit": {"x": 1}}')), '{"%s": "h", "financials": {%s}}' % (head, nested(path, "5")), '{"financials": []}', "{}", None]
+    made = N.flatten_financials(spark.createDataFrame([("T", "q", t) for t in texts], "ticker string, timeframe string, json string"))
+    got = [(r[head], r[a], r[b]) for r in made.collect()]
+    assert got == [("7", 150.0, None), ("h", None, None), (None, None, None), (None, None, None), (None, None, None)]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 0

@@ -112,8 +112,11 @@ SELECT t_raw AS us, round(p, 6) AS bid_price, s AS bid_size, round(p + 1, 6) AS
 
 # ---- nested documents -----------------------------------------------------------------------------
 def statements(spark: SparkSession, d: str) -> DataFrame:
-    """One company's statements per order, with the vendor's nesting; some figures are missing."""
-    o = A.table(spark, d, "orders")
+    """One company's statements per order, with the vendor's nesting; some figures are missing.
+
+    Orders are few bytes and their documents many: they are dealt out first, or a few tasks would write all documents.
+    """
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").repartition(4 * spark.sparkContext.defaultParallelism)
     figures: dict[str, dict[str, F.Column]] = {}
     for i, path in enumerate(N.FINANCIALS.values()):
         part, field = path.split(".")

@@ -85,9 +85,20 @@ FINANCIALS = {
 
 
 def flatten_financials(df: DataFrame, column: str = "json") -> DataFrame:
-    """df (ticker, timeframe, json) -> 27 flat columns; each statement figure is the value member of its field."""
-    fields = [F.get_json_object(column, f"$.financials.{path}.value").try_cast("double").alias(name) for name, path in FINANCIALS.items()]
-    return df.select("ticker", *[F.get_json_object(column, f"$.{h}").alias(h) for h in FINANCIAL_HEAD], "timeframe", *fields)
+    """df (ticker, timeframe, json) -> 27 flat columns; each statement figure is the value member of its field.
+
+    The document is parsed once, all figures as text, so that one of an unexpected kind is null by itself.
+    """
+    parts: dict[str, list[str]] = {}
+    for path in FINANCIALS.values():
+        part, field = path.split(".")
+        if field not in parts.setdefault(part, []):
+            parts[part].append(field)
+    inner = ", ".join(f"`{part}`: struct<" + ", ".join(f"`{f}`: struct<value: string>" for f in fields) + ">" for part, fields in parts.items())
+    kind = "struct<" + ", ".join(f"`{h}`: string" for h in FINANCIAL_HEAD) + f", financials: struct<{inner}>>"
+    rows = df.select("ticker", "timeframe", F.from_json(column, kind).alias("j"))
+    fields = [F.col(f"j.financials.{path}.value").try_cast("double").alias(name) for name, path in FINANCIALS.items()]
+    return rows.select("ticker", *[F.col(f"j.{h}").alias(h) for h in FINANCIAL_HEAD], "timeframe", *fields)
 
 
 #: The flat columns of a company event, and the member of the event that holds each.
