@@ -42,6 +42,19 @@ def test_a_run_that_opens_at_nothing_has_no_rise(spark, tmp_path):
     assert got == want and len(got) == 1 and got[0][-1] == 3.0
 
 
+def test_words_end_by_unicode(spark, tmp_path):
+    texts = ["the the THE", "théthe the", "de_la dé de", "ⓐthe the² éthe", "a!!!! de", None, "", "مthe the‍ the7 the-de"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    df = registry.queries()["nr9_keyword_flags"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(registry.oracle_sql()["nr9_keyword_flags"])
+    got = sorted(map(tuple, df.select(*want.columns).collect()))
+    assert got == sorted(want.fetchall())
+    assert [r[1] for r in got] == [3, 1, 0, 1, 0, 0, 0, 1] and [r[3] for r in got] == [0, 0, 1, 0, 1, 0, 0, 1] and got[4][2] == 2
+
+
 def test_financials_of_odd_kinds(spark):
     from tickloom.sources import normalize as N
 

@@ -134,9 +134,12 @@ def parse_filings(df: DataFrame, first: str, last: str, forms: list[str], newest
 
 
 def keyword_flags(docs: DataFrame, patterns: dict[str, str], text: str = "text") -> DataFrame:
-    """Hits of each pattern in the lower-cased text; only those above 0, as JSON."""
+    """Hits of each pattern in the lower-cased text; only those above 0, as JSON.
+
+    What a word is follows Unicode at any version of Java: \\b lies between a letter of any script and what is none.
+    """
     low = F.lower(F.coalesce(text, F.lit("")))
-    counts = F.create_map(*[x for name, p in patterns.items() for x in (F.lit(name), F.regexp_count(low, F.lit(p)))])
+    counts = F.create_map(*[x for name, p in patterns.items() for x in (F.lit(name), F.regexp_count(low, F.lit(f"(?U){p}")))])
     return docs.withColumn("keyword_flags", F.to_json(F.map_filter(counts, lambda _, n: n > 0)))
 
 
