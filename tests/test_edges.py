@@ -55,6 +55,33 @@ def test_words_end_by_unicode(spark, tmp_path):
     assert [r[1] for r in got] == [3, 1, 0, 1, 0, 0, 0, 1] and [r[3] for r in got] == [0, 0, 1, 0, 1, 0, 0, 1] and got[4][2] == 2
 
 
+def test_exact_sums_close_a_streamed_bar(spark):
+    import pandas as pd
+
+    from tickloom.streaming.jobs import DollarBars
+
+    class Held:
+        def __init__(self):
+            self.value = None
+
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        getValueState = lambda self, *_: Held()  # noqa: E731, N815
+        registerTimer = lambda self, _: None  # noqa: E731, N815
+
+    part = pd.DataFrame({"t_raw": range(30), "seq": range(30), "p": [0.1] * 30, "s": [1] * 30, "cents": [10] * 30})
+    for pieces in (1, 3):
+        job = DollarBars(0.8, "UTC")
+        job.init(Handle())
+        bars = pd.concat([b for k in range(pieces) for b in job.handleInputRows(("A", dt.date(2024, 1, 1)), iter([part.iloc[k * 30 // pieces : (k + 1) * 30 // pieces]]), None)])
+        assert bars["n"].tolist() == [8, 8, 8] and bars["bar_no"].tolist() == [0, 1, 2]
+
+
 def test_financials_of_odd_kinds(spark):
     from tickloom.sources import normalize as N
 

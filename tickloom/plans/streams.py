@@ -21,7 +21,7 @@ def landed(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def tick_stream(spark: SparkSession, d: str) -> DataFrame:
-    return landed(spark, A.ticks(spark, d).select("ticker", "date", "seq", "t_raw", "p", "s", F.col("ts").cast("timestamp").alias("ts")))
+    return landed(spark, A.ticks(spark, d).select("ticker", "date", "seq", "t_raw", "p", "s", "cents", F.col("ts").cast("timestamp").alias("ts")))
 
 
 def minute_stream(spark: SparkSession, d: str) -> DataFrame:

@@ -156,8 +156,10 @@ class DollarBars(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         part = pd.concat(list(rows)).sort_values(["t_raw", "seq"], kind="stable")
-        money = part["p"].to_numpy(float) * part["s"].to_numpy(np.int64)
-        closed, carry = extend_bars(self.state.get() if self.state.exists() else None, part, money, self.target, money)
+        size = part["s"].to_numpy(np.int64)
+        money = part["p"].to_numpy(float) * size
+        sums, limit = (part["cents"].to_numpy(np.int64) * size, self.target * 100) if "cents" in part else (money, self.target)
+        closed, carry = extend_bars(self.state.get() if self.state.exists() else None, part, sums.astype(float), limit, money)
         self.state.update(carry)
         self.handle.registerTimer(day_end(key[1], self.zone))
         if len(closed):
@@ -182,7 +184,8 @@ BARS = "ticker string, date date, bar_no long, t_open long, t_close long, o doub
 def stream_dollar_bars(ticks: DataFrame, target: float = 300_000, ts: str = "ts", late: str = "5 minutes", zone: str = EXCHANGE) -> DataFrame:
     """Closed bars as they close, and each day's last one once the watermark has passed its end in zone.
 
-    Ticks later than the watermark are dropped; the others of a batch are taken in order of their time.
+    Ticks later than the watermark are dropped; the others of a batch are taken in order of their time. With a column
+    cents (whole prices) sums are exact, so that a bar closes where it reaches the target exactly.
     """
     return ticks.withWatermark(ts, late).groupBy("ticker", "date").transformWithStateInPandas(DollarBars(target, zone), BARS, "append", "eventtime")
 
