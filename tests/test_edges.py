@@ -82,6 +82,51 @@ def test_exact_sums_close_a_streamed_bar(spark):
         assert bars["n"].tolist() == [8, 8, 8] and bars["bar_no"].tolist() == [0, 1, 2]
 
 
+def test_spikes_of_rows_in_pieces(spark):
+    """Panes of pieces, in any order, are those of all rows at once."""
+    import numpy as np
+    import pandas as pd
+
+    from tickloom.streaming.jobs import Spikes
+
+    class List:
+        rows = None
+        exists = lambda self: self.rows is not None
+        get = lambda self: iter(self.rows)
+
+        def put(self, rows):
+            self.rows = rows
+
+    class Handle:
+        getListState = lambda self, *_: List()  # noqa: E731, N815
+        getValueState = lambda self, *_: List()  # noqa: E731, N815
+        listTimers = lambda self: iter([])  # noqa: E731, N815
+        registerTimer = lambda self, _: None  # noqa: E731, N815
+
+    rng = np.random.default_rng(1)
+    ts = pd.to_datetime(rng.integers(0, 3600 * 10**6, 5000), unit="us")
+    rows = pd.DataFrame({"ts": ts, "t_raw": ts.astype("int64"), "seq": rng.permutation(5000), "p": rng.integers(1, 999, 5000) / 100})
+    made, most = [], []
+    for step in (5000, 70):
+        job = Spikes(10, 1, 0.2, -0.3)
+        job.init(Handle())
+        alive = []
+
+        def pieces(step=step, alive=alive):
+            import weakref
+
+            for k in range(0, 5000, step):
+                piece = rows.iloc[k : k + step].copy()
+                alive.append(weakref.ref(piece))
+                yield piece
+                del piece
+                most.append(sum(r() is not None for r in alive))
+
+        assert list(job.handleInputRows(("A",), pieces(), None)) == []
+        made.append(job.panes.rows)
+    assert made[0] == made[1] and len(made[0]) == 60 and max(most) <= 2
+
+
 def test_financials_of_odd_kinds(spark):
     from tickloom.sources import normalize as N
 

@@ -219,12 +219,12 @@ class Spikes(StatefulProcessor):
             self.handle.registerTimer(-(-first // self.step) * self.step * 60_000)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(rows))
-        part = part.assign(minute=part["ts"].astype("datetime64[us]").astype("int64") // 60_000_000)
-        new = pd.DataFrame({"minute": part["minute"], "t": part["t_raw"], "seq": part["seq"], "o": part["p"], "h": part["p"], "l": part["p"]})
-        held = self.load()
-        both = (pd.concat([held, new]) if len(held) else new).sort_values(["minute", "t", "seq"], kind="stable").groupby("minute", as_index=False)
-        panes = both.agg({"t": "first", "seq": "first", "o": "first", "h": "max", "l": "min"})
+        panes = self.load()
+        for part in rows:  # a delivery's rows come in pieces, and only their panes are kept
+            minute = part["ts"].astype("datetime64[us]").astype("int64") // 60_000_000
+            new = pd.DataFrame({"minute": minute, "t": part["t_raw"], "seq": part["seq"], "o": part["p"], "h": part["p"], "l": part["p"]})
+            both = (pd.concat([panes, new]) if len(panes) else new).sort_values(["minute", "t", "seq"], kind="stable").groupby("minute", as_index=False)
+            panes = both.agg({"t": "first", "seq": "first", "o": "first", "h": "max", "l": "min"})
         self.panes.put([tuple(x) for x in panes[list(self.PANE)].astype(object).to_numpy().tolist()])
         self.wait(panes, self.done.get()[0] if self.done.exists() else -1)
         return iter([])
