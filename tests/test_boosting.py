@@ -100,3 +100,16 @@ def test_windows_of_joined_rows_are_those_of_the_grid(spark):
     assert binned.count() == 2000 and cells.count() <= 3 * 5 * 5 * 2
     sums = cells.selectExpr("sum(weight)", "sum(w0)", "sum(w1)").first()
     assert np.isclose(sums[0], rows["weight"].sum()) and 0.4 < sums[1] / sums[0] < 0.6 and sums[1] != sums[2]
+
+
+def test_a_single_window_computes_its_rows_once(spark, tmp_path):
+    rows, df = frame(spark, 7, 300)
+
+    def noted(batches, folder=str(tmp_path)):
+        import uuid
+
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        yield from batches
+
+    information.window_model(df.coalesce(1).mapInPandas(noted, df.schema), ["u", "v"], trees=2, depth=1).collect()
+    assert len(list(tmp_path.iterdir())) == 1
